@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import CREDIT_RULES, UNKNOWN_ACCOUNT, credit_settings
 from ..functions import columns as C
-from ..operators import clean
+from ..operators import clean, profile, split
 from ..sources.applications import applications
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,60 @@ def decode_label(spark, sf_dir):
 @query
 def preview(spark, sf_dir):
     return clean.preview(features(spark, sf_dir), 10, order_by=["CustomerId"])
+
+
+# --- 2.5 splits and sampling ---------------------------------------------
+def split_features(spark, sf_dir):
+    s = SETTINGS
+    return split.stratified_split(features(spark, sf_dir), s.primary_keys[0], s.target,
+                                  s.test_fraction, s.n_folds, s.seed)
+
+
+@query
+def stratified_split(spark, sf_dir):
+    return split_features(spark, sf_dir).select("CustomerId", "Risk", "is_test")
+
+
+@query
+def stratified_folds(spark, sf_dir):
+    return split_features(spark, sf_dir).select("CustomerId", "fold")
+
+
+@query
+def sample_n_replace(spark, sf_dir):
+    s = SETTINGS
+    df = clean.select_features(features(spark, sf_dir), s.numerical_features,
+                               s.categorical_features, keys=s.primary_keys)
+    return split.sample_with_replacement(df, 100, "CustomerId", seed=s.seed)
+
+
+# --- 2.3 profiling and aggregation ---------------------------------------
+PROFILE_COLS = ["Credit_amount", "Duration", "Age", "Sex", "Job", "Housing", "Purpose",
+                "Saving_accounts", "Checking_account", "Saving_accounts_ordinal_enc",
+                "Checking_account_ordinal_enc", "Risk"]
+CATEGORY_COLS = ["Sex", "Job", "Housing", "Purpose", "Saving_accounts", "Checking_account"]
+
+
+@query
+def profile_columns(spark, sf_dir):
+    return profile.profile_columns(features(spark, sf_dir), PROFILE_COLS, exact=True)
+
+
+@query
+def cardinality_plan(spark, sf_dir):
+    return profile.cardinality_plan(features(spark, sf_dir), SETTINGS.categorical_features)
+
+
+@query
+def target_rate(spark, sf_dir):
+    return profile.target_rate(features(spark, sf_dir), CATEGORY_COLS, "Risk")
+
+
+@query
+def category_share(spark, sf_dir):
+    return profile.category_share(features(spark, sf_dir), CATEGORY_COLS)
+
+
+@query
+def derive_ordinal(spark, sf_dir):
+    return profile.derive_ordinal(features(spark, sf_dir), ["Saving_accounts", "Checking_account"], "Risk")

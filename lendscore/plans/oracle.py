@@ -79,3 +79,66 @@ SELECT CustomerId, CASE WHEN Job = 0 THEN NULL ELSE Credit_amount END AS Credit_
 sql("decode_label", with_features("""
 SELECT CustomerId, Risk, CASE WHEN Risk = 1 THEN 'bad' ELSE 'good' END AS Risk_label FROM features"""))
 sql("preview", with_features("SELECT * FROM features ORDER BY CustomerId LIMIT 10"))
+
+
+# --- 2.5 splits and sampling ---------------------------------------------
+RANKED = """,
+hashed AS (SELECT *, md5(CAST(CustomerId AS VARCHAR) || ':42') AS h FROM features),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY Risk ORDER BY h, CustomerId) AS rn,
+                  count(*) OVER (PARTITION BY Risk) AS tot FROM hashed)"""
+sql("stratified_split", with_features(
+    "SELECT CustomerId, Risk, rn <= (2 * tot + 5) // 10 AS is_test FROM ranked", RANKED))
+sql("stratified_folds", with_features(
+    "SELECT CustomerId, CAST((rn - 1) % 5 AS INT) AS fold FROM ranked", RANKED))
+sql("sample_n_replace", with_features("""
+SELECT d.draw, i.CustomerId, i.Credit_amount, i.Duration, i.Age, i.Sex, i.Job, i.Housing,
+       i.Purpose, i.Saving_accounts_ordinal_enc, i.Checking_account_ordinal_enc
+FROM (SELECT range AS draw,
+             ('0x' || substr(md5(CAST(range AS VARCHAR) || ':7'), 1, 15))::BIGINT
+               % (SELECT count(*) FROM features) + 1 AS rn
+      FROM range(100)) d
+JOIN (SELECT *, row_number() OVER (ORDER BY h, CustomerId) AS rn FROM
+        (SELECT *, md5(CAST(CustomerId AS VARCHAR) || ':42') AS h FROM features)) i
+  ON d.rn = i.rn"""))
+
+
+# --- 2.3 profiling and aggregation ---------------------------------------
+PROFILE_NUM = ["Credit_amount", "Duration", "Age", "Job", "Saving_accounts_ordinal_enc",
+               "Checking_account_ordinal_enc", "Risk"]
+PROFILE_COLS = ["Credit_amount", "Duration", "Age", "Sex", "Job", "Housing", "Purpose",
+                "Saving_accounts", "Checking_account", "Saving_accounts_ordinal_enc",
+                "Checking_account_ordinal_enc", "Risk"]
+CATEGORY_COLS = ["Sex", "Job", "Housing", "Purpose", "Saving_accounts", "Checking_account"]
+CATEGORICAL_FEATURES = ["Sex", "Job", "Housing", "Purpose", "Saving_accounts_ordinal_enc",
+                        "Checking_account_ordinal_enc"]
+
+
+def _profile_part(c: str) -> str:
+    if c in PROFILE_NUM:
+        x = f"CAST({c} AS DOUBLE)"
+        stats = (f"avg({x}) AS mean, stddev_samp({x}) AS stddev, min({x}) AS min, "
+                 f"quantile_cont({x}, 0.25) AS p25, quantile_cont({x}, 0.5) AS p50, "
+                 f"quantile_cont({x}, 0.75) AS p75, max({x}) AS max")
+    else:
+        stats = ", ".join(f"CAST(NULL AS DOUBLE) AS {s}"
+                          for s in ("mean", "stddev", "min", "p25", "p50", "p75", "max"))
+    return (f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, "
+            f"count(DISTINCT {c}) AS n_distinct, {stats} FROM features")
+
+
+sql("profile_columns", with_features("\nUNION ALL\n".join(_profile_part(c) for c in PROFILE_COLS)))
+sql("cardinality_plan", with_features("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, "
+    f"CASE WHEN count(DISTINCT {c}) > 2 THEN 'one_hot' WHEN count(DISTINCT {c}) = 2 THEN 'binary' "
+    f"ELSE 'drop' END AS encoder FROM features" for c in CATEGORICAL_FEATURES)))
+_STATS = ",\nstats AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n, "
+    f"CAST(sum(Risk) AS BIGINT) AS positives, sum(Risk) / count(*) AS target_rate FROM features GROUP BY {c}"
+    for c in CATEGORY_COLS) + ")"
+sql("target_rate", with_features("SELECT * FROM stats", _STATS))
+sql("category_share", with_features(
+    "SELECT column_name, value, n, n / (SELECT count(*) FROM features) AS share FROM stats", _STATS))
+sql("derive_ordinal", with_features("""
+SELECT column_name, value, target_rate,
+       CAST(row_number() OVER (PARTITION BY column_name ORDER BY target_rate, value) - 1 AS INT) AS code
+FROM stats WHERE column_name IN ('Saving_accounts', 'Checking_account') AND value IS NOT NULL""", _STATS))

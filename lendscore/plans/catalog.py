@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import CREDIT_RULES, UNKNOWN_ACCOUNT, credit_settings
 from ..functions import columns as C
-from ..operators import clean, profile, split
+from ..operators import clean, features, profile, split
 from ..sources.applications import applications
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,7 +30,7 @@ def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.normalize_column_names(applications(spark, sf_dir))
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.feature_table(applications(spark, sf_dir), CREDIT_RULES)
 
 
@@ -40,7 +40,7 @@ SETTINGS = credit_settings()
 # --- 2.2 cleaning and encoding -------------------------------------------
 @query
 def feature_table(spark, sf_dir):
-    return features(spark, sf_dir)
+    return feature_rows(spark, sf_dir)
 
 
 @query
@@ -92,13 +92,13 @@ def label_encode(spark, sf_dir):
 @query
 def select_features(spark, sf_dir):
     s = SETTINGS
-    return clean.select_features(features(spark, sf_dir), s.numerical_features,
+    return clean.select_features(feature_rows(spark, sf_dir), s.numerical_features,
                                  s.categorical_features, s.target, keys=s.primary_keys)
 
 
 @query
 def nan_to_null(spark, sf_dir):
-    df = features(spark, sf_dir).select(
+    df = feature_rows(spark, sf_dir).select(
         "CustomerId",
         F.when(F.col("Job") == 0, F.lit(float("nan"))).otherwise(F.col("Credit_amount"))
          .alias("Credit_amount"))
@@ -107,36 +107,36 @@ def nan_to_null(spark, sf_dir):
 
 @query
 def decode_label(spark, sf_dir):
-    df = features(spark, sf_dir).select("CustomerId", "Risk")
+    df = feature_rows(spark, sf_dir).select("CustomerId", "Risk")
     return clean.decode_prediction(df, "Risk", "Risk_label")
 
 
 @query
 def preview(spark, sf_dir):
-    return clean.preview(features(spark, sf_dir), 10, order_by=["CustomerId"])
+    return clean.preview(feature_rows(spark, sf_dir), 10, order_by=["CustomerId"])
 
 
 # --- 2.5 splits and sampling ---------------------------------------------
-def split_features(spark, sf_dir):
+def split_feature_rows(spark, sf_dir):
     s = SETTINGS
-    return split.stratified_split(features(spark, sf_dir), s.primary_keys[0], s.target,
+    return split.stratified_split(feature_rows(spark, sf_dir), s.primary_keys[0], s.target,
                                   s.test_fraction, s.n_folds, s.seed)
 
 
 @query
 def stratified_split(spark, sf_dir):
-    return split_features(spark, sf_dir).select("CustomerId", "Risk", "is_test")
+    return split_feature_rows(spark, sf_dir).select("CustomerId", "Risk", "is_test")
 
 
 @query
 def stratified_folds(spark, sf_dir):
-    return split_features(spark, sf_dir).select("CustomerId", "fold")
+    return split_feature_rows(spark, sf_dir).select("CustomerId", "fold")
 
 
 @query
 def sample_n_replace(spark, sf_dir):
     s = SETTINGS
-    df = clean.select_features(features(spark, sf_dir), s.numerical_features,
+    df = clean.select_features(feature_rows(spark, sf_dir), s.numerical_features,
                                s.categorical_features, keys=s.primary_keys)
     return split.sample_with_replacement(df, 100, "CustomerId", seed=s.seed)
 
@@ -150,24 +150,75 @@ CATEGORY_COLS = ["Sex", "Job", "Housing", "Purpose", "Saving_accounts", "Checkin
 
 @query
 def profile_columns(spark, sf_dir):
-    return profile.profile_columns(features(spark, sf_dir), PROFILE_COLS, exact=True)
+    return profile.profile_columns(feature_rows(spark, sf_dir), PROFILE_COLS, exact=True)
 
 
 @query
 def cardinality_plan(spark, sf_dir):
-    return profile.cardinality_plan(features(spark, sf_dir), SETTINGS.categorical_features)
+    return profile.cardinality_plan(feature_rows(spark, sf_dir), SETTINGS.categorical_features)
 
 
 @query
 def target_rate(spark, sf_dir):
-    return profile.target_rate(features(spark, sf_dir), CATEGORY_COLS, "Risk")
+    return profile.target_rate(feature_rows(spark, sf_dir), CATEGORY_COLS, "Risk")
 
 
 @query
 def category_share(spark, sf_dir):
-    return profile.category_share(features(spark, sf_dir), CATEGORY_COLS)
+    return profile.category_share(feature_rows(spark, sf_dir), CATEGORY_COLS)
 
 
 @query
 def derive_ordinal(spark, sf_dir):
-    return profile.derive_ordinal(features(spark, sf_dir), ["Saving_accounts", "Checking_account"], "Risk")
+    return profile.derive_ordinal(feature_rows(spark, sf_dir), ["Saving_accounts", "Checking_account"], "Risk")
+
+
+# --- 2.3 / 2.6 dictionaries, scaler and encoders (fit on train, apply to test)
+def train_rows(spark, sf_dir):
+    return split_feature_rows(spark, sf_dir).filter(~F.col("is_test"))
+
+
+def test_rows(spark, sf_dir):
+    return split_feature_rows(spark, sf_dir).filter(F.col("is_test"))
+
+
+@query
+def category_dictionary(spark, sf_dir):
+    return features.dictionary_frame(train_rows(spark, sf_dir), SETTINGS.categorical_features)
+
+
+@query
+def scaler_stats(spark, sf_dir):
+    return features.scaler_stats(train_rows(spark, sf_dir), SETTINGS.numerical_features)
+
+
+@query
+def standard_scale(spark, sf_dir):
+    nums = SETTINGS.numerical_features
+    m = features.PopulationStandardScaler(inputCols=nums).fit(train_rows(spark, sf_dir))
+    return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *nums)
+
+
+ONE_HOT_COLS = ["Job", "Purpose", "Saving_accounts_ordinal_enc", "Checking_account_ordinal_enc"]
+BINARY_COLS = ["Sex", "Housing"]
+
+
+@query
+def one_hot(spark, sf_dir):
+    m = features.OneHotColumns(inputCols=ONE_HOT_COLS).fit(train_rows(spark, sf_dir))
+    return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *m.output_names())
+
+
+@query
+def binary_encode(spark, sf_dir):
+    m = features.BinaryOrdinal(inputCols=BINARY_COLS,
+                               outputCols=[f"{c}_bin" for c in BINARY_COLS]).fit(train_rows(spark, sf_dir))
+    return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *[f"{c}_bin" for c in BINARY_COLS])
+
+
+@query
+def category_codes(spark, sf_dir):
+    cats = SETTINGS.categorical_features
+    m = features.CategoryCodes(inputCols=cats, outputCols=[f"{c}_code" for c in cats]).fit(
+        train_rows(spark, sf_dir))
+    return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *[f"{c}_code" for c in cats])

@@ -142,3 +142,38 @@ sql("derive_ordinal", with_features("""
 SELECT column_name, value, target_rate,
        CAST(row_number() OVER (PARTITION BY column_name ORDER BY target_rate, value) - 1 AS INT) AS code
 FROM stats WHERE column_name IN ('Saving_accounts', 'Checking_account') AND value IS NOT NULL""", _STATS))
+
+
+# --- 2.3 / 2.6 dictionaries, scaler and encoders (fit on train, apply to test)
+NUMERICAL = ["Credit_amount", "Duration", "Age"]
+SPLIT = RANKED + """,
+train AS (SELECT * FROM ranked WHERE rn > (2 * tot + 5) // 10),
+test AS (SELECT * FROM ranked WHERE rn <= (2 * tot + 5) // 10)"""
+
+
+def _sorted(c: str) -> str:
+    return f"(SELECT array_sort(list(DISTINCT {c})) FROM train)"
+
+
+sql("category_dictionary", with_features("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
+    f"CAST(row_number() OVER (ORDER BY {c}) - 1 AS INT) AS code "
+    f"FROM (SELECT DISTINCT {c} FROM train WHERE {c} IS NOT NULL)" for c in CATEGORICAL_FEATURES), SPLIT))
+sql("scaler_stats", with_features("\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, avg(CAST({c} AS DOUBLE)) AS mean, "
+    f"stddev_pop(CAST({c} AS DOUBLE)) AS std FROM train" for c in NUMERICAL), SPLIT))
+sql("standard_scale", with_features("SELECT CustomerId, " + ", ".join(
+    f"(CAST({c} AS DOUBLE) - (SELECT avg(CAST({c} AS DOUBLE)) FROM train)) / "
+    f"(SELECT stddev_pop(CAST({c} AS DOUBLE)) FROM train) AS {c}" for c in NUMERICAL)
+    + " FROM test", SPLIT))
+ONE_HOT_SLOTS = {"Job": 4, "Purpose": 4, "Saving_accounts_ordinal_enc": 4,
+                 "Checking_account_ordinal_enc": 4}
+sql("one_hot", with_features("SELECT CustomerId, " + ", ".join(
+    f"COALESCE(CAST({c} = {_sorted(c)}[{i + 1}] AS INT), 0) AS {c}_oh{i}"
+    for c, k in ONE_HOT_SLOTS.items() for i in range(k)) + " FROM test", SPLIT))
+sql("binary_encode", with_features("SELECT CustomerId, " + ", ".join(
+    f"CAST(list_position({_sorted(c)}, {c}) - 1 AS INT) AS {c}_bin" for c in ("Sex", "Housing"))
+    + " FROM test", SPLIT))
+sql("category_codes", with_features("SELECT CustomerId, " + ", ".join(
+    f"CAST(COALESCE(list_position({_sorted(c)}, {c}) - 1, -1) AS INT) AS {c}_code"
+    for c in CATEGORICAL_FEATURES) + " FROM test", SPLIT))

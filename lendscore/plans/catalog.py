@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import CREDIT_RULES, UNKNOWN_ACCOUNT, credit_settings
 from ..functions import columns as C
-from ..operators import clean, features, profile, split
+from ..operators import clean, features, metrics, profile, registry, split
 from ..sources.applications import applications
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +222,86 @@ def category_codes(spark, sf_dir):
     m = features.CategoryCodes(inputCols=cats, outputCols=[f"{c}_code" for c in cats]).fit(
         train_rows(spark, sf_dir))
     return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *[f"{c}_code" for c in cats])
+
+
+# --- 2.7 metrics on deterministic evaluation scores --------------------------
+# Two fixed scorers of the applications (hash noise + label signal, with ties):
+# "challenger" and "champion".  Everything downstream is the real operator.
+def _noise(seed: int):
+    return C.hex_prefix_int(C.keyed_md5(F.col("CustomerId"), seed), 3)
+
+
+def with_eval_scores(df):
+    risk = F.col("Risk")
+    return df.select(
+        "CustomerId", "Risk", "fold", "is_test",
+        ((_noise(1) + risk * 1500) / F.lit(5595.0)).alias("score_challenger"),
+        ((_noise(2) + risk * 800) / F.lit(4895.0)).alias("score_champion"))
+
+
+def scored_test(spark, sf_dir):
+    return with_eval_scores(split_feature_rows(spark, sf_dir)).filter("is_test")
+
+
+@query
+def average_precision(spark, sf_dir):
+    return metrics.average_precision(scored_test(spark, sf_dir), "Risk", "score_challenger")
+
+
+@query
+def roc_auc(spark, sf_dir):
+    return metrics.roc_auc(scored_test(spark, sf_dir), "Risk", "score_challenger")
+
+
+@query
+def pr_auc(spark, sf_dir):
+    return metrics.pr_auc(scored_test(spark, sf_dir), "Risk", "score_challenger")
+
+
+@query
+def confusion_metrics(spark, sf_dir):
+    return metrics.confusion_metrics(scored_test(spark, sf_dir), "Risk", score="score_challenger")
+
+
+@query
+def log_loss(spark, sf_dir):
+    return metrics.log_loss(scored_test(spark, sf_dir), "Risk", "score_challenger")
+
+
+@query
+def promotion_gate(spark, sf_dir):
+    return metrics.promotion_gate(scored_test(spark, sf_dir), "Risk", "score_challenger",
+                                  "score_champion")
+
+
+# Trial family for the tuning-result queries: trial t scores with its own
+# noise seed and label weight; cross-validated on the training folds.
+TRIAL_WEIGHTS = (300, 800, 1500, 2500)
+
+
+def trial_fold_scores(spark, sf_dir):
+    train = split_feature_rows(spark, sf_dir).filter(~F.col("is_test"))
+    items = [F.struct(F.lit(t).alias("trial"),
+                      ((_noise(10 + t) + F.col("Risk") * w) / F.lit(4095.0 + w)).alias("score"))
+             for t, w in enumerate(TRIAL_WEIGHTS)]
+    long = train.select("Risk", "fold", F.explode(F.array(*items)).alias("_t")).select(
+        "_t.trial", "fold", "Risk", "_t.score")
+    return metrics.average_precision(long, "Risk", "score", by=["trial", "fold"])
+
+
+@query
+def cv_mean_score(spark, sf_dir):
+    return registry.cv_mean(trial_fold_scores(spark, sf_dir), "trial", "average_precision")
+
+
+@query
+def best_trial(spark, sf_dir):
+    cv = registry.cv_mean(trial_fold_scores(spark, sf_dir), "trial", "average_precision")
+    return registry.best_trial(cv, "trial", "mean_score")
+
+
+@query
+def best_run(spark, sf_dir):
+    runs = registry.runs_from_trials(trial_fold_scores(spark, sf_dir), "trial", "fold",
+                                     "average_precision", study="hyperparameter_tuning_")
+    return registry.best_run(runs, "hyperparameter_tuning_%", "precision_recall_score")

@@ -177,3 +177,72 @@ sql("binary_encode", with_features("SELECT CustomerId, " + ", ".join(
 sql("category_codes", with_features("SELECT CustomerId, " + ", ".join(
     f"CAST(COALESCE(list_position({_sorted(c)}, {c}) - 1, -1) AS INT) AS {c}_code"
     for c in CATEGORICAL_FEATURES) + " FROM test", SPLIT))
+
+
+# --- 2.7 metrics on deterministic evaluation scores --------------------------
+def _noise(seed: int) -> str:
+    return f"('0x' || substr(md5(CAST(CustomerId AS VARCHAR) || ':{seed}'), 1, 3))::BIGINT"
+
+
+SCORED = SPLIT + f""",
+scored AS (SELECT CustomerId, Risk, rn <= (2 * tot + 5) // 10 AS is_test, CAST((rn - 1) % 5 AS INT) AS fold,
+                  ({_noise(1)} + Risk * 1500) / 5595.0 AS score_challenger,
+                  ({_noise(2)} + Risk * 800) / 4895.0 AS score_champion FROM ranked),
+stest AS (SELECT * FROM scored WHERE is_test)"""
+
+
+def _curve(src: str, score: str, by: str = "") -> str:
+    part = f"PARTITION BY {by}" if by else ""
+    sel = f"{by}, " if by else ""
+    return f"""(SELECT *, sum(pos) OVER ({part} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+        sum(neg) OVER ({part} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+        sum(pos) OVER ({part}) AS n_pos, sum(neg) OVER ({part}) AS n_neg
+  FROM (SELECT {sel}{score} AS score, sum(Risk) AS pos, count(*) - sum(Risk) AS neg
+        FROM {src} GROUP BY {sel}{score}))"""
+
+
+AP = "sum(pos / n_pos * tp / (tp + fp))"
+ROC = "sum(neg * ((tp - pos) + pos / 2.0)) / (first(n_pos) * first(n_neg))"
+PRAUC = ("sum(pos / n_pos * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg = 0 THEN 1.0 "
+         "ELSE (tp - pos) / (tp - pos + fp - neg) END) / 2)")
+sql("average_precision", with_features(
+    f"SELECT {AP} AS average_precision FROM {_curve('stest', 'score_challenger')}", SCORED))
+sql("roc_auc", with_features(f"SELECT {ROC} AS roc_auc FROM {_curve('stest', 'score_challenger')}", SCORED))
+sql("pr_auc", with_features(f"SELECT {PRAUC} AS pr_auc FROM {_curve('stest', 'score_challenger')}", SCORED))
+sql("confusion_metrics", with_features("""
+SELECT tp AS true_positives, fp AS false_positives, tn AS true_negatives, fn AS false_negatives,
+       n AS example_count, (tp + tn) / n AS accuracy_score,
+       COALESCE(tp / NULLIF(tp + fp, 0), 0.0) AS precision_score,
+       COALESCE(tp / NULLIF(tp + fn, 0), 0.0) AS recall_score,
+       COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0.0) AS f1_score
+FROM (SELECT count(*) FILTER (WHERE Risk = 1 AND score_challenger > 0.5) AS tp,
+             count(*) FILTER (WHERE Risk <> 1 AND score_challenger > 0.5) AS fp,
+             count(*) FILTER (WHERE Risk <> 1 AND NOT score_challenger > 0.5) AS tn,
+             count(*) FILTER (WHERE Risk = 1 AND NOT score_challenger > 0.5) AS fn,
+             count(*) AS n FROM stest)""", SCORED))
+sql("log_loss", with_features("""
+SELECT -avg(Risk * ln(p) + (1 - Risk) * ln(1 - p)) AS log_loss, count(*) AS example_count
+FROM (SELECT Risk, least(greatest(score_challenger, 1e-15), 1 - 1e-15) AS p FROM stest)""", SCORED))
+sql("promotion_gate", with_features(f"""
+SELECT 'pr_auc' AS metric, c.v AS challenger_value, h.v AS champion_value, c.v >= h.v AS promote
+FROM (SELECT {PRAUC} AS v FROM {_curve('stest', 'score_challenger')}) c,
+     (SELECT {PRAUC} AS v FROM {_curve('stest', 'score_champion')}) h""", SCORED))
+
+TRIAL_WEIGHTS = (300, 800, 1500, 2500)
+TRIALS = SCORED + ",\ntrial_scores AS (" + "\nUNION ALL\n".join(
+    f"SELECT {t} AS trial, fold, Risk, ({_noise(10 + t)} + Risk * {w}) / {4095.0 + w} AS score "
+    f"FROM scored WHERE NOT is_test" for t, w in enumerate(TRIAL_WEIGHTS)) + f"""),
+fold_ap AS (SELECT trial, fold, {AP} AS average_precision
+            FROM {_curve('trial_scores', 'score', 'trial, fold')} GROUP BY trial, fold),
+cv AS (SELECT trial, avg(average_precision) AS mean_score, count(*) AS n_folds FROM fold_ap GROUP BY trial)"""
+sql("cv_mean_score", with_features("SELECT * FROM cv", TRIALS))
+sql("best_trial", with_features(
+    "SELECT trial, mean_score FROM cv ORDER BY mean_score DESC, trial LIMIT 1", TRIALS))
+sql("best_run", with_features("""
+SELECT run_name, trial, precision_recall_score FROM (
+  SELECT 'hyperparameter_tuning_' || trial AS run_name, CAST(trial AS BIGINT) AS trial,
+         mean_score AS precision_recall_score FROM cv
+  UNION ALL
+  SELECT 'trial_' || trial || '_fold_' || fold, CAST(trial AS BIGINT), average_precision FROM fold_ap)
+WHERE run_name LIKE 'hyperparameter_tuning_%'
+ORDER BY precision_recall_score DESC, run_name LIMIT 1""", TRIALS))

@@ -246,3 +246,14 @@ SELECT run_name, trial, precision_recall_score FROM (
   SELECT 'trial_' || trial || '_fold_' || fold, CAST(trial AS BIGINT), average_precision FROM fold_ap)
 WHERE run_name LIKE 'hyperparameter_tuning_%'
 ORDER BY precision_recall_score DESC, run_name LIMIT 1""", TRIALS))
+
+
+# --- 2.7 fixed-coefficient scorer --------------------------------------------
+_Z = ("-0.5 + CAST(Credit_amount AS DOUBLE) * 1e-05 + CAST(Duration AS DOUBLE) * 0.02 "
+      "+ CAST(Age AS DOUBLE) * -0.01 + CAST(Saving_accounts_ordinal_enc AS DOUBLE) * -0.15 "
+      "+ CAST(Checking_account_ordinal_enc AS DOUBLE) * 0.1")
+LINEAR = f""",
+linear AS (SELECT CustomerId, 1.0 / (1.0 + exp(-({_Z}))) AS p_positive FROM features)"""
+LINEAR_BODY = """SELECT CustomerId, p_positive, CAST(p_positive > 0.5 AS INT) AS prediction,
+       CASE WHEN p_positive > 0.5 THEN 'bad' ELSE 'good' END AS "Credit risk prediction" FROM linear"""
+sql("linear_score", with_features(LINEAR_BODY, LINEAR))

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from ..config import CREDIT_RULES, UNKNOWN_ACCOUNT, credit_settings
 from ..functions import columns as C
 from ..operators import clean, features, metrics, models, profile, registry, split
-from ..sources.applications import applications
+from ..session import scratch_path
+from ..sources import files, tables
+from ..sources.applications import applications, read_table
+from ..streaming import scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -364,3 +367,75 @@ def linear_score(spark, sf_dir):
     out = linear_scorer().transform(feature_rows(spark, sf_dir))
     return clean.decode_prediction(out.select("CustomerId", models.P1, "prediction"),
                                    "prediction", "Credit risk prediction")
+
+
+# --- 2.7 M11 streaming scoring ---------------------------------------------------
+@query
+def stream_score(spark, sf_dir):
+    """Feature rows land as files; a stream scores them with the fixed linear
+    scorer (exactly one output per input) into a parquet sink."""
+    base = scratch_path(spark, "stream")
+    feats = feature_rows(spark, sf_dir)
+    feats.write.mode("overwrite").parquet(f"{base}/in")
+    out = scoring.run_available_now(spark, f"{base}/in", feats.schema, linear_scorer(), ["CustomerId"],
+                                    models.P1, f"{base}/out", f"{base}/checkpoint",
+                                    max_files_per_trigger=2)
+    return out
+
+
+# --- 2.1 sources and sinks ---------------------------------------------------------
+@query
+def csv_roundtrip(spark, sf_dir):
+    """Raw applications written as CSV, read back with the pandas null
+    tokens (``NA`` and empty become null) and an explicit schema."""
+    raw = applications(spark, sf_dir)
+    path = scratch_path(spark, "csv")
+    raw.write.option("header", "true").csv(path)
+    back = files.read_csv(spark, path, schema=raw.schema)
+    return C.normalize_column_names(back)
+
+
+@query
+def feature_table_roundtrip(spark, sf_dir):
+    """I4: the feature table overwritten (schema replaced) and read back."""
+    path = scratch_path(spark, "features")
+    tables.overwrite_table(feature_rows(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query
+def key_violations(spark, sf_dir):
+    """NOT NULL + primary-key checks on the feature table (clean) and on
+    lineitem keyed by order alone (duplicates expected)."""
+    f = tables.key_violations(feature_rows(spark, sf_dir), ["CustomerId"])
+    li = tables.key_violations(read_table(spark, sf_dir, "lineitem"), ["l_orderkey"])
+    return (f.withColumn("table_name", F.lit("features"))
+            .unionByName(li.withColumn("table_name", F.lit("lineitem"))))
+
+
+@query
+def latest_snapshot(spark, sf_dir):
+    """Two snapshots written (all rows, then Job < 3); the latest is read
+    back by partition pruning."""
+    path = scratch_path(spark, "snapshots")
+    feats = feature_rows(spark, sf_dir)
+    tables.write_snapshot(feats, path)
+    tables.write_snapshot(feats.filter(F.col("Job") < 3), path)
+    return tables.read_snapshot(spark, path)
+
+
+@query
+def dataset_lineage(spark, sf_dir):
+    """Rows and content digest of the train and test sets of one run."""
+    s = split_feature_rows(spark, sf_dir)
+    train = s.filter(~F.col("is_test")).drop("is_test", "fold")
+    test = s.filter(F.col("is_test")).drop("is_test", "fold")
+    return tables.dataset_lineage([("credit_features", train, "training", 0),
+                                   ("credit_features", test, "testing", 0)], run_id="run-0")
+
+
+@query
+def to_json_records(spark, sf_dir):
+    """I8: feature rows as JSON records, NaN/null kept as JSON null."""
+    s = SETTINGS
+    return files.to_json_records(feature_rows(spark, sf_dir), s.model_features)

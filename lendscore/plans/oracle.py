@@ -257,3 +257,32 @@ linear AS (SELECT CustomerId, 1.0 / (1.0 + exp(-({_Z}))) AS p_positive FROM feat
 LINEAR_BODY = """SELECT CustomerId, p_positive, CAST(p_positive > 0.5 AS INT) AS prediction,
        CASE WHEN p_positive > 0.5 THEN 'bad' ELSE 'good' END AS "Credit risk prediction" FROM linear"""
 sql("linear_score", with_features(LINEAR_BODY, LINEAR))
+sql("stream_score", with_features(LINEAR_BODY, LINEAR))
+
+
+# --- 2.1 sources and sinks ---------------------------------------------------------
+sql("csv_roundtrip", ORACLE["nullify_tokens"])
+sql("feature_table_roundtrip", ORACLE["feature_table"])
+sql("key_violations", with_features("""
+SELECT 'not_null:CustomerId' AS rule, CAST(count(*) - count(CustomerId) AS BIGINT) AS violations,
+       'features' AS table_name FROM features
+UNION ALL
+SELECT 'primary_key:CustomerId', CAST(COALESCE(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT), 'features'
+FROM (SELECT count(*) AS n FROM features WHERE CustomerId IS NOT NULL GROUP BY CustomerId)
+UNION ALL
+SELECT 'not_null:l_orderkey', CAST(count(*) - count(l_orderkey) AS BIGINT), 'lineitem' FROM lineitem
+UNION ALL
+SELECT 'primary_key:l_orderkey', CAST(COALESCE(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT), 'lineitem'
+FROM (SELECT count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey)"""))
+sql("latest_snapshot", with_features("SELECT * FROM features WHERE Job < 3"))
+_DIGEST_COLS = ["CustomerId", "Age", "Sex", "Job", "Housing", "Saving_accounts", "Checking_account",
+                "Duration", "Purpose", "Risk", "Saving_accounts_ordinal_enc",
+                "Checking_account_ordinal_enc"]
+_ROWTEXT = "concat_ws('|', " + ", ".join(
+    f"COALESCE(CAST({c} AS VARCHAR), '\\N')" for c in _DIGEST_COLS) + ")"
+sql("dataset_lineage", with_features(f"""
+SELECT 'run-0' AS run_id, 'credit_features' AS table_name, CAST(0 AS BIGINT) AS snapshot_id,
+       context, count(*) AS n_rows,
+       CAST(sum(('0x' || substr(md5({_ROWTEXT}), 1, 8))::BIGINT) AS BIGINT) AS digest
+FROM (SELECT *, CASE WHEN rn <= (2 * tot + 5) // 10 THEN 'testing' ELSE 'training' END AS context
+      FROM ranked) GROUP BY context""", RANKED))

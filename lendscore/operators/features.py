@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
+from ..session import materialize
 from .profile import long_values
 from .ranking import exact_rank
 
@@ -58,7 +59,7 @@ def fit_dictionaries(df: DataFrame, cols: Sequence[str],
     order (numbers numerically -- not as text).  Raises if a column has more
     than ``max_size`` values; use :func:`dictionary_frame` for those."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    lv = long_values(df, cols).filter(F.col("value").isNotNull()).distinct().checkpoint(eager=True)
+    lv = materialize(long_values(df, cols).filter(F.col("value").isNotNull()).distinct(), "dictionary")
     sizes = {r[0]: r[1] for r in lv.groupBy("column_name").count().collect()}
     too_big = {c: n for c, n in sizes.items() if n > max_size}
     if too_big:
@@ -163,11 +164,15 @@ class _DictionaryEstimator(Estimator, _ColsStage):
                           typeConverter=TypeConverters.toInt)
 
     def _fit_state(self, df: DataFrame) -> dict:
-        cols = self.getInputCols()
         limit = self.getOrDefault(self.maxCategories) if self.isDefined(self.maxCategories) \
             else MAX_COLLECTED_CATEGORIES
-        dicts = fit_dictionaries(df, cols, limit)
-        return {c: {"kind": _value_kind(df, c), "values": dicts[c]} for c in cols}
+        return category_state(df, self.getInputCols(), limit)
+
+
+def category_state(df: DataFrame, cols: Sequence[str], limit: int = MAX_COLLECTED_CATEGORIES) -> dict:
+    """Fitted state of the dictionary stages for ``cols`` (one pass for all)."""
+    dicts = fit_dictionaries(df, cols, limit)
+    return {c: {"kind": _value_kind(df, c), "values": dicts[c]} for c in cols}
 
 
 class OneHotColumns(_DictionaryEstimator, DefaultParamsReadable, DefaultParamsWritable):

@@ -8,6 +8,7 @@ coefficients/trees, dictionaries and metrics come back to the driver.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 from typing import Any
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions.columns import decode_label
 from . import metrics
-from .features import BinaryOrdinal, CategoryCodes, OneHotColumns, PopulationStandardScaler
+from .features import (CategoryCodes, CategoryCodesModel, OneHotColumnsModel,
+                       PopulationStandardScaler, category_state)
 
 FEATURES = "features"
 PROB = "probability"
@@ -69,18 +71,21 @@ class FeatureAssembler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             stages.append(CategoryCodes(inputCols=cats, outputCols=codes).fit(df))
             inputs += codes
         else:
-            from .features import distinct_counts
-            n = {r.column_name: r.n_distinct for r in distinct_counts(df, cats).collect()}
-            onehot = [c for c in cats if n.get(c, 0) > 2]
-            binary = [c for c in cats if n.get(c, 0) == 2]
-            self.dropped = [c for c in cats if n.get(c, 0) < 2]
+            # One dictionary pass decides the blocks and fits both encoders.
+            state = category_state(df, cats)
+            n = {c: len(state[c]["values"]) for c in cats}
+            onehot = [c for c in cats if n[c] > 2]
+            binary = [c for c in cats if n[c] == 2]
+            self.dropped = [c for c in cats if n[c] < 2]
             if onehot:
-                m = OneHotColumns(inputCols=onehot).fit(df)
+                m = OneHotColumnsModel(inputCols=onehot,
+                                       state=json.dumps({c: state[c] for c in onehot}))
                 stages.append(m)
                 inputs += m.output_names()
             if binary:
                 outs = [f"{c}__bin" for c in binary]
-                stages.append(BinaryOrdinal(inputCols=binary, outputCols=outs).fit(df))
+                stages.append(CategoryCodesModel(inputCols=binary, outputCols=outs, onUnknown="error",
+                                                 state=json.dumps({c: state[c] for c in binary})))
                 inputs += outs
         stages.append(VectorAssembler(inputCols=inputs, outputCol=self.getOrDefault(self.outputCol)))
         return PipelineModel(stages)

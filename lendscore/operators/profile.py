@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..session import materialize
 from .ranking import cumulative, exact_rank, range_buckets
 
 QUANTILES = (0.25, 0.5, 0.75)
@@ -104,7 +105,8 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None, exact: boo
 
 
 def _exact_distinct_and_quantiles(df: DataFrame, cols: Sequence[str], nums: Sequence[str]) -> DataFrame:
-    vc = value_counts(df, cols).filter(F.col("value").isNotNull())
+    # One pass over the input; everything after reads the (small) checkpoint.
+    vc = materialize(value_counts(df, cols).filter(F.col("value").isNotNull()), "value-counts")
     distinct = vc.groupBy("column_name").agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct"))
     numeric = (vc.filter(F.col("column_name").isin(list(nums)))
                  .groupBy("column_name", "num").agg(F.sum("n").alias("n")))
@@ -138,7 +140,7 @@ def cardinality_plan(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def grouped_target_stats(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """A3 + A4 in one pass: per ``(column, value)``: rows, positives, positive
     rate, and share of all rows.  Null is its own category."""
-    vc = value_counts(df, cols, target).checkpoint(eager=True)
+    vc = materialize(value_counts(df, cols, target), "value-counts")
     total = vc.filter(F.col("column_name") == cols[0]).agg(F.sum("n")).head()[0] or 0
     return vc.select("column_name", "value", "num",
                      F.col("n").cast("bigint").alias("n"),
@@ -155,7 +157,7 @@ def target_rate(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
 
 def category_share(df: DataFrame, cols: Sequence[str], target: str | None = None) -> DataFrame:
     """A4: each category's share of all rows."""
-    vc = value_counts(df, cols).checkpoint(eager=True)
+    vc = materialize(value_counts(df, cols), "value-counts")
     total = vc.filter(F.col("column_name") == cols[0]).agg(F.sum("n")).head()[0] or 0
     return vc.select("column_name", "value", F.col("n").cast("bigint").alias("n"),
                      (F.col("n") / F.lit(total)).alias("share"))

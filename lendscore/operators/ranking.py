@@ -19,9 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Broadcast only offset tables up to this many rows (~40 bytes per row).
 MAX_BROADCAST_OFFSETS = 2_000_000
 
@@ -59,7 +62,7 @@ def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
         # Materialise the offsets once in the shared checkpoint folder (cuts
         # the lineage of the counting pass) and broadcast only if the table
         # really is small.
-        offs = offs.checkpoint(eager=True)
+        offs = materialize(offs, "offsets")
         small = offs.count() <= MAX_BROADCAST_OFFSETS
     right = (F.broadcast(offs) if small else offs).alias("_r")
     cond = F.col("_l._bkt").eqNullSafe(F.col("_r._k_bkt"))
@@ -100,8 +103,14 @@ def range_buckets(df: DataFrame, order_by: Sequence[Column], n_buckets: int | No
     """
     spark = df.sparkSession
     n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartitionByRange(n, *order_by).withColumn(bucket, F.spark_partition_id())
-    return out.checkpoint(eager=True)
+    # The range partitioner samples its input in a separate job; keep the
+    # input cached across that job and the shuffle so it is computed once.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = src.repartitionByRange(n, *order_by).withColumn(bucket, F.spark_partition_id())
+        return materialize(out, "range-buckets")
+    finally:
+        src.unpersist()
 
 
 def exact_rank(df: DataFrame, order_by: Sequence[Column], partition_by: Sequence[str] = (),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..config import CREDIT_RULES, UNKNOWN_ACCOUNT, credit_settings
 from ..functions import columns as C
 from ..operators import clean, features, metrics, models, profile, registry, split
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import files, tables
 from ..sources.applications import applications, read_table
 from ..streaming import scoring
@@ -177,12 +177,16 @@ def derive_ordinal(spark, sf_dir):
 
 
 # --- 2.3 / 2.6 dictionaries, scaler and encoders (fit on train, apply to test)
-def train_rows(spark, sf_dir):
-    return split_feature_rows(spark, sf_dir).filter(~F.col("is_test"))
+def split_tables(spark, sf_dir):
+    """Train and test rows of one split, written once to the shared checkpoint
+    folder (the way a job persists its split) so fit and transform both read
+    it instead of re-ranking."""
+    s = materialize(split_feature_rows(spark, sf_dir), "split")
+    return s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
 
 
-def test_rows(spark, sf_dir):
-    return split_feature_rows(spark, sf_dir).filter(F.col("is_test"))
+def train_rows(spark, sf_dir):
+    return split_feature_rows(spark, sf_dir).filter(~F.col("is_test"))
 
 
 @query
@@ -198,8 +202,9 @@ def scaler_stats(spark, sf_dir):
 @query
 def standard_scale(spark, sf_dir):
     nums = SETTINGS.numerical_features
-    m = features.PopulationStandardScaler(inputCols=nums).fit(train_rows(spark, sf_dir))
-    return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *nums)
+    train, test = split_tables(spark, sf_dir)
+    m = features.PopulationStandardScaler(inputCols=nums).fit(train)
+    return m.transform(test).select("CustomerId", *nums)
 
 
 ONE_HOT_COLS = ["Job", "Purpose", "Saving_accounts_ordinal_enc", "Checking_account_ordinal_enc"]
@@ -208,23 +213,25 @@ BINARY_COLS = ["Sex", "Housing"]
 
 @query
 def one_hot(spark, sf_dir):
-    m = features.OneHotColumns(inputCols=ONE_HOT_COLS).fit(train_rows(spark, sf_dir))
-    return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *m.output_names())
+    train, test = split_tables(spark, sf_dir)
+    m = features.OneHotColumns(inputCols=ONE_HOT_COLS).fit(train)
+    return m.transform(test).select("CustomerId", *m.output_names())
 
 
 @query
 def binary_encode(spark, sf_dir):
+    train, test = split_tables(spark, sf_dir)
     m = features.BinaryOrdinal(inputCols=BINARY_COLS,
-                               outputCols=[f"{c}_bin" for c in BINARY_COLS]).fit(train_rows(spark, sf_dir))
-    return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *[f"{c}_bin" for c in BINARY_COLS])
+                               outputCols=[f"{c}_bin" for c in BINARY_COLS]).fit(train)
+    return m.transform(test).select("CustomerId", *[f"{c}_bin" for c in BINARY_COLS])
 
 
 @query
 def category_codes(spark, sf_dir):
     cats = SETTINGS.categorical_features
-    m = features.CategoryCodes(inputCols=cats, outputCols=[f"{c}_code" for c in cats]).fit(
-        train_rows(spark, sf_dir))
-    return m.transform(test_rows(spark, sf_dir)).select("CustomerId", *[f"{c}_code" for c in cats])
+    train, test = split_tables(spark, sf_dir)
+    m = features.CategoryCodes(inputCols=cats, outputCols=[f"{c}_code" for c in cats]).fit(train)
+    return m.transform(test).select("CustomerId", *[f"{c}_code" for c in cats])
 
 
 # --- 2.7 metrics on deterministic evaluation scores --------------------------
@@ -311,23 +318,23 @@ def best_run(spark, sf_dir):
 
 
 # --- 2.6 / 2.7 pipelines, training, tuning and scoring -----------------------
-def _evaluate(model, spark, sf_dir):
-    scored = models.score(model, test_rows(spark, sf_dir), ["CustomerId"], extra=["Risk"])
+def _evaluate(model, test):
+    scored = models.score(model, test, ["CustomerId"], extra=["Risk"])
     return metrics.classifier_metrics(scored, "Risk", models.P1)
 
 
 @query
 def train_baseline(spark, sf_dir):
     """J3 core: fit the logistic baseline on train, metrics on test (1 row)."""
-    m = models.fit(train_rows(spark, sf_dir), SETTINGS, "baseline")
-    return _evaluate(m, spark, sf_dir)
+    train, test = split_tables(spark, sf_dir)
+    return _evaluate(models.fit(train, SETTINGS, "baseline"), test)
 
 
 @query
 def train_boosted(spark, sf_dir):
     """J4 core: fit boosted trees with the configured parameters; test metrics."""
-    m = models.fit(train_rows(spark, sf_dir), SETTINGS, "boosted")
-    return _evaluate(m, spark, sf_dir)
+    train, test = split_tables(spark, sf_dir)
+    return _evaluate(models.fit(train, SETTINGS, "boosted"), test)
 
 
 @query
@@ -346,9 +353,9 @@ def tune_trials(spark, sf_dir):
 @query
 def batch_score(spark, sf_dir):
     """Baseline model scores every test row; class decoded to text."""
-    m = models.fit(train_rows(spark, sf_dir), SETTINGS, "baseline")
-    return models.score(m, test_rows(spark, sf_dir), ["CustomerId"],
-                        label_text="Credit risk prediction")
+    train, test = split_tables(spark, sf_dir)
+    m = models.fit(train, SETTINGS, "baseline")
+    return models.score(m, test, ["CustomerId"], label_text="Credit risk prediction")
 
 
 # Fixed-coefficient scorer (reproducible in SQL) over the feature table.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app_name: str = "lendscore",
@@ -53,3 +53,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared storage root."""
     return f"{storage_root(spark)}/lendscore/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage by writing ``df`` as a parquet table under the shared
+    storage root and reading it back.
+
+    Columnar and compressed (much cheaper than an RDD checkpoint of rows),
+    survives executor loss (it lives on the shared file system, not on an
+    executor), and gives later jobs exact statistics for join planning.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

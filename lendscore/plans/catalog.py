@@ -122,7 +122,11 @@ def preview(spark, sf_dir):
 # --- 2.5 splits and sampling ---------------------------------------------
 def split_feature_rows(spark, sf_dir):
     s = SETTINGS
-    return split.stratified_split(feature_rows(spark, sf_dir), s.primary_keys[0], s.target,
+    # The split reads the stored feature table, as the training job does
+    # (the extract job writes it once); its counting pass then scans two
+    # columns instead of re-running the join.
+    stored = materialize(feature_rows(spark, sf_dir), "feature-table")
+    return split.stratified_split(stored, s.primary_keys[0], s.target,
                                   s.test_fraction, s.n_folds, s.seed)
 
 

@@ -24,12 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
-from ..session import materialize
+from ..session import materialize, scratch_path
 from .profile import long_values
 from .ranking import exact_rank
 
-# A dictionary larger than this is not collected; it stays a DataFrame.
+# A dictionary larger than this is not collected; it stays a table.
 MAX_COLLECTED_CATEGORIES = 100_000
+# A stored dictionary up to this many entries is broadcast when applied.
+MAX_BROADCAST_DICTIONARY = 1_000_000
 
 
 def _q(c: str) -> Column:
@@ -58,18 +60,25 @@ def fit_dictionaries(df: DataFrame, cols: Sequence[str],
     """Sorted distinct non-null values per column, in the column's *native*
     order (numbers numerically -- not as text).  Raises if a column has more
     than ``max_size`` values; use :func:`dictionary_frame` for those."""
+    small, large = _split_dictionaries(df, cols, max_size)
+    if large:
+        raise ValueError(f"dictionaries too large to collect {large}; use dictionary_frame()")
+    return small
+
+
+def _split_dictionaries(df: DataFrame, cols: Sequence[str], max_size: int):
+    """One pass: collect the dictionaries of at most ``max_size`` values;
+    report the sizes of the larger ones (which are never collected)."""
     types = {f.name: f.dataType for f in df.schema.fields}
     lv = materialize(long_values(df, cols).filter(F.col("value").isNotNull()).distinct(), "dictionary")
     sizes = {r[0]: r[1] for r in lv.groupBy("column_name").count().collect()}
-    too_big = {c: n for c, n in sizes.items() if n > max_size}
-    if too_big:
-        raise ValueError(f"dictionaries too large to collect {too_big}; use dictionary_frame()")
-    out: dict[str, list[Any]] = {c: [] for c in cols}
-    for r in lv.collect():
-        out[r.column_name].append(_native(r.value, r.num, types[r.column_name]))
-    for c in out:
-        out[c].sort()
-    return out
+    large = {c: n for c, n in sizes.items() if n > max_size}
+    small: dict[str, list[Any]] = {c: [] for c in cols if c not in large}
+    for r in lv.filter(~F.col("column_name").isin(list(large))).collect():
+        small[r.column_name].append(_native(r.value, r.num, types[r.column_name]))
+    for c in small:
+        small[c].sort()
+    return small, large
 
 
 def dictionary_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -169,10 +178,23 @@ class _DictionaryEstimator(Estimator, _ColsStage):
         return category_state(df, self.getInputCols(), limit)
 
 
-def category_state(df: DataFrame, cols: Sequence[str], limit: int = MAX_COLLECTED_CATEGORIES) -> dict:
-    """Fitted state of the dictionary stages for ``cols`` (one pass for all)."""
-    dicts = fit_dictionaries(df, cols, limit)
-    return {c: {"kind": _value_kind(df, c), "values": dicts[c]} for c in cols}
+def category_state(df: DataFrame, cols: Sequence[str], limit: int = MAX_COLLECTED_CATEGORIES,
+                   allow_large: bool = False) -> dict:
+    """Fitted state of the dictionary stages for ``cols`` (one pass for all).
+
+    With ``allow_large`` a column whose dictionary exceeds ``limit`` is ranked
+    distributedly and stored as a table under the shared storage root
+    (``{"path": ..., "size": n}``) instead of being collected.
+    """
+    small, large = _split_dictionaries(df, cols, limit)
+    if large and not allow_large:
+        raise ValueError(f"dictionaries too large to collect {large}; use dictionary_frame()")
+    state = {c: {"kind": _value_kind(df, c), "values": small[c]} for c in small}
+    for c, n in large.items():
+        path = scratch_path(df.sparkSession, f"dictionary-{c}")
+        dictionary_frame(df, [c]).select("value", "code").write.parquet(path)
+        state[c] = {"kind": _value_kind(df, c), "path": path, "size": int(n)}
+    return state
 
 
 class OneHotColumns(_DictionaryEstimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -233,8 +255,11 @@ class CategoryCodes(_DictionaryEstimator, DefaultParamsReadable, DefaultParamsWr
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "CategoryCodesModel":
+        limit = self.getOrDefault(self.maxCategories) if self.isDefined(self.maxCategories) \
+            else MAX_COLLECTED_CATEGORIES
+        state = category_state(df, self.getInputCols(), limit, allow_large=True)
         return CategoryCodesModel(inputCols=self.getInputCols(), outputCols=self._outs(),
-                                  state=json.dumps(self._fit_state(df)), onUnknown="minus_one")
+                                  state=json.dumps(state), onUnknown="minus_one")
 
 
 class CategoryCodesModel(Model, _ColsStage, _JsonState, DefaultParamsReadable, DefaultParamsWritable):
@@ -247,10 +272,13 @@ class CategoryCodesModel(Model, _ColsStage, _JsonState, DefaultParamsReadable, D
         self._set(**self._input_kwargs)
 
     def expressions(self) -> dict[str, Column]:
+        """Constant-map lookups for the collected dictionaries."""
         st = self._state()
         strict = self.getOrDefault(self.onUnknown) == "error"
         out = {}
         for c, o in zip(self.getInputCols(), self._outs()):
+            if "path" in st[c]:
+                continue
             vals = _decode_keys(st[c]["values"], st[c]["kind"])
             hit = F.try_element_at(_code_map(vals, st[c]["kind"]), _q(c))
             if strict:
@@ -262,4 +290,19 @@ class CategoryCodesModel(Model, _ColsStage, _JsonState, DefaultParamsReadable, D
         return out
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns(self.expressions())
+        out = df.withColumns(self.expressions())
+        st = self._state()
+        for c, o in zip(self.getInputCols(), self._outs()):
+            if "path" not in st[c]:
+                continue
+            # Large dictionary: equi-join on the value text.  Broadcast only
+            # when its counted size is small; otherwise a shuffle join (AQE
+            # splits a skewed category's partition).
+            d = df.sparkSession.read.parquet(st[c]["path"]).select(
+                F.col("value").alias(f"_dv_{o}"), F.col("code").alias(f"_dc_{o}"))
+            if st[c]["size"] <= MAX_BROADCAST_DICTIONARY:
+                d = F.broadcast(d)
+            out = (out.join(d, _q(c).cast("string") == F.col(f"_dv_{o}"), "left")
+                      .withColumn(o, F.coalesce(F.col(f"_dc_{o}"), F.lit(-1)))
+                      .drop(f"_dv_{o}", f"_dc_{o}"))
+        return out

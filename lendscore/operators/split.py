@@ -27,8 +27,7 @@ def _rounded_share(total, fraction: Fraction):
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: str | float = "0.2",
-                     n_folds: int = 5, seed: int = 42, hex_digits: int = 3,
-                     max_classes: int = 16) -> DataFrame:
+                     n_folds: int = 5, seed: int = 42, hex_digits: int = 3) -> DataFrame:
     """Add ``is_test`` (boolean) and ``fold`` (int, 0..n_folds-1).
 
     Inside each class, rows are ranked by ``(md5(key:seed), key)``; the first
@@ -39,9 +38,11 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: str | f
     frac = Fraction(str(test_fraction)).limit_denominator(10 ** 9)
     h = keyed_md5(F.col(key), seed)
     d = df.withColumn("_h", h)
+    # The offsets table has (#classes x 16^hex_digits) rows at most; the class
+    # count is data, so its size is checked rather than assumed.
     ranked = bucketed_row_number(
         d, [F.col("_h"), F.col(key)], F.substring("_h", 1, hex_digits), [label],
-        rn="_rn", total="_tot", expected_buckets=max_classes * 16 ** hex_digits)
+        rn="_rn", total="_tot", expected_buckets=None)
     return (ranked
             .withColumn("is_test", F.col("_rn") <= _rounded_share(F.col("_tot"), frac))
             .withColumn("fold", ((F.col("_rn") - 1) % n_folds).cast("int"))

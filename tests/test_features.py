@@ -82,3 +82,12 @@ def test_profile_exact_matches_pandas(spark):
         assert abs(getattr(r["x"], name) - s.quantile(q)) < 1e-12
     assert abs(r["x"].stddev - s.std()) < 1e-12
     assert r["s"].n_distinct == 2 and r["s"].mean is None
+
+
+def test_large_dictionary_codes_by_join(spark):
+    df = spark.range(40).select((F.col("id") * 3).alias("k"))
+    m = features.CategoryCodes(inputCols=["k"], outputCols=["c"], maxCategories=10).fit(df)
+    assert "path" in m._state()["k"]
+    new = spark.createDataFrame([(0,), (3,), (117,), (5,), (None,)], "k long")
+    got = {r.k: r.c for r in m.transform(new).collect()}
+    assert got == {0: 0, 3: 1, 117: 39, 5: -1, None: -1}

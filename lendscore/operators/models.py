@@ -35,6 +35,8 @@ from .features import (CategoryCodes, CategoryCodesModel, OneHotColumnsModel,
 FEATURES = "features"
 PROB = "probability"
 P1 = "p_positive"
+# One 0/1 column per category is meant for modest cardinalities.
+MAX_ONE_HOT = 1000
 
 
 # --- F5 ------------------------------------------------------------------------
@@ -75,6 +77,9 @@ class FeatureAssembler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             state = category_state(df, cats)
             n = {c: len(state[c]["values"]) for c in cats}
             onehot = [c for c in cats if n[c] > 2]
+            wide = {c: n[c] for c in onehot if n[c] > MAX_ONE_HOT}
+            if wide:
+                raise ValueError(f"too many categories for one-hot {wide}; use mode='codes'")
             binary = [c for c in cats if n[c] == 2]
             self.dropped = [c for c in cats if n[c] < 2]
             if onehot:
@@ -113,7 +118,10 @@ def boosted_classifier(label: str, params: Mapping[str, Any], seed: int = 42) ->
                          maxIter=int(params.get("n_estimators", 100)),
                          stepSize=float(params.get("learning_rate", 0.1)),
                          maxDepth=leaves_to_depth(int(params.get("num_leaves", 31))),
-                         subsamplingRate=float(params.get("subsample", 1.0)), seed=seed)
+                         subsamplingRate=float(params.get("subsample", 1.0)), seed=seed,
+                         # cut the per-iteration lineage into the shared
+                         # checkpoint folder: long fits survive executor loss
+                         checkpointInterval=10)
 
 
 # --- F6 --------------------------------------------------------------------------

@@ -32,7 +32,7 @@ MAX_BROADCAST_OFFSETS = 2_000_000
 def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
                sums: Mapping[str, Column], partition_by: Sequence[str] = (),
                totals: Mapping[str, str] | None = None,
-               expected_buckets: int | None = None) -> DataFrame:
+               expected_buckets: int | None = None, with_offsets: bool = False):
     """Add inclusive running sums of ``sums`` in ``order_by`` order.
 
     ``bucket`` must be monotone non-decreasing along ``order_by`` within each
@@ -41,6 +41,8 @@ def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
     table: when ``#partitions x expected_buckets`` is known to be small it is
     broadcast; otherwise it is checkpointed, counted, and broadcast only if
     the count is under :data:`MAX_BROADCAST_OFFSETS` (else a shuffle join).
+    ``with_offsets`` also returns the offsets table (``_s_<name>`` holds each
+    bucket's own sum), e.g. to read grand totals without another pass.
     """
     parts = list(partition_by)
     totals = dict(totals or {})
@@ -54,6 +56,7 @@ def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
     offs = per_bucket.select(
         *parts, "_bkt",
         *[(F.sum(f"_s_{n}").over(w_run) - F.col(f"_s_{n}")).alias(f"_o_{n}") for n in sums],
+        *[F.col(f"_s_{n}") for n in sums],
         *[F.sum(f"_s_{n}").over(w_all).alias(out) for n, out in totals.items()])
     offs = offs.withColumnsRenamed({**{c: f"_k_{c}" for c in parts}, "_bkt": "_k_bkt"})
     if expected_buckets is not None and expected_buckets <= MAX_BROADCAST_OFFSETS:
@@ -77,7 +80,7 @@ def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
         *[F.col(f"`{c}`") for c in df.columns],
         *[(F.sum(f"_v_{n}").over(w_loc) + F.col(f"_o_{n}")).alias(n) for n in sums],
         *[F.col(out) for out in totals.values()])
-    return out
+    return (out, offs) if with_offsets else out
 
 
 def bucketed_row_number(df: DataFrame, order_by: Sequence[Column], bucket: Column,

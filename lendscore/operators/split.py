@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hex_prefix_int, keyed_md5
-from .ranking import bucketed_row_number
+from .ranking import bucketed_row_number, cumulative
 
 # Broadcast a draw list up to this many rows; beyond it the join shuffles.
 MAX_BROADCAST_DRAWS = 1_000_000
@@ -63,13 +63,16 @@ def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42,
     executors with ``range`` and equi-joined to the index (broadcast only
     when ``n`` is small), so neither side passes through the driver.
     """
-    total = df.count()
+    h = keyed_md5(F.col(key), seed)
+    # The offsets table is materialised and size-checked; N is the sum of its
+    # bucket counts, so no extra pass over the input is needed.
+    indexed, offs = cumulative(df.withColumn("_h", h), [F.col("_h"), F.col(key)],
+                               F.substring("_h", 1, hex_digits), {"_rn": F.lit(1).cast("bigint")},
+                               with_offsets=True)
+    indexed = indexed.drop("_h")
+    total = offs.agg(F.sum("_s__rn")).head()[0] or 0
     if total == 0:
         raise ValueError("cannot sample from an empty DataFrame")
-    h = keyed_md5(F.col(key), seed)
-    indexed = bucketed_row_number(df.withColumn("_h", h), [F.col("_h"), F.col(key)],
-                                  F.substring("_h", 1, hex_digits), rn="_rn",
-                                  expected_buckets=16 ** hex_digits).drop("_h")
     spark = df.sparkSession
     draws = spark.range(n).select(
         F.col("id").alias("draw"),

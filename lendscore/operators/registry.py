@@ -19,7 +19,7 @@ import uuid
 from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RUNS_SCHEMA = ("run_id string, run_name string, params map<string,string>, "
@@ -147,5 +147,27 @@ def latest_version(versions: DataFrame, model_name: str | None = None,
     ).select("model_name", "v.version", "v.path", "v.run_id")
 
 
+def promotion_sequence(results: DataFrame, order_col: str, score_col: str, model_name: str,
+                       alias: str = "latest-model") -> DataFrame:
+    """Versions produced by gating a sequence of candidates in ``order_col``
+    order: each is promoted when its score is >= the current champion's (the
+    best promoted so far; ties promote, the first always does).  Promoted
+    candidates get versions 1, 2, ... and the alias.
+
+    The window runs over the candidates table (one row per training run),
+    whose size is the number of runs, not the data.
+    """
+    prior = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    promoted = (results.withColumn("_best_before", F.max(score_col).over(prior))
+                .filter(F.col("_best_before").isNull() | (F.col(score_col) >= F.col("_best_before"))))
+    return promoted.select(
+        F.lit(model_name).alias("model_name"),
+        F.row_number().over(Window.orderBy(order_col)).cast("bigint").alias("version"),
+        F.lit(alias).alias("alias"),
+        F.concat(F.lit(f"models/{model_name}/"), F.col(order_col).cast("string")).alias("path"),
+        F.col(order_col).cast("string").alias("run_id"),
+        F.lit(None).cast("timestamp").alias("created_ts"))
+
+
 def timestamp_label() -> str:
     return time.strftime("%Y%m%d_%H%M%S", time.gmtime())

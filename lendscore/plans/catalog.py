@@ -314,6 +314,15 @@ def best_trial(spark, sf_dir):
     return registry.best_trial(cv, "trial", "mean_score")
 
 
+@query
+def latest_version(spark, sf_dir):
+    """K2: trials gated in order against the current champion; the alias
+    points at the newest promoted version."""
+    cv = registry.cv_mean(trial_fold_scores(spark, sf_dir), "trial", "average_precision")
+    versions = registry.promotion_sequence(cv, "trial", "mean_score", SETTINGS.model_name)
+    return registry.latest_version(versions, SETTINGS.model_name)
+
+
 @query
 def best_run(spark, sf_dir):
     runs = registry.runs_from_trials(trial_fold_scores(spark, sf_dir), "trial", "fold",

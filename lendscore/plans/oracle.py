@@ -238,6 +238,13 @@ cv AS (SELECT trial, avg(average_precision) AS mean_score, count(*) AS n_folds F
 sql("cv_mean_score", with_features("SELECT * FROM cv", TRIALS))
 sql("best_trial", with_features(
     "SELECT trial, mean_score FROM cv ORDER BY mean_score DESC, trial LIMIT 1", TRIALS))
+sql("latest_version", with_features("""
+SELECT 'credit-model' AS model_name, CAST(count(*) AS BIGINT) AS version,
+       'models/credit-model/' || CAST(max(trial) AS VARCHAR) AS path, CAST(max(trial) AS VARCHAR) AS run_id
+FROM (SELECT trial, mean_score,
+             max(mean_score) OVER (ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before
+      FROM cv)
+WHERE best_before IS NULL OR mean_score >= best_before""", TRIALS))
 sql("best_run", with_features("""
 SELECT run_name, trial, precision_recall_score FROM (
   SELECT 'hyperparameter_tuning_' || trial AS run_name, CAST(trial AS BIGINT) AS trial,
@@ -258,6 +265,10 @@ LINEAR_BODY = """SELECT CustomerId, p_positive, CAST(p_positive > 0.5 AS INT) AS
        CASE WHEN p_positive > 0.5 THEN 'bad' ELSE 'good' END AS "Credit risk prediction" FROM linear"""
 sql("linear_score", with_features(LINEAR_BODY, LINEAR))
 sql("stream_score", with_features(LINEAR_BODY, LINEAR))
+_JSON_COLS = ["Credit_amount", "Duration", "Age", "Sex", "Job", "Housing", "Purpose",
+              "Saving_accounts_ordinal_enc", "Checking_account_ordinal_enc"]
+sql("to_json_records", with_features(
+    "SELECT to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in _JSON_COLS) + ")) AS record FROM features"))
 
 
 # --- 2.1 sources and sinks ---------------------------------------------------------

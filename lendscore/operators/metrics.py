@@ -83,49 +83,60 @@ def pr_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Dat
     return ranking_metrics(df, label, score, by).select(*by, "pr_auc")
 
 
-def confusion_metrics(df: DataFrame, label: str, score: str | None = None,
-                      prediction: str | None = None, threshold: float = 0.5,
-                      by: Sequence[str] = ()) -> DataFrame:
-    """Counts and rates from one aggregate.  Predicted positive is
-    ``prediction == 1`` or else ``score > threshold``."""
+def _confusion_aggs(label: str, score: str | None, prediction: str | None, threshold: float) -> list:
     y = _q(label) == 1
     p = (_q(prediction) == 1) if prediction else (_q(score) > F.lit(threshold))
-    agg = df.groupBy(*by).agg(
-        F.count_if(y & p).alias("true_positives"), F.count_if(~y & p).alias("false_positives"),
-        F.count_if(~y & ~p).alias("true_negatives"), F.count_if(y & ~p).alias("false_negatives"),
-        F.count(F.lit(1)).alias("example_count"))
+    return [F.count_if(y & p).alias("true_positives"), F.count_if(~y & p).alias("false_positives"),
+            F.count_if(~y & ~p).alias("true_negatives"), F.count_if(y & ~p).alias("false_negatives"),
+            F.count(F.lit(1)).alias("example_count")]
+
+
+def _confusion_rates() -> list:
     tp, fp, tn, fn = (F.col(c) for c in ("true_positives", "false_positives",
                                           "true_negatives", "false_negatives"))
     zero = F.lit(0.0)
-    precision = F.coalesce(_div(tp, tp + fp), zero)
-    recall = F.coalesce(_div(tp, tp + fn), zero)
-    return agg.select(
-        *by, "true_positives", "false_positives", "true_negatives", "false_negatives",
-        "example_count",
-        F.coalesce(_div(tp + tn, F.col("example_count")), zero).alias("accuracy_score"),
-        precision.alias("precision_score"), recall.alias("recall_score"),
-        F.coalesce(_div(2 * tp, 2 * tp + fp + fn), zero).alias("f1_score"))
+    return ["true_positives", "false_positives", "true_negatives", "false_negatives", "example_count",
+            F.coalesce(_div(tp + tn, F.col("example_count")), zero).alias("accuracy_score"),
+            F.coalesce(_div(tp, tp + fp), zero).alias("precision_score"),
+            F.coalesce(_div(tp, tp + fn), zero).alias("recall_score"),
+            F.coalesce(_div(2 * tp, 2 * tp + fp + fn), zero).alias("f1_score")]
 
 
-def log_loss(df: DataFrame, label: str, prob: str, eps: float = 1e-15,
-             by: Sequence[str] = ()) -> DataFrame:
+def confusion_metrics(df: DataFrame, label: str, score: str | None = None,
+                      prediction: str | None = None, threshold: float = 0.5,
+                      by: Sequence[str] = ()) -> DataFrame:
+    """Counts and rates from one aggregate.  Predicted positive is
+    ``prediction == 1`` or else ``score > threshold``."""
+    agg = df.groupBy(*by).agg(*_confusion_aggs(label, score, prediction, threshold))
+    return agg.select(*by, *_confusion_rates())
+
+
+def _log_loss_agg(label: str, prob: str, eps: float) -> Column:
     p = F.least(F.greatest(_q(prob).cast("double"), F.lit(eps)), F.lit(1 - eps))
     y = (_q(label) == 1).cast("double")
-    return df.groupBy(*by).agg(
-        (-F.avg(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("log_loss"),
-        F.count(F.lit(1)).alias("example_count"))
+    return (-F.avg(y * F.ln(p) + (1 - y) * F.ln(1 - p))).alias("log_loss")
+
+
+def log_loss(df: DataFrame, label: str, prob: str, eps: float = 1e-15,
+             by: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*by).agg(_log_loss_agg(label, prob, eps),
+                               F.count(F.lit(1)).alias("example_count"))
 
 
 def classifier_metrics(df: DataFrame, label: str, prob: str, by: Sequence[str] = (),
-                       threshold: float = 0.5) -> DataFrame:
-    """The default evaluation set: ranking metrics, confusion metrics, log loss."""
+                       threshold: float = 0.5, eps: float = 1e-15) -> DataFrame:
+    """The default evaluation set: ranking metrics, confusion metrics and
+    log loss.  Confusion counts and log loss share one aggregate; the ranking
+    metrics need the score curve.  Pass a stored (materialised) scored set:
+    it is read twice."""
     keys = list(by)
     if not keys:  # one global group: join the one-row results on a constant key
         df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
     r = ranking_metrics(df, label, prob, keys)
-    c = confusion_metrics(df, label, score=prob, threshold=threshold, by=keys)
-    ll = log_loss(df, label, prob, by=keys).drop("example_count")
-    out = r.join(c, keys).join(ll, keys)
+    c = df.groupBy(*keys).agg(*_confusion_aggs(label, prob, None, threshold),
+                              _log_loss_agg(label, prob, eps))
+    c = c.select(*keys, *_confusion_rates(), "log_loss")
+    out = r.join(c, keys)
     return out if by else out.drop("_all")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 
 from ..config import CREDIT_RULES, FeatureRules, Settings, Tags, credit_settings
 from ..operators import clean, metrics, models, registry, split
-from ..session import get_spark, storage_root
+from ..session import get_spark, materialize, storage_root
 from ..sources import files, tables
 from ..streaming import scoring
 
@@ -123,7 +123,7 @@ def _evaluate_and_log(p: Project, model: PipelineModel, kind: str, train: DataFr
                       snap: int, tags: Tags, params: dict) -> tuple[str, dict]:
     s = p.settings
     run_id = uuid.uuid4().hex
-    scored = models.score(model, test, s.primary_keys, extra=[s.target])
+    scored = materialize(models.score(model, test, s.primary_keys, extra=[s.target]), "scored")
     m = metrics.classifier_metrics(scored, s.target, models.P1).head().asDict()
     lineage = tables.dataset_lineage([("features", train.drop("is_test", "fold"), "training", snap),
                                       ("features", test.drop("is_test", "fold"), "testing", snap)], run_id)

@@ -160,6 +160,13 @@ def profile_columns(spark, sf_dir):
     return profile.profile_columns(feature_rows(spark, sf_dir), PROFILE_COLS, exact=True)
 
 
+@query
+def profile_sketch(spark, sf_dir):
+    """A1 in its default mode: one pass, bounded-memory sketches
+    (approx_count_distinct, percentile_approx); rows-only (approximate)."""
+    return profile.profile_columns(feature_rows(spark, sf_dir), PROFILE_COLS)
+
+
 @query
 def cardinality_plan(spark, sf_dir):
     return profile.cardinality_plan(feature_rows(spark, sf_dir), SETTINGS.categorical_features)

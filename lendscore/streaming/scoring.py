@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Transformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,7 +31,10 @@ def scoring_stream(spark: SparkSession, source: str, schema: StructType, model:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     scored = model.transform(reader.load(source))
-    cols = [*[F.col(k) for k in keys], F.col(prob_col), F.col("prediction").cast("int").alias("prediction")]
+    # a Spark ML classifier emits a probability vector; expression scorers
+    # emit the positive-class probability directly
+    prob = F.col(prob_col) if prob_col in scored.columns else vector_to_array(F.col("probability"))[1]
+    cols = [*[F.col(k) for k in keys], prob.alias(prob_col), F.col("prediction").cast("int").alias("prediction")]
     if label_text:
         cols.append(decode_label(F.col("prediction")).alias(label_text))
     return scored.select(*cols)

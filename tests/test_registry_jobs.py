@@ -54,8 +54,9 @@ def test_jobs_end_to_end(spark):
     s = credit_settings("test", hyperparameters={"n_estimators": 5, "learning_rate": 0.1})
     p = jobs.project(spark, s, root)
     csv = f"{root}/raw_csv"
-    applications(spark, SF_SMALL).write.option("header", "true").csv(csv)
-    assert jobs.extract_csv(p, csv) == 0
+    raw = applications(spark, SF_SMALL)
+    raw.write.option("header", "true").csv(csv)
+    assert jobs.extract_csv(p, csv, schema=raw.schema) == 0
     tags = Tags("abc123", "main")
     base = jobs.train_baseline_job(p, tags)
     assert base["version"] == 1 and base["promoted"]
@@ -68,6 +69,12 @@ def test_jobs_end_to_end(spark):
     with pytest.raises(ValueError, match="missing column"):
         v = registry.latest_version(registry.read_versions(spark, root)).head()
         jobs.check_schema(scores, jobs.model_schema(p, v.path))
+    # J5 streaming: files landing in a folder are scored by the registered model
+    src = f"{root}/incoming"
+    spark.read.parquet(p.features_path).drop("snapshot_id").write.parquet(src)
+    streamed = jobs.stream_score_job(p, src, f"{root}/stream_out", f"{root}/stream_ck")
+    assert sorted(map(tuple, streamed.select("CustomerId", "prediction").collect())) == \
+        sorted(map(tuple, scores.select("CustomerId", "prediction").collect()))
     runs = registry.read_runs(spark, root)
     assert runs.filter(F.col("run_name").startswith("train_")).count() == 2
     lineage = spark.read.parquet(f"{root}/lineage")

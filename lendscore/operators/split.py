@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hex_prefix_int, keyed_md5
-from .ranking import bucketed_row_number, cumulative
+from ..session import materialize
+from .ranking import bucketed_row_number, cumulative, exact_rank
 
 # Broadcast a draw list up to this many rows; beyond it the join shuffles.
 MAX_BROADCAST_DRAWS = 1_000_000
@@ -26,23 +27,41 @@ def _rounded_share(total, fraction: Fraction):
     return F.floor((F.lit(2 * p) * total + F.lit(q)) / F.lit(2 * q)).cast("bigint")
 
 
+def _rank_rows(df: DataFrame, key: str, seed: int, hex_digits: int, unique_key: bool,
+               partition_by: list[str], total: str | None) -> DataFrame:
+    """Rank rows by ``(md5(key:seed), key)`` within ``partition_by``.
+
+    ``unique_key=True``: buckets are hash prefixes (uniform; one shuffle).
+    ``unique_key=False``: copies of one key share a hash, so a hot key would
+    fill one bucket.  Each row then gets a position id, stored with the rows
+    (so it is stable under recomputation), and the order ``(hash, key, id)``
+    is range-partitioned: the partitioner splits even a run of identical
+    copies across tasks.  Copies rank in stored-position order.
+    """
+    d = df.withColumn("_h", keyed_md5(F.col(key), seed))
+    if unique_key:
+        # The offsets table has (#classes x 16^hex_digits) rows at most; the
+        # class count is data, so its size is checked rather than assumed.
+        return bucketed_row_number(d, [F.col("_h"), F.col(key)], F.substring("_h", 1, hex_digits),
+                                   partition_by, rn="_rn", total=total, expected_buckets=None)
+    d = materialize(d.withColumn("_u", F.monotonically_increasing_id()), "rank-input")
+    return exact_rank(d, [F.col("_h"), F.col(key), F.col("_u")], partition_by, rn="_rn",
+                      total=total).drop("_u")
+
+
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: str | float = "0.2",
-                     n_folds: int = 5, seed: int = 42, hex_digits: int = 3) -> DataFrame:
+                     n_folds: int = 5, seed: int = 42, hex_digits: int = 3,
+                     unique_key: bool = True) -> DataFrame:
     """Add ``is_test`` (boolean) and ``fold`` (int, 0..n_folds-1).
 
     Inside each class, rows are ranked by ``(md5(key:seed), key)``; the first
     ``round(n_class * test_fraction)`` are test (exact class proportions,
     disjoint, complete).  ``fold = (rank - 1) % n_folds`` gives balanced
     stratified folds; the training rows' folds feed cross-validation.
+    Pass ``unique_key=False`` when the key may repeat (see :func:`_rank_rows`).
     """
     frac = Fraction(str(test_fraction)).limit_denominator(10 ** 9)
-    h = keyed_md5(F.col(key), seed)
-    d = df.withColumn("_h", h)
-    # The offsets table has (#classes x 16^hex_digits) rows at most; the class
-    # count is data, so its size is checked rather than assumed.
-    ranked = bucketed_row_number(
-        d, [F.col("_h"), F.col(key)], F.substring("_h", 1, hex_digits), [label],
-        rn="_rn", total="_tot", expected_buckets=None)
+    ranked = _rank_rows(df, key, seed, hex_digits, unique_key, [label], "_tot")
     return (ranked
             .withColumn("is_test", F.col("_rn") <= _rounded_share(F.col("_tot"), frac))
             .withColumn("fold", ((F.col("_rn") - 1) % n_folds).cast("int"))
@@ -55,7 +74,8 @@ def train_test(df: DataFrame, key: str, label: str, **kw) -> tuple[DataFrame, Da
 
 
 def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42,
-                            draw_seed: int = 7, hex_digits: int = 3) -> DataFrame:
+                            draw_seed: int = 7, hex_digits: int = 3,
+                            unique_key: bool = True) -> DataFrame:
     """Exactly ``n`` rows drawn uniformly with replacement (seeded).
 
     Rows get a global index 1..N (hash order); draw ``i`` picks index
@@ -63,14 +83,19 @@ def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42,
     executors with ``range`` and equi-joined to the index (broadcast only
     when ``n`` is small), so neither side passes through the driver.
     """
-    h = keyed_md5(F.col(key), seed)
-    # The offsets table is materialised and size-checked; N is the sum of its
-    # bucket counts, so no extra pass over the input is needed.
-    indexed, offs = cumulative(df.withColumn("_h", h), [F.col("_h"), F.col(key)],
-                               F.substring("_h", 1, hex_digits), {"_rn": F.lit(1).cast("bigint")},
-                               with_offsets=True)
+    if unique_key:
+        h = keyed_md5(F.col(key), seed)
+        # The offsets table is materialised and size-checked; N is the sum of
+        # its bucket counts, so no extra pass over the input is needed.
+        indexed, offs = cumulative(df.withColumn("_h", h), [F.col("_h"), F.col(key)],
+                                   F.substring("_h", 1, hex_digits), {"_rn": F.lit(1).cast("bigint")},
+                                   with_offsets=True)
+        total = offs.agg(F.sum("_s__rn")).head()[0] or 0
+    else:
+        indexed = _rank_rows(df, key, seed, hex_digits, False, [], "_tot")
+        total = indexed.agg(F.max("_tot")).head()[0] or 0
+        indexed = indexed.drop("_tot")
     indexed = indexed.drop("_h")
-    total = offs.agg(F.sum("_s__rn")).head()[0] or 0
     if total == 0:
         raise ValueError("cannot sample from an empty DataFrame")
     spark = df.sparkSession

@@ -66,3 +66,38 @@ def test_sample_with_replacement_exact_n(spark):
     assert {r.CustomerId for r in rows} <= ids
     again = split.sample_with_replacement(f, 250, "CustomerId", seed=1).collect()
     assert sorted((r.draw, r.CustomerId) for r in rows) == sorted((r.draw, r.CustomerId) for r in again)
+
+
+def test_split_with_a_hot_duplicated_key(spark):
+    # one key holds a third of all rows; the range path spreads its copies
+    rows = [(7, 1)] * 300 + [(i, i % 2) for i in range(1000, 1600)]
+    df = spark.createDataFrame(rows, "k long, y int").repartition(5)
+    s = split.stratified_split(df, "k", "y", unique_key=False)
+    got = s.collect()
+    assert len(got) == 900
+    by_class = Counter(r.y for r in got)
+    test_by_class = Counter(r.y for r in got if r.is_test)
+    for c, n in by_class.items():
+        assert test_by_class[c] == (2 * n + 5) // 10
+    fold_sizes = Counter((r.y, r.fold) for r in got)
+    for c in by_class:
+        sizes = [fold_sizes[(c, f)] for f in range(5)]
+        assert max(sizes) - min(sizes) <= 1
+    # the hot key's copies are ranked in more than one range bucket
+    from lendscore.operators.ranking import range_buckets
+    h = df.withColumn("_h", F.md5(F.concat(F.col("k").cast("string"), F.lit(":42")))) \
+        .withColumn("_u", F.monotonically_increasing_id())
+    b = range_buckets(h, [F.col("y"), F.col("_h"), F.col("k"), F.col("_u")], n_buckets=8)
+    assert b.filter("k = 7").select("_rb").distinct().count() > 1
+    # unique-key results are unchanged by the option when keys are unique
+    u = df.filter("k != 7")
+    a = split.stratified_split(u, "k", "y").select("k", "is_test", "fold")
+    c = split.stratified_split(u, "k", "y", unique_key=False).select("k", "is_test", "fold")
+    assert sorted(a.collect()) == sorted(c.collect())
+
+
+def test_sample_with_duplicates(spark):
+    rows = [(7,)] * 50 + [(i,) for i in range(100)]
+    df = spark.createDataFrame(rows, "k long")
+    s = split.sample_with_replacement(df, 40, "k", unique_key=False).collect()
+    assert len(s) == 40 and sorted(r.draw for r in s) == list(range(40))

@@ -467,3 +467,29 @@ def to_json_records(spark, sf_dir):
     """I8: feature rows as JSON records, NaN/null kept as JSON null."""
     s = SETTINGS
     return files.to_json_records(feature_rows(spark, sf_dir), s.model_features)
+
+
+# --- the same operators on a second, imbalanced dataset ----------------------------
+# labels (quality, toxic) joined to documents (lang, source, n_chars): the
+# operators are column-generic; only the column names change.
+def labelled_documents(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return read_table(spark, sf_dir, "labels").join(docs, "doc_id")
+
+
+@query
+def quality_split(spark, sf_dir):
+    return split.stratified_split(labelled_documents(spark, sf_dir), "doc_id", "quality") \
+        .select("doc_id", "quality", "is_test", "fold")
+
+
+@query
+def quality_target_rate(spark, sf_dir):
+    return profile.target_rate(labelled_documents(spark, sf_dir), ["lang", "source"], "quality")
+
+
+@query
+def toxic_length_metrics(spark, sf_dir):
+    """How well document length alone ranks toxic documents."""
+    d = labelled_documents(spark, sf_dir).withColumn("score", F.col("n_chars").cast("double"))
+    return metrics.ranking_metrics(d, "toxic", "score")

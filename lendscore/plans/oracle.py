@@ -297,3 +297,23 @@ SELECT 'run-0' AS run_id, 'credit_features' AS table_name, CAST(0 AS BIGINT) AS
        CAST(sum(('0x' || substr(md5({_ROWTEXT}), 1, 8))::BIGINT) AS BIGINT) AS digest
 FROM (SELECT *, CASE WHEN rn <= (2 * tot + 5) // 10 THEN 'testing' ELSE 'training' END AS context
       FROM ranked) GROUP BY context""", RANKED))
+
+
+# --- the same operators on a second, imbalanced dataset ----------------------------
+DOCS = """WITH ld AS (SELECT l.doc_id, l.quality, l.toxic, d.lang, d.source, d.n_chars
+                FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+sql("quality_split", DOCS + """
+SELECT doc_id, quality, rn <= (2 * tot + 5) // 10 AS is_test, CAST((rn - 1) % 5 AS INT) AS fold
+FROM (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42'), doc_id) AS rn,
+             count(*) OVER (PARTITION BY quality) AS tot FROM ld)""")
+sql("quality_target_rate", DOCS + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS n, "
+    f"CAST(sum(quality) AS BIGINT) AS positives, sum(quality) / count(*) AS target_rate FROM ld GROUP BY {c}"
+    for c in ("lang", "source")))
+sql("toxic_length_metrics", DOCS + """,
+c AS (SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+             sum(pos) OVER () AS n_pos, sum(neg) OVER () AS n_neg
+      FROM (SELECT CAST(n_chars AS DOUBLE) AS score, sum(toxic) AS pos, count(*) - sum(toxic) AS neg
+            FROM ld GROUP BY 1))
+SELECT """ + AP + " AS average_precision, " + ROC + " AS roc_auc, " + PRAUC + " AS pr_auc FROM c")

@@ -27,6 +27,8 @@ from ..session import materialize
 
 # Broadcast only offset tables up to this many rows (~40 bytes per row).
 MAX_BROADCAST_OFFSETS = 2_000_000
+# Target size of one range bucket (one window task).
+ROWS_PER_BUCKET = 2_000_000
 
 
 def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
@@ -99,17 +101,23 @@ def range_buckets(df: DataFrame, order_by: Sequence[Column], n_buckets: int | No
     """Range-partition by ``order_by`` and record the partition as a bucket.
 
     The partition id is monotone along ``order_by``, so it is a valid bucket
-    for :func:`cumulative`.  The result is checkpointed into the shared
+    for :func:`cumulative`.  The result is written as a table in the shared
     checkpoint folder so the sampled range bounds (and thus the buckets) stay
     fixed across recomputation and executor loss.  ``n_buckets`` defaults to
-    ``spark.sql.shuffle.partitions`` (sized for the cluster).
+    ``spark.sql.shuffle.partitions`` or more, so that no bucket holds much
+    more than :data:`ROWS_PER_BUCKET` rows.
     """
     spark = df.sparkSession
-    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The range partitioner samples its input in a separate job; keep the
     # input cached across that job and the shuffle so it is computed once.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if n_buckets:
+            n = n_buckets
+        else:  # enough buckets that none holds much more than ROWS_PER_BUCKET
+            rows = src.count()
+            n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                    -(-rows // ROWS_PER_BUCKET))
         out = src.repartitionByRange(n, *order_by).withColumn(bucket, F.spark_partition_id())
         return materialize(out, "range-buckets")
     finally:

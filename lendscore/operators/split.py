@@ -17,6 +17,9 @@ from ..functions.columns import hex_prefix_int, keyed_md5
 from ..session import materialize
 from .ranking import bucketed_row_number, cumulative, exact_rank
 
+# Hash buckets per class = 16^HEX_DIGITS (~1M): about 5e5 rows per window task
+# at 1e12 rows; the per-bucket offsets table is size-checked before broadcast.
+HEX_DIGITS = 5
 # Broadcast a draw list up to this many rows; beyond it the join shuffles.
 MAX_BROADCAST_DRAWS = 1_000_000
 
@@ -50,7 +53,7 @@ def _rank_rows(df: DataFrame, key: str, seed: int, hex_digits: int, unique_key:
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: str | float = "0.2",
-                     n_folds: int = 5, seed: int = 42, hex_digits: int = 3,
+                     n_folds: int = 5, seed: int = 42, hex_digits: int = HEX_DIGITS,
                      unique_key: bool = True) -> DataFrame:
     """Add ``is_test`` (boolean) and ``fold`` (int, 0..n_folds-1).
 
@@ -74,7 +77,7 @@ def train_test(df: DataFrame, key: str, label: str, **kw) -> tuple[DataFrame, Da
 
 
 def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42,
-                            draw_seed: int = 7, hex_digits: int = 3,
+                            draw_seed: int = 7, hex_digits: int = HEX_DIGITS,
                             unique_key: bool = True) -> DataFrame:
     """Exactly ``n`` rows drawn uniformly with replacement (seeded).
 

@@ -22,12 +22,39 @@ from ..streaming import scoring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Doubles that come from sums (means, std, AP, log loss) or from exp/ln depend
+# in their last bits on summation order, which varies with partitioning (and
+# differs between engines).  Queries marked ``rounded`` present doubles at
+# this many decimals; the operators themselves keep full precision.
+PRESENTED_DECIMALS = 6
+
 
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
 
 
+def present(col):
+    """Round half up to :data:`PRESENTED_DECIMALS` with plain IEEE arithmetic
+    (``floor(x * 10^d + 0.5) / 10^d``), which every engine evaluates to the
+    same bits -- unlike ``round``, whose tie rules differ between engines."""
+    scale = float(10 ** PRESENTED_DECIMALS)
+    return (F.floor(col * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+
+
+def rounded(fn):
+    """Register ``fn`` with its double columns rounded for presentation."""
+    def wrapper(spark, sf_dir):
+        df = fn(spark, sf_dir)
+        return df.select(*[present(F.col(f"`{f.name}`")).alias(f.name)
+                           if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
+                           for f in df.schema.fields])
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    QUERIES[fn.__name__] = wrapper
+    return fn
+
+
 def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw view with normalised headers (C1), before any cleaning."""
     return C.normalize_column_names(applications(spark, sf_dir))
@@ -155,7 +182,7 @@ PROFILE_COLS = ["Credit_amount", "Duration", "Age", "Sex", "Job", "Housing", "Pu
 CATEGORY_COLS = ["Sex", "Job", "Housing", "Purpose", "Saving_accounts", "Checking_account"]
 
 
-@query
+@rounded
 def profile_columns(spark, sf_dir):
     return profile.profile_columns(feature_rows(spark, sf_dir), PROFILE_COLS, exact=True)
 
@@ -205,12 +232,12 @@ def category_dictionary(spark, sf_dir):
     return features.dictionary_frame(train_rows(spark, sf_dir), SETTINGS.categorical_features)
 
 
-@query
+@rounded
 def scaler_stats(spark, sf_dir):
     return features.scaler_stats(train_rows(spark, sf_dir), SETTINGS.numerical_features)
 
 
-@query
+@rounded
 def standard_scale(spark, sf_dir):
     nums = SETTINGS.numerical_features
     train, test = split_tables(spark, sf_dir)
@@ -264,17 +291,17 @@ def scored_test(spark, sf_dir):
     return with_eval_scores(split_feature_rows(spark, sf_dir)).filter("is_test")
 
 
-@query
+@rounded
 def average_precision(spark, sf_dir):
     return metrics.average_precision(scored_test(spark, sf_dir), "Risk", "score_challenger")
 
 
-@query
+@rounded
 def roc_auc(spark, sf_dir):
     return metrics.roc_auc(scored_test(spark, sf_dir), "Risk", "score_challenger")
 
 
-@query
+@rounded
 def pr_auc(spark, sf_dir):
     return metrics.pr_auc(scored_test(spark, sf_dir), "Risk", "score_challenger")
 
@@ -284,12 +311,12 @@ def confusion_metrics(spark, sf_dir):
     return metrics.confusion_metrics(scored_test(spark, sf_dir), "Risk", score="score_challenger")
 
 
-@query
+@rounded
 def log_loss(spark, sf_dir):
     return metrics.log_loss(scored_test(spark, sf_dir), "Risk", "score_challenger")
 
 
-@query
+@rounded
 def promotion_gate(spark, sf_dir):
     return metrics.promotion_gate(scored_test(spark, sf_dir), "Risk", "score_challenger",
                                   "score_champion")
@@ -310,12 +337,12 @@ def trial_fold_scores(spark, sf_dir):
     return metrics.average_precision(long, "Risk", "score", by=["trial", "fold"])
 
 
-@query
+@rounded
 def cv_mean_score(spark, sf_dir):
     return registry.cv_mean(trial_fold_scores(spark, sf_dir), "trial", "average_precision")
 
 
-@query
+@rounded
 def best_trial(spark, sf_dir):
     cv = registry.cv_mean(trial_fold_scores(spark, sf_dir), "trial", "average_precision")
     return registry.best_trial(cv, "trial", "mean_score")
@@ -330,7 +357,7 @@ def latest_version(spark, sf_dir):
     return registry.latest_version(versions, SETTINGS.model_name)
 
 
-@query
+@rounded
 def best_run(spark, sf_dir):
     runs = registry.runs_from_trials(trial_fold_scores(spark, sf_dir), "trial", "fold",
                                      "average_precision", study="hyperparameter_tuning_")
@@ -390,7 +417,7 @@ def linear_scorer():
     return models.LinearScorer(weights=json.dumps(LINEAR_WEIGHTS), intercept=LINEAR_INTERCEPT)
 
 
-@query
+@rounded
 def linear_score(spark, sf_dir):
     out = linear_scorer().transform(feature_rows(spark, sf_dir))
     return clean.decode_prediction(out.select("CustomerId", models.P1, "prediction"),
@@ -398,7 +425,7 @@ def linear_score(spark, sf_dir):
 
 
 # --- 2.7 M11 streaming scoring ---------------------------------------------------
-@query
+@rounded
 def stream_score(spark, sf_dir):
     """Feature rows land as files; a stream scores them with the fixed linear
     scorer (exactly one output per input) into a parquet sink."""
@@ -488,7 +515,7 @@ def quality_target_rate(spark, sf_dir):
     return profile.target_rate(labelled_documents(spark, sf_dir), ["lang", "source"], "quality")
 
 
-@query
+@rounded
 def toxic_length_metrics(spark, sf_dir):
     """How well document length alone ranks toxic documents."""
     d = labelled_documents(spark, sf_dir).withColumn("score", F.col("n_chars").cast("double"))

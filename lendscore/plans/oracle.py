@@ -317,3 +317,26 @@ c AS (SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS
       FROM (SELECT CAST(n_chars AS DOUBLE) AS score, sum(toxic) AS pos, count(*) - sum(toxic) AS neg
             FROM ld GROUP BY 1))
 SELECT """ + AP + " AS average_precision, " + ROC + " AS roc_auc, " + PRAUC + " AS pr_auc FROM c")
+
+
+# Presentation rounding of double outputs (same as the Spark side).
+ROUNDED = {
+    "profile_columns": ["mean", "stddev", "min", "p25", "p50", "p75", "max"],
+    "scaler_stats": ["mean", "std"],
+    "standard_scale": NUMERICAL,
+    "log_loss": ["log_loss"],
+    "cv_mean_score": ["mean_score"],
+    "best_trial": ["mean_score"],
+    "best_run": ["precision_recall_score"],
+    "linear_score": ["p_positive"],
+    "stream_score": ["p_positive"],
+    "average_precision": ["average_precision"],
+    "roc_auc": ["roc_auc"],
+    "pr_auc": ["pr_auc"],
+    "promotion_gate": ["challenger_value", "champion_value"],
+    "toxic_length_metrics": ["average_precision", "roc_auc", "pr_auc"],
+}
+for _name, _cols in ROUNDED.items():
+    ORACLE[_name] = ("SELECT * REPLACE (" + ", ".join(f"floor({c} * 1000000.0 + 0.5) / 1000000.0 AS {c}"
+                                                      for c in _cols)
+                     + f") FROM ({ORACLE[_name]})")

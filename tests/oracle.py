@@ -1,7 +1,8 @@
 """Side-by-side check of a Spark query against its DuckDB oracle SQL.
 
 Mirrors the driver's gate: same row count, same column names, and the same
-multiset of rows (columns sorted by name, floats rounded to 6 places).
+multiset of rows (columns sorted by name).  Floats must be equal bit for bit
+(queries present sum-derived doubles rounded in both engines).
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v + 0.0  # -0.0 == 0.0
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())

@@ -268,7 +268,8 @@ sql("stream_score", with_features(LINEAR_BODY, LINEAR))
 _JSON_COLS = ["Credit_amount", "Duration", "Age", "Sex", "Job", "Housing", "Purpose",
               "Saving_accounts_ordinal_enc", "Checking_account_ordinal_enc"]
 sql("to_json_records", with_features(
-    "SELECT to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in _JSON_COLS) + ")) AS record FROM features"))
+    "SELECT CAST(to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in _JSON_COLS)
+    + ")) AS VARCHAR) AS record FROM features"))
 
 
 # --- 2.1 sources and sinks ---------------------------------------------------------

@@ -34,7 +34,8 @@ ROWS_PER_BUCKET = 2_000_000
 def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
                sums: Mapping[str, Column], partition_by: Sequence[str] = (),
                totals: Mapping[str, str] | None = None,
-               expected_buckets: int | None = None, with_offsets: bool = False):
+               expected_buckets: int | None = None, with_offsets: bool = False,
+               per_bucket: DataFrame | None = None):
     """Add inclusive running sums of ``sums`` in ``order_by`` order.
 
     ``bucket`` must be monotone non-decreasing along ``order_by`` within each
@@ -45,14 +46,17 @@ def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
     the count is under :data:`MAX_BROADCAST_OFFSETS` (else a shuffle join).
     ``with_offsets`` also returns the offsets table (``_s_<name>`` holds each
     bucket's own sum), e.g. to read grand totals without another pass.
+    ``per_bucket`` supplies those per-bucket sums (columns ``partition_by``,
+    ``_bkt``, ``_s_<name>``) when they are already known.
     """
     parts = list(partition_by)
     totals = dict(totals or {})
     d = df.withColumn("_bkt", bucket)
     for name, e in sums.items():
         d = d.withColumn(f"_v_{name}", e)
-    per_bucket = d.groupBy(*parts, "_bkt").agg(
-        *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in sums])
+    if per_bucket is None:
+        per_bucket = d.groupBy(*parts, "_bkt").agg(
+            *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in sums])
     w_run = Window.partitionBy(*parts).orderBy("_bkt")
     w_all = Window.partitionBy(*parts)
     offs = per_bucket.select(
@@ -85,6 +89,42 @@ def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
     return (out, offs) if with_offsets else out
 
 
+def hash_row_number(df: DataFrame, hash_col: str, order_by: Sequence[Column],
+                    partition_by: Sequence[str] = (), rn: str = "rn", total: str | None = None,
+                    max_digits: int = 6, with_offsets: bool = False):
+    """Exact ``row_number()`` where the order starts with a hex hash column.
+
+    The bucket is a prefix of the hash whose length fits the data: rows are
+    counted once per ``max_digits``-digit prefix (a small stored table), the
+    prefix length is chosen so the largest partition's buckets hold about
+    :data:`ROWS_PER_BUCKET` rows (1 digit for small data, 5 for ~1e12 rows),
+    and the fine counts are rolled up to it -- no second pass over the input.
+    """
+    import math
+
+    parts = list(partition_by)
+    prefix = lambda c, k: F.substring(c, 1, k)
+    # the fine counts are cached only while the prefix length is chosen; the
+    # rolled-up per-bucket table (small) is what gets stored
+    fine = (df.groupBy(*parts, prefix(F.col(hash_col), max_digits).alias("_fine"))
+              .agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        sizes = fine.groupBy(*parts).agg(F.sum("_n").alias("_c")).agg(
+            F.max("_c").alias("largest"), F.count(F.lit(1)).alias("groups")).head()
+        largest, groups = (sizes.largest or 0), (sizes.groups or 0)
+        want = max(1.0, largest / ROWS_PER_BUCKET)
+        digits = int(min(max_digits, max(1, math.ceil(math.log(want, 16)))))
+        per_bucket = materialize(
+            fine.groupBy(*parts, prefix(F.col("_fine"), digits).alias("_bkt"))
+                .agg(F.sum("_n").alias(f"_s_{rn}")), "bucket-counts")
+    finally:
+        fine.unpersist()
+    return cumulative(df, order_by, prefix(F.col(hash_col), digits), {rn: F.lit(1).cast("bigint")},
+                      parts, totals={rn: total} if total else None,
+                      expected_buckets=max(1, groups) * 16 ** digits, with_offsets=with_offsets,
+                      per_bucket=per_bucket)
+
+
 def bucketed_row_number(df: DataFrame, order_by: Sequence[Column], bucket: Column,
                         partition_by: Sequence[str] = (), rn: str = "rn",
                         total: str | None = None,

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import hex_prefix_int, keyed_md5
 from ..session import materialize
-from .ranking import bucketed_row_number, cumulative, exact_rank
+from .ranking import exact_rank, hash_row_number
 
-# Hash buckets per class = 16^HEX_DIGITS (~1M): about 5e5 rows per window task
-# at 1e12 rows; the per-bucket offsets table is size-checked before broadcast.
-HEX_DIGITS = 5
+# Longest hash prefix used as a bucket (16^6 ~ 1.7e7 buckets per class); the
+# prefix actually used is sized from the data (see ranking.hash_row_number).
+HEX_DIGITS = 6
 # Broadcast a draw list up to this many rows; beyond it the join shuffles.
 MAX_BROADCAST_DRAWS = 1_000_000
 
@@ -43,10 +43,10 @@ def _rank_rows(df: DataFrame, key: str, seed: int, hex_digits: int, unique_key:
     """
     d = df.withColumn("_h", keyed_md5(F.col(key), seed))
     if unique_key:
-        # The offsets table has (#classes x 16^hex_digits) rows at most; the
-        # class count is data, so its size is checked rather than assumed.
-        return bucketed_row_number(d, [F.col("_h"), F.col(key)], F.substring("_h", 1, hex_digits),
-                                   partition_by, rn="_rn", total=total, expected_buckets=None)
+        # Hash-prefix buckets sized from the data; the offsets table has
+        # (#classes x 16^digits) rows, counted before it is broadcast.
+        return hash_row_number(d, "_h", [F.col("_h"), F.col(key)], partition_by, rn="_rn",
+                               total=total, max_digits=hex_digits)
     d = materialize(d.withColumn("_u", F.monotonically_increasing_id()), "rank-input")
     return exact_rank(d, [F.col("_h"), F.col(key), F.col("_u")], partition_by, rn="_rn",
                       total=total).drop("_u")
@@ -88,11 +88,9 @@ def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42,
     """
     if unique_key:
         h = keyed_md5(F.col(key), seed)
-        # The offsets table is materialised and size-checked; N is the sum of
-        # its bucket counts, so no extra pass over the input is needed.
-        indexed, offs = cumulative(df.withColumn("_h", h), [F.col("_h"), F.col(key)],
-                                   F.substring("_h", 1, hex_digits), {"_rn": F.lit(1).cast("bigint")},
-                                   with_offsets=True)
+        # N is the sum of the (small) per-bucket counts: no extra input pass.
+        indexed, offs = hash_row_number(df.withColumn("_h", h), "_h", [F.col("_h"), F.col(key)],
+                                        rn="_rn", max_digits=hex_digits, with_offsets=True)
         total = offs.agg(F.sum("_s__rn")).head()[0] or 0
     else:
         indexed = _rank_rows(df, key, seed, hex_digits, False, [], "_tot")

@@ -26,7 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # in their last bits on summation order, which varies with partitioning (and
 # differs between engines).  Queries marked ``rounded`` present doubles at
 # this many decimals; the operators themselves keep full precision.
-PRESENTED_DECIMALS = 6
+PRESENTED_DECIMALS = 8
 
 
 def query(fn):

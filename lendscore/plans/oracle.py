@@ -338,6 +338,6 @@ ROUNDED = {
     "toxic_length_metrics": ["average_precision", "roc_auc", "pr_auc"],
 }
 for _name, _cols in ROUNDED.items():
-    ORACLE[_name] = ("SELECT * REPLACE (" + ", ".join(f"floor({c} * 1000000.0 + 0.5) / 1000000.0 AS {c}"
+    ORACLE[_name] = ("SELECT * REPLACE (" + ", ".join(f"floor({c} * 100000000.0 + 0.5) / 100000000.0 AS {c}"
                                                       for c in _cols)
                      + f") FROM ({ORACLE[_name]})")

@@ -49,10 +49,12 @@ def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -
     y = (_q(label) == 1)
     g = df.groupBy(*[_q(c) for c in by], _q(score).alias("score")).agg(
         F.sum(y.cast("bigint")).alias("pos"), F.sum((~y).cast("bigint")).alias("neg"))
-    b = range_buckets(g, [*[F.col(c) for c in by], F.col("score").desc()])
+    b, nb = range_buckets(g, [*[F.col(c) for c in by], F.col("score").desc()], return_count=True)
+    # ungrouped, the offsets table has at most nb rows; grouped, it is counted
     return cumulative(b, [F.col("score").desc()], F.col("_rb"),
                       {"tp": F.col("pos"), "fp": F.col("neg")}, by,
-                      totals={"tp": "n_pos", "fp": "n_neg"}).drop("_rb")
+                      totals={"tp": "n_pos", "fp": "n_neg"},
+                      expected_buckets=None if by else nb).drop("_rb")
 
 
 def ranking_metrics(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:

@@ -137,7 +137,7 @@ def bucketed_row_number(df: DataFrame, order_by: Sequence[Column], bucket: Colum
 
 
 def range_buckets(df: DataFrame, order_by: Sequence[Column], n_buckets: int | None = None,
-                  bucket: str = "_rb") -> DataFrame:
+                  bucket: str = "_rb", return_count: bool = False):
     """Range-partition by ``order_by`` and record the partition as a bucket.
 
     The partition id is monotone along ``order_by``, so it is a valid bucket
@@ -159,7 +159,8 @@ def range_buckets(df: DataFrame, order_by: Sequence[Column], n_buckets: int | No
             n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                     -(-rows // ROWS_PER_BUCKET))
         out = src.repartitionByRange(n, *order_by).withColumn(bucket, F.spark_partition_id())
-        return materialize(out, "range-buckets")
+        out = materialize(out, "range-buckets")
+        return (out, n) if return_count else out
     finally:
         src.unpersist()
 
@@ -169,7 +170,8 @@ def exact_rank(df: DataFrame, order_by: Sequence[Column], partition_by: Sequence
                n_buckets: int | None = None) -> DataFrame:
     """Exact ``row_number()`` for any orderable keys (strings included)."""
     parts = [F.col(c) for c in partition_by]
-    b = range_buckets(df, [*parts, *order_by], n_buckets)
+    b, nb = range_buckets(df, [*parts, *order_by], n_buckets, return_count=True)
+    # without partition columns the offsets table has at most nb rows
     out = bucketed_row_number(b, order_by, F.col("_rb"), partition_by, rn=rn, total=total,
-                              expected_buckets=None)
+                              expected_buckets=None if partition_by else nb)
     return out.drop("_rb")

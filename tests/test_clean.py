@@ -78,3 +78,14 @@ def test_decode_and_nan(spark):
     df = spark.createDataFrame([(1, float("nan")), (0, 2.0)], "prediction int, x double")
     out = clean.nan_to_null(clean.decode_prediction(df)).orderBy("prediction").collect()
     assert [(r["Credit risk prediction"], r.x) for r in out] == [("good", 2.0), ("bad", None)]
+
+
+def test_label_encode_decode_round_trip(spark):
+    from lendscore.plans import catalog
+    from tests.conftest import SF_SMALL
+    raw = normalize_column_names(catalog.applications(spark, SF_SMALL)).select("CustomerId", "Risk")
+    enc = clean.label_encode(raw, "Risk", CREDIT_RULES.encodings[2].mapping)
+    dec = clean.decode_prediction(enc, "Risk", "Risk_text")
+    mismatches = dec.join(raw.withColumnRenamed("Risk", "orig"), "CustomerId") \
+        .filter(F.col("Risk_text") != F.col("orig")).count()
+    assert mismatches == 0 and dec.count() == raw.count()

@@ -11,8 +11,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
-from .common import read_table
+from . import bpe, langid
+from .common import crc_fold, read_table
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False)))
+    labelled = docs.filter(F.col("doc_id").isNotNull() & ~F.col("held_out"))
+    model = langid.fit(labelled, public_tokenizers.path("piece_bpe_32k.model"))
+    return (langid.predict(docs.select("doc_id", "held_out", "text"), model)
+            .select("doc_id", "held_out", "lang_pred", "score"))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +35,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op8_byte_bpe": op8_byte_bpe,
 }
 

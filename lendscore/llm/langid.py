@@ -27,6 +27,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from uuid import uuid4
 
 import ahocorasick
@@ -42,7 +43,7 @@ from ..session import materialize
 from .common import slices
 
 #: Rows with labels that a fit uses at most (about; chosen by a hash of the text).
-MAX_TRAINING_ROWS = 20_000
+MAX_TRAINING_ROWS = 10_000
 #: Letters of a word, and letters of a piece.
 MAX_WORD, MAX_PIECE = 48, 10
 #: Rounds of expectation-maximisation; weight of the shared background.
@@ -51,7 +52,7 @@ ROUNDS, BACKGROUND = 3, 50.0
 #: forward pass stay near 1.
 SCALE = 2.5
 #: Words whose scores a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 UNDETERMINED = "und"
 
 _LETTERS = regex.compile(r"\p{L}+")
@@ -109,7 +110,7 @@ def lattice(words: list[str], pieces: list[str]) -> Lattice:
     joined = "\n" + "\n".join("▁" + w for w in words)
     lens = np.array([len(w) + 2 for w in words], dtype=np.int64)
     first = np.cumsum(lens) - lens
-    found = np.array(list(automaton.iter(joined)), dtype=np.int64).reshape(-1, 2)
+    found = np.fromiter(chain.from_iterable(automaton.iter(joined)), np.int64).reshape(-1, 2)
     end, piece = found[:, 0], found[:, 1]
     start = end - length[piece]
     covered = np.zeros(len(joined), dtype=bool)
@@ -119,10 +120,16 @@ def lattice(words: list[str], pieces: list[str]) -> Lattice:
     end = np.concatenate([end, bare])
     start = np.concatenate([start, bare - 1])
     piece = np.concatenate([piece, np.full(len(bare), len(pieces))])
-    depth = end - first[np.searchsorted(first, end, side="right") - 1]
-    order = np.lexsort((end, depth))
+    within = np.arange(len(joined)) - np.repeat(first, lens)
+    depth = within[end].astype(np.uint8)
+    # Two stable sorts: by end (the automaton's order, but for bare characters),
+    # then by depth, which fits a byte and so is sorted by counting.
+    if len(bare):
+        order = np.argsort(end, kind="stable")
+        start, end, piece, depth = start[order], end[order], piece[order], depth[order]
+    order = np.argsort(depth, kind="stable")
     start, end, piece, depth = start[order], end[order], piece[order], depth[order]
-    steps = np.searchsorted(depth, np.arange(1, (depth[-1] if len(depth) else 0) + 2))
+    steps = np.searchsorted(depth, np.arange(1, int(depth[-1]) + 2))
     return Lattice(start, end, piece, steps, first, first + lens - 1)
 
 

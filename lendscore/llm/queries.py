@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid
+from . import bpe, langid, secret_scan
 from .common import crc_fold, read_table
 
 
@@ -34,9 +34,24 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+    base = F.filter("spans", lambda s: s["rank"] < 3)
+
+    def count(rank: int):
+        return F.size(F.filter("spans", lambda s: s["rank"] == rank)).cast("long")
+
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"),
+                        count(2).alias("n_hex"),
+                        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+                        secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}

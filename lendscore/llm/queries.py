@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, secret_scan
+from ..session import scratch_path
+from . import bpe, langid, secret_scan, wavelet
 from .common import crc_fold, read_table
 
 
@@ -48,10 +49,18 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.span_text(F.col("spans")).alias("spans"))
 
 
+def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "wavelet")
+    wavelet.write(read_table(spark, sf_dir, "documents"), path,
+                  public_tokenizers.path("word_bpe_49k.json"))
+    return wavelet.documents(spark, path)
+
+
 QUERIES = {
     "op2_language_id": op2_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
+    "op10_wavelet_ids": op10_wavelet_ids,
 }
 
 ORACLE: dict[str, str] = {}

@@ -12,10 +12,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, langid, secret_scan, wavelet
+from . import bpe, langid, quality, secret_scan, toxicity, wavelet
 from .common import crc_fold, read_table
 
 
+def _labelled_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with the fold of operator 1, and those outside it with their labels."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", F.coalesce(crc_fold(F.col("doc_id"), 5) == 0, F.lit(False)))
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return docs, docs.filter(~F.col("held_out")).join(labels, "doc_id")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labelled = _labelled_documents(spark, sf_dir)
+    scored = toxicity.predict(docs, toxicity.fit(labelled))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades from the labels: 0 poor, 1 good but toxic, 2 good."""
+    docs, labelled = _labelled_documents(spark, sf_dir)
+    grade = F.col("quality") * (2 - F.coalesce(F.col("toxic"), F.lit(0)))
+    scored = quality.predict(docs, quality.fit(labelled.withColumn("grade", grade)))
+    tail = F.col("tail_probs")
+    return scored.select("doc_id", "held_out", "expected_grade", tail[0].alias("p_good"),
+                         F.element_at(tail, -1).alias("p_best"), (tail[0] >= 0.5).alias("selected"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", F.coalesce(crc_fold(F.col("doc_id"), 4) == 2, F.lit(False)))
@@ -57,7 +81,9 @@ def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op3_quality": op3_quality,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_wavelet_ids": op10_wavelet_ids,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, langid, quality, secret_scan, toxicity, wavelet
+from . import bpe, langid, quality, secret_scan, sharding, toxicity, wavelet
 from .common import crc_fold, read_table
 
 
@@ -49,6 +49,17 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score"))
 
 
+#: Byte limit of op4's shards.
+SHARD_BYTES = 1 << 20
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards as ``depth:prefix``, with the bytes of the document."""
+    placed = sharding.assign(read_table(spark, sf_dir, "documents"), limit_bytes=SHARD_BYTES)
+    return placed.select(F.col("key").alias("doc_id"), "n_bytes",
+                         F.concat_ws(":", "depth", "prefix").alias("shard"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,9 +95,21 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
     "op3_quality": op3_quality,
+    "op4_sharding": op4_sharding,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_wavelet_ids": op10_wavelet_ids,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # Document ids are unique, so the first 32 bits decide alone.
+    "op4_sharding": f"""
+WITH d AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n_bytes,
+                  CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS h FROM documents),
+     s AS (SELECT doc_id, n_bytes, CAST(depth AS INTEGER) AS depth, h >> CAST(32 - depth AS BIGINT) AS prefix
+           FROM d, range(0, 33) AS r(depth)),
+     b AS (SELECT depth, prefix FROM s GROUP BY depth, prefix HAVING sum(n_bytes) <= {SHARD_BYTES} OR count(*) = 1),
+     l AS (SELECT doc_id, min(depth) AS depth FROM s JOIN b USING (depth, prefix) GROUP BY doc_id)
+SELECT doc_id, n_bytes, l.depth || ':' || (h >> CAST(32 - l.depth AS BIGINT)) AS shard
+FROM d JOIN l USING (doc_id)""",
+}

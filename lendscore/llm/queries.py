@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, langid, quality, secret_scan, sharding, toxicity, wavelet
+from . import bpe, langid, neighbours, quality, secret_scan, sharding, toxicity, wavelet
 from .common import crc_fold, read_table
 
 
@@ -60,6 +60,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.concat_ws(":", "depth", "prefix").alias("shard"))
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read_table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(20)) == 0, k=20)
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +100,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_wavelet_ids": op10_wavelet_ids,

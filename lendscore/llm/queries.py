@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, langid, neighbours, quality, secret_scan, sharding, toxicity, wavelet
+from . import bpe, decontamination, langid, neighbours, quality, secret_scan, sharding, toxicity, wavelet
 from .common import crc_fold, read_table
 
 
@@ -64,6 +64,10 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read_table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(20)) == 0, k=20)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -101,6 +105,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_sharding": op4_sharding,
     "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_decontamination": op6_decontamination,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_wavelet_ids": op10_wavelet_ids,
@@ -117,4 +122,22 @@ WITH d AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n_bytes,
      l AS (SELECT doc_id, min(depth) AS depth FROM s JOIN b USING (depth, prefix) GROUP BY doc_id)
 SELECT doc_id, n_bytes, l.depth || ':' || (h >> CAST(32 - l.depth AS BIGINT)) AS shard
 FROM d JOIN l USING (doc_id)""",
+    # Thirteen equal tokens of sixteen hold four in a row, which give the offsets here.
+    "op6_decontamination": r"""
+WITH bt AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM benchmark),
+     dt AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM documents),
+     b AS (SELECT item_id, len(t) AS n, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS p FROM bt WHERE len(t) >= 5),
+     d AS (SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS p FROM dt),
+     bg AS (SELECT item_id, p, tok AS a, lead(tok, 1) OVER w AS b, lead(tok, 2) OVER w AS c, lead(tok, 3) OVER w AS e
+            FROM b WINDOW w AS (PARTITION BY item_id ORDER BY p)),
+     dg AS (SELECT doc_id, p, tok AS a, lead(tok, 1) OVER w AS b, lead(tok, 2) OVER w AS c, lead(tok, 3) OVER w AS e
+            FROM d WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+     o AS (SELECT DISTINCT doc_id, item_id, dg.p - bg.p AS off FROM dg JOIN bg USING (a, b, c, e)),
+     m AS (SELECT o.doc_id, o.item_id, o.off, b.p, b.n, CASE WHEN d.tok = b.tok THEN 1 ELSE 0 END AS same
+           FROM o JOIN b USING (item_id) LEFT JOIN d ON d.doc_id = o.doc_id AND d.p = b.p + o.off),
+     s AS (SELECT doc_id, item_id, off, p, n, sum(same) OVER (PARTITION BY doc_id, item_id, off ORDER BY p
+                  ROWS 15 PRECEDING) AS found FROM m)
+SELECT doc_id, item_id, CAST(off AS INTEGER) AS "offset", CAST(max(found) AS INTEGER) AS n_matched
+FROM s WHERE p >= least(n, 16) - 1 GROUP BY doc_id, item_id, off, n
+HAVING max(found) >= CASE WHEN n < 16 THEN n ELSE 13 END""",
 }

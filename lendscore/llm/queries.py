@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontamination, langid, neighbours, quality, secret_scan, sharding, toxicity, wavelet
+from . import bpe, decontamination, jaccard_join, langid, neighbours, quality, secret_scan, sharding, toxicity, wavelet
 from .common import crc_fold, read_table
 
 
@@ -68,6 +68,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(read_table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -106,6 +110,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_decontamination": op6_decontamination,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_wavelet_ids": op10_wavelet_ids,

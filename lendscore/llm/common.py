@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark, sf_dir: str, name: str) -> DataFrame:
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever
+    their working folder; a cluster without that path gets it with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,7 +12,8 @@ join is exact: every link between different texts is found or already implied.
 2. *Join.*  Equal words make groups.  Each group has a pivot, and every set is compared
    with the pivot it shares most words with.  These links give first components.
 3. *Rest.*  Sets of a group whose component is not the pivot's are compared with all members of
-   other components, after a bound on sizes and 512-bit sketches; nothing is capped.
+   other components, by sizes, 512-bit sketches and the number of words that they must share;
+   nothing is capped.
 4. *Verify* by the exact shingle sets of the whole texts, then components of all links.
 
 Scale: equal sets are one row before the join (``classes``); keys are 16-byte rows that are shuffled
@@ -27,7 +28,7 @@ text do not matter.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,13 @@ from .components import component_labels
 BROADCAST_BYTES = 32 << 20
 #: Shingles of so many texts at least, and of this share of all, are left out of sketches;
 #: they are counted in stretches of ``STRETCH`` elements that hold ``LOCAL`` of them.
-COMMON_TEXTS, COMMON_SHARE, STRETCH, LOCAL = 16, 0.0005, 1 << 21, 4
+COMMON_TEXTS, COMMON_SHARE, STRETCH, LOCAL = 16, 0.0005, 1 << 22, 3
 #: Words of the sketches that bound candidates of the rest.
 BOUND_WORDS = 8
+#: Rows of a group that one task compares with as many; larger groups are cut into parts.
+GROUP_ROWS = 4_096
+#: Pairs that a task looks at at once.
+PAIRS_AT_ONCE = 1 << 20
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -136,6 +141,84 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
     return materialize(joined.mapInArrow(check, "a long, b long").distinct(), "jaccard-links")
 
 
+def remaining_pairs(groups: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of one group in different components that may link.
+
+    One of the two is *minor*: not in its pivot's component.  Only minor members are compared with all
+    others.  A group of more than ``GROUP_ROWS`` members is cut into parts, and every part's minor members
+    meet every part, so that a task never holds more than two parts."""
+    pivots = small(facts.select(F.col("rep").alias("pivot"), F.col("c").alias("pivot_c")), 16)
+    parts = F.ceil(F.col("members") / GROUP_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
+    others = F.sequence(F.lit(0), parts - 1)
+    as_a = F.transform(others, lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(1).alias("role")))
+    as_b = F.transform(others, lambda i: F.struct(i.alias("i"), own.alias("j"), F.lit(2).alias("role")))
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(3).alias("role")))
+    placed = (groups.select("key", "rep", "pivot", F.inline(F.when(parts == 1, whole).otherwise(F.concat(as_a, as_b)))))
+    if facts.count() * (32 + 8 * BOUND_WORDS) <= BROADCAST_BYTES:
+        # Narrow rows travel; what is known of each set joins them where they arrive.
+        rows = placed.repartition("key", "i", "j").join(F.broadcast(facts), "rep").join(pivots, "pivot")
+    else:
+        rows = placed.join(facts, "rep").join(pivots, "pivot").repartition("key", "i", "j")
+    rows = rows.select("key", "i", "j", "rep", "role", "n", "c", (F.col("c") != F.col("pivot_c")).alias("minor"), "bound")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            now = _columns(batch)
+            if held is not None:
+                now = {k: np.concatenate([held[k], now[k]]) for k in now}
+            last = len(now["key"]) - 1
+            same = (now["key"] == now["key"][last]) & (now["i"] == now["i"][last]) & (now["j"] == now["j"][last])
+            done = int(np.argmax(same))
+            yield from _pairs({k: v[:done] for k, v in now.items()}, percent)
+            held = {k: v[done:] for k, v in now.items()}
+        if held is not None:
+            yield from _pairs(held, percent)
+
+    counted = (rows.sortWithinPartitions("key", "i", "j").mapInArrow(compare, "a long, b long, least long, shared long")
+               .groupBy("a", "b", "least").agg(F.sum("shared").alias("shared")))
+    return counted.filter(F.col("shared") >= 1 + F.floor(F.col("least") * parity.MORE_KEYS)).select("a", "b")
+
+
+def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    out = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names if name != "bound"}
+    out["bound"] = batch.column("bound").flatten().to_numpy().view(np.uint64).reshape(-1, BOUND_WORDS)
+    return out
+
+
+def _pairs(rows: dict[str, np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
+    """Near pairs of the sorted groups in ``rows``, with the keys they share here."""
+    if not len(rows["key"]):
+        return
+    new = np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["i"][1:] != rows["i"][:-1])
+                | (rows["j"][1:] != rows["j"][:-1])]
+    group = np.cumsum(new) - 1
+    left = np.flatnonzero((rows["role"] & 1 > 0) & rows["minor"])
+    right = np.flatnonzero(rows["role"] & 2 > 0)
+    first = np.searchsorted(group[right], group[left])
+    size = np.searchsorted(group[right], group[left], side="right") - first
+    ends = np.cumsum(size)
+    start = 0
+    while start < len(left):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] - size[start] + PAIRS_AT_ONCE)))
+        own = size[start:stop]
+        a = np.repeat(left[start:stop], own)
+        b = right[np.repeat(first[start:stop] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
+        rep, c = rows["rep"], rows["c"]
+        keep = (c[a] != c[b]) & (~rows["minor"][b] | (rep[a] < rep[b]))
+        a, b = a[keep], b[keep]
+        keep = parity.near_pairs(a, b, rows["n"], rows["bound"], percent)
+        a, b = a[keep], b[keep]
+        if len(a):
+            found = np.stack([np.maximum(rep[a], rep[b]), np.minimum(rep[a], rep[b]),
+                              np.minimum(rows["n"][a], rows["n"][b])], axis=1)
+            found, shared = np.unique(found, axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*(pa.array(found[:, k]) for k in range(3)), pa.array(shared)],
+                                             names=["a", "b", "least", "shared"])
+        start = stop
+
+
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = parity.SHINGLE,
                percent: int = parity.PERCENT) -> DataFrame:
     """``id_col, n_shingles, component_id`` per row: the size of the shingle set and the smallest
@@ -151,8 +234,8 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     keyed = reps.select("rep", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
     order = F.struct(F.xxhash64("rep").alias("h"), "rep")
     groups = materialize(
-        keyed.withColumn("pivot", F.min(order).over(by_key)["rep"]).withColumn("most", F.max(order).over(by_key)["rep"])
-        .filter("pivot != most").select("key", "rep", "n_keys", "pivot"), "jaccard-groups")
+        keyed.withColumn("pivot", F.min(order).over(by_key)["rep"]).withColumn("members", F.count("*").over(by_key))
+        .filter("members > 1").select("key", "rep", "n_keys", "pivot", "members"), "jaccard-groups")
 
     # First links: each set with the pivot it shares most keys with, if they are many.
     shared = groups.filter("rep != pivot").groupBy("rep", "n_keys", "pivot").agg(F.count("*").alias("n"))
@@ -162,21 +245,10 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     found = component_labels(links)
 
     # The rest: members that are not in their pivot's component, with all others' members.
-    labels = small(found, 16)
-    of = {c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_c")) for c in ("rep", "pivot")}
-    labelled = (groups.join(of["rep"], "rep", "left").join(of["pivot"], "pivot", "left")
-                .select("key", "rep", F.coalesce("rep_c", "rep").alias("c"), F.coalesce("pivot_c", "pivot").alias("pivot_c")))
-    facts = small(reps.select("rep", "n", "bound"), 16 + 8 * BOUND_WORDS)
-    minor = materialize(labelled.filter("c != pivot_c").select("key", "rep", "c").join(facts, "rep"), "jaccard-minor")
-    open_keys = small(materialize(minor.select("key").distinct(), "jaccard-keys"), 8)
-    members = labelled.select("key", "rep", "c").join(open_keys, "key", "left_semi").join(facts, "rep")
-    x, y = minor.alias("x"), members.alias("y")
-    apart = sum((F.bit_count(F.col("x.bound")[i].bitwiseXOR(F.col("y.bound")[i])) for i in range(BOUND_WORDS)), F.lit(0))
-    near = ((F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c"))
-            & (F.col("x.n") * 100 >= F.col("y.n") * percent) & (F.col("y.n") * 100 >= F.col("x.n") * percent)
-            # 100 i >= p u with i = (s - d) / 2 and u = (s + d) / 2 for sizes' sum s and difference d.
-            & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)))
-    rest = (x.join(y, near).select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct())
+    labels = found.select(F.col("id").alias("rep"), "component")
+    facts = materialize(reps.select("rep", "n", "bound").join(labels, "rep", "left")
+                        .select("rep", "n", "bound", F.coalesce("component", "rep").alias("c")), "jaccard-facts")
+    rest = remaining_pairs(groups, facts, percent)
     links = links.unionByName(verified(rest, docs, shingle, percent))
     final = component_labels(links)
 

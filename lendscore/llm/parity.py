@@ -10,9 +10,11 @@ from .common import BoundedCache
 #: Words of a shingle; the join's threshold in hundredths.
 SHINGLE, PERCENT = 4, 85
 #: Ratio of a size band's bounds; sketch words per element of a band's largest sets.
-BAND, WORDS_PER_ELEMENT = 1.6, 0.3
+BAND, WORDS_PER_ELEMENT = 1.5, 0.22
 #: Sets with fewer rare elements than this share are sketched whole.
-RARE_SHARE = 0.35
+RARE_SHARE = 0.6
+#: Keys beyond the first that sets which link must share, per element.
+MORE_KEYS = 0.03
 
 _WORD = BoundedCache(lambda w: xxhash.xxh3_64_intdigest(w), 500_000)
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -45,6 +47,11 @@ def most_different(n: np.ndarray | int, percent: int = PERCENT):
     return (n + largest) * (100 - percent) // (100 + percent)
 
 
+def shared_keys(n: int) -> int:
+    """Keys that a set of ``n`` shares with any it links to, if it has no fewer than the other."""
+    return 1 + int(MORE_KEYS * n)
+
+
 def bands_of(n: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     """``(band, largest size)`` of the bands that a set of ``n`` takes part in.
 
@@ -60,7 +67,7 @@ def bands_of(n: int, percent: int = PERCENT) -> list[tuple[int, int]]:
 
 
 def band_words(largest: int, percent: int = PERCENT) -> int:
-    return max(int(WORDS_PER_ELEMENT * largest), most_different(largest, percent) + 1)
+    return max(int(WORDS_PER_ELEMENT * largest), most_different(largest, percent) + shared_keys(largest))
 
 
 def sketch(h: np.ndarray, words: int) -> np.ndarray:
@@ -74,11 +81,11 @@ def sketch(h: np.ndarray, words: int) -> np.ndarray:
 
 
 def join_keys(h: np.ndarray, rare: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys of which two sets that may link share at least one.
+    """Keys of which two sets that may link share at least the smaller ``shared_keys``.
 
-    With d = ``most_different``, the first d + 1 non-zero words of each sketch do (pigeonhole: of
-    the words up to where the first of the two stops, at most d differ); a set with fewer
-    emits all its words, zeros too.  Where all but few elements are common ones, the rare
+    With d = ``most_different`` and s = ``shared_keys``, the first d + s non-zero words of each
+    sketch do (pigeonhole: of the words up to where the first of the two stops, at most d
+    differ); a set with fewer emits all its words, zeros too.  Where all but few elements are common ones, the rare
     ones cannot fill so many words: such sets, and those that may link to them, are sketched whole."""
     n, d = len(h), int(most_different(len(h), percent))
     few = RARE_SHARE * n
@@ -92,12 +99,23 @@ def join_keys(h: np.ndarray, rare: np.ndarray, percent: int = PERCENT) -> np.nda
         for kind, elements in kinds:
             s = sketch(elements, band_words(largest, percent))
             at = np.flatnonzero(s)
-            at = at[:d + 1] if len(at) > d else np.arange(len(s))
+            most = d + shared_keys(n)
+            at = at[:most] if len(at) >= most else np.arange(len(s))
             seed = np.uint64(((band << 1 | kind) + 1) * int(_MUL[0]) % (1 << 64))
             keys.append(mix(mix(s[at] + seed) + at.astype(np.uint64) * _MUL[1]))
     return np.concatenate(keys)
 
 
+def near_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, bound: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Which pairs of rows ``a, b`` may link, by set sizes ``n`` and sketches ``bound``."""
+    ok = (n[a] * 100 >= n[b] * percent) & (n[b] * 100 >= n[a] * percent)
+    at = np.flatnonzero(ok)
+    apart = np.bitwise_count(bound[a[at]] ^ bound[b[at]]).sum(axis=1, dtype=np.int64)
+    # 100 i >= p u with i = (s - d) / 2 and u = (s + d) / 2 for sizes' sum s and difference d.
+    ok[at] = apart * (100 + percent) <= (n[a[at]] + n[b[at]]) * (100 - percent)
+    return ok
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common >= percent * (len(a) + len(b) - common)

@@ -43,28 +43,35 @@ PRIOR, DEVIATIONS, FIRST = 10.0, 5.0, 0.3
 
 @dataclass
 class FactorMachine:
+    """``slot`` has a bucket's place among the terms with odds, or -1."""
+
+    slot: np.ndarray
     odds: np.ndarray
     bias: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
 
     def logits(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        found = [(at[told], value[told]) for at, value in found for told in [self.odds[at] != 0]]
-        at, value, per_text = rows_of(found)
-        value = self.odds[at] * value
-        scale = np.repeat(np.sqrt(1.0 + per_text(value * value)), [len(f[0]) for f in found])
-        v = self.factors[at] * (value / scale)[:, None]
-        pairs = 0.5 * (per_text(v) ** 2 - per_text(v * v)).sum(axis=1)
+        at, value, per_text = rows_of([told(self.slot, self.odds, a, x) for a, x in found])
+        scale = np.sqrt(1.0 + per_text(value * value))[:, None]
+        v = self.factors[at] * value[:, None]
+        pairs = 0.5 * ((per_text(v) / scale) ** 2 - per_text(v * v) / scale ** 2).sum(axis=1)
         return float(self.bias[0]) + per_text(self.weights[at] * value) + pairs
 
 
-def _epoch(class_weight: dict[int, float], odds: np.ndarray):
+def told(slot: np.ndarray, odds: np.ndarray, at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values of the terms that have odds."""
+    own = slot[at]
+    keep = own >= 0
+    return own[keep], odds[own[keep]] * x[keep]
+
+
+def _epoch(class_weight: dict[int, float], slot: np.ndarray, odds: np.ndarray):
     def epoch(params: list[np.ndarray], rows: list) -> list[np.ndarray]:
         bias, w, v = params
         past_b, past_w, past_v = 1.0, np.ones_like(w), np.ones_like(v)
         for label, at, x in rows:
-            told = odds[at] != 0
-            at, x = at[told], odds[at[told]] * x[told]
+            at, x = told(slot, odds, at, x)
             xp = x / np.sqrt(1.0 + x @ x)
             vx = v[at] * xp[:, None]
             total = vx.sum(axis=0)
@@ -84,17 +91,13 @@ def _epoch(class_weight: dict[int, float], odds: np.ndarray):
 
 def log_odds(rows: np.ndarray, hits: np.ndarray, share: float) -> np.ndarray:
     """Shrunk log odds of the label per term, against the label's ``share`` of all rows."""
-    p = (hits + PRIOR * share) / (rows + PRIOR)
-    p = np.clip(p, 1e-4, 1 - 1e-4)
-    odds = np.log(p / (1 - p)) - np.log(share / (1 - share))
-    chance = np.abs(hits - rows * share) < DEVIATIONS * np.sqrt(np.maximum(rows, 1) * share * (1 - share))
-    return np.where(chance, 0.0, odds).astype(np.float32)
+    p = np.clip((hits + PRIOR * share) / (rows + PRIOR), 1e-4, 1 - 1e-4)
+    return (np.log(p / (1 - p)) - np.log(share / (1 - share))).astype(np.float32)
 
 
-def first_params(share: float) -> list[np.ndarray]:
-    size = 1 << BITS
-    return [np.array([np.log(share / (1 - share))]), np.full(size, FIRST),
-            np.random.default_rng(7).normal(0, 0.01, (size, FACTORS))]
+def first_params(terms: int, share: float) -> list[np.ndarray]:
+    return [np.array([np.log(share / (1 - share))]), np.full(terms, FIRST),
+            np.random.default_rng(7).normal(0, 0.01, (terms, FACTORS))]
 
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
@@ -106,13 +109,17 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
         raise ValueError(f"toxicity needs labels 0 and 1, found {sorted(counts)}")
     total = sum(counts.values())
     weight = {k: (total / (2.0 * n)) ** 0.5 for k, n in counts.items()}
-    size, share = 1 << BITS, counts[1] / total
-    rows, hits = np.zeros(size), np.zeros(size)
-    per_term = table.select("label", F.explode("at").alias("at")).groupBy("at").agg(
-        F.count("*").alias("n"), F.sum("label").alias("hits")).toPandas()  # a row per bucket at most
-    rows[per_term["at"]], hits[per_term["at"]] = per_term["n"], per_term["hits"]
-    odds = log_odds(rows, hits, share)
-    return FactorMachine(odds, *averaged_fit(table, first_params(share), _epoch(weight, odds), ROUNDS))
+    share = counts[1] / total
+    expected, spread = F.col("n") * share, F.sqrt(F.col("n") * (share * (1 - share)))
+    terms = (table.select("label", F.explode("at").alias("at")).groupBy("at")
+             .agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
+             .filter(F.abs(F.col("hits") - expected) >= DEVIATIONS * spread)
+             .orderBy("at").collect())  # a row per bucket at most, a few thousand as a rule
+    slot = np.full(1 << BITS, -1, dtype=np.int32)
+    slot[[r["at"] for r in terms]] = np.arange(len(terms))
+    odds = log_odds(np.array([r["n"] for r in terms], float), np.array([r["hits"] for r in terms], float), share)
+    params = averaged_fit(table, first_params(len(terms), share), _epoch(weight, slot, odds), ROUNDS)
+    return FactorMachine(slot, odds, *params)
 
 
 def predict(df: DataFrame, model: FactorMachine, text_col: str = "text", score_col: str = "score") -> DataFrame:

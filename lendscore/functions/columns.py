@@ -43,7 +43,7 @@ def normalize_column_names(df: DataFrame, on_collision: str = "error") -> DataFr
             counts[n] = k + 1
             out.append(n if k == 0 else f"{n}_{k}")
         new = out
-    return df.select(*[F.col(f"`{o}`").alias(n) for o, n in zip(df.columns, new)])
+    return df.toDF(*new)
 
 
 # --- C3 / C4 / C5 ---------------------------------------------------------
@@ -111,7 +111,8 @@ def encode(col: Column, mapping: Mapping[Any, Any], dtype: str = "int",
 
 # --- C12 / C13 ------------------------------------------------------------
 def nan_to_null(col: Column) -> Column:
-    return F.nanvl(col, F.lit(None).cast("double"))
+    """NaN becomes null; the column keeps its own type."""
+    return F.when(~F.isnan(col), col)
 
 
 def decode_label(col: Column, positive: str = "bad", negative: str = "good",

@@ -11,17 +11,17 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 import numpy as np
-from pyspark import StorageLevel, keyword_only
+from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -213,7 +213,6 @@ SEARCH_SPACE = {
     "learning_rate": ("log", 0.001, 0.05),
     "num_leaves": ("int", 8, 256),
     "subsample": ("float", 0.5, 1.0),
-    "reg_lambda": ("float", 0.0, 1.0),   # no GBTClassifier counterpart; recorded only
 }
 
 
@@ -244,18 +243,27 @@ def tune(train: DataFrame, settings: Settings, n_trials: int = 100, n_folds: int
     parameter dicts and their mean CV scores.
     """
     trials = sample_trials(n_trials, seed, space)
-    pipe = build_pipeline(settings, "boosted")
-    gbt = pipe.getStages()[-1]
+    *preparing, gbt = build_pipeline(settings, "boosted").getStages()
+    evaluator = AveragePrecisionEvaluator(settings.target)
     maps = [{gbt.maxIter: t["n_estimators"], gbt.stepSize: t["learning_rate"],
              gbt.maxDepth: leaves_to_depth(t["num_leaves"]), gbt.subsamplingRate: t["subsample"]}
             for t in trials]
     cols = [*settings.model_features, settings.target, fold_col]
     data = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    scores = np.zeros((n_folds, n_trials))
     try:
-        cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
-                            evaluator=AveragePrecisionEvaluator(settings.target),
-                            numFolds=n_folds, foldCol=fold_col, parallelism=parallelism, seed=seed)
-        model = cv.fit(data)
-        return trials, [float(x) for x in model.avgMetrics]
+        for fold in range(n_folds):
+            # Encoders and scalers depend on the fold alone: one fit for all its trials.
+            prepared = Pipeline(stages=preparing).fit(data.filter(F.col(fold_col) != fold))
+            vectors = prepared.transform(data).persist(StorageLevel.MEMORY_AND_DISK)
+            fit_on, held = vectors.filter(F.col(fold_col) != fold), vectors.filter(F.col(fold_col) == fold)
+
+            def one(i: int, fit_on=fit_on, held=held) -> float:
+                return evaluator.evaluate(gbt.fit(fit_on, maps[i]).transform(held))
+
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                scores[fold] = list(pool.map(inheritable_thread_target(train.sparkSession)(one), range(n_trials)))
+            vectors.unpersist()
+        return trials, [float(x) for x in scores.mean(axis=0)]
     finally:
         data.unpersist()

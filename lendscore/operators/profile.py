@@ -99,8 +99,8 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None, exact: boo
         return base
     exact_stats = _exact_distinct_and_quantiles(df, cols, nums)
     return (base.drop("n_distinct", *[f"p{int(q * 100)}" for q in QUANTILES])
-            .join(exact_stats, "column_name")
-            .select("column_name", "n_rows", "n_null", "n_distinct", "mean", "stddev", "min",
+            .join(exact_stats, "column_name", "left")
+            .select("column_name", "n_rows", "n_null", F.coalesce("n_distinct", F.lit(0).cast("bigint")).alias("n_distinct"), "mean", "stddev", "min",
                     *[f"p{int(q * 100)}" for q in QUANTILES], "max"))
 
 

@@ -17,6 +17,7 @@ as many tasks as there are buckets, and the result equals the plain window.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -91,34 +92,24 @@ def cumulative(df: DataFrame, order_by: Sequence[Column], bucket: Column,
 
 def hash_row_number(df: DataFrame, hash_col: str, order_by: Sequence[Column],
                     partition_by: Sequence[str] = (), rn: str = "rn", total: str | None = None,
-                    max_digits: int = 6, with_offsets: bool = False):
+                    max_digits: int = 15, with_offsets: bool = False):
     """Exact ``row_number()`` where the order starts with a hex hash column.
 
-    The bucket is a prefix of the hash whose length fits the data: rows are
-    counted once per ``max_digits``-digit prefix (a small stored table), the
-    prefix length is chosen so the largest partition's buckets hold about
-    :data:`ROWS_PER_BUCKET` rows (1 digit for small data, 5 for ~1e12 rows),
-    and the fine counts are rolled up to it -- no second pass over the input.
+    The bucket is a prefix of the hash whose length fits the data: it is chosen
+    from the class sizes so the largest partition's buckets hold about
+    :data:`ROWS_PER_BUCKET` rows (1 digit for small data, 5 for ~1e12 rows).
     """
-    import math
-
     parts = list(partition_by)
     prefix = lambda c, k: F.substring(c, 1, k)
-    # the fine counts are cached only while the prefix length is chosen; the
-    # rolled-up per-bucket table (small) is what gets stored
-    fine = (df.groupBy(*parts, prefix(F.col(hash_col), max_digits).alias("_fine"))
-              .agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        sizes = fine.groupBy(*parts).agg(F.sum("_n").alias("_c")).agg(
-            F.max("_c").alias("largest"), F.count(F.lit(1)).alias("groups")).head()
-        largest, groups = (sizes.largest or 0), (sizes.groups or 0)
-        want = max(1.0, largest / ROWS_PER_BUCKET)
-        digits = int(min(max_digits, max(1, math.ceil(math.log(want, 16)))))
-        per_bucket = materialize(
-            fine.groupBy(*parts, prefix(F.col("_fine"), digits).alias("_bkt"))
-                .agg(F.sum("_n").alias(f"_s_{rn}")), "bucket-counts")
-    finally:
-        fine.unpersist()
+    # Class sizes first (one row per class and task), then one count per prefix of
+    # the length they call for: either shuffle is far smaller than the input.
+    sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_c")).agg(
+        F.max("_c").alias("largest"), F.count(F.lit(1)).alias("groups")).head()
+    largest, groups = (sizes.largest or 0), (sizes.groups or 0)
+    want = max(1.0, largest / ROWS_PER_BUCKET)
+    digits = int(min(max_digits, max(1, math.ceil(math.log(want, 16)))))
+    per_bucket = materialize(df.groupBy(*parts, prefix(F.col(hash_col), digits).alias("_bkt"))
+                             .agg(F.count(F.lit(1)).alias(f"_s_{rn}")), "bucket-counts")
     return cumulative(df, order_by, prefix(F.col(hash_col), digits), {rn: F.lit(1).cast("bigint")},
                       parts, totals={rn: total} if total else None,
                       expected_buckets=max(1, groups) * 16 ** digits, with_offsets=with_offsets,

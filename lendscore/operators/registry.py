@@ -4,8 +4,8 @@ A tracking service is replaced by two append-only parquet tables under the
 shared storage root:
 
 * ``runs(run_id, run_name, params MAP<STRING,STRING>, metrics MAP<STRING,DOUBLE>,
-  tags MAP<STRING,STRING>, start_ts)``
-* ``versions(model_name, version, alias, path, run_id, created_ts)``
+  tags MAP<STRING,STRING>, start_ts, experiment, kind)`` (``kind``: study, trial or train)
+* ``versions(model_name, version, alias, path, run_id, created_ts, tags MAP<STRING,STRING>)``
 
 Lookups are ordinary DataFrame queries (filter + top-1, ``max_by``), so
 they work the same over ten runs or ten million.
@@ -22,10 +22,16 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import claim, path_exists
+
 RUNS_SCHEMA = ("run_id string, run_name string, params map<string,string>, "
-               "metrics map<string,double>, tags map<string,string>, start_ts timestamp")
+               "metrics map<string,double>, tags map<string,string>, start_ts timestamp, "
+               "experiment string, kind string")
 VERSIONS_SCHEMA = ("model_name string, version bigint, alias string, path string, "
-                   "run_id string, created_ts timestamp")
+                   "run_id string, created_ts timestamp, tags map<string,string>")
+
+#: The name pattern of tuning runs, and the metric they are ranked by.
+STUDY_NAME, TUNING_METRIC = "hyperparameter_tuning_", "precision_recall_score"
 
 
 # --- A8 / K3 -------------------------------------------------------------------
@@ -65,10 +71,19 @@ def best_run(runs: DataFrame, name_like: str, metric: str) -> DataFrame:
                 .orderBy(F.col(metric).desc(), F.col("run_name")).limit(1))
 
 
+def study_name(label: str) -> str:
+    """Name of a tuning study's run; its trials are told apart by their kind."""
+    return f"{STUDY_NAME}{label}"
+
+
 def best_run_params(runs_table: DataFrame, name_like: str, metric: str,
-                    defaults: Mapping[str, Any]) -> dict[str, Any]:
-    """K1 over the runs table: parameters of the best tuning run, parsed
-    back to the types of ``defaults``; ``defaults`` when there is none."""
+                    defaults: Mapping[str, Any], experiment: str | None = None) -> dict[str, Any]:
+    """K1 over the runs table: parameters of the best tuning run (of one
+    ``experiment``), parsed back to the types of ``defaults``; ``defaults`` when
+    there is none.  Runs of kind ``trial`` belong to a study and do not count."""
+    runs_table = runs_table.filter(~F.col("kind").eqNullSafe("trial"))
+    if experiment is not None:
+        runs_table = runs_table.filter(F.col("experiment") == experiment)
     top = (runs_table.filter(F.col("run_name").like(name_like))
            .filter(F.col("metrics")[metric].isNotNull())
            .orderBy(F.col("metrics")[metric].desc(), F.col("run_id")).limit(1).collect())
@@ -104,34 +119,45 @@ def log_runs(spark: SparkSession, root: str, records: list[dict]) -> None:
                      {k: str(v) for k, v in (r.get("params") or {}).items()},
                      {k: float(v) for k, v in (r.get("metrics") or {}).items()},
                      {k: str(v) for k, v in (r.get("tags") or {}).items()},
-                     None))
+                     None, r.get("experiment"), r.get("kind") or "train"))
     df = spark.createDataFrame(rows, RUNS_SCHEMA).withColumn("start_ts", F.current_timestamp())
     df.coalesce(1).write.mode("append").parquet(f"{root}/runs")
 
 
+def _read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table, empty only if its path does not exist; any other failure is raised."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_runs(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.parquet(f"{root}/runs")
-    except Exception:
-        return spark.createDataFrame([], RUNS_SCHEMA)
+    return _read_table(spark, f"{root}/runs", RUNS_SCHEMA)
 
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.parquet(f"{root}/versions")
-    except Exception:
-        return spark.createDataFrame([], VERSIONS_SCHEMA)
-
-
-def register_version(spark: SparkSession, root: str, model_name: str, path: str,
-                     run_id: str, alias: str = "latest-model") -> int:
-    """New version = previous + 1; the alias moves to it (the newest
-    row for an alias wins in :func:`latest_version`)."""
-    prev = read_versions(spark, root).filter(F.col("model_name") == model_name) \
-        .agg(F.max("version")).head()[0]
-    version = 1 if prev is None else int(prev) + 1
-    df = spark.createDataFrame([(model_name, version, alias, path, run_id, None)], VERSIONS_SCHEMA) \
-        .withColumn("created_ts", F.current_timestamp())
+    return _read_table(spark, f"{root}/versions", VERSIONS_SCHEMA)
+
+
+def claim_version(spark: SparkSession, root: str, model_name: str) -> int:
+    """The next version number of a model, held by a marker file, so that two
+    writers never get the same one."""
+    last = read_versions(spark, root).filter(F.col("model_name") == model_name).agg(F.max("version")).head()[0]
+    version = 1 if last is None else int(last) + 1
+    while not claim(spark, f"{root}/version_claims/{model_name}/{version}"):
+        version += 1
+    return version
+
+
+def register_version(spark: SparkSession, root: str, model_name: str, path: str, run_id: str,
+                     alias: str = "latest-model", version: int | None = None,
+                     tags: Mapping[str, str] | None = None) -> int:
+    """Record ``version`` (claimed now, if not given); the alias moves to it
+    (the newest row for an alias wins in :func:`latest_version`)."""
+    if version is None:
+        version = claim_version(spark, root, model_name)
+    row = (model_name, version, alias, path, run_id, None, {k: str(v) for k, v in (tags or {}).items()})
+    df = spark.createDataFrame([row], VERSIONS_SCHEMA).withColumn("created_ts", F.current_timestamp())
     df.coalesce(1).write.mode("append").parquet(f"{root}/versions")
     return version
 

@@ -8,6 +8,7 @@ construction, so no class or key can make a bucket hot).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -17,20 +18,41 @@ from ..functions.columns import hex_prefix_int, keyed_md5
 from ..session import materialize
 from .ranking import exact_rank, hash_row_number
 
-# Longest hash prefix used as a bucket (16^6 ~ 1.7e7 buckets per class); the
-# prefix actually used is sized from the data (see ranking.hash_row_number).
-HEX_DIGITS = 6
+# Longest hash prefix used as a bucket; the prefix actually used is sized from
+# the data (see ranking.hash_row_number).
+HEX_DIGITS = 15
 # Broadcast a draw list up to this many rows; beyond it the join shuffles.
 MAX_BROADCAST_DRAWS = 1_000_000
 
 
 def _rounded_share(total, fraction: Fraction):
-    """``floor(total * p/q + 1/2)`` in exact integer arithmetic."""
+    """``floor(total * p/q + 1/2)`` in exact integer arithmetic: with
+    ``total = a * q + r`` it is ``a * p + floor((2 * p * r + q) / (2 * q))``, whose
+    terms stay below 2^63 for q up to 1e9 and totals up to 9e18 / p * q."""
     p, q = fraction.numerator, fraction.denominator
-    return F.floor((F.lit(2 * p) * total + F.lit(q)) / F.lit(2 * q)).cast("bigint")
+    total = total.cast("bigint")
+    whole = F.call_function("div", total, F.lit(q).cast("bigint"))
+    rest = total % F.lit(q).cast("bigint")
+    part = F.call_function("div", F.lit(2 * p).cast("bigint") * rest + F.lit(q).cast("bigint"),
+                           F.lit(2 * q).cast("bigint"))
+    return (whole * F.lit(p).cast("bigint") + part).cast("bigint")
 
 
-def _rank_rows(df: DataFrame, key: str, seed: int, hex_digits: int, unique_key: bool,
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def key_text(key: str | Sequence[str]):
+    """One column's text, or the texts of a composite key joined unambiguously."""
+    keys = _keys(key)
+    if len(keys) == 1:
+        return F.col(keys[0]).cast("string")
+    texts = [F.coalesce(F.replace(F.replace(F.col(k).cast("string"), F.lit("\\"), F.lit("\\\\")),
+                                  F.lit("|"), F.lit("\\p")), F.lit("\\N")) for k in keys]
+    return F.concat_ws("|", *texts)
+
+
+def _rank_rows(df: DataFrame, key: str | Sequence[str], seed: int, hex_digits: int, unique_key: bool,
                partition_by: list[str], total: str | None) -> DataFrame:
     """Rank rows by ``(md5(key:seed), key)`` within ``partition_by``.
 
@@ -41,18 +63,18 @@ def _rank_rows(df: DataFrame, key: str, seed: int, hex_digits: int, unique_key:
     is range-partitioned: the partitioner splits even a run of identical
     copies across tasks.  Copies rank in stored-position order.
     """
-    d = df.withColumn("_h", keyed_md5(F.col(key), seed))
+    d = df.withColumn("_h", keyed_md5(key_text(key), seed))
     if unique_key:
         # Hash-prefix buckets sized from the data; the offsets table has
         # (#classes x 16^digits) rows, counted before it is broadcast.
-        return hash_row_number(d, "_h", [F.col("_h"), F.col(key)], partition_by, rn="_rn",
+        return hash_row_number(d, "_h", [F.col("_h"), *map(F.col, _keys(key))], partition_by, rn="_rn",
                                total=total, max_digits=hex_digits)
     d = materialize(d.withColumn("_u", F.monotonically_increasing_id()), "rank-input")
-    return exact_rank(d, [F.col("_h"), F.col(key), F.col("_u")], partition_by, rn="_rn",
+    return exact_rank(d, [F.col("_h"), *map(F.col, _keys(key)), F.col("_u")], partition_by, rn="_rn",
                       total=total).drop("_u")
 
 
-def stratified_split(df: DataFrame, key: str, label: str, test_fraction: str | float = "0.2",
+def stratified_split(df: DataFrame, key: str | Sequence[str], label: str, test_fraction: str | float = "0.2",
                      n_folds: int = 5, seed: int = 42, hex_digits: int = HEX_DIGITS,
                      unique_key: bool = True) -> DataFrame:
     """Add ``is_test`` (boolean) and ``fold`` (int, 0..n_folds-1).
@@ -61,6 +83,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: str | f
     ``round(n_class * test_fraction)`` are test (exact class proportions,
     disjoint, complete).  ``fold = (rank - 1) % n_folds`` gives balanced
     stratified folds; the training rows' folds feed cross-validation.
+    ``key`` may be a list of columns; their whole list orders and hashes the rows.
     Pass ``unique_key=False`` when the key may repeat (see :func:`_rank_rows`).
     """
     frac = Fraction(str(test_fraction)).limit_denominator(10 ** 9)
@@ -71,12 +94,12 @@ def stratified_split(df: DataFrame, key: str, label: str, test_fraction: str | f
             .drop("_h", "_rn", "_tot"))
 
 
-def train_test(df: DataFrame, key: str, label: str, **kw) -> tuple[DataFrame, DataFrame]:
+def train_test(df: DataFrame, key: str | Sequence[str], label: str, **kw) -> tuple[DataFrame, DataFrame]:
     s = stratified_split(df, key, label, **kw)
     return s.filter(~F.col("is_test")).drop("is_test"), s.filter("is_test").drop("is_test", "fold")
 
 
-def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42,
+def sample_with_replacement(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42,
                             draw_seed: int = 7, hex_digits: int = HEX_DIGITS,
                             unique_key: bool = True) -> DataFrame:
     """Exactly ``n`` rows drawn uniformly with replacement (seeded).
@@ -87,9 +110,9 @@ def sample_with_replacement(df: DataFrame, n: int, key: str, seed: int = 42,
     when ``n`` is small), so neither side passes through the driver.
     """
     if unique_key:
-        h = keyed_md5(F.col(key), seed)
+        h = keyed_md5(key_text(key), seed)
         # N is the sum of the (small) per-bucket counts: no extra input pass.
-        indexed, offs = hash_row_number(df.withColumn("_h", h), "_h", [F.col("_h"), F.col(key)],
+        indexed, offs = hash_row_number(df.withColumn("_h", h), "_h", [F.col("_h"), *map(F.col, _keys(key))],
                                         rn="_rn", max_digits=hex_digits, with_offsets=True)
         total = offs.agg(F.sum("_s__rn")).head()[0] or 0
     else:

@@ -148,18 +148,27 @@ def preview(spark, sf_dir):
 
 # --- 2.5 splits and sampling ---------------------------------------------
 def split_feature_rows(spark, sf_dir):
+    return split_columns(spark, sf_dir, None)
+
+
+def split_columns(spark, sf_dir, columns):
+    """The split of the feature table, or of the ``columns`` that a query uses beside
+    key and target: the others are pruned before the table is stored."""
     s = SETTINGS
     # The split reads the stored feature table, as the training job does
     # (the extract job writes it once); its counting pass then scans two
     # columns instead of re-running the join.
-    stored = materialize(feature_rows(spark, sf_dir), "feature-table")
-    return split.stratified_split(stored, s.primary_keys[0], s.target,
+    rows = feature_rows(spark, sf_dir)
+    if columns is not None:
+        rows = rows.select(*dict.fromkeys([*s.primary_keys, s.target, *columns]))
+    stored = materialize(rows, "feature-table")
+    return split.stratified_split(stored, s.primary_keys, s.target,
                                   s.test_fraction, s.n_folds, s.seed)
 
 
 @query
 def stratified_split(spark, sf_dir):
-    return split_feature_rows(spark, sf_dir).select("CustomerId", "Risk", "is_test")
+    return split_columns(spark, sf_dir, []).select("CustomerId", "Risk", "is_test")
 
 
 @query
@@ -184,7 +193,9 @@ CATEGORY_COLS = ["Sex", "Job", "Housing", "Purpose", "Saving_accounts", "Checkin
 
 @rounded
 def profile_columns(spark, sf_dir):
-    return profile.profile_columns(feature_rows(spark, sf_dir), PROFILE_COLS, exact=True)
+    """A1: exact profile, with a column that has no value at all."""
+    rows = feature_rows(spark, sf_dir).withColumn("Nothing", F.lit(None).cast("double"))
+    return profile.profile_columns(rows, [*PROFILE_COLS, "Nothing"], exact=True)
 
 
 @query
@@ -442,10 +453,14 @@ def stream_score(spark, sf_dir):
 @query
 def csv_roundtrip(spark, sf_dir):
     """Raw applications written as CSV, read back with the pandas null
-    tokens (``NA`` and empty become null) and an explicit schema."""
-    raw = applications(spark, sf_dir)
+    tokens (``NA`` and empty become null) and an explicit schema; ``Note`` has quotes
+    and line ends, padded values and tokens."""
+    note = (F.when(F.col("CustomerId") % 3 == 0, 'said "yes, please",\nthen left')
+            .when(F.col("CustomerId") % 3 == 1, "  padded ").otherwise("NA"))
+    raw = applications(spark, sf_dir).withColumn("Note", note)
     path = scratch_path(spark, "csv")
-    raw.write.option("header", "true").csv(path)
+    (raw.write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
     back = files.read_csv(spark, path, schema=raw.schema)
     return C.normalize_column_names(back)
 
@@ -470,12 +485,14 @@ def key_violations(spark, sf_dir):
 
 @query
 def latest_snapshot(spark, sf_dir):
-    """Two snapshots written (all rows, then Job < 3); the latest is read
-    back by partition pruning."""
+    """Two snapshots; the second keeps Job < 3, adds a column and makes Job
+    text.  The latest is read back with its own schema."""
     path = scratch_path(spark, "snapshots")
     feats = feature_rows(spark, sf_dir)
     tables.write_snapshot(feats, path)
-    tables.write_snapshot(feats.filter(F.col("Job") < 3), path)
+    changed = (feats.filter(F.col("Job") < 3).withColumn("Job", F.col("Job").cast("string"))
+               .withColumn("Adult_years", F.col("Age") - 18))
+    tables.write_snapshot(changed, path, keys=SETTINGS.primary_keys)
     return tables.read_snapshot(spark, path)
 
 

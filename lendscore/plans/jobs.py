@@ -14,6 +14,7 @@ from __future__ import annotations
 import argparse
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -23,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from ..config import CREDIT_RULES, FeatureRules, Settings, Tags, credit_settings
 from ..operators import clean, metrics, models, registry, split
-from ..session import get_spark, materialize, storage_root
+from ..session import Intermediates, get_spark, path_exists, publish, storage_root
 from ..sources import files, tables
 from ..streaming import scoring
 
@@ -52,13 +53,16 @@ def capture_schema(df: DataFrame, columns: list[str]) -> str:
     return df.select(*columns).schema.json()
 
 
-_SAFE_WIDENING = {("int", "bigint"), ("int", "double"), ("bigint", "double"), ("float", "double"),
-                  ("smallint", "int"), ("tinyint", "int")}
+# (input, model) types between which every value keeps its meaning.
+_SAFE_WIDENING = {("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("tinyint", "double"),
+                  ("smallint", "int"), ("smallint", "bigint"), ("smallint", "double"),
+                  ("int", "bigint"), ("int", "double"), ("bigint", "double"), ("float", "double")}
 
 
-def check_schema(df: DataFrame, schema_json: str) -> DataFrame:
-    """Select the model's input columns; a missing column or an unsafe type
-    change is an error, extra columns are ignored, safe widenings are cast."""
+def check_schema(df: DataFrame, schema_json: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The model's input columns, and those to ``keep``; a missing column or
+    a type that the model's cannot hold is an error, extra columns are
+    left out, safe widenings are cast."""
     want = StructType.fromJson(json.loads(schema_json))
     have = {f.name: f.dataType for f in df.schema.fields}
     cols, problems = [], []
@@ -67,21 +71,21 @@ def check_schema(df: DataFrame, schema_json: str) -> DataFrame:
             problems.append(f"missing column {f.name}")
             continue
         a, b = have[f.name].simpleString(), f.dataType.simpleString()
-        if a != b and (b, a) not in _SAFE_WIDENING and (a, b) not in _SAFE_WIDENING:
+        if a != b and (a, b) not in _SAFE_WIDENING:
             problems.append(f"column {f.name}: {a} does not match {b}")
         cols.append(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name))
     if problems:
         raise ValueError("input does not match the model signature: " + "; ".join(problems))
-    return df.select(*cols)
+    return df.select(*[F.col(f"`{c}`") for c in keep if c not in {f.name for f in want.fields}], *cols)
 
 
 # --- J1 extract -------------------------------------------------------------------
 def extract(p: Project, raw: DataFrame, rules: FeatureRules = CREDIT_RULES) -> int:
     """Raw rows -> normalised headers -> cleaned/encoded feature table,
-    written as a new snapshot; key constraints checked (raise on violation)."""
-    feats = clean.feature_table(raw, rules)
-    tables.assert_keys(feats, p.settings.primary_keys)
-    return tables.write_snapshot(feats, p.features_path)
+    written as a new snapshot; the key constraints are checked on the stored rows
+    before they are published (raise on violation)."""
+    return tables.write_snapshot(clean.feature_table(raw, rules), p.features_path,
+                                 keys=p.settings.primary_keys)
 
 
 def extract_csv(p: Project, path: str, schema: StructType | str | None = None) -> int:
@@ -96,9 +100,15 @@ def load_split(p: Project) -> tuple[DataFrame, DataFrame, int]:
         raise FileNotFoundError(f"no feature snapshot under {p.features_path}")
     s = p.settings
     feats = tables.read_snapshot(p.spark, p.features_path, snap)
-    sp = split.stratified_split(feats, s.primary_keys[0], s.target, s.test_fraction, s.n_folds, s.seed)
-    path = f"{p.root}/splits/snapshot={snap}"
-    sp.write.mode("overwrite").parquet(path)
+    spec = f"{s.target}-{s.test_fraction}-{s.n_folds}-{s.seed}"
+    path = f"{p.root}/splits/snapshot={snap}/{spec}"
+    if not path_exists(p.spark, path):  # the split is a function of snapshot and spec: write it once
+        staged = f"{p.root}/splits/_staging/{uuid.uuid4().hex}"
+        split.stratified_split(feats, s.primary_keys, s.target, s.test_fraction, s.n_folds, s.seed).write.parquet(staged)
+        try:
+            publish(p.spark, staged, path)
+        except FileExistsError:  # another job has published the same rows meanwhile
+            pass
     sp = p.spark.read.parquet(path)
     return sp.filter(~F.col("is_test")), sp.filter(F.col("is_test")), snap
 
@@ -109,12 +119,13 @@ def tune_job(p: Project, tags: Tags, n_trials: int = 100, parallelism: int = 4,
     train, _, snap = load_split(p)
     trials, scores = models.tune(train, p.settings, n_trials=n_trials, n_folds=p.settings.n_folds,
                                  seed=p.settings.seed, parallelism=parallelism, space=space)
-    study = f"hyperparameter_tuning_{registry.timestamp_label()}"
+    study = registry.study_name(registry.timestamp_label())
     best = max(range(len(trials)), key=lambda i: (scores[i], -i))
-    recs = [{"run_name": f"{study}/trial_{i}", "params": t, "tags": tags.to_dict(),
-             "metrics": {"precision_recall_score": sc}} for i, (t, sc) in enumerate(zip(trials, scores))]
-    recs.append({"run_name": study, "params": trials[best], "tags": tags.to_dict(),
-                 "metrics": {"precision_recall_score": scores[best], "feature_snapshot": snap}})
+    common = {"tags": tags.to_dict(), "experiment": p.settings.experiment_name}
+    recs = [{"run_name": f"{study}/trial_{i}", "params": t, "kind": "trial", **common,
+             "metrics": {registry.TUNING_METRIC: sc}} for i, (t, sc) in enumerate(zip(trials, scores))]
+    recs.append({"run_name": study, "params": trials[best], "kind": "study", **common,
+                 "metrics": {registry.TUNING_METRIC: scores[best], "feature_snapshot": snap}})
     registry.log_runs(p.spark, p.root, recs)
     return {"best_params": trials[best], "best_score": scores[best]}
 
@@ -123,26 +134,27 @@ def _evaluate_and_log(p: Project, model: PipelineModel, kind: str, train: DataFr
                       snap: int, tags: Tags, params: dict) -> tuple[str, dict]:
     s = p.settings
     run_id = uuid.uuid4().hex
-    scored = materialize(models.score(model, test, s.primary_keys, extra=[s.target]), "scored")
-    m = metrics.classifier_metrics(scored, s.target, models.P1).head().asDict()
+    with Intermediates(p.spark) as own:
+        scored = own.store(models.score(model, test, s.primary_keys, extra=[s.target]), "scored")
+        m = metrics.classifier_metrics(scored, s.target, models.P1).head().asDict()
     lineage = tables.dataset_lineage([("features", train.drop("is_test", "fold"), "training", snap),
                                       ("features", test.drop("is_test", "fold"), "testing", snap)], run_id)
     lineage.write.mode("append").parquet(f"{p.root}/lineage")
     registry.log_runs(p.spark, p.root, [{"run_id": run_id, "run_name": f"train_{kind}",
-                                         "params": params, "metrics": m, "tags": tags.to_dict()}])
+                                         "params": params, "metrics": m, "tags": tags.to_dict(),
+                                         "experiment": s.experiment_name}])
     return run_id, m
 
 
-def _save_model(p: Project, model: PipelineModel, train: DataFrame, run_id: str) -> tuple[int, str]:
+def _save_model(p: Project, model: PipelineModel, train: DataFrame, run_id: str, tags: Tags) -> tuple[int, str]:
+    """Claim a version, save the model under it, then record it: a version is never seen unsaved."""
     s = p.settings
-    prev = registry.read_versions(p.spark, p.root).filter(F.col("model_name") == s.model_name) \
-        .agg(F.max("version")).head()[0]
-    version = 1 if prev is None else int(prev) + 1
+    version = registry.claim_version(p.spark, p.root, s.model_name)
     path = p.model_path(version)
-    model.write().overwrite().save(f"{path}/pipeline")
+    model.save(f"{path}/pipeline")
     p.spark.createDataFrame([(capture_schema(train, s.model_features),)], "schema string") \
         .coalesce(1).write.mode("overwrite").text(f"{path}/schema")
-    registry.register_version(p.spark, p.root, s.model_name, path, run_id)
+    registry.register_version(p.spark, p.root, s.model_name, path, run_id, version=version, tags=tags.to_dict())
     return version, path
 
 
@@ -151,7 +163,7 @@ def train_baseline_job(p: Project, tags: Tags) -> dict:
     train, test, snap = load_split(p)
     model = models.fit(train, p.settings, "baseline")
     run_id, m = _evaluate_and_log(p, model, "baseline", train, test, snap, tags, {"C": 1.0})
-    version, _ = _save_model(p, model, train, run_id)
+    version, _ = _save_model(p, model, train, run_id, tags)
     return {"version": version, "metrics": m, "promoted": True}
 
 
@@ -160,8 +172,9 @@ def train_boosted_job(p: Project, tags: Tags, gate_metric: str = "pr_auc") -> di
     none), gated against the current champion on the same test rows."""
     s = p.settings
     train, test, snap = load_split(p)
-    params = registry.best_run_params(registry.read_runs(p.spark, p.root), "hyperparameter_tuning_%",
-                                      "precision_recall_score", s.hyperparameters)
+    params = registry.best_run_params(registry.read_runs(p.spark, p.root), f"{registry.STUDY_NAME}%",
+                                      registry.TUNING_METRIC, s.hyperparameters, s.experiment_name)
+    # Only what the classifier uses is passed on and logged.
     params = {k: v for k, v in params.items() if k in models.SEARCH_SPACE or k in s.hyperparameters}
     model = models.fit(train, s, "boosted", params)
     run_id, m = _evaluate_and_log(p, model, "boosted", train, test, snap, tags, params)
@@ -170,15 +183,14 @@ def train_boosted_job(p: Project, tags: Tags, gate_metric: str = "pr_auc") -> di
         promote = True
     else:
         old = load_model(p, champion.path)
-        both = (models.score(model, test, s.primary_keys, extra=[s.target])
-                .withColumnRenamed(models.P1, "new")
-                .join(models.score(old, test, s.primary_keys).select(*s.primary_keys, F.col(models.P1).alias("old")),
-                      s.primary_keys))
+        # Both models score the same row, one after the other: no join.
+        first = models.score(model, test, test.columns).withColumnRenamed(models.P1, "new").select(*test.columns, "new")
+        both = models.score(old, first, s.primary_keys, extra=[s.target, "new"]).withColumnRenamed(models.P1, "old")
         gate = metrics.promotion_gate(both, s.target, "new", "old", gate_metric).head()
         promote = bool(gate.promote)
     out = {"metrics": m, "promoted": promote, "params": params}
     if promote:
-        out["version"], _ = _save_model(p, model, train, run_id)
+        out["version"], _ = _save_model(p, model, train, run_id, tags)
     return out
 
 
@@ -199,7 +211,7 @@ def score_job(p: Project, source: DataFrame | None = None) -> DataFrame:
         raise LookupError(f"no registered version of {s.model_name}")
     model = load_model(p, v.path)
     data = source if source is not None else tables.read_snapshot(p.spark, p.features_path)
-    check_schema(data, model_schema(p, v.path))  # raises on a missing column or unsafe type
+    data = check_schema(data, model_schema(p, v.path), keep=s.primary_keys)
     return models.score(model, data, s.primary_keys, label_text="Credit risk prediction")
 
 
@@ -207,8 +219,11 @@ def stream_score_job(p: Project, source: str, sink: str, checkpoint: str) -> Dat
     """J5 (streaming): score files as they land, exactly once per input row."""
     s = p.settings
     v = registry.latest_version(registry.read_versions(p.spark, p.root), s.model_name).head()
+    if v is None:
+        raise LookupError(f"no registered version of {s.model_name}")
     model = load_model(p, v.path)
     schema = p.spark.read.parquet(source).schema
+    check_schema(p.spark.createDataFrame([], schema), model_schema(p, v.path))
     return scoring.run_available_now(p.spark, source, schema, model, s.primary_keys, models.P1,
                                      sink, checkpoint)
 

@@ -126,7 +126,12 @@ def _profile_part(c: str) -> str:
             f"count(DISTINCT {c}) AS n_distinct, {stats} FROM features")
 
 
-sql("profile_columns", with_features("\nUNION ALL\n".join(_profile_part(c) for c in PROFILE_COLS)))
+sql("profile_columns", with_features("\nUNION ALL\n".join(_profile_part(c) for c in PROFILE_COLS) + """
+UNION ALL
+SELECT 'Nothing' AS column_name, count(*) AS n_rows, count(*) AS n_null, CAST(0 AS BIGINT) AS n_distinct,
+       CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev, CAST(NULL AS DOUBLE) AS min,
+       CAST(NULL AS DOUBLE) AS p25, CAST(NULL AS DOUBLE) AS p50, CAST(NULL AS DOUBLE) AS p75,
+       CAST(NULL AS DOUBLE) AS max FROM features"""))
 sql("cardinality_plan", with_features("\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, "
     f"CASE WHEN count(DISTINCT {c}) > 2 THEN 'one_hot' WHEN count(DISTINCT {c}) = 2 THEN 'binary' "
@@ -273,7 +278,8 @@ sql("to_json_records", with_features(
 
 
 # --- 2.1 sources and sinks ---------------------------------------------------------
-sql("csv_roundtrip", ORACLE["nullify_tokens"])
+sql("csv_roundtrip", "SELECT *, CASE CustomerId % 3 WHEN 0 THEN 'said \"yes, please\",' || chr(10) || 'then left' "
+                     "WHEN 1 THEN '  padded ' END AS Note FROM (" + ORACLE["nullify_tokens"] + ")")
 sql("feature_table_roundtrip", ORACLE["feature_table"])
 sql("key_violations", with_features("""
 SELECT 'not_null:CustomerId' AS rule, CAST(count(*) - count(CustomerId) AS BIGINT) AS violations,
@@ -286,16 +292,27 @@ SELECT 'not_null:l_orderkey', CAST(count(*) - count(l_orderkey) AS BIGINT), 'lin
 UNION ALL
 SELECT 'primary_key:l_orderkey', CAST(COALESCE(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT), 'lineitem'
 FROM (SELECT count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey)"""))
-sql("latest_snapshot", with_features("SELECT * FROM features WHERE Job < 3"))
+sql("latest_snapshot", with_features("SELECT * REPLACE (CAST(Job AS VARCHAR) AS Job), "
+                                     "Age - 18 AS Adult_years FROM features WHERE Job < 3"))
 _DIGEST_COLS = ["CustomerId", "Age", "Sex", "Job", "Housing", "Saving_accounts", "Checking_account",
-                "Duration", "Purpose", "Risk", "Saving_accounts_ordinal_enc",
+                "Credit_amount", "Duration", "Purpose", "Risk", "Saving_accounts_ordinal_enc",
                 "Checking_account_ordinal_enc"]
-_ROWTEXT = "concat_ws('|', " + ", ".join(
-    f"COALESCE(CAST({c} AS VARCHAR), '\\N')" for c in _DIGEST_COLS) + ")"
+
+
+def _canonical(c: str) -> str:
+    if c == "Credit_amount":
+        text = (f"(CAST(floor({c} * 1e6) AS BIGINT) || '.' || "
+                f"CAST(floor(({c} * 1e6 - floor({c} * 1e6)) * 1e9) AS BIGINT))")
+    else:
+        text = rf"replace(replace(CAST({c} AS VARCHAR), '\', '\\'), '|', '\p')"
+    return rf"COALESCE({text}, '\N')"
+
+
+_ROWTEXT = "concat_ws('|', " + ", ".join(map(_canonical, _DIGEST_COLS)) + ")"
 sql("dataset_lineage", with_features(f"""
 SELECT 'run-0' AS run_id, 'credit_features' AS table_name, CAST(0 AS BIGINT) AS snapshot_id,
        context, count(*) AS n_rows,
-       CAST(sum(('0x' || substr(md5({_ROWTEXT}), 1, 8))::BIGINT) AS BIGINT) AS digest
+       CAST(sum(('0x' || substr(md5({_ROWTEXT}), 1, 14))::BIGINT) AS VARCHAR) AS digest
 FROM (SELECT *, CASE WHEN rn <= (2 * tot + 5) // 10 THEN 'testing' ELSE 'training' END AS context
       FROM ranked) GROUP BY context""", RANKED))
 

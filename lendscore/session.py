@@ -35,13 +35,17 @@ def get_spark(master: str | None = None, app_name: str = "lendscore",
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates, tables and stream state.
 
-    Uses the cluster's ``spark.checkpoint.dir``.  Only when the session has
-    none (a local test) is a private temporary folder created and set.
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a local session without
+    one gets a private temporary folder; on a cluster the executors
+    could not see it, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="lendscore-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
@@ -54,7 +58,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{storage_root(spark)}/lendscore/{name}-{uuid.uuid4().hex[:12]}"
 
 
-
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut the lineage by writing ``df`` as a parquet table under the shared
     storage root and reading it back.
@@ -67,3 +70,64 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return bool(fs.exists(p))
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in ``path``; none, if it does not exist."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create the empty marker file ``path``; False, if another writer has it."""
+    fs, p = _file_system(spark, path)
+    fs.mkdirs(p.getParent())
+    return not fs.exists(p) and bool(fs.createNewFile(p))
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Move a finished folder to its final place, which must not exist."""
+    fs, p = _file_system(spark, staged)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs.mkdirs(target.getParent())
+    if fs.exists(target) or not fs.rename(p, target):
+        raise FileExistsError(f"{path} exists already")
+
+
+class Intermediates:
+    """Stored intermediates of one job, removed when the job is done::
+
+        with Intermediates(spark) as own:
+            table = own.store(df, "scored")
+            ...
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def store(self, df: DataFrame, name: str = "stage") -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def __enter__(self) -> Intermediates:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            fs, p = _file_system(self.spark, path)
+            fs.delete(p, True)
+        self.paths.clear()

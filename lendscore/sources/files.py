@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 from ..functions.columns import nullify
 
@@ -21,34 +21,40 @@ PANDAS_NULL_TOKENS = (
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              null_tokens: Iterable[str] = PANDAS_NULL_TOKENS,
-             infer: bool = False) -> DataFrame:
+             infer: bool = False, multi_line: bool = True) -> DataFrame:
     """Read a headered CSV the way the pipeline expects.
 
     Every string column is read as text first so that *all* null tokens can
     be nulled (the CSV reader's ``nullValue`` takes only one token), then
-    cast to ``schema`` if given.  Splits are per file block, so a 100 TB
-    directory is read in parallel; pass a schema in production (inference
-    is an extra full pass).
+    cast to ``schema`` if given.  Values that are no token stay as they are, spaces
+    included; quotes are doubled inside quotes (RFC 4180).  Quoted values
+    may hold line ends, which makes each file one task: write many files, or pass
+    ``multi_line=False`` for files without such values, whose blocks are then read
+    in parallel.  Pass a schema in production (inference is an extra full pass,
+    after the tokens are nulled).
     """
     tokens = list(null_tokens)
-    reader = spark.read.option("header", "true").option("mode", "FAILFAST")
+    raw = (spark.read.option("header", "true").option("mode", "FAILFAST").option("quote", '"').option("escape", '"')
+           .option("multiLine", str(multi_line).lower()).csv(path))  # all strings
+    df = raw.select(*[nullify(F.col(f"`{f.name}`"), tokens).alias(f.name) for f in raw.schema.fields])
     if schema is None and infer:
-        raw = reader.option("inferSchema", "true").csv(path)
-    else:
-        raw = reader.csv(path)  # all strings
-    cols = []
-    for f in raw.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, StringType):
-            c = nullify(F.trim(c) if "" in tokens else c, tokens)
-        cols.append(c.alias(f.name))
-    df = raw.select(*cols)
+        schema = _inferred(df)
     if schema is not None:
         st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
         df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
     return df
 
 
+def _inferred(df: DataFrame) -> StructType:
+    """Per column the first of bigint, double and boolean that takes all its values, or string."""
+    kinds = ("bigint", "double", "boolean")
+    aggs = [F.bool_and(F.col(f"`{c}`").try_cast(k).isNotNull() | F.col(f"`{c}`").isNull()).alias(f"{i}_{k}")
+            for i, c in enumerate(df.columns) for k in kinds]
+    fits = df.agg(*aggs).first()
+    return StructType.fromDDL(", ".join(
+        f"`{c}` " + next((k for k in kinds if fits[f"{i}_{k}"]), "string") for i, c in enumerate(df.columns)))
+
+
 def to_json_records(df: DataFrame, columns: list[str] | None = None,
                     column_name: str = "record") -> DataFrame:
     """I8: one JSON object per row; NaN becomes null and nulls are kept."""

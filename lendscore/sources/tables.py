@@ -1,19 +1,23 @@
 """I4 table overwrite, I5 key checks, I6 snapshots, I7 dataset lineage.
 
 Tables are plain parquet directories under the shared storage root (or
-session-catalog tables).  A feature table is written once per snapshot into
-``snapshot_id=<n>`` partitions, so "read as of" is partition pruning and
-training/test both record the snapshot they read (resolved *before* the
-read, so no race with a concurrent writer).
+session-catalog tables).  A feature table is written once per snapshot into a
+``snapshot_id=<n>`` folder, so "read as of" reads that folder alone, with its own
+schema, and training/test both record the snapshot they read (resolved
+*before* the read, so no race with a concurrent writer).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType, BooleanType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, DataType, DoubleType, FloatType, MapType, StructType, TimestampType)
+
+from ..session import child_names, claim, publish
 
 SNAPSHOT_COL = "snapshot_id"
 
@@ -67,35 +71,45 @@ def assert_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"key constraint violated: {[(r.rule, r.violations) for r in bad]}")
 
 
-def write_snapshot(df: DataFrame, path: str, snapshot_id: int | None = None) -> int:
-    """Append ``df`` as a new snapshot partition; returns its id (previous+1)."""
+def snapshot_path(path: str, snapshot_id: int) -> str:
+    return f"{path}/{SNAPSHOT_COL}={snapshot_id}"
+
+
+def write_snapshot(df: DataFrame, path: str, snapshot_id: int | None = None,
+                   keys: Sequence[str] = ()) -> int:
+    """Store ``df`` as a new snapshot with a schema of its own; returns its id.
+
+    The rows are staged, the stored rows' ``keys`` are checked, and only then is the
+    folder published.  An id is claimed by a marker file first, so two writers
+    get two ids; a given id that exists already fails.
+    """
     spark = df.sparkSession
+    staged = f"{path}/_staging/{uuid.uuid4().hex}"
+    df.drop(SNAPSHOT_COL).write.parquet(staged)
+    if keys:
+        assert_keys(spark.read.parquet(staged), keys)
     if snapshot_id is None:
-        prev = latest_snapshot_id(spark, path)
-        snapshot_id = 0 if prev is None else prev + 1
-    (df.withColumn(SNAPSHOT_COL, F.lit(snapshot_id).cast("bigint"))
-       .write.mode("append").partitionBy(SNAPSHOT_COL).parquet(path))
+        last = latest_snapshot_id(spark, path)
+        snapshot_id = 0 if last is None else last + 1
+        while not claim(spark, f"{path}/_claims/{snapshot_id}"):
+            snapshot_id += 1
+    publish(spark, staged, snapshot_path(path, snapshot_id))
     return snapshot_id
 
 
 def latest_snapshot_id(spark: SparkSession, path: str) -> int | None:
-    """Newest snapshot id from partition metadata only (no data read)."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # no table yet
-        return None
-    row = df.select(F.max(SNAPSHOT_COL)).head()
-    return None if row is None or row[0] is None else int(row[0])
+    """Newest published snapshot, from the folder listing (no file is read)."""
+    ids = [int(name.split("=", 1)[1]) for name in child_names(spark, path) if name.startswith(f"{SNAPSHOT_COL}=")]
+    return max(ids, default=None)
 
 
 def read_snapshot(spark: SparkSession, path: str, snapshot_id: int | None = None) -> DataFrame:
-    """Read one snapshot ("as of"); default the latest.  Partition-pruned."""
+    """One snapshot ("as of"; default the latest) with the schema it was written with."""
     if snapshot_id is None:
         snapshot_id = latest_snapshot_id(spark, path)
         if snapshot_id is None:
             raise FileNotFoundError(f"no snapshot under {path}")
-    return (spark.read.parquet(path).filter(F.col(SNAPSHOT_COL) == F.lit(snapshot_id))
-            .drop(SNAPSHOT_COL))
+    return spark.read.parquet(snapshot_path(path, snapshot_id))
 
 
 def latest_snapshot(df: DataFrame, snapshot_col: str = SNAPSHOT_COL) -> DataFrame:
@@ -109,20 +123,41 @@ def latest_snapshot(df: DataFrame, snapshot_col: str = SNAPSHOT_COL) -> DataFram
               .drop("_latest"))
 
 
+def canonical_text(col: Column, kind: DataType) -> Column:
+    """Text of a value that other engines can form alike; null as ``\\N``.
+
+    Fractions are split into millionths and 1e-15ths of what remains (plain
+    IEEE arithmetic and integers); times count microseconds; the separator and
+    the backslash are escaped; nested values are their JSON.
+    """
+    if isinstance(kind, (FloatType, DoubleType)):
+        x = col.cast("double")
+        whole = F.floor(x * F.lit(1e6))
+        rest = F.floor((x * F.lit(1e6) - whole.cast("double")) * F.lit(1e9))
+        text = F.when(F.isnan(x), "NaN").when(F.abs(x) >= F.lit(9e12), F.concat(
+            F.lit("e"), F.floor(x / F.lit(1e12)).cast("string"), F.lit("."), F.floor(F.pmod(x, F.lit(1e12))).cast("string"))
+        ).otherwise(F.concat(whole.cast("string"), F.lit("."), rest.cast("string")))
+    elif isinstance(kind, TimestampType):
+        text = F.unix_micros(col).cast("string")
+    elif isinstance(kind, BinaryType):
+        text = F.hex(col)
+    elif isinstance(kind, (ArrayType, MapType, StructType)):
+        text = F.to_json(col if not isinstance(kind, MapType) else F.map_entries(col))
+    else:
+        text = col.cast("string")
+    text = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\p"))
+    return F.coalesce(text, F.lit("\\N"))
+
+
 def content_digest(df: DataFrame) -> Column:
-    """Order-insensitive digest of integer/string/boolean columns.
+    """Order-insensitive digest of every column.
 
-    Per row: md5 over the text of those columns joined by ``|`` (null as
-    ``\\N``), first 8 hex digits as an integer; the digest is their sum.
-    Doubles are left out because their text form differs between engines.
+    Per row: md5 over the :func:`canonical_text` of all columns joined by ``|``, its first
+    14 hex digits as an integer; the digest is their exact sum.
     """
-    parts = [F.coalesce(F.col(f"`{f.name}`").cast("string"), F.lit("\\N"))
-             for f in df.schema.fields
-             if isinstance(f.dataType, (StringType, BooleanType))
-             or (isinstance(f.dataType, NumericType) and f.dataType.typeName() in
-                 ("byte", "short", "integer", "long"))]
-    row_hash = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("bigint")
-    return F.sum(row_hash)
+    parts = [canonical_text(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+    row_hash = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 14), 16, 10).cast("decimal(38,0)")
+    return F.sum(row_hash).cast("string")
 
 
 def dataset_lineage(datasets: Sequence[tuple[str, DataFrame, str, int | None]],
@@ -138,6 +173,6 @@ def dataset_lineage(datasets: Sequence[tuple[str, DataFrame, str, int | None]],
         row = df.agg(F.count(F.lit(1)).alias("n_rows"), content_digest(df).alias("digest")).select(
             F.lit(run_id).alias("run_id"), F.lit(table).alias("table_name"),
             F.lit(snap).cast("bigint").alias("snapshot_id"), F.lit(context).alias("context"),
-            F.col("n_rows"), F.col("digest").cast("bigint").alias("digest"))
+            F.col("n_rows"), F.col("digest"))
         out = row if out is None else out.unionByName(row)
     return out

@@ -7,11 +7,13 @@ from lendscore.operators import clean
 
 
 def raw_fixture(spark):
-    # The three-row frame of the reference's unit tests.
+    # One row per merge, token and real null of the credit rules.
     return spark.createDataFrame(
-        [(1, "rich", "rich", "own", "car", "good"),
-         (2, "little", "NA", "free", "domestic appliances", "bad"),
-         (3, "NA", "moderate", "rent", "repairs", "good")],
+        [(11, "quite rich", None, "rent", "vacation/others", "bad"),
+         (12, "moderate", "NA", "own", "business", "good"),
+         (13, None, "little", "free", "repairs", "bad"),
+         (14, "NA", "rich", "own", "domestic appliances", "good"),
+         (15, "little", "moderate", "own", None, "good")],
         "id long, `Saving-accounts` string, `Checking account` string, Housing string, "
         "Purpose string, Risk string")
 
@@ -40,9 +42,11 @@ def test_feature_table_fixture_rows(spark):
     got = [(r.id, r.Saving_accounts, r.Checking_account, r.Housing, r.Purpose, r.Risk,
             r.Saving_accounts_ordinal_enc, r.Checking_account_ordinal_enc) for r in out]
     assert got == [
-        (1, "rich", "rich", "own", "car", 0, 3, 2),
-        (2, "little", "no account/unknown", "non-own", "other", 1, 0, 3),
-        (3, "no account/unknown", "moderate", "non-own", "other", 0, 2, 1),
+        (11, "rich", "no account/unknown", "non-own", "other", 1, 3, 3),
+        (12, "moderate", "no account/unknown", "own", "business", 0, 1, 3),
+        (13, "no account/unknown", "little", "non-own", "other", 1, 2, 0),
+        (14, "no account/unknown", "rich", "own", "other", 0, 2, 2),
+        (15, "little", "moderate", "own", None, 0, 0, 1),
     ]
 
 
@@ -80,6 +84,14 @@ def test_decode_and_nan(spark):
     assert [(r["Credit risk prediction"], r.x) for r in out] == [("good", 2.0), ("bad", None)]
 
 
+def test_nan_to_null_keeps_float_and_any_header_renames(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.5,), (None,)], "`a``b.c` float")
+    named = normalize_column_names(df)
+    out = clean.nan_to_null(named)
+    assert named.columns == ["a_b_c"] and out.schema["a_b_c"].dataType.simpleString() == "float"
+    assert [r[0] for r in out.collect()] == [None, 1.5, None]
+
+
 def test_label_encode_decode_round_trip(spark):
     from lendscore.plans import catalog
     from tests.conftest import SF_SMALL

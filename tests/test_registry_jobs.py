@@ -1,3 +1,4 @@
+import os
 import tempfile
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from lendscore.config import Tags, credit_settings
 from lendscore.operators import registry
 from lendscore.plans import jobs
+from lendscore.sources import tables
 from lendscore.sources.applications import applications
 from lendscore.sources.tables import key_violations
 from tests.conftest import SF_SMALL
@@ -63,7 +65,7 @@ def test_jobs_end_to_end(spark):
     boost = jobs.train_boosted_job(p, tags)
     assert isinstance(boost["promoted"], bool)
     scores = jobs.score_job(p)
-    n = spark.read.parquet(p.features_path).count()
+    n = tables.read_snapshot(spark, p.features_path).count()
     assert scores.count() == n
     assert {r[0] for r in scores.select("Credit risk prediction").distinct().collect()} <= {"bad", "good"}
     with pytest.raises(ValueError, match="missing column"):
@@ -71,7 +73,7 @@ def test_jobs_end_to_end(spark):
         jobs.check_schema(scores, jobs.model_schema(p, v.path))
     # J5 streaming: files landing in a folder are scored by the registered model
     src = f"{root}/incoming"
-    spark.read.parquet(p.features_path).drop("snapshot_id").write.parquet(src)
+    tables.read_snapshot(spark, p.features_path).write.parquet(src)
     streamed = jobs.stream_score_job(p, src, f"{root}/stream_out", f"{root}/stream_ck")
     assert sorted(map(tuple, streamed.select("CustomerId", "prediction").collect())) == \
         sorted(map(tuple, scores.select("CustomerId", "prediction").collect()))
@@ -81,6 +83,45 @@ def test_jobs_end_to_end(spark):
     assert lineage.filter("context = 'training'").count() == 2
 
 
+def test_schema_check_is_one_way(spark):
+    want = jobs.capture_schema(spark.createDataFrame([], "a int, b double"), ["a", "b"])
+    with pytest.raises(ValueError, match="column a"):
+        jobs.check_schema(spark.createDataFrame([], "a double, b double"), want)
+    got = jobs.check_schema(spark.createDataFrame([(7, 1, 2)], "k long, a smallint, b int"), want, keep=["k"])
+    assert got.dtypes == [("k", "bigint"), ("a", "int"), ("b", "double")]
+
+
+def test_unreadable_table_is_no_empty_table(spark):
+    root = tempfile.mkdtemp(prefix="broken-")
+    assert registry.read_versions(spark, root).count() == 0
+    os.makedirs(f"{root}/versions")
+    with open(f"{root}/versions/part-0.parquet", "w") as fh:
+        fh.write("no parquet")
+    with pytest.raises(Exception):
+        registry.register_version(spark, root, "m", "/p", "r")
+
+
+def test_two_writers_get_two_versions(spark):
+    root = tempfile.mkdtemp(prefix="versions-")
+    assert registry.claim_version(spark, root, "m") == 1
+    assert registry.claim_version(spark, root, "m") == 2
+    registry.register_version(spark, root, "m", "/p2", "r", version=2, tags={"git_sha": "x"})
+    row = registry.latest_version(registry.read_versions(spark, root), "m").head()
+    assert (row.version, row.path) == (2, "/p2")
+    assert registry.claim_version(spark, root, "m") == 3
+
+
+def test_trials_and_other_experiments_do_not_win(spark):
+    root = tempfile.mkdtemp(prefix="runs-")
+    name, metric = registry.study_name("x"), registry.TUNING_METRIC
+    registry.log_runs(spark, root, [
+        {"run_name": name, "kind": "study", "experiment": "e", "params": {"n_estimators": 7}, "metrics": {metric: 0.5}},
+        {"run_name": f"{name}/trial_0", "kind": "trial", "experiment": "e", "params": {"n_estimators": 9}, "metrics": {metric: 0.9}},
+        {"run_name": name, "kind": "study", "experiment": "f", "params": {"n_estimators": 8}, "metrics": {metric: 0.8}}])
+    best = registry.best_run_params(registry.read_runs(spark, root), f"{registry.STUDY_NAME}%", metric, {"n_estimators": 1}, "e")
+    assert best == {"n_estimators": 7}
+
+
 def test_settings_env():
     with pytest.raises(ValueError):
         credit_settings("staging")

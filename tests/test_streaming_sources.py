@@ -1,5 +1,8 @@
 import tempfile
 
+import pytest
+from pyspark.sql import functions as F
+
 from lendscore.operators import models
 from lendscore.plans import catalog
 from lendscore.sources import files, tables
@@ -45,6 +48,65 @@ def test_snapshots(spark):
     assert tables.write_snapshot(df.filter("id < 3"), path) == 1
     assert tables.read_snapshot(spark, path).count() == 3
     assert tables.read_snapshot(spark, path, 0).count() == 10
-    plan = tables.read_snapshot(spark, path)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "snapshot_id" in plan
-    assert tables.latest_snapshot(spark.read.parquet(path)).count() == 3
+    # A snapshot keeps its own schema, and only its own folder is read.
+    assert tables.write_snapshot(df.select(F.col("id").cast("string"), F.lit(1).alias("more")), path) == 2
+    assert tables.read_snapshot(spark, path).dtypes == [("id", "string"), ("more", "int")]
+    assert tables.read_snapshot(spark, path, 0).dtypes == [("id", "bigint")]
+    assert all("snapshot_id=2" in f for f in tables.read_snapshot(spark, path).inputFiles())
+    with pytest.raises(FileExistsError):
+        tables.write_snapshot(df, path, 1)
+    with pytest.raises(ValueError, match="key constraint"):
+        tables.write_snapshot(df.union(df), path, keys=["id"])
+    assert tables.latest_snapshot_id(spark, path) == 2
+
+
+def test_two_writers_get_two_snapshots(spark):
+    from lendscore.session import claim
+    path = tempfile.mkdtemp(prefix="snap-") + "/t"
+    assert claim(spark, f"{path}/_claims/0") and not claim(spark, f"{path}/_claims/0")
+    assert tables.write_snapshot(spark.range(2), path) == 1
+    assert tables.latest_snapshot_id(spark, path) == 1
+
+
+def test_csv_keeps_values(spark):
+    path = tempfile.mkdtemp(prefix="csv-") + "/t.csv"
+    with open(path, "w") as fh:
+        fh.write('id,s,x\n1," car ",NA\n2,"a ""b"" c",1.5\n3,"two\nlines",2\n')
+    df = files.read_csv(spark, path, infer=True)
+    assert df.dtypes == [("id", "bigint"), ("s", "string"), ("x", "double")]
+    assert [tuple(r) for r in df.orderBy("id").collect()] == [(1, " car ", None), (2, 'a "b" c', 1.5), (3, "two\nlines", 2.0)]
+
+
+def test_digest_sees_every_column(spark):
+    base = spark.createDataFrame([(1, 1.5, "a|b", "c"), (2, None, None, "d")], "i int, x double, s string, t string")
+    digest = lambda df: df.agg(tables.content_digest(df)).head()[0]
+    same = digest(base)
+    assert digest(base.orderBy("i", ascending=False)) == same
+    assert digest(base.withColumn("x", F.col("x") + 1e-9)) != same
+    moved = spark.createDataFrame([(1, 1.5, "a", "b|c"), (2, None, None, "d")], base.schema)
+    assert digest(moved) != same
+
+
+def test_profile_keeps_empty_columns(spark):
+    from lendscore.operators.profile import profile_columns
+    df = spark.createDataFrame([(1, None), (2, None)], "a int, b double")
+    rows = {r["column_name"]: r for r in profile_columns(df, exact=True).collect()}
+    assert set(rows) == {"a", "b"} and rows["b"]["n_distinct"] == 0 and rows["b"]["n_null"] == 2
+
+
+def test_storage_root_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lendscore.session import storage_root
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage_root(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
+
+
+def test_intermediates_are_removed(spark):
+    from lendscore.session import Intermediates, path_exists
+    with Intermediates(spark) as own:
+        assert own.store(spark.range(3)).count() == 3
+        kept = list(own.paths)
+        assert all(path_exists(spark, p) for p in kept)
+    assert not any(path_exists(spark, p) for p in kept)

@@ -31,12 +31,16 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents that links join, the one with the smallest id (shingles of
-    five words, similarity 0.8); texts without words are no copies and stay."""
+    five words, similarity 0.8), and one of rows that repeat it; texts without words are no
+    copies and stay."""
     find_package(spark)
     groups = jaccard_join.components(docs, shingle=5, percent=80)
     copies = groups.filter("component_id != doc_id").select("doc_id").distinct()
     kept = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
-    return kept.dropDuplicates(["doc_id"]) if has_repeated_ids(kept) else kept
+    if not has_repeated_ids(kept):
+        return kept
+    named = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
+    return named.unionByName(kept.filter("doc_id IS NULL"))
 
 
 def has_repeated_ids(docs: DataFrame) -> bool:

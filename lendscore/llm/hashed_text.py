@@ -94,10 +94,7 @@ def training_table(labelled: DataFrame, terms: Callable, max_rows: int, text_col
 
     shard = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(SHARDS)).cast("int")
     out = rows.select(shard.alias("shard"), "label", F.xxhash64("text").alias("h"), hashed(F.col("text")).alias("terms"))
-    table = materialize(out.select("shard", "label", "h", "terms.at", "terms.value"), "training")
-    if table.isEmpty():
-        raise ValueError("no labelled rows to learn from")
-    return table
+    return materialize(out.select("shard", "label", "h", "terms.at", "terms.value"), "training")
 
 
 def averaged_fit(table: DataFrame, start: list[np.ndarray], epoch: Callable, rounds: int) -> list[np.ndarray]:

@@ -18,8 +18,8 @@ a piece of its own gets one shared piece of the same probability everywhere.
 
 Defined results: a null text, an empty one and one without letters give
 ``und`` with score 1.0; a tie goes to the language that sorts first; repeated
-rows are scored alike; an empty or unlabelled training table fails the
-fit; columns named like the output are replaced, all others pass through.
+rows are scored alike; where there was nothing to learn from, every text is ``und``;
+columns named like the output are replaced, all others pass through.
 """
 
 from __future__ import annotations
@@ -215,11 +215,11 @@ def fit(labelled: DataFrame, pieces_path: str, text_col: str = "text", lang_col:
                .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     table = materialize(counted, "langid-words")
     totals = {r["lang"]: r["n"] for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    if not totals:
-        raise ValueError("no labelled text with letters to learn languages from")
     langs = sorted(totals)
     prior = np.array([totals[k] for k in langs], dtype=float)
     pieces = read_pieces(pieces_path)
+    if not langs:
+        return LanguageModel([], prior, pieces, np.empty((len(pieces) + 1, 0)))
     probs = np.full((len(pieces) + 1, len(langs)), 1.0 / len(pieces))
     sc = table.sparkSession.sparkContext
     for _ in range(rounds):
@@ -290,6 +290,8 @@ _SCORERS: dict = {}
 def predict(df: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang_pred",
             score_col: str = "score") -> DataFrame:
     """``df`` with the language of each text and its posterior probability."""
+    if not model.languages:
+        return df.withColumns({lang_col: F.lit(UNDETERMINED), score_col: F.lit(1.0)})
     held, uid = df.sparkSession.sparkContext.broadcast(model), model.uid
 
     @F.arrow_udf(T.StructType().add("lang", T.StringType()).add("score", T.DoubleType()))

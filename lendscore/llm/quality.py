@@ -10,8 +10,8 @@ sample of rated rows (``MAX_TRAINING_ROWS``, by text hash) and ``averaged_fit``;
 has the same weight in sum.  Scoring is an Arrow UDF without a shuffle.
 
 Defined results: null and empty texts have no terms and level 0; ties and repeated rows
-score alike; fewer than two different grades, or grades that are not 0..K-1, fail; columns
-named like the output are replaced, all others pass through.
+score alike; K is the largest grade + 1, 2 at least; without rated rows every text has
+level 0 and one threshold at 0; negative grades fail; columns named like the output are replaced, all others pass through.
 """
 
 from __future__ import annotations
@@ -81,9 +81,11 @@ def fit(rated: DataFrame, text_col: str = "text", grade_col: str = "grade",
     """Learn from the rows of ``rated`` with a grade 0..K-1."""
     table = training_table(rated, frequencies, max_rows, text_col, grade_col)
     counts = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}
-    grades = max(counts) + 1
-    if len(counts) < 2 or min(counts) < 0 or len(counts) != grades:
-        raise ValueError(f"grades must be 0..K-1 with K > 1, found {sorted(counts)}")
+    if any(g < 0 for g in counts):
+        raise ValueError(f"grades are 0..K-1, found {sorted(counts)}")
+    grades = max([1, *counts]) + 1
+    if not counts:
+        return OrdinalModel(np.zeros(1 << BITS, np.float32), np.zeros(1, np.float32))
     total = sum(counts.values())
     weight = {k: total / (grades * n) for k, n in counts.items()}
     start = [np.zeros(1 << BITS), np.linspace(-1.0, 1.0, grades - 1) if grades > 2 else np.zeros(1)]

@@ -15,8 +15,8 @@ uses a bounded, documented sample of labelled rows (``MAX_TRAINING_ROWS``, by te
 Scoring is an Arrow UDF without a shuffle.
 
 Defined results: null and empty texts have no terms and score by the bias; ties and
-repeated rows score alike; a training table without both labels fails;
-columns named like the output are replaced, all others pass through.
+repeated rows score alike; without both labels to learn from, every text gets their
+smoothed share; labels other than 0 and 1 fail; columns named like the output are replaced, all others pass through.
 """
 
 from __future__ import annotations
@@ -105,9 +105,13 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     """Learn from the rows of ``labelled`` whose label is 0 or 1."""
     table = training_table(labelled, presence, max_rows, text_col, label_col)
     counts = {r["label"]: r["count"] for r in table.groupBy("label").count().collect()}
-    if set(counts) != {0, 1}:
-        raise ValueError(f"toxicity needs labels 0 and 1, found {sorted(counts)}")
+    if not set(counts) <= {0, 1}:
+        raise ValueError(f"toxicity labels are 0 and 1, found {sorted(counts)}")
     total = sum(counts.values())
+    if len(counts) < 2:
+        share = (counts.get(1, 0) + 0.5) / (total + 2)
+        return FactorMachine(np.full(1 << BITS, -1, dtype=np.int32), log_odds(np.empty(0), np.empty(0), share),
+                             *first_params(0, share))
     weight = {k: (total / (2.0 * n)) ** 0.5 for k, n in counts.items()}
     share = counts[1] / total
     expected, spread = F.col("n") * share, F.sqrt(F.col("n") * (share * (1 - share)))

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -28,10 +28,10 @@ from ..session import materialize, scratch_path
 from .profile import long_values
 from .ranking import exact_rank
 
-# A dictionary larger than this is not collected; it stays a table.
-MAX_COLLECTED_CATEGORIES = 100_000
-# A stored dictionary up to this many entries is broadcast when applied.
-MAX_BROADCAST_DICTIONARY = 1_000_000
+# A dictionary larger than this stays a table and is applied by a join.
+MAX_COLLECTED_CATEGORIES = 1_000
+# A stored dictionary of up to this many bytes is broadcast when applied.
+MAX_BROADCAST_BYTES = 32 << 20
 
 
 def _q(c: str) -> Column:
@@ -56,7 +56,7 @@ def _native(v: str, num: float | None, dtype) -> Any:
 
 
 def fit_dictionaries(df: DataFrame, cols: Sequence[str],
-                     max_size: int = MAX_COLLECTED_CATEGORIES) -> dict[str, list[Any]]:
+                     max_size: int = 100_000) -> dict[str, list[Any]]:
     """Sorted distinct non-null values per column, in the column's *native*
     order (numbers numerically -- not as text).  Raises if a column has more
     than ``max_size`` values; use :func:`dictionary_frame` for those."""
@@ -84,7 +84,8 @@ def _split_dictionaries(df: DataFrame, cols: Sequence[str], max_size: int):
 def dictionary_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A6 as a DataFrame: ``(column_name, value, code)`` with ``code`` the
     0-based position in native sort order.  Exact for any cardinality: the
-    ranking is range-partitioned, never one task per column."""
+    ranking is range-partitioned, never one task per column.  Beyond 2^31 values of
+    one column the ``int`` cast fails (ANSI) instead of wrapping."""
     lv = long_values(df, cols).filter(F.col("value").isNotNull()).distinct()
     r = exact_rank(lv, [F.col("num"), F.col("value")], ["column_name"], rn="_rn")
     return r.select("column_name", "value", (F.col("_rn") - 1).cast("int").alias("code"))
@@ -126,10 +127,15 @@ def _value_kind(df: DataFrame, c: str) -> str:
     return df.schema[c].dataType.simpleString()
 
 
-def _code_map(values: list, kind: str) -> Column:
-    """Constant ``{category: position}`` map keyed in the column's own type."""
-    return F.create_map(*[x for i, v in enumerate(values)
-                          for x in (F.lit(v).cast(kind), F.lit(i))])
+def _code_of(c: str, values: list, kind: str) -> Column:
+    """Position of a column's value in a collected dictionary, or null."""
+    if kind in ("double", "float") or kind.startswith("decimal"):  # by value: their texts differ by engine
+        return F.try_element_at(F.create_map(*[x for i, v in enumerate(values)
+                                               for x in (F.lit(v).cast(kind), F.lit(i))]), _q(c))
+    texts = [str(v).lower() if kind == "boolean" else str(v) for v in values]
+    # One literal, whatever the number of values; the optimizer folds it once.
+    positions = F.from_json(F.lit(json.dumps({t: i for i, t in enumerate(texts)})), "map<string,int>")
+    return F.try_element_at(positions, _q(c).cast("string"))
 
 
 # --- F1 -------------------------------------------------------------------
@@ -178,36 +184,66 @@ class _DictionaryEstimator(Estimator, _ColsStage):
         return category_state(df, self.getInputCols(), limit)
 
 
-def category_state(df: DataFrame, cols: Sequence[str], limit: int = MAX_COLLECTED_CATEGORIES,
-                   allow_large: bool = False) -> dict:
+def category_state(df: DataFrame, cols: Sequence[str], limit: int = MAX_COLLECTED_CATEGORIES) -> dict:
     """Fitted state of the dictionary stages for ``cols`` (one pass for all).
 
-    With ``allow_large`` a column whose dictionary exceeds ``limit`` is ranked
-    distributedly and stored as a table under the shared storage root
-    (``{"path": ..., "size": n}``) instead of being collected.
+    A column whose dictionary exceeds ``limit`` is ranked distributedly and
+    stored as a table under the shared storage root (``{"path": ..., "size":
+    n, "bytes": b}``) instead of being collected; either form gives the same codes.
     """
     small, large = _split_dictionaries(df, cols, limit)
-    if large and not allow_large:
-        raise ValueError(f"dictionaries too large to collect {large}; use dictionary_frame()")
-    state = {c: {"kind": _value_kind(df, c), "values": small[c]} for c in small}
+    state = {c: {"kind": _value_kind(df, c), "values": small[c], "size": len(small[c])} for c in small}
     for c, n in large.items():
         path = scratch_path(df.sparkSession, f"dictionary-{c}")
         dictionary_frame(df, [c]).select("value", "code").write.parquet(path)
-        state[c] = {"kind": _value_kind(df, c), "path": path, "size": int(n)}
+        size = df.sparkSession.read.parquet(path).agg(F.sum(F.octet_length("value") + 16)).head()[0]
+        state[c] = {"kind": _value_kind(df, c), "path": path, "size": int(n), "bytes": int(size)}
     return state
 
 
 class OneHotColumns(_DictionaryEstimator, DefaultParamsReadable, DefaultParamsWritable):
     """One 0/1 int column per category (sorted, none dropped): ``<col>_oh<i>``.
-    Unknown and null give all zeros."""
+    Unknown and null give all zeros.  A table can hold so many columns only; for
+    dictionaries of any size use :func:`one_hot_slots` or the sparse vectors of
+    the feature assembler."""
 
     @keyword_only
-    def __init__(self, inputCols=None, maxCategories=1000):
+    def __init__(self, inputCols=None):
         super().__init__()
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "OneHotColumnsModel":
-        return OneHotColumnsModel(inputCols=self.getInputCols(), state=json.dumps(self._fit_state(df)))
+        values = fit_dictionaries(df, self.getInputCols())
+        state = {c: {"kind": _value_kind(df, c), "values": v, "size": len(v)} for c, v in values.items()}
+        return OneHotColumnsModel(inputCols=self.getInputCols(), state=json.dumps(state))
+
+
+def one_hot_slots(df: DataFrame, key: Sequence[str], codes: "CategoryCodesModel") -> DataFrame:
+    """One-hot in sparse form: ``(key..., column_name, slot)`` per known value, for any
+    number of categories; unknown and null values have no row."""
+    coded = codes.transform(df)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(o).alias("slot"))
+                      for c, o in zip(codes.getInputCols(), codes._outs())])
+    return (coded.select(*key, F.explode(pairs).alias("_p")).select(*key, "_p.column_name", "_p.slot")
+            .filter(F.col("slot") >= 0))
+
+
+class UnknownLast(Transformer, _ColsStage, _JsonState, DefaultParamsReadable, DefaultParamsWritable):
+    """Codes for :class:`pyspark.ml.feature.OneHotEncoder`: -1 becomes the dictionary's size,
+    which the encoder's dropped last category then encodes as all zeros."""
+
+    @keyword_only
+    def __init__(self, inputCols=None, outputCols=None, state=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        size = self._state()
+        out = {}
+        for c, o in zip(self.getInputCols(), self._outs()):
+            meta = {"ml_attr": {"type": "nominal", "num_vals": size[c] + 1, "name": o}}
+            out[o] = F.when(_q(c) < 0, size[c]).otherwise(_q(c)).cast("double").alias(o, metadata=meta)
+        return df.select("*", *out.values())
 
 
 class OneHotColumnsModel(Model, _ColsStage, _JsonState, DefaultParamsReadable, DefaultParamsWritable):
@@ -250,16 +286,13 @@ class CategoryCodes(_DictionaryEstimator, DefaultParamsReadable, DefaultParamsWr
     """Code = position in the sorted training categories; unseen or null -> -1."""
 
     @keyword_only
-    def __init__(self, inputCols=None, outputCols=None, maxCategories=MAX_COLLECTED_CATEGORIES):
+    def __init__(self, inputCols=None, outputCols=None, maxCategories=None):
         super().__init__()
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "CategoryCodesModel":
-        limit = self.getOrDefault(self.maxCategories) if self.isDefined(self.maxCategories) \
-            else MAX_COLLECTED_CATEGORIES
-        state = category_state(df, self.getInputCols(), limit, allow_large=True)
         return CategoryCodesModel(inputCols=self.getInputCols(), outputCols=self._outs(),
-                                  state=json.dumps(state), onUnknown="minus_one")
+                                  state=json.dumps(self._fit_state(df)), onUnknown="minus_one")
 
 
 class CategoryCodesModel(Model, _ColsStage, _JsonState, DefaultParamsReadable, DefaultParamsWritable):
@@ -274,21 +307,21 @@ class CategoryCodesModel(Model, _ColsStage, _JsonState, DefaultParamsReadable, D
     def expressions(self) -> dict[str, Column]:
         """Constant-map lookups for the collected dictionaries."""
         st = self._state()
-        strict = self.getOrDefault(self.onUnknown) == "error"
         out = {}
         for c, o in zip(self.getInputCols(), self._outs()):
             if "path" in st[c]:
                 continue
             vals = _decode_keys(st[c]["values"], st[c]["kind"])
-            hit = F.try_element_at(_code_map(vals, st[c]["kind"]), _q(c))
-            if strict:
-                miss = F.raise_error(F.concat(F.lit(f"unknown category in {c}: "),
-                                              F.coalesce(_q(c).cast("string"), F.lit("null"))))
-                out[o] = F.when(hit.isNotNull(), hit).otherwise(miss.cast("int"))
-            else:
-                out[o] = F.coalesce(hit, F.lit(-1))
+            out[o] = self._or_unknown(c, _code_of(c, vals, st[c]["kind"]))
         return out
 
+    def _or_unknown(self, c: str, hit: Column) -> Column:
+        if self.getOrDefault(self.onUnknown) != "error":
+            return F.coalesce(hit, F.lit(-1))
+        miss = F.raise_error(F.concat(F.lit(f"unknown category in {c}: "),
+                                      F.coalesce(_q(c).cast("string"), F.lit("null"))))
+        return F.when(hit.isNotNull(), hit).otherwise(miss.cast("int"))
+
     def _transform(self, df: DataFrame) -> DataFrame:
         out = df.withColumns(self.expressions())
         st = self._state()
@@ -296,13 +329,13 @@ class CategoryCodesModel(Model, _ColsStage, _JsonState, DefaultParamsReadable, D
             if "path" not in st[c]:
                 continue
             # Large dictionary: equi-join on the value text.  Broadcast only
-            # when its counted size is small; otherwise a shuffle join (AQE
+            # when its counted bytes are few; otherwise a shuffle join (AQE
             # splits a skewed category's partition).
             d = df.sparkSession.read.parquet(st[c]["path"]).select(
                 F.col("value").alias(f"_dv_{o}"), F.col("code").alias(f"_dc_{o}"))
-            if st[c]["size"] <= MAX_BROADCAST_DICTIONARY:
+            if st[c]["bytes"] <= MAX_BROADCAST_BYTES:
                 d = F.broadcast(d)
             out = (out.join(d, _q(c).cast("string") == F.col(f"_dv_{o}"), "left")
-                      .withColumn(o, F.coalesce(F.col(f"_dc_{o}"), F.lit(-1)))
+                      .withColumn(o, self._or_unknown(c, F.col(f"_dc_{o}")))
                       .drop(f"_dv_{o}", f"_dc_{o}"))
         return out

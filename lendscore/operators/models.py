@@ -19,7 +19,7 @@ from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -29,15 +29,12 @@ from pyspark.sql import functions as F
 from ..config import Settings
 from ..functions.columns import decode_label
 from . import metrics
-from .features import (CategoryCodes, CategoryCodesModel, OneHotColumnsModel,
-                       PopulationStandardScaler, category_state)
+from .features import (CategoryCodes, CategoryCodesModel, PopulationStandardScaler, UnknownLast,
+                       category_state)
 
 FEATURES = "features"
 PROB = "probability"
 P1 = "p_positive"
-# One 0/1 column per category is meant for modest cardinalities.
-MAX_ONE_HOT = 1000
-
 
 # --- F5 ------------------------------------------------------------------------
 class FeatureAssembler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -75,18 +72,21 @@ class FeatureAssembler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         else:
             # One dictionary pass decides the blocks and fits both encoders.
             state = category_state(df, cats)
-            n = {c: len(state[c]["values"]) for c in cats}
+            n = {c: state[c]["size"] for c in cats}
             onehot = [c for c in cats if n[c] > 2]
-            wide = {c: n[c] for c in onehot if n[c] > MAX_ONE_HOT}
-            if wide:
-                raise ValueError(f"too many categories for one-hot {wide}; use mode='codes'")
             binary = [c for c in cats if n[c] == 2]
             self.dropped = [c for c in cats if n[c] < 2]
             if onehot:
-                m = OneHotColumnsModel(inputCols=onehot,
-                                       state=json.dumps({c: state[c] for c in onehot}))
-                stages.append(m)
-                inputs += m.output_names()
+                # Sparse blocks for any number of categories: code, then one-hot of the code.
+                codes, slots, vectors = ([f"{c}__{kind}" for c in onehot] for kind in ("code", "slot", "onehot"))
+                stages.append(CategoryCodesModel(inputCols=onehot, outputCols=codes, onUnknown="minus_one",
+                                                 state=json.dumps({c: state[c] for c in onehot})))
+                stages.append(UnknownLast(inputCols=codes, outputCols=slots,
+                                          state=json.dumps({k: n[c] for c, k in zip(onehot, codes)})))
+                encoder = OneHotEncoder(inputCols=slots, outputCols=vectors, dropLast=True)
+                # The sizes come from the columns' metadata: no row is read.
+                stages.append(encoder.fit(PipelineModel(stages[-2:]).transform(df)))
+                inputs += vectors
             if binary:
                 outs = [f"{c}__bin" for c in binary]
                 stages.append(CategoryCodesModel(inputCols=binary, outputCols=outs, onUnknown="error",

@@ -226,32 +226,34 @@ def derive_ordinal(spark, sf_dir):
 
 
 # --- 2.3 / 2.6 dictionaries, scaler and encoders (fit on train, apply to test)
-def split_tables(spark, sf_dir):
+def split_tables(spark, sf_dir, columns=None):
     """Train and test rows of one split, written once to the shared checkpoint
     folder (the way a job persists its split) so fit and transform both read
     it instead of re-ranking."""
-    s = materialize(split_feature_rows(spark, sf_dir), "split")
+    s = materialize(split_columns(spark, sf_dir, columns), "split")
     return s.filter(~F.col("is_test")), s.filter(F.col("is_test"))
 
 
-def train_rows(spark, sf_dir):
-    return split_feature_rows(spark, sf_dir).filter(~F.col("is_test"))
+def train_rows(spark, sf_dir, columns=None):
+    return split_columns(spark, sf_dir, columns).filter(~F.col("is_test"))
 
 
 @query
 def category_dictionary(spark, sf_dir):
-    return features.dictionary_frame(train_rows(spark, sf_dir), SETTINGS.categorical_features)
+    return features.dictionary_frame(train_rows(spark, sf_dir, SETTINGS.categorical_features),
+                                     SETTINGS.categorical_features)
 
 
 @rounded
 def scaler_stats(spark, sf_dir):
-    return features.scaler_stats(train_rows(spark, sf_dir), SETTINGS.numerical_features)
+    return features.scaler_stats(train_rows(spark, sf_dir, SETTINGS.numerical_features),
+                                 SETTINGS.numerical_features)
 
 
 @rounded
 def standard_scale(spark, sf_dir):
     nums = SETTINGS.numerical_features
-    train, test = split_tables(spark, sf_dir)
+    train, test = split_tables(spark, sf_dir, nums)
     m = features.PopulationStandardScaler(inputCols=nums).fit(train)
     return m.transform(test).select("CustomerId", *nums)
 
@@ -262,14 +264,51 @@ BINARY_COLS = ["Sex", "Housing"]
 
 @query
 def one_hot(spark, sf_dir):
-    train, test = split_tables(spark, sf_dir)
+    train, test = split_tables(spark, sf_dir, ONE_HOT_COLS)
     m = features.OneHotColumns(inputCols=ONE_HOT_COLS).fit(train)
     return m.transform(test).select("CustomerId", *m.output_names())
 
 
+@query
+def one_hot_many(spark, sf_dir):
+    """F2 over a column of many categories (order keys of the line items), as sparse slots."""
+    items = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    m = features.CategoryCodes(inputCols=["l_orderkey"], outputCols=["code"]).fit(items.filter("l_linenumber = 1"))
+    return features.one_hot_slots(items, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], m)
+
+
+@query
+def composite_split(spark, sf_dir):
+    """S1 / S2 on a composite key: line items stratified by return flag."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    items = read_table(spark, sf_dir, "lineitem").select(*keys, "l_returnflag")
+    return split.stratified_split(items, keys, "l_returnflag", "0.2", 5, 42)
+
+
+@query
+def schema_check(spark, sf_dir):
+    """The signature's columns, widened one way, beside the key."""
+    from .jobs import capture_schema, check_schema
+    rows = feature_rows(spark, sf_dir)
+    wide = rows.select(F.col("Age").cast("bigint"), F.col("Credit_amount"), F.col("Job").cast("double"))
+    return check_schema(rows, capture_schema(wide, wide.columns), keep=["CustomerId"])
+
+
+@query
+def registry_versions(spark, sf_dir):
+    """One version per order priority, registered in the order of its name, with the customers' number as tag."""
+    root = scratch_path(spark, "registry")
+    names = [r[0] for r in read_table(spark, sf_dir, "orders").groupBy("o_orderpriority").count()
+             .orderBy("o_orderpriority").collect()]
+    for name in names:  # five values: a registry entry each
+        registry.register_version(spark, root, "model", f"models/{name}", name, tags={"priority": name})
+    return registry.read_versions(spark, root).select("model_name", "version", "path", "run_id",
+                                                      F.col("tags")["priority"].alias("priority"))
+
+
 @query
 def binary_encode(spark, sf_dir):
-    train, test = split_tables(spark, sf_dir)
+    train, test = split_tables(spark, sf_dir, BINARY_COLS)
     m = features.BinaryOrdinal(inputCols=BINARY_COLS,
                                outputCols=[f"{c}_bin" for c in BINARY_COLS]).fit(train)
     return m.transform(test).select("CustomerId", *[f"{c}_bin" for c in BINARY_COLS])
@@ -278,7 +317,7 @@ def binary_encode(spark, sf_dir):
 @query
 def category_codes(spark, sf_dir):
     cats = SETTINGS.categorical_features
-    train, test = split_tables(spark, sf_dir)
+    train, test = split_tables(spark, sf_dir, cats)
     m = features.CategoryCodes(inputCols=cats, outputCols=[f"{c}_code" for c in cats]).fit(train)
     return m.transform(test).select("CustomerId", *[f"{c}_code" for c in cats])
 
@@ -299,7 +338,7 @@ def with_eval_scores(df):
 
 
 def scored_test(spark, sf_dir):
-    return with_eval_scores(split_feature_rows(spark, sf_dir)).filter("is_test")
+    return with_eval_scores(split_columns(spark, sf_dir, [])).filter("is_test")
 
 
 @rounded

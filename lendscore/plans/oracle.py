@@ -317,6 +317,26 @@ FROM (SELECT *, CASE WHEN rn <= (2 * tot + 5) // 10 THEN 'testing' ELSE 'trainin
       FROM ranked) GROUP BY context""", RANKED))
 
 
+_LINE_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+sql("one_hot_many", f"""
+WITH d AS (SELECT l_orderkey, CAST(row_number() OVER (ORDER BY l_orderkey) - 1 AS INT) AS slot
+           FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber = 1))
+SELECT {_LINE_KEYS}, 'l_orderkey' AS column_name, slot FROM lineitem JOIN d USING (l_orderkey)""")
+sql("composite_split", f"""
+WITH h AS (SELECT {_LINE_KEYS}, l_returnflag,
+                  md5(concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in _LINE_KEYS.split(', '))}) || ':42') AS h
+           FROM lineitem),
+     r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY h, {_LINE_KEYS}) AS rn,
+                  count(*) OVER (PARTITION BY l_returnflag) AS tot FROM h)
+SELECT {_LINE_KEYS}, l_returnflag, rn <= (2 * tot + 5) // 10 AS is_test, CAST((rn - 1) % 5 AS INT) AS fold FROM r""")
+sql("schema_check", with_features("SELECT CustomerId, CAST(Age AS BIGINT) AS Age, Credit_amount, "
+                                  "CAST(Job AS DOUBLE) AS Job FROM features"))
+sql("registry_versions", """
+SELECT 'model' AS model_name, row_number() OVER (ORDER BY o_orderpriority) AS version,
+       'models/' || o_orderpriority AS path, o_orderpriority AS run_id, o_orderpriority AS priority
+FROM (SELECT DISTINCT o_orderpriority FROM orders)""")
+
+
 # --- the same operators on a second, imbalanced dataset ----------------------------
 DOCS = """WITH ld AS (SELECT l.doc_id, l.quality, l.toxic, d.lang, d.source, d.n_chars
                 FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""

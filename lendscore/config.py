@@ -6,6 +6,8 @@ Support code, not an operator.  The credit rule set is one config value
 
 from __future__ import annotations
 
+import json
+import tomllib
 from dataclasses import dataclass, field, fields
 from typing import Any
 
@@ -120,6 +122,19 @@ CREDIT_SETTINGS = dict(
 )
 
 
+def settings_from_file(path: str, env: str = "dev") -> Settings:
+    """Settings from a TOML or JSON file: fields of :class:`Settings` at the top, over
+    which the table named like ``env`` wins.  An unknown name is an error."""
+    with open(path, "rb") as f:
+        values = json.load(f) if path.endswith(".json") else tomllib.load(f)
+    own = values.get(env, {})
+    merged = {k: v for k, v in values.items() if k not in ENVIRONMENTS} | own
+    unknown = sorted(merged.keys() - {f.name for f in fields(Settings)})
+    if unknown:
+        raise ValueError(f"unknown settings in {path}: {', '.join(unknown)}")
+    return Settings.for_env(env, **merged)
+
+
 def credit_settings(env: str = "dev", **overrides: Any) -> Settings:
     kw = dict(CREDIT_SETTINGS)
     kw.update(overrides)

@@ -47,7 +47,10 @@ def score_curve(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -
     """Per ``(by, distinct score)``: ``pos, neg`` and inclusive running
     ``tp, fp`` in descending score order, plus totals ``n_pos, n_neg``."""
     y = (_q(label) == 1)
-    g = df.groupBy(*[_q(c) for c in by], _q(score).alias("score")).agg(
+    # A NaN score is a broken model, not a high rank; a null score ranks lowest.
+    ranked = F.when(F.isnan(_q(score).cast("double")), F.raise_error(F.lit(f"NaN in score column {score}")).cast("double")
+                    ).otherwise(_q(score))
+    g = df.groupBy(*[_q(c) for c in by], ranked.alias("score")).agg(
         F.sum(y.cast("bigint")).alias("pos"), F.sum((~y).cast("bigint")).alias("neg"))
     b, nb = range_buckets(g, [*[F.col(c) for c in by], F.col("score").desc()], return_count=True)
     # ungrouped, the offsets table has at most nb rows; grouped, it is counted
@@ -132,14 +135,14 @@ def classifier_metrics(df: DataFrame, label: str, prob: str, by: Sequence[str] =
     metrics need the score curve.  Pass a stored (materialised) scored set:
     it is read twice."""
     keys = list(by)
-    if not keys:  # one global group: join the one-row results on a constant key
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
     r = ranking_metrics(df, label, prob, keys)
     c = df.groupBy(*keys).agg(*_confusion_aggs(label, prob, None, threshold),
                               _log_loss_agg(label, prob, eps))
     c = c.select(*keys, *_confusion_rates(), "log_loss")
-    out = r.join(c, keys)
-    return out if by else out.drop("_all")
+    if keys:
+        return r.join(c, keys)
+    # Two one-row results meet on a literal key; the curve itself stays ungrouped.
+    return r.withColumn("_all", F.lit(0)).join(c.withColumn("_all", F.lit(0)), "_all").drop("_all")
 
 
 def promotion_gate(df: DataFrame, label: str, challenger: str, champion: str | None,

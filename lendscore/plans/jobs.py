@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..config import CREDIT_RULES, FeatureRules, Settings, Tags, credit_settings
+from ..config import CREDIT_RULES, FeatureRules, Settings, Tags, credit_settings, settings_from_file
 from ..operators import clean, metrics, models, registry, split
 from ..session import Intermediates, get_spark, path_exists, publish, storage_root
 from ..sources import files, tables
@@ -228,11 +228,18 @@ def stream_score_job(p: Project, source: str, sink: str, checkpoint: str) -> Dat
                                      sink, checkpoint)
 
 
-def main(argv: list[str] | None = None) -> None:
+#: Exit status of a training job whose model was not promoted.
+NOT_PROMOTED = 3
+
+
+def main(argv: list[str] | None = None) -> int:
+    """One job; 0, or :data:`NOT_PROMOTED`.  ``train_and_score`` scores only
+    what it has just promoted."""
     ap = argparse.ArgumentParser(description="lendscore jobs")
-    ap.add_argument("job", choices=["extract", "tune", "train_baseline", "train_boosted", "score"])
+    ap.add_argument("job", choices=["extract", "tune", "train_baseline", "train_boosted", "score", "train_and_score"])
+    ap.add_argument("--root", required=True, help="project folder on storage that all executors share")
+    ap.add_argument("--config", default=None, help="TOML or JSON settings; the credit settings, if left out")
     ap.add_argument("--env", default="dev")
-    ap.add_argument("--root", default=None)
     ap.add_argument("--input", default=None, help="CSV path for extract")
     ap.add_argument("--output", default=None, help="scores output path")
     ap.add_argument("--git_sha", default="unknown")
@@ -240,21 +247,24 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--run_id", default=None)
     ap.add_argument("--trials", type=int, default=100)
     a = ap.parse_args(argv)
-    spark = get_spark()
-    p = project(spark, credit_settings(a.env), a.root)
+    settings = settings_from_file(a.config, a.env) if a.config else credit_settings(a.env)
+    p = project(get_spark(), settings, a.root)
     tags = Tags(a.git_sha, a.branch, a.run_id)
     if a.job == "extract":
-        print(json.dumps({"snapshot": extract_csv(p, a.input)}))
+        result = {"snapshot": extract_csv(p, a.input)}
     elif a.job == "tune":
-        print(json.dumps(tune_job(p, tags, n_trials=a.trials)))
+        result = tune_job(p, tags, n_trials=a.trials)
     elif a.job == "train_baseline":
-        print(json.dumps(train_baseline_job(p, tags), default=str))
-    elif a.job == "train_boosted":
-        out = train_boosted_job(p, tags)
-        print(json.dumps(out, default=str))
+        result = train_baseline_job(p, tags)
     elif a.job == "score":
+        result = {"promoted": True}
+    else:
+        result = train_boosted_job(p, tags)
+    if a.job == "score" or a.job == "train_and_score" and result["promoted"]:
         score_job(p).write.mode("overwrite").parquet(a.output or f"{p.root}/scores")
+    print(json.dumps(result, default=str))
+    return 0 if result.get("promoted", True) else NOT_PROMOTED
 
 
 if __name__ == "__main__":
-    main()
+    raise SystemExit(main())

@@ -6,6 +6,8 @@ from lendscore.llm import hashed_text, quality, queries, toxicity
 from tests.conftest import SF_ORACLE
 from tests.llm.helpers import no_docs, odd_docs
 
+SF_LARGE = "/root/testdata/sf0.1"
+
 
 def auc(rows):
     score = np.array([r[0] for r in rows])
@@ -44,11 +46,12 @@ def test_pairs_learn_what_single_terms_cannot():
 
 
 def test_toxicity_held_out(spark):
-    labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet").select("doc_id", "toxic", "quality")
-    got = queries.op1_toxicity(spark, SF_ORACLE)
-    assert got.count() == spark.read.parquet(f"{SF_ORACLE}/documents.parquet").count()
+    """At the size that holds out enough toxic rows (84) for an estimate."""
+    labels = spark.read.parquet(f"{SF_LARGE}/labels.parquet").select("doc_id", "toxic", "quality")
+    got = queries.op1_toxicity(spark, SF_LARGE)
+    assert got.count() == spark.read.parquet(f"{SF_LARGE}/documents.parquet").count()
     rows = got.join(labels, "doc_id").filter("held_out AND quality = 1").select("score", "toxic").collect()
-    assert auc(rows) >= 0.9
+    assert auc(rows) >= 0.99
 
 
 def test_quality_held_out(spark):

@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 
 from ..config import CREDIT_RULES, FeatureRules, Settings, Tags, credit_settings, settings_from_file
 from ..operators import clean, metrics, models, registry, split
+from ..operators.features import CategoryCodesModel
 from ..session import Intermediates, get_spark, path_exists, publish, storage_root
 from ..sources import files, tables
 from ..streaming import scoring
@@ -146,12 +147,29 @@ def _evaluate_and_log(p: Project, model: PipelineModel, kind: str, train: DataFr
     return run_id, m
 
 
+def own_dictionaries(spark: SparkSession, model: PipelineModel, path: str) -> PipelineModel:
+    """Copy the dictionary tables of ``model``'s encoders under ``path`` and point the
+    stages there, so that the saved folder is the whole model."""
+    for stage in model.stages:
+        if isinstance(stage, PipelineModel):
+            own_dictionaries(spark, stage, path)
+        elif isinstance(stage, CategoryCodesModel):
+            state = json.loads(stage.getOrDefault(stage.state))
+            for column, known in state.items():
+                if "path" in known:
+                    copy = f"{path}/{stage.uid}/{column}"
+                    spark.read.parquet(known["path"]).write.parquet(copy)
+                    known["path"] = copy
+            stage.set(stage.state, json.dumps(state))
+    return model
+
+
 def _save_model(p: Project, model: PipelineModel, train: DataFrame, run_id: str, tags: Tags) -> tuple[int, str]:
     """Claim a version, save the model under it, then record it: a version is never seen unsaved."""
     s = p.settings
     version = registry.claim_version(p.spark, p.root, s.model_name)
     path = p.model_path(version)
-    model.save(f"{path}/pipeline")
+    own_dictionaries(p.spark, model, f"{path}/dictionaries").save(f"{path}/pipeline")
     p.spark.createDataFrame([(capture_schema(train, s.model_features),)], "schema string") \
         .coalesce(1).write.mode("overwrite").text(f"{path}/schema")
     registry.register_version(p.spark, p.root, s.model_name, path, run_id, version=version, tags=tags.to_dict())

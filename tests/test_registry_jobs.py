@@ -126,3 +126,17 @@ def test_settings_env():
     with pytest.raises(ValueError):
         credit_settings("staging")
     assert credit_settings("prod").catalog_name == "lendscore_prod"
+
+
+def test_saved_model_holds_its_dictionaries(spark):
+    from pyspark.ml import PipelineModel
+
+    from lendscore.operators import features
+    root = tempfile.mkdtemp(prefix="model-")
+    df = spark.range(40).select(F.concat(F.lit("k"), "id").alias("k"))
+    model = PipelineModel([features.CategoryCodes(inputCols=["k"], outputCols=["c"], maxCategories=10).fit(df)])
+    want = sorted(map(tuple, model.transform(df).collect()))
+    jobs.own_dictionaries(spark, model, f"{root}/dictionaries").save(f"{root}/pipeline")
+    loaded = PipelineModel.load(f"{root}/pipeline")
+    assert root in loaded.stages[0].getOrDefault("state")
+    assert sorted(map(tuple, loaded.transform(df).collect())) == want

@@ -9,10 +9,10 @@ join is exact: every link between different texts is found or already implied.
    equal (pigeonhole, see ``parity.join_keys``).  Sizes are cut into overlapping bands.
    Shingles that very many texts share are left out of both sketches alike (which
    keeps the bound), unless they are most of a set.
-2. *Join.*  Equal words make groups.  Each group has a pivot, and every set is compared
-   with the pivot it shares most words with.  These links give first components.
-3. *Rest.*  Sets of a group whose component is not the pivot's are compared with all members of
-   other components, by sizes, 512-bit sketches and the number of words that they must share;
+2. *Join.*  Equal words make groups.  Every set is compared with some pivots of its groups, by
+   sizes and sketches, and the nearest are verified.  These links give first components.
+3. *Rest.*  Sets of a group whose component is not its first pivot's are compared with all members of
+   other components, by sizes, sketches and the number of words that they must share;
    nothing is capped.
 4. *Verify* by the exact shingle sets of the whole texts, then components of all links.
 
@@ -45,8 +45,8 @@ BROADCAST_BYTES = 32 << 20
 #: Shingles of so many texts at least, and of this share of all, are left out of sketches;
 #: they are counted in stretches of ``STRETCH`` elements that hold ``LOCAL`` of them.
 COMMON_TEXTS, COMMON_SHARE, STRETCH, LOCAL = 16, 0.0005, 1 << 22, 3
-#: Words of the sketches that bound candidates of the rest.
-BOUND_WORDS = 8
+#: Members of a group that all others are first compared with; first links per set.
+PIVOTS, FIRST_LINKS = 32, 2
 #: Rows of a group that one task compares with as many; larger groups are cut into parts.
 GROUP_ROWS = 4_096
 #: Pairs that a task looks at at once.
@@ -109,7 +109,7 @@ def sketches(docs: DataFrame, common: np.ndarray, shingle: int, percent: int) ->
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s, 256), pa.array([len(h) for h in sets], pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in sets], pa.binary()),
-                     list_array([parity.sketch(h, BOUND_WORDS).view(np.int64) for h in sets], np.int64, pa.int64()),
+                     list_array([parity.sketch(h, parity.bound_words(len(h))).view(np.int64) for h in sets], np.int64, pa.int64()),
                      list_array(keys, np.int64, pa.int64())], names=["id", "n", "print", "bound", "keys"])
 
     return materialize(docs.mapInArrow(make, "id long, n long, print binary, bound array<long>, keys array<long>"),
@@ -141,82 +141,127 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
     return materialize(joined.mapInArrow(check, "a long, b long").distinct(), "jaccard-links")
 
 
-def remaining_pairs(groups: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: pairs of one group in different components that may link.
+def known_sets(reps: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Stored ``rep, n, bound, c``: size, sketch and component of each distinct set."""
+    facts = reps.select("rep", "n", "bound")
+    if labels is None:
+        return materialize(facts.withColumn("c", F.col("rep")), "jaccard-facts")
+    labels = labels.select(F.col("id").alias("rep"), "component")
+    return materialize(facts.join(labels, "rep", "left").select(
+        "rep", "n", "bound", F.coalesce("component", "rep").alias("c")), "jaccard-facts")
 
-    One of the two is *minor*: not in its pivot's component.  Only minor members are compared with all
-    others.  A group of more than ``GROUP_ROWS`` members is cut into parts, and every part's minor members
-    meet every part, so that a task never holds more than two parts."""
+
+def compared(placed: DataFrame, facts: DataFrame, percent: int, first: bool) -> DataFrame:
+    """Near pairs ``a, b, least, shared, apart`` of the members of one ``key, i, j``: those with role
+    1 or 3 against those with role 2 or 3, in different components."""
     pivots = small(facts.select(F.col("rep").alias("pivot"), F.col("c").alias("pivot_c")), 16)
-    parts = F.ceil(F.col("members") / GROUP_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
-    others = F.sequence(F.lit(0), parts - 1)
-    as_a = F.transform(others, lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(1).alias("role")))
-    as_b = F.transform(others, lambda i: F.struct(i.alias("i"), own.alias("j"), F.lit(2).alias("role")))
-    whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(3).alias("role")))
-    placed = (groups.select("key", "rep", "pivot", F.inline(F.when(parts == 1, whole).otherwise(F.concat(as_a, as_b)))))
-    if facts.count() * (32 + 8 * BOUND_WORDS) <= BROADCAST_BYTES:
+    if (facts.agg(F.sum(F.size("bound") * 8 + 32)).first()[0] or 0) <= BROADCAST_BYTES:
         # Narrow rows travel; what is known of each set joins them where they arrive.
         rows = placed.repartition("key", "i", "j").join(F.broadcast(facts), "rep").join(pivots, "pivot")
     else:
         rows = placed.join(facts, "rep").join(pivots, "pivot").repartition("key", "i", "j")
-    rows = rows.select("key", "i", "j", "rep", "role", "n", "c", (F.col("c") != F.col("pivot_c")).alias("minor"), "bound")
+    minor = F.lit(True) if first else F.col("c") != F.col("pivot_c")
+    rows = rows.select("key", "i", "j", "rep", "role", "n", "c", minor.alias("minor"), "bound")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            now = _columns(batch)
+            now = pa.Table.from_batches([batch])
             if held is not None:
-                now = {k: np.concatenate([held[k], now[k]]) for k in now}
-            last = len(now["key"]) - 1
-            same = (now["key"] == now["key"][last]) & (now["i"] == now["i"][last]) & (now["j"] == now["j"][last])
-            done = int(np.argmax(same))
-            yield from _pairs({k: v[:done] for k, v in now.items()}, percent)
-            held = {k: v[done:] for k, v in now.items()}
+                now = pa.concat_tables([held, now]).combine_chunks()
+            key, i, j = (now[name].to_numpy() for name in ("key", "i", "j"))
+            done = int(np.argmax((key == key[-1]) & (i == i[-1]) & (j == j[-1])))
+            yield from _pairs(now.slice(0, done), percent, first)
+            held = now.slice(done)
         if held is not None:
-            yield from _pairs(held, percent)
+            yield from _pairs(held, percent, first)
+
+    return rows.sortWithinPartitions("key", "i", "j").mapInArrow(
+        compare, "a long, b long, least long, shared long, apart double")
+
+
+def first_pairs(groups: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: each set with the ``FIRST_LINKS`` nearest of the pivots of its groups, if near.  The
+    pivots go to every part of a large group, so the work grows with the members."""
+    parts = F.ceil(F.col("members") / GROUP_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
+    alone = F.array(F.struct(own.alias("j"), F.lit(1).alias("role")))
+    everywhere = F.transform(F.sequence(F.lit(0), parts - 1),
+                             lambda j: F.struct(j.alias("j"), F.when(j == own, 3).otherwise(2).alias("role")))
+    placed = groups.select("key", "rep", "pivot", F.lit(0).alias("i"),
+                           F.inline(F.when(F.col("place") <= PIVOTS, everywhere).otherwise(alone)))
+    near = compared(placed, facts, percent, True).groupBy("a", "b").agg(F.min("apart").alias("apart"))
+    best = Window.partitionBy("a").orderBy("apart", "b")
+    near = near.withColumn("best", F.row_number().over(best)).filter(F.col("best") <= FIRST_LINKS)
+    return near.select("a", "b").distinct()
 
-    counted = (rows.sortWithinPartitions("key", "i", "j").mapInArrow(compare, "a long, b long, least long, shared long")
-               .groupBy("a", "b", "least").agg(F.sum("shared").alias("shared")))
-    return counted.filter(F.col("shared") >= 1 + F.floor(F.col("least") * parity.MORE_KEYS)).select("a", "b")
 
+def remaining_pairs(groups: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: all pairs of one group in different components that may link.
 
-def _columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-    out = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in batch.schema.names if name != "bound"}
-    out["bound"] = batch.column("bound").flatten().to_numpy().view(np.uint64).reshape(-1, BOUND_WORDS)
-    return out
+    One of the two is *minor*: not in its pivot's component.  Only minor members are compared with all
+    others.  A group of more than ``GROUP_ROWS`` members is cut into parts, and every part's minor members
+    meet every part, so that a task never holds more than two parts."""
+    parts = F.ceil(F.col("members") / GROUP_ROWS).cast("int")
+    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
+    others = F.sequence(F.lit(0), parts - 1)
+    as_a = F.transform(others, lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(1).alias("role")))
+    as_b = F.transform(others, lambda i: F.struct(i.alias("i"), own.alias("j"), F.lit(2).alias("role")))
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(3).alias("role")))
+    placed = groups.select("key", "rep", "pivot", F.inline(F.when(parts == 1, whole).otherwise(F.concat(as_a, as_b))))
+    counted = compared(placed, facts, percent, False).groupBy("a", "b", "least").agg(F.sum("shared").alias("shared"))
+    return counted.filter(F.col("shared") >= 1 + F.floor(F.col("least") * parity.MORE_KEYS)).select("a", "b")
 
 
-def _pairs(rows: dict[str, np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
-    """Near pairs of the sorted groups in ``rows``, with the keys they share here."""
-    if not len(rows["key"]):
+def _pairs(table: pa.Table, percent: int, first: bool) -> Iterator[pa.RecordBatch]:
+    """Near pairs of the sorted groups in ``table``, with the keys they share here; of
+    first pairs, the ``FIRST_LINKS`` nearest per member."""
+    if not table.num_rows:
         return
+    rows = {name: table[name].to_numpy() for name in table.column_names if name != "bound"}
+    lists = table["bound"].combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    bounds = (offsets[:-1], np.diff(offsets), lists.values.to_numpy().view(np.uint64))
     new = np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["i"][1:] != rows["i"][:-1])
                 | (rows["j"][1:] != rows["j"][:-1])]
     group = np.cumsum(new) - 1
     left = np.flatnonzero((rows["role"] & 1 > 0) & rows["minor"])
     right = np.flatnonzero(rows["role"] & 2 > 0)
-    first = np.searchsorted(group[right], group[left])
-    size = np.searchsorted(group[right], group[left], side="right") - first
+    begin = np.searchsorted(group[right], group[left])
+    size = np.searchsorted(group[right], group[left], side="right") - begin
     ends = np.cumsum(size)
+    rep, c = rows["rep"], rows["c"]
     start = 0
     while start < len(left):
         stop = max(start + 1, int(np.searchsorted(ends, ends[start] - size[start] + PAIRS_AT_ONCE)))
         own = size[start:stop]
         a = np.repeat(left[start:stop], own)
-        b = right[np.repeat(first[start:stop] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
-        rep, c = rows["rep"], rows["c"]
-        keep = (c[a] != c[b]) & (~rows["minor"][b] | (rep[a] < rep[b]))
-        a, b = a[keep], b[keep]
-        keep = parity.near_pairs(a, b, rows["n"], rows["bound"], percent)
+        b = right[np.repeat(begin[start:stop] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
+        start = stop
+        keep = c[a] != c[b]
+        if not first:
+            keep &= ~rows["minor"][b] | (rep[a] < rep[b])  # each pair once per key
         a, b = a[keep], b[keep]
-        if len(a):
+        at, apart = parity.near_pairs(a, b, rows["n"], *bounds, percent)
+        if not len(at):
+            continue
+        a, b = a[at], b[at]
+        if first:
+            order = np.lexsort((rep[b], apart, a))
+            a, b, apart = a[order], b[order], apart[order]
+            best = np.arange(len(a)) - np.searchsorted(a, a) < FIRST_LINKS
+            yield _batch(rep[a[best]], rep[b[best]], rows["n"][a[best]], np.ones(best.sum(), np.int64), apart[best])
+        else:
             found = np.stack([np.maximum(rep[a], rep[b]), np.minimum(rep[a], rep[b]),
                               np.minimum(rows["n"][a], rows["n"][b])], axis=1)
             found, shared = np.unique(found, axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([*(pa.array(found[:, k]) for k in range(3)), pa.array(shared)],
-                                             names=["a", "b", "least", "shared"])
-        start = stop
+            yield _batch(*found.T, shared, np.zeros(len(shared)))
+
+
+def _batch(a, b, least, shared, apart) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(pa.array(np.ascontiguousarray(x), pa.int64()) for x in (a, b, least, shared)),
+                                       pa.array(apart, pa.float64())], names=["a", "b", "least", "shared", "apart"])
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = parity.SHINGLE,
@@ -230,26 +275,16 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     reps = materialize(table.join(classes, (table["print"] == classes["print"]) & (table["id"] == classes["rep"]))
                        .select("rep", "n", "bound", "keys"), "jaccard-classes")
 
-    by_key = Window.partitionBy("key")
-    keyed = reps.select("rep", F.size("keys").alias("n_keys"), F.explode("keys").alias("key"))
-    order = F.struct(F.xxhash64("rep").alias("h"), "rep")
+    by_key = Window.partitionBy("key").orderBy(F.xxhash64("rep"), "rep")
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     groups = materialize(
-        keyed.withColumn("pivot", F.min(order).over(by_key)["rep"]).withColumn("members", F.count("*").over(by_key))
-        .filter("members > 1").select("key", "rep", "n_keys", "pivot", "members"), "jaccard-groups")
-
-    # First links: each set with the pivot it shares most keys with, if they are many.
-    shared = groups.filter("rep != pivot").groupBy("rep", "n_keys", "pivot").agg(F.count("*").alias("n"))
-    first = (shared.filter(F.col("n") * 4 >= F.col("n_keys")).groupBy("rep")
-             .agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot")))
-    links = verified(first.select(F.col("rep").alias("a"), F.col("pivot").alias("b")), docs, shingle, percent)
-    found = component_labels(links)
-
-    # The rest: members that are not in their pivot's component, with all others' members.
-    labels = found.select(F.col("id").alias("rep"), "component")
-    facts = materialize(reps.select("rep", "n", "bound").join(labels, "rep", "left")
-                        .select("rep", "n", "bound", F.coalesce("component", "rep").alias("c")), "jaccard-facts")
-    rest = remaining_pairs(groups, facts, percent)
-    links = links.unionByName(verified(rest, docs, shingle, percent))
+        reps.select("rep", F.explode("keys").alias("key")).select(
+            "key", "rep", F.first("rep").over(whole).alias("pivot"), F.count("*").over(whole).alias("members"),
+            F.row_number().over(by_key).alias("place")).filter("members > 1"), "jaccard-groups")
+
+    links = verified(first_pairs(groups, known_sets(reps, None), percent), docs, shingle, percent)
+    facts = known_sets(reps, component_labels(links))
+    links = links.unionByName(verified(remaining_pairs(groups, facts, percent), docs, shingle, percent))
     final = component_labels(links)
 
     rows = table.select("id", "n", "print").join(classes, "print", "left")

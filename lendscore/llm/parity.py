@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import lru_cache
+
 import numpy as np
 import xxhash
 
@@ -9,12 +12,14 @@ from .common import BoundedCache
 
 #: Words of a shingle; the join's threshold in hundredths.
 SHINGLE, PERCENT = 4, 85
-#: Ratio of a size band's bounds; sketch words per element of a band's largest sets.
-BAND, WORDS_PER_ELEMENT = 1.5, 0.22
+#: Ratio of a size band's bounds.
+BAND = 1.5
 #: Sets with fewer rare elements than this share are sketched whole.
-RARE_SHARE = 0.6
+RARE_SHARE = 0.5
 #: Keys beyond the first that sets which link must share, per element.
-MORE_KEYS = 0.03
+MORE_KEYS = 0.02
+#: Least words of the sketches that bound candidates.
+BOUND_WORDS = 8
 
 _WORD = BoundedCache(lambda w: xxhash.xxh3_64_intdigest(w), 500_000)
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -66,8 +71,15 @@ def bands_of(n: int, percent: int = PERCENT) -> list[tuple[int, int]]:
     return out
 
 
+@lru_cache(maxsize=4096)
 def band_words(largest: int, percent: int = PERCENT) -> int:
-    return max(int(WORDS_PER_ELEMENT * largest), most_different(largest, percent) + shared_keys(largest))
+    """Sketch words of a band: as few, so as much in each, as let a set with the least rare
+    elements fill the words that it has to emit (of k words, m elements fill k (1 - e^(-m/k)))."""
+    emitted = int(most_different(largest, percent)) + shared_keys(largest)
+    words, rare = emitted, RARE_SHARE * largest
+    while words < 0.9 * largest and words * (1 - math.exp(-rare / words)) < 1.02 * emitted:
+        words += max(1, words // 100)
+    return words
 
 
 def sketch(h: np.ndarray, words: int) -> np.ndarray:
@@ -106,14 +118,49 @@ def join_keys(h: np.ndarray, rare: np.ndarray, percent: int = PERCENT) -> np.nda
     return np.concatenate(keys)
 
 
-def near_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, bound: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Which pairs of rows ``a, b`` may link, by set sizes ``n`` and sketches ``bound``."""
-    ok = (n[a] * 100 >= n[b] * percent) & (n[b] * 100 >= n[a] * percent)
-    at = np.flatnonzero(ok)
-    apart = np.bitwise_count(bound[a[at]] ^ bound[b[at]]).sum(axis=1, dtype=np.int64)
+def bound_words(n: int) -> int:
+    """Words of the sketch that bounds a set's differences: enough that sets with nothing in
+    common differ in clearly more bits than sets that link may."""
+    words = BOUND_WORDS
+    while n > 150 * words:
+        words *= 4
+    return words
+
+
+def fold(sketches: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (one a row) of ``words`` words, from longer ones of a multiple of them."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
+
+
+def near_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, starts: np.ndarray, words: np.ndarray,
+               values: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the pairs of rows ``a, b`` that may link, by set sizes ``n`` and bounds (row r has
+    ``words[r]`` of ``values`` from ``starts[r]``), and how far apart each is, as a share."""
+    at = np.flatnonzero((n[a] * 100 >= n[b] * percent) & (n[b] * 100 >= n[a] * percent))
+    short = np.empty((len(n), BOUND_WORDS), dtype=np.uint64)
+    for w in np.unique(words):
+        rows = np.flatnonzero(words == w)
+        short[rows] = fold(values[starts[rows, None] + np.arange(w)], BOUND_WORDS)
+    total = (n[a[at]] + n[b[at]]).astype(np.int64)
+    apart = np.bitwise_count(short[a[at]] ^ short[b[at]]).sum(axis=1, dtype=np.int64)
     # 100 i >= p u with i = (s - d) / 2 and u = (s + d) / 2 for sizes' sum s and difference d.
-    ok[at] = apart * (100 + percent) <= (n[a[at]] + n[b[at]]) * (100 - percent)
-    return ok
+    keep = apart * (100 + percent) <= total * (100 - percent)
+    at, total, apart = at[keep], total[keep], apart[keep]
+    common = np.minimum(words[a[at]], words[b[at]])
+    for w in np.unique(common[common > BOUND_WORDS]):
+        those = np.flatnonzero(common == w)
+        for s in range(0, len(those), max(1, (1 << 20) // int(w))):
+            part = those[s:s + max(1, (1 << 20) // int(w))]
+            pair = []
+            for side in (a[at[part]], b[at[part]]):
+                got = np.empty((len(side), w), dtype=np.uint64)
+                for own in np.unique(words[side]):
+                    rows = np.flatnonzero(words[side] == own)
+                    got[rows] = fold(values[starts[side[rows], None] + np.arange(own)], int(w))
+                pair.append(got)
+            apart[part] = np.bitwise_count(pair[0] ^ pair[1]).sum(axis=1, dtype=np.int64)
+    keep = apart * (100 + percent) <= total * (100 - percent)
+    return at[keep], apart[keep] / total[keep]
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:

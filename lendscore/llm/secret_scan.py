@@ -7,14 +7,18 @@ characters that look drawn at random.
 
 A candidate is a run of ``MIN_RUN`` or more characters of ``A-Za-z0-9+/_-`` with
 at least a letter and a digit, or letters of both cases after the first.  Its
-encoding is inferred from its characters (hex, base-32, base-62 or base-64) and
+encoding is inferred from its characters (hex, base-32, base-36 of one case, base-62 or base-64) and
 mapped to code numbers, on which three tests run:
 
 * chi-squared uniformity of the codes over bins.  The null hypothesis is
   *ordinary text*: characters drawn from the corpus's own frequencies (counted
   over all documents), under which the statistic follows a non-central
   chi-squared law whose centre grows with the length.  The p-value is the chance
-  that ordinary text looks this uniform, so short runs cannot reach a small one;
+  that ordinary text looks this uniform, so short runs cannot reach a small one.
+  Lower-case and base-36 alphabets share their letters with ordinary words: their bins
+  are filled in the order of the corpus's frequencies, which tells words from
+  uniform codes best, and the law's lower tail is Sankaran's approximation;
+  a run whose codes are not uniform (p below ``NOT_UNIFORM``) is ordinary there;
 * the runs test (codes above and below the middle) and
 * lag-one serial correlation: a candidate that either test finds not random
   (p below ``NOT_RANDOM``) is ordinary, with p-value 1.
@@ -60,6 +64,8 @@ MIN_VALUE = 6
 MIN_RUN = 20
 RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}" % MIN_RUN)
 FDR, NOT_RANDOM, BINS = 0.01, 0.001, 8
+#: Below this p-value of uniform codes, a run in an alphabet of one case is ordinary.
+NOT_UNIFORM = 0.01
 #: p-values are rounded up to classes of this width in log10.
 P_CLASS = 0.05
 
@@ -67,10 +73,16 @@ _UPPER, _LOWER, _DIGIT = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwx
 ENCODINGS = {
     "hex": _DIGIT + "ABCDEF",
     "base32": _UPPER + "234567",
+    "base36": _DIGIT + _UPPER,
+    "hex_lower": _DIGIT + "abcdef",
+    "base32_lower": _LOWER + "234567",
+    "base36_lower": _DIGIT + _LOWER,
     "base62": _UPPER + _LOWER + _DIGIT,
     "base64": _UPPER + _LOWER + _DIGIT + "+/",
     "base64url": _UPPER + _LOWER + _DIGIT + "-_",
 }
+#: Alphabets whose bins are filled by frequency.
+BY_FREQUENCY = ("base36", "hex_lower", "base32_lower", "base36_lower")
 _CODES = {name: {ch: i for i, ch in enumerate(chars)} for name, chars in ENCODINGS.items()}
 
 
@@ -95,11 +107,8 @@ def infer_encoding(run: str) -> str | None:
     if not letter or not (digit or (upper and lower)):
         return None
     chars = set(run)
-    if not lower:
-        for name in ("hex", "base32"):
-            if chars <= _CODES[name].keys():
-                return name
-    for name in ("base62", "base64", "base64url"):
+    one_case = ("hex", "base32", "base36") if not lower else ("hex_lower", "base32_lower", "base36_lower")
+    for name in (*one_case, "base62", "base64", "base64url"):
         if chars <= _CODES[name].keys():
             return name
     return None
@@ -134,26 +143,43 @@ def serial_p(codes: np.ndarray) -> float:
     return 2 * _normal_below(-abs(r + 1.0 / n) * math.sqrt(n))
 
 
-def bin_shares(counts: np.ndarray, encoding: str) -> np.ndarray:
-    """Shares of the encoding's bins in ordinary text, from byte counts."""
+def non_central_below(x: float, k: int, centre: float) -> float:
+    """Sankaran's approximation of the non-central chi-squared law's lower tail."""
+    mean, spread = k + centre, k + 2 * centre
+    h = 1 - 2 * mean * (k + 3 * centre) / (3 * spread * spread)
+    p, m = spread / (mean * mean), (h - 1) * (1 - 3 * h)
+    middle = 1 + h * p * (h - 1 - 0.5 * (2 - h) * m * p)
+    return _normal_below(((x / mean) ** h - middle) / (h * math.sqrt(2 * p) * (1 + 0.5 * m * p)))
+
+
+def bin_shares(counts: np.ndarray, encoding: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bin of each code, and the bins' shares in ordinary text, from byte counts."""
     chars = ENCODINGS[encoding]
     own = np.array([counts[ord(c)] for c in chars], dtype=float) + 0.5
     bins = np.arange(len(chars)) * BINS // len(chars)
-    return np.bincount(bins, own, minlength=BINS) / own.sum()
+    if encoding in BY_FREQUENCY:
+        bins[np.argsort(-own, kind="stable")] = bins.copy()
+    return bins, np.bincount(bins, own, minlength=BINS) / own.sum()
 
 
-def candidate_p(run: str, encoding: str, shares: np.ndarray) -> float:
+def candidate_p(run: str, encoding: str, shares: tuple[np.ndarray, np.ndarray]) -> float:
     """The chance that ordinary text of this length looks as uniform, or 1."""
     codes = np.array([_CODES[encoding][c] for c in run])
-    size, n = len(ENCODINGS[encoding]), len(run)
+    (bins, text), size, n = shares, len(ENCODINGS[encoding]), len(run)
     if runs_p((codes >= size // 2).astype(np.int8)) < NOT_RANDOM or serial_p(codes) < NOT_RANDOM:
         return 1.0
-    wide = np.bincount(np.arange(size) * BINS // size, minlength=BINS) / size
-    seen = np.bincount(codes * BINS // size, minlength=BINS)
+    wide = np.bincount(bins, minlength=BINS) / size
+    seen = np.bincount(bins[codes], minlength=BINS)
     stat = float((((seen - n * wide) ** 2) / (n * wide)).sum())
-    centre = n * float((((shares - wide) ** 2) / wide).sum())
+    centre = n * float((((text - wide) ** 2) / wide).sum())
     k = BINS - 1
-    return min(1.0, max(_normal_below((stat - k - centre) / math.sqrt(2.0 * (k + 2.0 * centre))), 1e-300))
+    if encoding in BY_FREQUENCY:
+        if 1.0 - non_central_below(stat, k, 0.0) < NOT_UNIFORM:
+            return 1.0
+        p = non_central_below(stat, k, centre)
+    else:
+        p = _normal_below((stat - k - centre) / math.sqrt(2.0 * (k + 2.0 * centre)))
+    return min(1.0, max(p, 1e-300))
 
 
 def candidates(text: str, base: list[tuple[int, int, int]], shares: dict) -> list[tuple[int, int, float]]:
@@ -168,7 +194,7 @@ def candidates(text: str, base: list[tuple[int, int, int]], shares: dict) -> lis
 
 @dataclass
 class SecretModel:
-    """Bin shares of ordinary text per encoding, and the largest p-value of a secret."""
+    """Bins and their shares of ordinary text per encoding, and the largest p-value of a secret."""
 
     shares: dict
     threshold: float

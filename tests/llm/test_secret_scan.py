@@ -91,3 +91,36 @@ def test_odd_rows_and_redaction(spark):
     hidden = [r["text"] for r in S.redact(S.scan(one, S.fit(one)), "spans").orderBy("doc_id").collect()]
     assert hidden == ["é [SECRET] x", None]
     assert S.scan(no_docs(spark), S.fit(no_docs(spark))).count() == 0
+
+
+@pytest.mark.parametrize("encoding", ["hex_lower", "base32_lower", "base36_lower", "base36"])
+def test_recall_of_one_case_keys(spark, encoding):
+    rng = random.Random(encoding)
+    chars = S.ENCODINGS[encoding]
+    prose = ("The committee said that it would not be able to reach a decision on the matter before the end of "
+             "the year AGAIN since most of the members had asked for 2 more reports about the state of the roads ") * 15
+    prose += "version2counterclockwisedirections "
+    keys = ["".join(rng.choice(chars) for _ in range((20, 32, 40)[i % 3])) if i < 90 else "" for i in range(300)]
+    df = spark.createDataFrame([(i, f"{prose}{key} end") for i, key in enumerate(keys)], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in S.scan(df, S.fit(df)).collect()}
+    for n, least in ((20, 24), (32, 28), (40, 28)):
+        assert sum(any(s["end"] - s["start"] == n for s in got[i]) for i in range(90) if len(keys[i]) == n) >= least, n
+    assert not any(got[i] for i in range(90, 300))
+
+
+def test_one_case_law_is_no_smaller_than_the_chance():
+    """Ordinary text, drawn from its own shares, stays at its p-values."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    counts = np.zeros(256)
+    for c, n in zip("etaoinshrdlcumwfgypbvkjxqz0123456789", range(36, 0, -1)):
+        counts[ord(c)] = n ** 2
+    for encoding in ("base32_lower", "base36_lower", "hex_lower"):
+        bins, text = S.bin_shares(counts, encoding)
+        wide = np.bincount(bins, minlength=S.BINS) / len(bins)
+        for n in (20, 40):
+            seen = rng.multinomial(n, text, size=20_000)
+            stat = (((seen - n * wide) ** 2) / (n * wide)).sum(axis=1)
+            centre = n * (((text - wide) ** 2) / wide).sum()
+            p = np.array([S.non_central_below(x, S.BINS - 1, centre) for x in stat])
+            assert (p < 0.001).mean() < 0.003

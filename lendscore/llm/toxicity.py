@@ -6,9 +6,11 @@ product, so that pairs of terms (an insult beside the mention of a group) count
 what each adds alone.  The pair sum is taken in linear time, from the square of the
 sum and the sum of squares.
 
-Terms are the distinct words of the whole text and their leading letters.  A term's
-value is its log odds of the label in the training sample, shrunk towards 0 and 0 where
-chance explains them, so that the many neutral terms of a long text add nothing; in the pair sum
+Terms are the distinct words of the whole text and their leading letters, as far as
+``MIN_ROWS`` rows of the training sample have them.  In the sum of weights a term's value is
+its log odds of the label in that sample, shrunk towards 0 and 0 where chance explains them, so
+that the many neutral terms of a long text add nothing.  In the pair sum every term has the
+value 1, as a term that is neutral alone may matter beside another; there
 the values are scaled to length at most 1, so that it does not grow with the text.  Training
 uses a bounded, documented sample of labelled rows (``MAX_TRAINING_ROWS``, by text hash),
 ``averaged_fit`` and adaptive gradient steps, with both classes weighted alike in sum.
@@ -37,42 +39,49 @@ MAX_TRAINING_ROWS = 12_000
 FACTORS, ROUNDS = 4, 12
 STEP, DECAY = 0.2, 1e-4
 #: Rows of average label that a term's log odds start from; standard deviations from
-#: chance below which they are 0; weight of each term at first.
-PRIOR, DEVIATIONS, FIRST = 10.0, 5.0, 0.3
+#: chance below which they are 0; weight of each term at first; rows that a term needs.
+PRIOR, DEVIATIONS, FIRST, MIN_ROWS = 10.0, 5.0, 0.3, 8
 
 
 @dataclass
 class FactorMachine:
-    """``slot`` has a bucket's place among the terms with odds, or -1."""
+    """``slot`` has a bucket's place among the terms, or -1; ``paired`` the terms' values in
+    the pair sum (without it, their odds)."""
 
     slot: np.ndarray
     odds: np.ndarray
     bias: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
+    paired: np.ndarray | None = None
 
     def logits(self, found: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        at, value, per_text = rows_of([told(self.slot, self.odds, a, x) for a, x in found])
-        scale = np.sqrt(1.0 + per_text(value * value))[:, None]
-        v = self.factors[at] * value[:, None]
+        at, x, per_text = rows_of([told(self.slot, a, x) for a, x in found])
+        value = self.odds[at] * x
+        pair = value if self.paired is None else self.paired[at] * x
+        scale = np.sqrt(1.0 + per_text(pair * pair))[:, None]
+        v = self.factors[at] * pair[:, None]
         pairs = 0.5 * ((per_text(v) / scale) ** 2 - per_text(v * v) / scale ** 2).sum(axis=1)
         return float(self.bias[0]) + per_text(self.weights[at] * value) + pairs
 
 
-def told(slot: np.ndarray, odds: np.ndarray, at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and values of the terms that have odds."""
+def told(slot: np.ndarray, at: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values of the terms that have a slot."""
     own = slot[at]
     keep = own >= 0
-    return own[keep], odds[own[keep]] * x[keep]
+    return own[keep], x[keep]
 
 
-def _epoch(class_weight: dict[int, float], slot: np.ndarray, odds: np.ndarray):
+def _epoch(class_weight: dict[int, float], slot: np.ndarray, odds: np.ndarray, paired: np.ndarray | None = None):
+    paired = odds if paired is None else paired
+
     def epoch(params: list[np.ndarray], rows: list) -> list[np.ndarray]:
         bias, w, v = params
         past_b, past_w, past_v = 1.0, np.ones_like(w), np.ones_like(v)
         for label, at, x in rows:
-            at, x = told(slot, odds, at, x)
-            xp = x / np.sqrt(1.0 + x @ x)
+            at, x = told(slot, at, x)
+            xp, x = paired[at] * x, odds[at] * x
+            xp = xp / np.sqrt(1.0 + xp @ xp)
             vx = v[at] * xp[:, None]
             total = vx.sum(axis=0)
             z = bias[0] + float(w[at] @ x) + 0.5 * float((total ** 2).sum() - (vx * vx).sum())
@@ -114,16 +123,17 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
                              *first_params(0, share))
     weight = {k: (total / (2.0 * n)) ** 0.5 for k, n in counts.items()}
     share = counts[1] / total
-    expected, spread = F.col("n") * share, F.sqrt(F.col("n") * (share * (1 - share)))
     terms = (table.select("label", F.explode("at").alias("at")).groupBy("at")
              .agg(F.count("*").alias("n"), F.sum("label").alias("hits"))
-             .filter(F.abs(F.col("hits") - expected) >= DEVIATIONS * spread)
-             .orderBy("at").collect())  # a row per bucket at most, a few thousand as a rule
+             .filter(F.col("n") >= MIN_ROWS).orderBy("at").toPandas())  # a row per bucket at most
+    n, hits = terms["n"].to_numpy(float), terms["hits"].to_numpy(float)
     slot = np.full(1 << BITS, -1, dtype=np.int32)
-    slot[[r["at"] for r in terms]] = np.arange(len(terms))
-    odds = log_odds(np.array([r["n"] for r in terms], float), np.array([r["hits"] for r in terms], float), share)
-    params = averaged_fit(table, first_params(len(terms), share), _epoch(weight, slot, odds), ROUNDS)
-    return FactorMachine(slot, odds, *params)
+    slot[terms["at"].to_numpy(int)] = np.arange(len(terms))
+    chance = np.abs(hits - n * share) < DEVIATIONS * np.sqrt(n * (share * (1 - share)))
+    odds = np.where(chance, np.float32(0), log_odds(n, hits, share))
+    paired = np.ones(len(terms), np.float32)
+    params = averaged_fit(table, first_params(len(terms), share), _epoch(weight, slot, odds, paired), ROUNDS)
+    return FactorMachine(slot, odds, *params, paired)
 
 
 def predict(df: DataFrame, model: FactorMachine, text_col: str = "text", score_col: str = "score") -> DataFrame:

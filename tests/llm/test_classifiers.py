@@ -45,6 +45,27 @@ def test_pairs_learn_what_single_terms_cannot():
     assert z[2] > 0 > max(z[0], z[1], z[3])
 
 
+def test_fit_learns_pairs_of_neutral_terms(spark):
+    """Two words with the same share of toxic rows as all rows: toxic only together."""
+    rng = np.random.default_rng(6)
+    filler = [f"{a}{b}lo" for a in "bdfgklmnpr" for b in "aeiou"]
+    rows = []
+    for _ in range(2400):
+        both = rng.integers(0, 4)
+        own = [["quark"], ["zebu"], ["quark", "zebu"], []][both]
+        toxic = int(both in (2, 3))
+        own = own + (["mild"] if both == 3 else []) + list(rng.choice(filler, 8, replace=False))
+        rows.append((" ".join(rng.permutation(own)), toxic))
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    model = toxicity.fit(df)
+    quark, zebu = (model.slot[hashed_text.bucket("w:" + w)] for w in ("quark", "zebu"))
+    assert quark >= 0 and zebu >= 0 and model.odds[quark] == model.odds[zebu] == 0
+    held = [("quark " + " ".join(filler[:8]), 0), ("zebu " + " ".join(filler[:8]), 0),
+            ("quark zebu " + " ".join(filler[:8]), 1)]
+    got = toxicity.predict(spark.createDataFrame(held, "text string, toxic int"), model).collect()
+    assert all((r["score"] >= 0.5) == bool(r["toxic"]) for r in got), got
+
+
 def test_toxicity_held_out(spark):
     """At the size that holds out enough toxic rows (84) for an estimate."""
     labels = spark.read.parquet(f"{SF_LARGE}/labels.parquet").select("doc_id", "toxic", "quality")

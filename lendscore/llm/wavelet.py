@@ -20,7 +20,8 @@ holds one shard, whatever the table's size; a document longer than that is a sha
 its own.  Global positions are prefix sums over the tasks' totals (one row per file)
 and over the shards of each task.
 
-Defined results: a null or empty text has only the end id; a null document id sorts
+Defined results: ids are the library's for ``encode(text, add_special_tokens=False)``, added
+tokens in the text included; a null or empty text has only the end id; a null document id sorts
 first; rows that repeat an id follow each other in the order of a hash of their text;
 an empty table writes no shard and reads back empty; columns other than id and text
 do not matter.
@@ -28,6 +29,7 @@ do not matter.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -61,13 +63,23 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹
 class IdEncoder:
     """Ids of texts.  The tokenizer works on pieces between its own split points, so a
     plain text's pieces are looked up one by one and only new ones reach the library;
-    anything else goes to it in stretches between ASCII blanks, which it drops."""
+    anything else goes to it in stretches between ASCII blanks, which it drops.
 
-    def __init__(self, spec: str, limit: int = REMEMBERED):
+    With ``added`` the ids are those of the tokenizer as it is, in which an added token's
+    content is one id: texts that hold one go to the library whole.  Without it, such
+    contents are ordinary text."""
+
+    def __init__(self, spec: str, limit: int = REMEMBERED, added: bool = False):
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.contents = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        #: What all contents begin with, up to a letter; texts without it hold none.
+        self.mark = re.match(r"[!-@\[-`{-~]*", os.path.commonprefix(self.contents))[0]
         self.limit, self.known = limit, {}
 
+    def has_added(self, text: str) -> bool:
+        return bool(self.contents) and self.mark in text and any(c in text.lower() for c in self.contents)
+
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -83,6 +95,16 @@ class IdEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        whole = [i for i, t in enumerate(texts) if self.has_added(t)]
+        if whole:
+            skip = set(whole)
+            out = self.remembered(["" if i in skip else t for i, t in enumerate(texts)])
+            for i, ids in zip(whole, self.library([texts[i] for i in whole])):
+                out[i] = np.array(ids, dtype="<u4")
+            return out
+        return self.remembered(texts)
+
+    def remembered(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.pieces(t) for t in texts]
         new = list({p for ps in split for p in ps if p not in self.known})
         if len(self.known) + len(new) > self.limit:
@@ -100,7 +122,7 @@ def id_encoder(spec: str) -> IdEncoder:
     key = hash(spec)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = IdEncoder(spec)
+        _ENCODERS[key] = IdEncoder(spec, added=True)
     return _ENCODERS[key]
 
 

@@ -85,3 +85,19 @@ def test_odd_rows_counts_and_positions(spark, tokenizer, tmp_path):
 def test_empty_table(spark, tmp_path):
     W.write(no_docs(spark), str(tmp_path / "none"), VOCABULARY)
     assert W.documents(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_added_tokens_as_in_the_unmodified_tokenizer(spark, tmp_path):
+    plain = Tokenizer.from_file(VOCABULARY)
+    texts = ["a<|endoftext|> b", "<|startoftext|>", "é x<|endoftext|>\n<|startoftext|>y  中", "A<|ENDOFTEXT|>b", "<| endoftext|>",
+             "<|endoftext", "a b c", "<|endoftext|><|endoftext|>"] + ["w" + " <|endoftext|> v" * n for n in range(4)]
+    rng = random.Random(8)
+    bits = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "End", "é", " ", "\n", "ab", "'s", "1", "中"]
+    texts += ["".join(rng.choice(bits) for _ in range(rng.randint(0, 9))) for _ in range(1000)]
+    enc = W.id_encoder(open(VOCABULARY, encoding="utf-8").read())
+    want = [library_ids(plain, t) for t in texts]
+    assert [ids.tolist() for ids in enc.encode(texts)] == want
+    path = str(tmp_path / "added")
+    W.write(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, VOCABULARY)
+    rows = W.documents(spark, path).orderBy("doc_id").collect()
+    assert [r["ids_crc32"] for r in rows] == [zlib.crc32(np.array(w + [1], dtype="<u4").tobytes()) for w in want]

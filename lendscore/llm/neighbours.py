@@ -131,10 +131,10 @@ def valid_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def classes_of(rows: DataFrame, k: int) -> DataFrame:
-    """``vector, rep, members``: each distinct vector with its ``k + 1`` smallest ids.  The window's
-    limit acts before its shuffle, so a common vector sends that many rows per task."""
+    """``vector, rep, members``: each distinct vector with its ``k + 1`` smallest ids.  Repeated
+    rows are dropped first, so that they take no places; the window's limit acts before its shuffle, so a common vector sends that many rows per task."""
     place = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    few = rows.withColumn("place", place).filter(F.col("place") <= k + 1)
+    few = rows.select("id", "vector").distinct().withColumn("place", place).filter(F.col("place") <= k + 1)
     return few.groupBy("vector").agg(F.min("id").alias("rep"), F.array_sort(F.collect_set("id")).alias("members"))
 
 

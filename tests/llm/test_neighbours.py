@@ -69,3 +69,12 @@ def test_probe_order_is_by_estimated_distance():
     assert codes[0] == h.code(cells, 0)[0] and len(set(codes)) == 27
     # The nearest border is the third number's upper one.
     assert codes[1] == h.code(cells + np.array([0, 0, 1]), 0)[0]
+
+
+def test_repeated_rows_take_no_places(spark):
+    rows = [(i, [1.0, 0.5, 0.25]) for i in range(60)] * 2 + [(0, [1.0, 0.5, 0.25])] * 30
+    rows += [(100 + i, [0.5, 0.5, i / 60]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = collect(N.search(df, F.pmod("id", F.lit(20)) == 0, k=20))
+    assert [a for a, _ in got[0]] == list(range(1, 21))
+    assert [a for a, _ in got[40]] == list(range(20))

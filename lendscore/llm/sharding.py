@@ -40,13 +40,15 @@ def _prefix(hash_col: Column, bits) -> Column:
     return F.shiftrightunsigned(hash_col, BITS - bits)
 
 
-def hashed_rows(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, n_bytes, hash`` of every row, stored (places are fixed by the storing)."""
-    rows = df.select(F.col(key).alias("key"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
+def hashed_rows(df: DataFrame, key: str, text: str, whole: bool = False) -> DataFrame:
+    """``key, n_bytes, hash`` of every row, stored (places are fixed by the storing); with
+    ``whole``, also the ``row`` itself."""
+    row = [F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns]).alias("row")] if whole else []
+    rows = df.select(*row, F.col(key).alias("key"), F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
                      .alias("n_bytes"), F.monotonically_increasing_id().alias("place"))
     own = hex_prefix_int(F.md5(F.coalesce(F.col("key").cast("string"), F.lit(""))), KEY_BITS // 4)
     other = hex_prefix_int(F.md5(F.col("place").cast("string")), (BITS - KEY_BITS) // 4)
-    return materialize(rows.select("key", "n_bytes", (F.shiftleft(own, BITS - KEY_BITS) + other).alias("hash")),
+    return materialize(rows.select(*["row"] * whole, "key", "n_bytes", (F.shiftleft(own, BITS - KEY_BITS) + other).alias("hash")),
                        "shard-rows")
 
 
@@ -65,9 +67,11 @@ def _leaves(sums: DataFrame, low: int, high: int, limit: int) -> DataFrame:
     return sums.select("fine").join(found, "fine", "left")
 
 
-def assign(df: DataFrame, key: str = "doc_id", text: str = "text", limit_bytes: int = LIMIT_BYTES) -> DataFrame:
-    """``key, n_bytes, depth, prefix`` per row: the shard is the ``prefix`` of ``depth`` bits."""
-    rows = hashed_rows(df, key, text)
+def assign(df: DataFrame, key: str = "doc_id", text: str = "text", limit_bytes: int = LIMIT_BYTES,
+           whole: bool = False) -> DataFrame:
+    """``key, n_bytes, depth, prefix`` per row: the shard is the ``prefix`` of ``depth`` bits.
+    With ``whole``, a struct ``row`` of all columns comes before them."""
+    rows, kept = hashed_rows(df, key, text, whole), [*["row"] * whole, "key", "n_bytes"]
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     low, high = 0, min(BITS, max(0, math.ceil(math.log2(max(1, total / limit_bytes)))) + SPARE)
     out = None
@@ -79,12 +83,12 @@ def assign(df: DataFrame, key: str = "doc_id", text: str = "text", limit_bytes:
             leaves = leaves.fillna(BITS, ["leaf"])
         placed = fine.join(leaves, "fine")
         done = placed.filter("leaf IS NOT NULL").select(
-            "key", "n_bytes", F.col("leaf").alias("depth"),
+            *kept, F.col("leaf").alias("depth"),
             F.expr(f"shiftrightunsigned(hash, {BITS} - leaf)").alias("prefix"))
         out = done if out is None else out.unionByName(done)
         if high == BITS or leaves.filter("leaf IS NULL").isEmpty():
             return out
-        rows = materialize(placed.filter("leaf IS NULL").select("key", "n_bytes", "hash"), "shard-rows")
+        rows = materialize(placed.filter("leaf IS NULL").select(*kept, "hash"), "shard-rows")
         low, high = high + 1, min(BITS, high + MORE)
 
 
@@ -95,9 +99,8 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                  limit_bytes: int = LIMIT_BYTES) -> None:
-    """Write ``df`` under ``path``, one folder ``depth=/prefix=`` per shard.
-
-    Needs unique keys, by which rows find their shard again."""
-    shards = assign(df, key, text, limit_bytes).select(F.col("key").alias(key), "depth", "prefix")
-    (df.drop("depth", "prefix").join(shards, key).repartition("depth", "prefix")
+    """Write every row of ``df`` under ``path``, one folder ``depth=/prefix=`` per shard; rows
+    travel with their hash, so keys may be null or repeat."""
+    placed = assign(df.drop("depth", "prefix"), key, text, limit_bytes, whole=True)
+    (placed.select("row.*", "depth", "prefix").repartition("depth", "prefix")
      .write.partitionBy("depth", "prefix").parquet(path))

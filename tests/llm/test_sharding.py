@@ -37,3 +37,17 @@ def test_odd_rows(spark, tmp_path):
     docs = odd_docs(spark).filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     sharding.write_shards(docs, str(tmp_path / "s"), limit_bytes=1000)
     assert spark.read.parquet(str(tmp_path / "s")).count() == docs.count()
+
+
+def test_written_shards_hold_every_row(spark, tmp_path):
+    """Null keys, a hot key and odd rows, through more than one round."""
+    rows = [(i, "x" * 50) for i in range(40)] + [(999, f"y{i}" * 20) for i in range(90)] + [(None, "z" * 30)] * 5 + [(None, None)]
+    for name, df in (("hot", spark.createDataFrame(rows, "doc_id long, text string")), ("odd", odd_docs(spark))):
+        path = str(tmp_path / name)
+        sharding.write_shards(df, path, limit_bytes=300)
+        back = spark.read.parquet(path)
+        columns = df.drop("depth", "prefix").columns
+        assert sorted(map(repr, back.select(columns).collect())) == sorted(map(repr, df.select(columns).collect()))
+    shards = spark.read.parquet(str(tmp_path / "hot")).groupBy("depth", "prefix").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b"))
+    assert shards.filter("n > 1 AND b > 300").isEmpty() and shards.count() > 20

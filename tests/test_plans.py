@@ -53,3 +53,29 @@ def test_scoring_has_no_python(spark):
     df = catalog.linear_scorer().transform(catalog.feature_rows(spark, SF_SMALL))
     plan = executed(df)
     assert not any(p in plan for p in PY_EVAL)
+
+
+def test_tune_trials_runs_the_whole_study(monkeypatch):
+    """The registered study has the defaults of ``models.tune``: trials, folds and space."""
+    import inspect
+
+    from lendscore.plans import catalog
+
+    seen = {}
+
+    def tune(*args, **kwargs):
+        bound = inspect.signature(whole).bind(*args, **kwargs)
+        bound.apply_defaults()
+        seen.update(bound.arguments)
+        return [], []
+
+    whole = catalog.models.tune
+    monkeypatch.setattr(catalog.models, "tune", tune)
+    monkeypatch.setattr(catalog, "train_rows", lambda spark, sf_dir: None)
+
+    class Session:
+        def createDataFrame(self, rows, schema):
+            return rows
+
+    catalog.tune_trials(Session(), "")
+    assert seen["n_trials"] == 100 and seen["n_folds"] == 5 and seen["space"] == catalog.models.SEARCH_SPACE

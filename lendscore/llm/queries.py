@@ -8,11 +8,14 @@ operator's own output.
 from __future__ import annotations
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..session import scratch_path
-from . import bpe, decontamination, jaccard_join, langid, neighbours, quality, secret_scan, sharding, toxicity, wavelet
+from . import (bpe, decontamination, jaccard_join, langid, neighbours, periodic, quality, secret_scan, sharding,
+               toxicity, wavelet)
 from .common import crc_fold, read_table
 
 
@@ -103,6 +106,39 @@ def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.documents(spark, path)
 
 
+@F.arrow_udf(StringType())
+def planted_repeats(crc: pa.Array, text: pa.Array) -> pa.Array:
+    """The texts, in a tenth of the documents rewritten: with h the id's CRC-32, g = h // 10 and n words,
+    word i from a = g % n on becomes word a + (i - a) % p, p = 1 + (n - a) // (3 + g % 8)."""
+    def rewritten(h: int | None, t: str | None) -> str | None:
+        words = t.encode().split() if t and h is not None and h % 10 == 0 else []
+        if not words:
+            return t
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        return b" ".join(words[:a] + (words[a:a + p] * ((n - a) // p + 1))[:n - a]).decode()
+
+    return pa.array(map(rewritten, crc.to_pylist(), text.to_pylist()), pa.string())
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", planted_repeats(crc, F.col("text")).alias("text"))
+    found = periodic.detect(docs).select("doc_id", "periodic.*")
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))), "")
+    found = found.select("doc_id", "runs", "collapsed", longest.alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -114,6 +150,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_wavelet_ids": op10_wavelet_ids,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {

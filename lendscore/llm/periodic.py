@@ -147,9 +147,7 @@ def inside(start: np.ndarray, end: np.ndarray, runs: list[tuple[int, int, int]])
 
 def find_runs(ids: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int, int]]:
     """All runs ``(start, end, period)``, sorted, of the texts that begin at ``begin`` in ``ids``;
-    no word of one text may stand in another, and every text ends with a word of its own.
-
-    The texts' words need not be dense numbers, only equal where the words are."""
+    every text is followed by a number of its own.  Numbers need only be equal where words are."""
     n = len(ids)
     if not n:
         return []

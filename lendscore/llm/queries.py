@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..session import scratch_path
-from . import (bpe, decontamination, jaccard_join, langid, neighbours, periodic, quality, secret_scan, sharding,
-               toxicity, wavelet)
+from ..session import materialize, scratch_path
+from . import (bpe, decontamination, embedding_dedup, jaccard_join, langid, neighbours, periodic, prefix_trie, quality,
+               secret_scan, sharding, toxicity, wavelet)
 from .common import crc_fold, read_table
 
 
@@ -106,6 +106,28 @@ def op10_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.documents(spark, path)
 
 
+def shared_beginnings(facts: DataFrame, everyone: DataFrame) -> DataFrame:
+    """Turns of the rebuilt conversations: conversation c begins with the first h turns of conversation
+    c - c % 5, h = crc32(c) % 9 (all, if fewer), and goes on with its own turns after its first h."""
+    h = crc_fold(F.col("conv_id"), 9).alias("h")
+    content = ["c_lo", "c_hi", "n_bytes"]
+    start = facts.filter("pos <= 8").withColumnRenamed("conv_id", "base")
+    every = everyone.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), h)
+    every = every.join(start.groupBy("base").agg(F.max("pos").alias("first")), "base", "left")
+    every = materialize(every.withColumn("taken", F.least("h", F.coalesce("first", F.lit(0)))), "rebuilt")
+    begun = every.join(start, "base").filter("pos <= h").select("conv_id", "pos", *content)
+    own = facts.join(every.select("conv_id", "h", "taken"), "conv_id").filter("pos > h")
+    return begun.unionByName(own.select("conv_id", (F.col("taken") + F.col("pos") - F.col("h")).alias("pos"), *content))
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    facts = materialize(prefix_trie.facts(turns), "turns")
+    everyone = facts.select("conv_id").distinct()
+    nodes = prefix_trie.nodes(shared_beginnings(facts, everyone), everyone)
+    return nodes.withColumnRenamed("saved_bytes", "saved_tokens")
+
+
 @F.arrow_udf(StringType())
 def planted_repeats(crc: pa.Array, text: pa.Array) -> pa.Array:
     """The texts, in a tenth of the documents rewritten: with h the id's CRC-32, g = h // 10 and n words,
@@ -139,6 +161,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -150,7 +176,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_wavelet_ids": op10_wavelet_ids,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 ORACLE: dict[str, str] = {

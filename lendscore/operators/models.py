@@ -8,17 +8,15 @@ coefficients/trees, dictionaries and metrics come back to the driver.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target, keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -28,7 +26,9 @@ from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions.columns import decode_label
-from . import metrics
+from ..session import Intermediates
+from . import metrics, study
+from .boosting import BoostedTrees
 from .features import (CategoryCodes, CategoryCodesModel, PopulationStandardScaler, UnknownLast,
                        category_state)
 
@@ -62,8 +62,7 @@ class FeatureAssembler(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         nums = self.getOrDefault(self.numerical)
         cats = self.getOrDefault(self.categorical)
         scaled = [f"{c}__scaled" for c in nums]
-        stages: list[Transformer] = [
-            PopulationStandardScaler(inputCols=nums, outputCols=scaled).fit(df)]
+        stages: list[Transformer] = [PopulationStandardScaler(inputCols=nums, outputCols=scaled).fit(df)] if nums else []
         inputs = list(scaled)
         if self.getOrDefault(self.mode) == "codes":
             codes = [f"{c}__code" for c in cats]
@@ -106,22 +105,48 @@ def baseline_classifier(label: str, n_train: int, C: float = 1.0, max_iter: int
                               tol=1e-6, fitIntercept=True)
 
 
-def leaves_to_depth(num_leaves: int) -> int:
-    return int(min(30, max(1, math.ceil(math.log2(max(2, num_leaves))))))
-
-
-def boosted_classifier(label: str, params: Mapping[str, Any], seed: int = 42) -> GBTClassifier:
-    """Gradient-boosted trees: ``n_estimators`` trees, ``learning_rate`` step,
-    depth from ``num_leaves`` (a depth-d tree has at most 2^d leaves),
-    ``subsample`` row share per tree."""
-    return GBTClassifier(featuresCol=FEATURES, labelCol=label,
-                         maxIter=int(params.get("n_estimators", 100)),
-                         stepSize=float(params.get("learning_rate", 0.1)),
-                         maxDepth=leaves_to_depth(int(params.get("num_leaves", 31))),
-                         subsamplingRate=float(params.get("subsample", 1.0)), seed=seed,
-                         # cut the per-iteration lineage into the shared
-                         # checkpoint folder: long fits survive executor loss
-                         checkpointInterval=10)
+def optimality(model: PipelineModel, df: DataFrame, settings: Settings, C: float = 1.0) -> DataFrame:
+    """Certificate of a fitted baseline on the rows it was fitted on (one row): ``n_rows``, ``max_gradient`` (largest
+    component of the objective's gradient, per row) and ``relative_gap`` (duality gap over the objective).
+
+    Both are aggregates per slot of the features vector, so any number of rows gives as many numbers as the model
+    has.  The dual point takes ``C * |p - y|`` per row, scaled down in the class that has more of it so that
+    both classes have the same sum, as the free intercept demands; the gap bounds how far the model is from optimal."""
+    lr = model.stages[-1]
+    weights, intercept = [float(w) for w in lr.coefficients], float(lr.intercept)
+    rows = model.transform(df).select(vector_to_array(FEATURES).alias("x"), F.col(settings.target).cast("double").alias("y"))
+    z = F.aggregate(F.arrays_zip("x", F.array(*map(F.lit, weights)).alias("w")), F.lit(0.0), lambda s, v: s + v["x"] * v["w"])
+    rows = rows.withColumn("z", z + F.lit(intercept)).withColumn("miss", 1 / (1 + F.exp(F.when(F.col("y") == 1, F.col("z")).otherwise(-F.col("z")))))
+    log1pexp = F.greatest(F.lit(0.0), F.col("m")) + F.log1p(F.exp(-F.abs(F.col("m"))))
+    rows = rows.withColumn("m", F.when(F.col("y") == 1, -F.col("z")).otherwise(F.col("z"))).withColumn("loss", log1pexp)
+    rows = rows.select("x", "y", "miss", "loss").withColumn("side", F.when(F.col("y") == 1, 1).otherwise(-1))
+    with Intermediates(df.sparkSession) as own:
+        rows = own.store(rows, "optimality")
+        sums = {r["side"]: r for r in rows.groupBy("side").agg(
+            F.count("*").alias("n"), F.sum("loss").alias("loss"), F.sum("miss").alias("miss")).collect()}
+        part = rows.select("side", "miss", F.posexplode("x")).groupBy("side", "pos").agg(F.sum(F.col("miss") * F.col("col")).alias("s")).collect()
+        least = min((r["miss"] for r in sums.values()), default=0.0) if len(sums) == 2 else 0.0
+        scale = {side: least / r["miss"] if r["miss"] else 0.0 for side, r in sums.items()}
+        a = F.col("miss") * F.create_map(*[x for side, k in scale.items() for x in (F.lit(side), F.lit(k))])[F.col("side")]
+        entropy = -F.when(a > 0, a * F.ln(a)).otherwise(0.0) - F.when(a < 1, (1 - a) * F.log1p(-a)).otherwise(0.0)
+        dual_sum = (rows.agg(F.sum(entropy)).first()[0] or 0.0) if scale else 0.0
+    direction, pull = [0.0] * len(weights), [0.0] * len(weights)
+    for r in part:
+        direction[r["pos"]] += C * r["side"] * scale[r["side"]] * r["s"]
+        pull[r["pos"]] += C * r["side"] * r["s"]
+    n = sum(r["n"] for r in sums.values())
+    gradient = [w - g for w, g in zip(weights, pull)] + [C * sum(-side * r["miss"] for side, r in sums.items())]
+    primal = 0.5 * sum(w * w for w in weights) + C * sum(r["loss"] for r in sums.values())
+    dual = -0.5 * sum(d * d for d in direction) + C * dual_sum
+    row = (n, max(map(abs, gradient)) / max(n, 1), (primal - dual) / max(abs(primal), 1e-300))
+    return df.sparkSession.createDataFrame([row], "n_rows long, max_gradient double, relative_gap double")
+
+
+def boosted_classifier(label: str, params: Mapping[str, Any], seed: int = 42, nominal: Sequence[int] = ()) -> BoostedTrees:
+    """Gradient-boosted trees: ``n_estimators`` best-first trees of ``num_leaves`` leaves, ``learning_rate`` step,
+    L2 penalty ``reg_lambda``, ``subsample`` row share per tree; ``nominal`` places of the vector hold codes."""
+    known = {k: params[k] for k in ("n_estimators", "learning_rate", "num_leaves", "reg_lambda", "subsample") if k in params}
+    return BoostedTrees(featuresCol=FEATURES, labelCol=label, params_json=json.dumps(known), seed=seed, nominal=list(nominal))
 
 
 # --- F6 --------------------------------------------------------------------------
@@ -135,8 +160,9 @@ def build_pipeline(settings: Settings, kind: str, n_train: int | None = None,
     if kind == "baseline":
         clf = baseline_classifier(settings.target, n_train or 1)
     else:
-        clf = boosted_classifier(settings.target, {**settings.hyperparameters, **(params or {})},
-                                 settings.seed)
+        first = len(settings.numerical_features)  # numbers come first, then codes
+        clf = boosted_classifier(settings.target, {**settings.hyperparameters, **(params or {})}, settings.seed,
+                                 range(first, first + len(settings.categorical_features)))
     return Pipeline(stages=[asm, clf])
 
 
@@ -191,79 +217,43 @@ class LinearScorer(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 
 
 # --- M3 --------------------------------------------------------------------------
-class AveragePrecisionEvaluator(Evaluator):
-    """Exact average precision of the positive-class probability (distributed)."""
-
-    def __init__(self, labelCol: str = "label", probabilityCol: str = PROB):
-        super().__init__()
-        self.labelCol, self.probabilityCol = labelCol, probabilityCol
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        d = dataset.select(F.col(self.labelCol), positive_probability(self.probabilityCol).alias("_p"))
-        v = metrics.average_precision(d, self.labelCol, "_p").head()[0]
-        return float(v) if v is not None else float("nan")
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
 # The tuning search space.
 SEARCH_SPACE = {
     "n_estimators": ("int", 100, 500),
     "learning_rate": ("log", 0.001, 0.05),
     "num_leaves": ("int", 8, 256),
     "subsample": ("float", 0.5, 1.0),
+    "reg_lambda": ("float", 0.0, 1.0),
 }
 
 
 def sample_trials(n_trials: int, seed: int, space: Mapping[str, tuple] = SEARCH_SPACE) -> list[dict]:
-    """Seeded random search over the space (the adaptive sampler is not copied)."""
-    rng = np.random.default_rng(seed)
+    """Seeded random search over the space (the adaptive sampler is not copied).  Each draw is the first
+    52 bits of ``md5("<trial>:<name>:<seed>")``, so any engine can draw the same."""
     trials = []
-    for _ in range(n_trials):
+    for i in range(n_trials):
         t = {}
-        for k, (kind, lo, hi) in space.items():
+        for name, (kind, lo, hi) in space.items():
+            u = int(hashlib.md5(f"{i}:{name}:{seed}".encode()).hexdigest()[:13], 16) / 16.0 ** 13
             if kind == "int":
-                t[k] = int(rng.integers(lo, hi + 1))
+                t[name] = lo + int(u * (hi - lo + 1))
             elif kind == "log":
-                t[k] = float(math.exp(rng.uniform(math.log(lo), math.log(hi))))
+                t[name] = math.exp(math.log(lo) + u * (math.log(hi) - math.log(lo)))
             else:
-                t[k] = float(rng.uniform(lo, hi))
+                t[name] = lo + u * (hi - lo)
         trials.append(t)
     return trials
 
 
-def tune(train: DataFrame, settings: Settings, n_trials: int = 100, n_folds: int = 5,
-         fold_col: str = "fold", seed: int = 42, parallelism: int = 2,
-         space: Mapping[str, tuple] = SEARCH_SPACE) -> tuple[list[dict], list[float]]:
-    """M3: trials x folds, each a distributed fit, scored by average precision.
+def tune(train: DataFrame, settings: Settings, n_trials: int = 100, n_folds: int = 5, fold_col: str = "fold",
+         seed: int = 42, parallelism: int | None = None, space: Mapping[str, tuple] = SEARCH_SPACE,
+         max_rows: int = study.MAX_ROWS, path: str | None = None) -> tuple[list[dict], list[float]]:
+    """M3: trials x folds, scored by average precision (:mod:`.study`).
 
-    Folds come from the stratified ranking (``fold_col``), so every fold is
-    class-balanced and the assignment is reproducible.  Returns the trial
-    parameter dicts and their mean CV scores.
-    """
+    Folds come from the stratified ranking (``fold_col``), so every fold is class-balanced and the assignment
+    is reproducible.  Returns the trial parameter dicts and their mean CV scores.  With a ``path``
+    finished trials are kept there, and a study that starts again goes on with the others."""
     trials = sample_trials(n_trials, seed, space)
-    *preparing, gbt = build_pipeline(settings, "boosted").getStages()
-    evaluator = AveragePrecisionEvaluator(settings.target)
-    maps = [{gbt.maxIter: t["n_estimators"], gbt.stepSize: t["learning_rate"],
-             gbt.maxDepth: leaves_to_depth(t["num_leaves"]), gbt.subsamplingRate: t["subsample"]}
-            for t in trials]
-    cols = [*settings.model_features, settings.target, fold_col]
-    data = train.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    scores = np.zeros((n_folds, n_trials))
-    try:
-        for fold in range(n_folds):
-            # Encoders and scalers depend on the fold alone: one fit for all its trials.
-            prepared = Pipeline(stages=preparing).fit(data.filter(F.col(fold_col) != fold))
-            vectors = prepared.transform(data).persist(StorageLevel.MEMORY_AND_DISK)
-            fit_on, held = vectors.filter(F.col(fold_col) != fold), vectors.filter(F.col(fold_col) == fold)
-
-            def one(i: int, fit_on=fit_on, held=held) -> float:
-                return evaluator.evaluate(gbt.fit(fit_on, maps[i]).transform(held))
-
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                scores[fold] = list(pool.map(inheritable_thread_target(train.sparkSession)(one), range(n_trials)))
-            vectors.unpersist()
-        return trials, [float(x) for x in scores.mean(axis=0)]
-    finally:
-        data.unpersist()
+    fits = study.run(train, settings, trials, n_folds, fold_col, seed, parallelism, max_rows, path)
+    means = {r["trial"]: r["score"] for r in fits.groupBy("trial").agg(F.avg("score").alias("score")).collect()}
+    return trials, [float(means[i]) for i in range(n_trials)]

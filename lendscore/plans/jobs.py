@@ -12,6 +12,7 @@ P2 whole-pipeline save/load (``PipelineModel``), P3 version registration.
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
 import uuid
 from collections.abc import Sequence
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..config import CREDIT_RULES, FeatureRules, Settings, Tags, credit_settings, settings_from_file
-from ..operators import clean, metrics, models, registry, split
+from ..operators import clean, metrics, models, registry, split, study
 from ..operators.features import CategoryCodesModel
 from ..session import Intermediates, get_spark, path_exists, publish, storage_root
 from ..sources import files, tables
@@ -114,21 +115,31 @@ def load_split(p: Project) -> tuple[DataFrame, DataFrame, int]:
     return sp.filter(~F.col("is_test")), sp.filter(F.col("is_test")), snap
 
 
-def tune_job(p: Project, tags: Tags, n_trials: int = 100, parallelism: int = 4,
-             space=models.SEARCH_SPACE) -> dict:
-    """Random-search CV; one run per trial plus the study run (best params)."""
+def tune_job(p: Project, tags: Tags, n_trials: int = 100, parallelism: int | None = None, space=models.SEARCH_SPACE,
+             lease_seconds: float = study.LEASE_SECONDS) -> dict:
+    """Random-search CV; one run per trial, recorded when its wave ends, plus the study run (best params).
+
+    The study is known by its snapshot, seed and space: a job that starts again after a failure fits only the
+    trials that have no result yet."""
     train, _, snap = load_split(p)
-    trials, scores = models.tune(train, p.settings, n_trials=n_trials, n_folds=p.settings.n_folds,
-                                 seed=p.settings.seed, parallelism=parallelism, space=space)
-    study = registry.study_name(registry.timestamp_label())
-    best = max(range(len(trials)), key=lambda i: (scores[i], -i))
-    common = {"tags": tags.to_dict(), "experiment": p.settings.experiment_name}
-    recs = [{"run_name": f"{study}/trial_{i}", "params": t, "kind": "trial", **common,
-             "metrics": {registry.TUNING_METRIC: sc}} for i, (t, sc) in enumerate(zip(trials, scores))]
-    recs.append({"run_name": study, "params": trials[best], "kind": "study", **common,
-                 "metrics": {registry.TUNING_METRIC: scores[best], "feature_snapshot": snap}})
-    registry.log_runs(p.spark, p.root, recs)
-    return {"best_params": trials[best], "best_score": scores[best]}
+    s = p.settings
+    trials = models.sample_trials(n_trials, s.seed, space)
+    spec = json.dumps([trials, s.n_folds, s.seed, s.model_features, s.target], sort_keys=True)
+    path = f"{p.root}/studies/snapshot={snap}/{hashlib.md5(spec.encode()).hexdigest()}"
+    name = registry.study_name(registry.timestamp_label())
+    common = {"tags": tags.to_dict(), "experiment": s.experiment_name}
+
+    def record(scores: dict[int, float]) -> None:
+        registry.log_runs(p.spark, p.root, [
+            {"run_name": f"{name}/trial_{i}", "params": trials[i], "kind": "trial", **common,
+             "metrics": {registry.TUNING_METRIC: score}} for i, score in sorted(scores.items())])
+
+    fits = study.run(train, s, trials, s.n_folds, "fold", s.seed, parallelism, path=path, lease_seconds=lease_seconds, on_wave=record)
+    cv = registry.cv_mean(fits, "trial", "score")
+    best = registry.best_trial(cv.withColumnRenamed("mean_score", "score"), "trial", "score").first()
+    registry.log_runs(p.spark, p.root, [{"run_name": name, "params": trials[best["trial"]], "kind": "study", **common,
+                                         "metrics": {registry.TUNING_METRIC: best["score"], "feature_snapshot": snap}}])
+    return {"best_params": trials[best["trial"]], "best_score": best["score"]}
 
 
 def _evaluate_and_log(p: Project, model: PipelineModel, kind: str, train: DataFrame, test: DataFrame,

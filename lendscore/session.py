@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import time
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +35,16 @@ def get_spark(master: str | None = None, app_name: str = "lendscore",
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever their working
+    folder; a cluster without that path gets it with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates, tables and stream state.
 
@@ -96,6 +109,12 @@ def claim(spark: SparkSession, path: str) -> bool:
     return not fs.exists(p) and bool(fs.createNewFile(p))
 
 
+def marker_age(spark: SparkSession, path: str) -> float:
+    """Seconds since a marker file was made."""
+    fs, p = _file_system(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0
+
+
 def publish(spark: SparkSession, staged: str, path: str) -> None:
     """Move a finished folder to its final place, which must not exist."""
     fs, p = _file_system(spark, staged)
@@ -123,11 +142,20 @@ class Intermediates:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def drop(self, df: DataFrame) -> None:
+        """Remove one stored table that nothing reads any more."""
+        for path in [p for p in self.paths if any(p in f for f in df.inputFiles()[:1])]:
+            self._delete(path)
+            self.paths.remove(path)
+
+    def _delete(self, path: str) -> None:
+        fs, p = _file_system(self.spark, path)
+        fs.delete(p, True)
+
     def __enter__(self) -> Intermediates:
         return self
 
     def __exit__(self, *_) -> None:
         for path in self.paths:
-            fs, p = _file_system(self.spark, path)
-            fs.delete(p, True)
+            self._delete(path)
         self.paths.clear()

@@ -58,6 +58,3 @@ def test_tune_small_study(spark):
     assert all(100 > t["n_estimators"] >= 3 and 0.001 <= t["learning_rate"] <= 0.05 for t in trials)
     assert models.sample_trials(2, 42) == models.sample_trials(2, 42)
 
-
-def test_leaves_to_depth():
-    assert [models.leaves_to_depth(n) for n in (2, 8, 9, 31, 256)] == [1, 3, 4, 5, 8]

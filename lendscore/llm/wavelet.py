@@ -13,8 +13,8 @@ columns of ``SHARD``: its place (``part``, ``seq``), its documents (ids and leng
 ``width`` bit-planes (packed, little bit order), zeros and rank samples.  Columns
 are zstd-compressed; a reader that only wants documents never reads the planes.
 
-Scale: the texts are range-partitioned by document id once (ties by a hash of the text, so
-that one id with many rows splits too); each task streams its sorted rows and
+Scale: texts are encoded where they are read; their ids are range-partitioned by document id (ties by a
+hash of the text, so that one id with many rows splits too); each task streams its sorted rows and
 closes a shard when the next document would exceed ``SHARD_TOKENS``.  A task
 holds one shard, whatever the table's size; a document longer than that is a shard of
 its own.  Global positions are prefix sums over the tasks' totals (one row per file)
@@ -29,9 +29,11 @@ do not matter.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,12 +43,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from ..session import Intermediates
 from .common import as_text, slices
 
 SHARD_TOKENS = 1 << 20
 #: Bits per rank sample.
 BLOCK = 512
-#: Pieces of text whose ids a worker remembers.
+#: Pieces that one call encodes.
+AT_ONCE = 4_096
+#: Words whose ids a worker remembers.
 REMEMBERED = 700_000
 
 SHARD = ("part int, seq int, n_tokens long, width int, doc_ids array<long>, doc_lengths array<long>, "
@@ -61,9 +66,9 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹
 
 
 class IdEncoder:
-    """Ids of texts.  The tokenizer works on pieces between its own split points, so a
-    plain text's pieces are looked up one by one and only new ones reach the library;
-    anything else goes to it in stretches between ASCII blanks, which it drops.
+    """Ids of texts.  The tokenizer drops ASCII blanks and no piece of it crosses one, so the ids of every word between
+    them are remembered.  A new word of plain characters is cut at the tokenizer's other split points, and
+    only pieces that are new too reach the library; any other word goes to it whole.
 
     With ``added`` the ids are those of the tokenizer as it is, in which an added token's
     content is one id: texts that hold one go to the library whole.  Without it, such
@@ -75,23 +80,36 @@ class IdEncoder:
         self.contents = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         #: What all contents begin with, up to a letter; texts without it hold none.
         self.mark = re.match(r"[!-@\[-`{-~]*", os.path.commonprefix(self.contents))[0]
-        self.limit, self.known = limit, {}
+        model = json.loads(spec)["model"]
+        #: Ids that end a piece, if the vocabulary marks them.
+        suffix = model.get("end_of_word_suffix")
+        self.ends = np.array([i for t, i in model["vocab"].items() if t.endswith(suffix)]) if suffix else None
+        self.limit = limit
+        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def has_added(self, text: str) -> bool:
         return bool(self.contents) and self.mark in text and any(c in text.lower() for c in self.contents)
 
-    def library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def pieces(self, text: str) -> list[str]:
-        if _PLAIN.fullmatch(text):
-            return _PIECE.findall(text.lower())
-        out: list[str] = []
-        for stretch in _ASCII_BLANK.split(text):
-            if _PLAIN.fullmatch(stretch):
-                out += _PIECE.findall(stretch.lower())
-            else:
-                out.append(stretch)
+    def library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def plain_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that the tokenizer does not split, many in one call: each ends with an id that
+        is marked so.  Where the marks do not add up, one by one."""
+        out: list[bytes] = []
+        for s in range(0, len(pieces), AT_ONCE):
+            part = pieces[s:s + AT_ONCE]
+            if self.ends is None:
+                out += self.library(part)
+                continue
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            last = np.flatnonzero(np.isin(ids, self.ends)) + 1
+            if len(last) != len(part) or last[-1] != len(ids):
+                out += self.library(part)
+                continue
+            data, cut = ids.tobytes(), (4 * last).tolist()
+            out += [data[a:b] for a, b in zip([0, *cut], cut)]
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -100,19 +118,34 @@ class IdEncoder:
             skip = set(whole)
             out = self.remembered(["" if i in skip else t for i, t in enumerate(texts)])
             for i, ids in zip(whole, self.library([texts[i] for i in whole])):
-                out[i] = np.array(ids, dtype="<u4")
+                out[i] = np.frombuffer(ids, dtype="<u4")
             return out
         return self.remembered(texts)
 
     def remembered(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.pieces(t) for t in texts]
-        new = list({p for ps in split for p in ps if p not in self.known})
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = list({p for ps in split for p in ps})
-        for piece, ids in zip(new, self.library(new) if new else ()):
-            self.known[piece] = np.array(ids, dtype="<u4").tobytes()
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, ps)), dtype="<u4") for ps in split]
+        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+        words = set().union(*split)
+        if len(self.known) + len(words) > self.limit:
+            self.known, self.pieces = {}, {}
+        words = [w for w in words if w not in self.known]
+        if words:
+            self.learn(words)
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, ws)), dtype="<u4") for ws in split]
+
+    def learn(self, words: list[bytes]) -> None:
+        """Remember the ids of new words, none of which holds an ASCII blank."""
+        whole = b" ".join(words).decode("utf-8", "surrogatepass")
+        if not _PLAIN.fullmatch(whole):
+            odd = {w for w in words if not _PLAIN.fullmatch(w.decode("utf-8", "surrogatepass"))}
+            self.known.update(zip(odd, self.library([w.decode("utf-8", "surrogatepass") for w in odd])))
+            words = [w for w in words if w not in odd]
+            whole = b" ".join(words).decode("utf-8", "surrogatepass")
+        # A word of letters alone is one piece.
+        cut = [(w,) if w.isalpha() else _PIECE.findall(w) for w in whole.lower().split(" ")] if words else []
+        pieces = self.pieces
+        new = [p for p in set().union(*cut) if p not in pieces]
+        pieces.update(zip(new, self.plain_pieces(new)))
+        self.known.update(zip(words, [pieces[c[0]] if len(c) == 1 else b"".join(map(pieces.__getitem__, c)) for c in cut]))
 
 
 _ENCODERS: dict = {}
@@ -268,28 +301,39 @@ def write(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id",
         spec = f.read()
     width = max(1, max(Tokenizer.from_str(spec).get_vocab().values()).bit_length(), end_id.bit_length())
     held = df.sparkSession.sparkContext.broadcast(spec)
+    kind = "<u2" if width <= 16 else "<u4"
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = id_encoder(held.value), TaskContext.get().partitionId()
-        seq, size, docs = 0, 0, []
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = id_encoder(held.value)
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 rows = batch.slice(s, 256)
-                keys = rows.column(0).to_pylist()
-                for key, ids in zip(keys, encoder.encode(rows.column(1).to_pylist())):
-                    ids = np.append(ids, np.uint32(end_id))
-                    if docs and size + len(ids) > shard_tokens:
-                        yield _shard_batch(part, seq, docs, width)
-                        seq, size, docs = seq + 1, 0, []
-                    docs.append((key, ids))
-                    size += len(ids)
+                ids = [np.append(i, np.uint32(end_id)).astype(kind).tobytes() for i in encoder.encode(rows.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(ids, pa.binary())],
+                                                 names=["id", "tie", "ids"])
+
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        seq, size, docs = 0, 0, []
+        for batch in batches:
+            for key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.frombuffer(data, kind)
+                if docs and size + len(ids) > shard_tokens:
+                    yield _shard_batch(part, seq, docs, width)
+                    seq, size, docs = seq + 1, 0, []
+                docs.append((key, ids))
+                size += len(ids)
         if docs:
             yield _shard_batch(part, seq, docs, width)
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), as_text(F.col(text_col)).alias("text"))
-    tie = F.xxhash64("text")
-    (rows.repartitionByRange(F.col("id"), tie).sortWithinPartitions(F.col("id"), tie)
-     .mapInArrow(shards, SHARD).write.option("compression", "zstd").parquet(path))
+    # Ids are a few times smaller than their texts; stored, they are computed once, though the
+    # range partitioner reads its input twice.
+    with Intermediates(df.sparkSession) as own:
+        coded = own.store(rows.select("id", F.xxhash64("text").alias("tie"), "text").mapInArrow(
+            encoded, "id long, tie long, ids binary"), "wavelet-ids")
+        (coded.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "ids")
+         .mapInArrow(shards, SHARD).write.option("compression", "zstd").parquet(path))
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:

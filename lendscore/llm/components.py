@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import Intermediates
 
 
 def _neighbours_minimum(edges: DataFrame) -> DataFrame:
@@ -32,12 +32,15 @@ def component_labels(links: DataFrame) -> DataFrame:
     Each round is stored; partial sums of a hash tell when nothing changes any more.  A node
     with many links is one row per task after partial aggregation, and its links are
     joined, which AQE splits."""
-    edges = materialize(links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .distinct(), "links")
+    own = Intermediates(links.sparkSession)
+    edges = own.store(links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                      .distinct(), "links")
     before = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
+            # The last round stays; earlier ones are gone.
             return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        before = state
-        edges = materialize(_small_star(_large_star(edges)), "links")
+        before, last = state, edges
+        edges = own.store(_small_star(_large_star(edges)), "links")
+        own.drop(last)

@@ -20,8 +20,10 @@ Scale: equal sets are one row before the join (``classes``); keys are 16-byte ro
 once; texts are read again only for pairs to verify and meet at the pivot, the rarer side; pair
 tables are broadcast up to ``BROADCAST_BYTES`` (counted) and joined by shuffle beyond.
 
+Stored tables are removed as soon as nothing reads them any more.
+
 Defined results: null, empty and blank texts have no shingles and link with nothing; rows that repeat
-an id count as one document with the links of all; a row with a null id takes the component of
+an id count as one document with the links of all and one component; a row with a null id takes the component of
 equal texts, if one has an id, else null; an empty table gives an empty result; columns other than id and
 text do not matter.
 """
@@ -36,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import Intermediates, materialize
 from . import parity
 from .common import list_array
 from .components import component_labels
@@ -50,7 +52,7 @@ PIVOTS, FIRST_LINKS = 32, 2
 #: Rows of a group that one task compares with as many; larger groups are cut into parts.
 GROUP_ROWS = 4_096
 #: Pairs that a task looks at at once.
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 18
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -88,8 +90,8 @@ def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in found.select("h").collect()], dtype=np.int64).view(np.uint64))
 
 
-def sketches(docs: DataFrame, common: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """Stored ``id, n, print, bound, keys`` per text; ``print`` identifies the set."""
+def sketches(docs: DataFrame, common: np.ndarray, shingle: int, percent: int, own: Intermediates) -> DataFrame:
+    """Stored ``id, n, print, bound, keys, row`` per text; ``print`` identifies the set and ``row`` the row."""
     held = docs.sparkSession.sparkContext.broadcast(common)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,17 +114,17 @@ def sketches(docs: DataFrame, common: np.ndarray, shingle: int, percent: int) ->
                      list_array([parity.sketch(h, parity.bound_words(len(h))).view(np.int64) for h in sets], np.int64, pa.int64()),
                      list_array(keys, np.int64, pa.int64())], names=["id", "n", "print", "bound", "keys"])
 
-    return materialize(docs.mapInArrow(make, "id long, n long, print binary, bound array<long>, keys array<long>"),
-                       "jaccard-sketches")
+    made = docs.mapInArrow(make, "id long, n long, print binary, bound array<long>, keys array<long>")
+    return own.store(made.withColumn("row", F.monotonically_increasing_id()), "jaccard-sketches")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, own: Intermediates) -> DataFrame:
     """The ``pairs (a, b)`` that link, by the shingles of their whole texts.  The texts
     of the ``a`` side travel to those of ``b``, which should be the fewer."""
-    pairs = materialize(pairs, "jaccard-pairs")
+    pairs = own.store(pairs, "jaccard-pairs")
     # An id that repeats has all its texts compared.
     left = docs.join(small(pairs, 16), docs["id"] == pairs["a"]).select("a", "b", F.col("text").alias("text_a"))
-    ends = materialize(pairs.select("b").distinct(), "jaccard-ends")
+    ends = own.store(pairs.select("b").distinct(), "jaccard-ends")
     right = docs.join(small(ends, 8), docs["id"] == ends["b"]).select("b", F.col("text").alias("text_b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,28 +140,27 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> D
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = left.join(right, "b").select("a", "b", "text_a", "text_b")
-    return materialize(joined.mapInArrow(check, "a long, b long").distinct(), "jaccard-links")
+    return own.store(joined.mapInArrow(check, "a long, b long").distinct(), "jaccard-links")
 
 
-def known_sets(reps: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Stored ``rep, n, bound, c``: size, sketch and component of each distinct set."""
-    facts = reps.select("rep", "n", "bound")
+def known_sets(reps: DataFrame, labels: DataFrame | None, own: Intermediates) -> DataFrame:
+    """Stored ``row, rep, n, bound, c``: document, size, sketch and component of each distinct set."""
     if labels is None:
-        return materialize(facts.withColumn("c", F.col("rep")), "jaccard-facts")
+        return own.store(reps.withColumn("c", F.col("rep")), "jaccard-facts")
     labels = labels.select(F.col("id").alias("rep"), "component")
-    return materialize(facts.join(labels, "rep", "left").select(
-        "rep", "n", "bound", F.coalesce("component", "rep").alias("c")), "jaccard-facts")
+    return own.store(reps.join(labels, "rep", "left").select(
+        "row", "rep", "n", "bound", F.coalesce("component", "rep").alias("c")), "jaccard-facts")
 
 
 def compared(placed: DataFrame, facts: DataFrame, percent: int, first: bool) -> DataFrame:
     """Near pairs ``a, b, least, shared, apart`` of the members of one ``key, i, j``: those with role
     1 or 3 against those with role 2 or 3, in different components."""
-    pivots = small(facts.select(F.col("rep").alias("pivot"), F.col("c").alias("pivot_c")), 16)
+    pivots = small(facts.select(F.col("row").alias("pivot"), F.col("c").alias("pivot_c")), 16)
     if (facts.agg(F.sum(F.size("bound") * 8 + 32)).first()[0] or 0) <= BROADCAST_BYTES:
         # Narrow rows travel; what is known of each set joins them where they arrive.
-        rows = placed.repartition("key", "i", "j").join(F.broadcast(facts), "rep").join(pivots, "pivot")
+        rows = placed.repartition("key", "i", "j").join(F.broadcast(facts), "row").join(pivots, "pivot")
     else:
-        rows = placed.join(facts, "rep").join(pivots, "pivot").repartition("key", "i", "j")
+        rows = placed.join(facts, "row").join(pivots, "pivot").repartition("key", "i", "j")
     minor = F.lit(True) if first else F.col("c") != F.col("pivot_c")
     rows = rows.select("key", "i", "j", "rep", "role", "n", "c", minor.alias("minor"), "bound")
 
@@ -184,11 +185,11 @@ def first_pairs(groups: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """``a, b``: each set with the ``FIRST_LINKS`` nearest of the pivots of its groups, if near.  The
     pivots go to every part of a large group, so the work grows with the members."""
     parts = F.ceil(F.col("members") / GROUP_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
+    own = F.pmod(F.xxhash64("row"), parts).cast("int")
     alone = F.array(F.struct(own.alias("j"), F.lit(1).alias("role")))
     everywhere = F.transform(F.sequence(F.lit(0), parts - 1),
                              lambda j: F.struct(j.alias("j"), F.when(j == own, 3).otherwise(2).alias("role")))
-    placed = groups.select("key", "rep", "pivot", F.lit(0).alias("i"),
+    placed = groups.select("key", "row", "pivot", F.lit(0).alias("i"),
                            F.inline(F.when(F.col("place") <= PIVOTS, everywhere).otherwise(alone)))
     near = compared(placed, facts, percent, True).groupBy("a", "b").agg(F.min("apart").alias("apart"))
     best = Window.partitionBy("a").orderBy("apart", "b")
@@ -203,12 +204,12 @@ def remaining_pairs(groups: DataFrame, facts: DataFrame, percent: int) -> DataFr
     others.  A group of more than ``GROUP_ROWS`` members is cut into parts, and every part's minor members
     meet every part, so that a task never holds more than two parts."""
     parts = F.ceil(F.col("members") / GROUP_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
+    own = F.pmod(F.xxhash64("row"), parts).cast("int")
     others = F.sequence(F.lit(0), parts - 1)
     as_a = F.transform(others, lambda j: F.struct(own.alias("i"), j.alias("j"), F.lit(1).alias("role")))
     as_b = F.transform(others, lambda i: F.struct(i.alias("i"), own.alias("j"), F.lit(2).alias("role")))
     whole = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(3).alias("role")))
-    placed = groups.select("key", "rep", "pivot", F.inline(F.when(parts == 1, whole).otherwise(F.concat(as_a, as_b))))
+    placed = groups.select("key", "row", "pivot", F.inline(F.when(parts == 1, whole).otherwise(F.concat(as_a, as_b))))
     counted = compared(placed, facts, percent, False).groupBy("a", "b", "least").agg(F.sum("shared").alias("shared"))
     return counted.filter(F.col("shared") >= 1 + F.floor(F.col("least") * parity.MORE_KEYS)).select("a", "b")
 
@@ -223,6 +224,7 @@ def _pairs(table: pa.Table, percent: int, first: bool) -> Iterator[pa.RecordBatc
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     offsets = lists.offsets.to_numpy().astype(np.int64)
     bounds = (offsets[:-1], np.diff(offsets), lists.values.to_numpy().view(np.uint64))
+    short = parity.short_sketches(*bounds)
     new = np.r_[True, (rows["key"][1:] != rows["key"][:-1]) | (rows["i"][1:] != rows["i"][:-1])
                 | (rows["j"][1:] != rows["j"][:-1])]
     group = np.cumsum(new) - 1
@@ -243,7 +245,7 @@ def _pairs(table: pa.Table, percent: int, first: bool) -> Iterator[pa.RecordBatc
         if not first:
             keep &= ~rows["minor"][b] | (rep[a] < rep[b])  # each pair once per key
         a, b = a[keep], b[keep]
-        at, apart = parity.near_pairs(a, b, rows["n"], *bounds, percent)
+        at, apart = parity.near_pairs(a, b, rows["n"], short, *bounds, percent)
         if not len(at):
             continue
         a, b = a[at], b[at]
@@ -269,25 +271,45 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """``id_col, n_shingles, component_id`` per row: the size of the shingle set and the smallest
     id that links reach."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    table = sketches(docs, common_shingles(docs, shingle), shingle, percent)
-    classes = table.filter("n > 0").groupBy("print").agg(F.min("id").alias("rep"))
-    # One row per distinct set: that of its smallest id (repeated rows of which are alike).
-    reps = materialize(table.join(classes, (table["print"] == classes["print"]) & (table["id"] == classes["rep"]))
-                       .select("rep", "n", "bound", "keys"), "jaccard-classes")
-
-    by_key = Window.partitionBy("key").orderBy(F.xxhash64("rep"), "rep")
-    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    groups = materialize(
-        reps.select("rep", F.explode("keys").alias("key")).select(
-            "key", "rep", F.first("rep").over(whole).alias("pivot"), F.count("*").over(whole).alias("members"),
-            F.row_number().over(by_key).alias("place")).filter("members > 1"), "jaccard-groups")
-
-    links = verified(first_pairs(groups, known_sets(reps, None), percent), docs, shingle, percent)
-    facts = known_sets(reps, component_labels(links))
-    links = links.unionByName(verified(remaining_pairs(groups, facts, percent), docs, shingle, percent))
-    final = component_labels(links)
-
-    rows = table.select("id", "n", "print").join(classes, "print", "left")
-    return (rows.join(final.withColumnRenamed("id", "rep"), "rep", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "rep", "id").alias("component_id")))
+    with Intermediates(df.sparkSession) as own:
+        table = sketches(docs, common_shingles(docs, shingle), shingle, percent, own)
+        rows = own.store(table.select("id", "n", "print"), "jaccard-rows")
+        # One row per distinct set: one of its smallest id.
+        first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row"))
+        classes = table.filter("n > 0").groupBy("print").agg(first.alias("first"))
+        classes = own.store(classes.select("print", F.col("first.id").alias("rep"), F.col("first.row").alias("row")), "jaccard-classes")
+        sets = table.join(classes.select("row", "rep").filter("rep IS NOT NULL"), "row")
+        reps = own.store(sets.select("row", "rep", "n", "bound"), "jaccard-sets")
+
+        by_key = Window.partitionBy("key").orderBy(F.xxhash64("row"), "row")
+        whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        groups = own.store(
+            sets.select("row", F.explode("keys").alias("key")).select(
+                "key", "row", F.first("row").over(whole).alias("pivot"), F.count("*").over(whole).alias("members"),
+                F.row_number().over(by_key).alias("place")).filter("members > 1"), "jaccard-groups")
+        own.drop(table)
+
+        facts = known_sets(reps, None, own)
+        links = verified(first_pairs(groups, facts, percent), docs, shingle, percent, own)
+        own.drop(facts)
+        facts = known_sets(reps, component_labels(links), own)
+        links = links.unionByName(verified(remaining_pairs(groups, facts, percent), docs, shingle, percent, own))
+        own.drop(groups)
+
+        # The sets of one id are one document.
+        several = rows.filter("id IS NOT NULL").groupBy("id").agg(
+            F.min("print").alias("a"), F.max("print").alias("b"), F.max(F.col("n") == 0).alias("empty"))
+        several = own.store(several.filter("a != b OR empty AND a IS NOT NULL").select("id"), "jaccard-several")
+        repeated = not several.isEmpty()
+        if repeated:
+            shared = rows.join(several, "id").join(classes, "print").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+            links = links.unionByName(shared.distinct())
+        final = component_labels(links)
+        found = (rows.join(classes.select("print", "rep"), "print", "left").join(final.withColumnRenamed("id", "rep"), "rep", "left")
+                 .select("id", "n", F.coalesce("component", "rep", "id").alias("component")))
+        if repeated:
+            found = own.store(found, "jaccard-found")
+            least = found.join(several, "id").groupBy("id").agg(F.min("component").alias("least"))
+            found = found.join(least, "id", "left").select("id", "n", F.coalesce("least", "component").alias("component"))
+        return materialize(found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                                        F.col("component").alias("component_id")), "jaccard-result")

@@ -132,15 +132,22 @@ def fold(sketches: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, words), axis=1)
 
 
-def near_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, starts: np.ndarray, words: np.ndarray,
+def short_sketches(starts: np.ndarray, words: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """All bounds folded to ``BOUND_WORDS`` words."""
+    short = np.empty((len(starts), BOUND_WORDS), dtype=np.uint64)
+    for w in np.unique(words):
+        rows = np.flatnonzero(words == w)
+        for s in range(0, len(rows), max(1, (1 << 20) // int(w))):
+            part = rows[s:s + max(1, (1 << 20) // int(w))]
+            short[part] = fold(values[starts[part, None] + np.arange(w)], BOUND_WORDS)
+    return short
+
+
+def near_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray, short: np.ndarray, starts: np.ndarray, words: np.ndarray,
                values: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """The places of the pairs of rows ``a, b`` that may link, by set sizes ``n`` and bounds (row r has
-    ``words[r]`` of ``values`` from ``starts[r]``), and how far apart each is, as a share."""
+    ``words[r]`` of ``values`` from ``starts[r]``; ``short``: folded), and how far apart each is, as a share."""
     at = np.flatnonzero((n[a] * 100 >= n[b] * percent) & (n[b] * 100 >= n[a] * percent))
-    short = np.empty((len(n), BOUND_WORDS), dtype=np.uint64)
-    for w in np.unique(words):
-        rows = np.flatnonzero(words == w)
-        short[rows] = fold(values[starts[rows, None] + np.arange(w)], BOUND_WORDS)
     total = (n[a[at]] + n[b[at]]).astype(np.int64)
     apart = np.bitwise_count(short[a[at]] ^ short[b[at]]).sum(axis=1, dtype=np.int64)
     # 100 i >= p u with i = (s - d) / 2 and u = (s + d) / 2 for sizes' sum s and difference d.

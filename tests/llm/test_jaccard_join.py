@@ -99,3 +99,26 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r["id"]: r["component"] for r in components.component_labels(
         spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 130)}}
+
+
+def test_many_copies_of_one_row(spark):
+    text, other = "a b c d e f g h", "a b c d e f g h i"
+    docs = [(5, text)] * 5000 + [(3, other), (9, "x y z"), (9, "x y z")]
+    rows = J.components(spark.createDataFrame(docs, "doc_id long, text string"), shingle=2, percent=85).collect()
+    assert len(rows) == 5003
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows} == {(5, 7, 3), (3, 8, 3), (9, 2, 9)}
+
+
+def test_texts_of_one_id_are_one_document(spark):
+    a, b = "one two three four five", "six seven eight nine ten"
+    docs = [(3, b), (5, a), (5, b), (8, a), (9, ""), (9, a), (7, None), (11, "q r s t u v")]
+    rows = J.components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in rows) == [
+        (3, 3), (5, 3), (5, 3), (7, 7), (8, 3), (9, 3), (9, 3), (11, 11)]
+
+
+def test_shuffled_sketches_give_the_same_groups(spark, monkeypatch):
+    monkeypatch.setattr(J, "BROADCAST_BYTES", 0)
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = result(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert got == brute(docs)

@@ -98,9 +98,16 @@ def directory(assigned: DataFrame) -> DataFrame:
 
 
 def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "text",
-                 limit_bytes: int = LIMIT_BYTES) -> None:
-    """Write every row of ``df`` under ``path``, one folder ``depth=/prefix=`` per shard; rows
-    travel with their hash, so keys may be null or repeat."""
-    placed = assign(df.drop("depth", "prefix"), key, text, limit_bytes, whole=True)
-    (placed.select("row.*", "depth", "prefix").repartition("depth", "prefix")
-     .write.partitionBy("depth", "prefix").parquet(path))
+                 limit_bytes: int = LIMIT_BYTES) -> tuple[str, str]:
+    """Write every row of ``df`` under ``path``, one folder per shard named by its depth and prefix; rows travel with
+    their hash, so keys may be null or repeat.  Returns the folders' column names: ``depth`` and
+    ``prefix``, or longer ones where ``df`` has such columns (in any case), which stay as they are."""
+    taken, names = {c.lower() for c in df.columns}, []
+    for name in ("depth", "prefix"):
+        while name in taken:
+            name = f"shard_{name}"
+        names.append(name)
+    placed = assign(df, key, text, limit_bytes, whole=True)
+    (placed.select("row.*", F.col("depth").alias(names[0]), F.col("prefix").alias(names[1])).repartition(*names)
+     .write.partitionBy(*names).parquet(path))
+    return names[0], names[1]

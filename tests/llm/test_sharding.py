@@ -44,9 +44,10 @@ def test_written_shards_hold_every_row(spark, tmp_path):
     rows = [(i, "x" * 50) for i in range(40)] + [(999, f"y{i}" * 20) for i in range(90)] + [(None, "z" * 30)] * 5 + [(None, None)]
     for name, df in (("hot", spark.createDataFrame(rows, "doc_id long, text string")), ("odd", odd_docs(spark))):
         path = str(tmp_path / name)
-        sharding.write_shards(df, path, limit_bytes=300)
+        names = sharding.write_shards(df, path, limit_bytes=300)
+        assert names == (("depth", "prefix") if name == "hot" else ("shard_depth", "shard_prefix"))
         back = spark.read.parquet(path)
-        columns = df.drop("depth", "prefix").columns
+        columns = df.columns
         assert sorted(map(repr, back.select(columns).collect())) == sorted(map(repr, df.select(columns).collect()))
     shards = spark.read.parquet(str(tmp_path / "hot")).groupBy("depth", "prefix").agg(
         F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b"))

@@ -82,7 +82,7 @@ ENCODINGS = {
     "base64url": _UPPER + _LOWER + _DIGIT + "-_",
 }
 #: Alphabets whose bins are filled by frequency.
-BY_FREQUENCY = ("base36", "hex_lower", "base32_lower", "base36_lower")
+BY_FREQUENCY = ("base32", "base36", "hex_lower", "base32_lower", "base36_lower")
 _CODES = {name: {ch: i for i, ch in enumerate(chars)} for name, chars in ENCODINGS.items()}
 
 

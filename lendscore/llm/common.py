@@ -45,6 +45,22 @@ def as_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
+def sample_share(distinct: int, max_rows: int) -> float:
+    """Chance of a text to be in a sample of about ``max_rows`` texts, however many there are."""
+    return min(1.0, max_rows / max(1, distinct))
+
+
+def distinct_sample(df: DataFrame, text_col: str, max_rows: int) -> DataFrame:
+    """Rows of about ``max_rows`` texts, chosen by a 64-bit hash; rows that repeat one count once, so a very common
+    text is one row.  All texts, if there are no more."""
+    h = F.xxhash64(F.col(text_col))
+    share = sample_share(df.agg(F.approx_count_distinct(h)).first()[0], max_rows)
+    chosen = df if share >= 1.0 else df.filter(h.cast("double") / 2.0 ** 64 + 0.5 < share)
+    name = temp_name(df, "hash")
+    others = [c for c in df.columns if c != text_col]
+    return chosen.groupBy(h.alias(name), *others).agg(F.first(text_col).alias(text_col)).select(df.columns)
+
+
 class BoundedCache(dict):
     """A dict that computes missing values with ``make`` and starts again when
     it holds ``limit`` entries, so that a long-lived worker stays bounded."""

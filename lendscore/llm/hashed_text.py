@@ -1,6 +1,6 @@
 """Hashed terms of texts, and training by averaged shards (operators 1 and 3).
 
-``averaged_fit`` trains on a stored, bounded sample that is dealt into a fixed
+``averaged_fit`` trains on a stored, bounded sample of distinct texts that is dealt into a fixed
 number of shards by a hash.  In every round each shard continues from the same
 parameters in a task of its own and the driver averages what they return (a few MB
 per shard).  The shards, not the cluster, fix the result.
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import BoundedCache, as_text, list_array, slices
+from .common import BoundedCache, as_text, distinct_sample, list_array, slices
 
 #: Buckets of hashed terms; shards of a training sample.
 BITS, SHARDS = 18, 4
@@ -74,14 +74,12 @@ def frequencies(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def training_table(labelled: DataFrame, terms: Callable, max_rows: int, text_col: str = "text",
                    label_col: str = "label") -> DataFrame:
-    """``shard, label, at, value`` of about ``max_rows`` labelled rows (all, if fewer),
-    chosen by a hash of their text and stored."""
+    """``shard, label, h, at, value`` of about ``max_rows`` distinct labelled texts (all, if fewer), chosen by
+    hash and stored; copies of a text with one label count once."""
     rows = labelled.select(F.col(label_col).cast("int").alias("label"),
                            as_text(F.col(text_col)).alias("text")).filter("label IS NOT NULL")
-    n = rows.count()
-    h = F.pmod(F.xxhash64("text"), F.lit(1 << 20))
-    if n > max_rows:
-        rows = rows.filter(h < int(max_rows / n * (1 << 20)))
+    rows = distinct_sample(rows, "text", max_rows)
+
     kind = T.StructType().add("at", T.ArrayType(T.IntegerType())).add("value", T.ArrayType(T.FloatType()))
 
     @F.arrow_udf(kind)
@@ -94,7 +92,10 @@ def training_table(labelled: DataFrame, terms: Callable, max_rows: int, text_col
 
     shard = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(SHARDS)).cast("int")
     out = rows.select(shard.alias("shard"), "label", F.xxhash64("text").alias("h"), hashed(F.col("text")).alias("terms"))
-    return materialize(out.select("shard", "label", "h", "terms.at", "terms.value"), "training")
+    table = materialize(out.select("shard", "label", "h", "terms.at", "terms.value"), "training")
+    if table.isEmpty() and not labelled.filter(F.col(label_col).isNotNull()).isEmpty():
+        raise ValueError("the sample of labelled rows is empty")
+    return table
 
 
 def averaged_fit(table: DataFrame, start: list[np.ndarray], epoch: Callable, rounds: int) -> list[np.ndarray]:

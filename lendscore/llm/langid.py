@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import slices
+from .common import distinct_sample, slices
 
 #: Rows with labels that a fit uses at most (about; chosen by a hash of the text).
 MAX_TRAINING_ROWS = 10_000
@@ -188,15 +188,6 @@ class LanguageModel:
     uid: str = field(default_factory=lambda: uuid4().hex)
 
 
-def bounded_sample(df: DataFrame, text_col: str, max_rows: int) -> DataFrame:
-    """About ``max_rows`` rows, chosen by a hash of their text; all, if fewer."""
-    n = df.count()
-    if n <= max_rows:
-        return df
-    share = F.pmod(F.xxhash64(F.col(text_col)), F.lit(1 << 20))
-    return df.filter(share < int(max_rows / n * (1 << 20)))
-
-
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: Counter = Counter()
@@ -209,15 +200,17 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(labelled: DataFrame, pieces_path: str, text_col: str = "text", lang_col: str = "lang",
         max_rows: int = MAX_TRAINING_ROWS, rounds: int = ROUNDS) -> LanguageModel:
-    """Learn from the rows of ``labelled`` with a language and a text."""
+    """Learn from the rows of ``labelled`` with a language and a text; copies of a text count once."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
-    counted = (bounded_sample(rows, "text", max_rows).mapInArrow(_count_words, "lang string, word string, n long")
+    counted = (distinct_sample(rows, "text", max_rows).mapInArrow(_count_words, "lang string, word string, n long")
                .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     table = materialize(counted, "langid-words")
     totals = {r["lang"]: r["n"] for r in table.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(totals)
     prior = np.array([totals[k] for k in langs], dtype=float)
     pieces = read_pieces(pieces_path)
+    if not langs and not rows.filter(F.col("text").rlike(r"\p{L}")).isEmpty():
+        raise ValueError("the sample of labelled texts is empty")
     if not langs:
         return LanguageModel([], prior, pieces, np.empty((len(pieces) + 1, 0)))
     probs = np.full((len(pieces) + 1, len(langs)), 1.0 / len(pieces))

@@ -105,3 +105,32 @@ def test_odd_rows(spark):
         toxicity.fit(odd_docs(spark).withColumn("toxic", F.lit(2)))
     with pytest.raises(ValueError):
         quality.fit(odd_docs(spark).withColumn("grade", F.lit(-1)), grade_col="grade")
+
+
+def test_sample_does_not_empty_and_takes_copies_once(spark):
+    from pyspark.sql import functions as F
+
+    from lendscore.llm import common, hashed_text, toxicity
+    assert common.sample_share(int(5e10), 12_000) > 0 and common.sample_share(0, 5) == 1.0
+    # The chance that the smallest sample gives, as the filter computes it, takes about as many of the hashes.
+    n, want = 200_000, 40
+    share = common.sample_share(n, want)
+    unit = F.xxhash64("id").cast("double") / 2.0 ** 64 + 0.5
+    assert 10 < spark.range(n).filter(unit < share).count() < 120
+    hot = spark.createDataFrame([("the same text", 1)] * 4000 + [(f"text number {i}", i % 2) for i in range(300)], "text string, toxic int")
+    table = hashed_text.training_table(hot, toxicity.presence, 200, label_col="toxic")
+    assert 120 < table.count() < 280
+    few = hashed_text.training_table(hot, toxicity.presence, 5000, label_col="toxic")
+    assert few.count() == 301 and few.groupBy("shard").count().agg(F.max("count")).first()[0] < 130
+
+
+def test_an_empty_sample_of_labelled_rows_fails(spark, monkeypatch):
+    from lendscore.llm import hashed_text, langid, toxicity
+    labelled = spark.createDataFrame([("some text", 1, "en")], "text string, toxic int, lang string")
+    for module in (hashed_text, langid):
+        monkeypatch.setattr(module, "distinct_sample", lambda df, *rest: df.limit(0))
+    with pytest.raises(ValueError, match="empty"):
+        hashed_text.training_table(labelled, toxicity.presence, 10, label_col="toxic")
+    import public_tokenizers as P
+    with pytest.raises(ValueError, match="empty"):
+        langid.fit(labelled, P.path("piece_bpe_32k.model"))

@@ -192,22 +192,26 @@ WITH d AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n_bytes,
      l AS (SELECT doc_id, min(depth) AS depth FROM s JOIN b USING (depth, prefix) GROUP BY doc_id)
 SELECT doc_id, n_bytes, l.depth || ':' || (h >> CAST(32 - l.depth AS BIGINT)) AS shard
 FROM d JOIN l USING (doc_id)""",
-    # Thirteen equal tokens of sixteen hold four in a row, which give the offsets here.
+    # An item of n tokens may lose n * 3 / 16 of them (a window of longer ones three of 16): what is left holds
+    # three in a row, which give the offsets here.  Letters of unspaced scripts are tokens of their own.
     "op6_decontamination": r"""
-WITH bt AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM benchmark),
-     dt AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM documents),
-     b AS (SELECT item_id, len(t) AS n, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS p FROM bt WHERE len(t) >= 5),
-     d AS (SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS p FROM dt),
-     bg AS (SELECT item_id, p, tok AS a, lead(tok, 1) OVER w AS b, lead(tok, 2) OVER w AS c, lead(tok, 3) OVER w AS e
+WITH spaced AS (SELECT 'b' AS side, item_id AS id, text FROM benchmark UNION ALL SELECT 'd', doc_id, text FROM documents),
+     tokens AS (SELECT side, id, regexp_extract_all(regexp_replace(lower(text),
+                '([\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}])', ' \1 ', 'g'),
+                '[\p{L}\p{N}]+') AS t FROM spaced),
+     b AS (SELECT id AS item_id, len(t) AS n, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS p FROM tokens
+           WHERE side = 'b' AND len(t) >= 5),
+     d AS (SELECT id AS doc_id, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS p FROM tokens WHERE side = 'd'),
+     bg AS (SELECT item_id, p, tok AS a, lead(tok, 1) OVER w AS b, lead(tok, 2) OVER w AS c
             FROM b WINDOW w AS (PARTITION BY item_id ORDER BY p)),
-     dg AS (SELECT doc_id, p, tok AS a, lead(tok, 1) OVER w AS b, lead(tok, 2) OVER w AS c, lead(tok, 3) OVER w AS e
+     dg AS (SELECT doc_id, p, tok AS a, lead(tok, 1) OVER w AS b, lead(tok, 2) OVER w AS c
             FROM d WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
-     o AS (SELECT DISTINCT doc_id, item_id, dg.p - bg.p AS off FROM dg JOIN bg USING (a, b, c, e)),
+     o AS (SELECT DISTINCT doc_id, item_id, dg.p - bg.p AS off FROM dg JOIN bg USING (a, b, c)),
      m AS (SELECT o.doc_id, o.item_id, o.off, b.p, b.n, CASE WHEN d.tok = b.tok THEN 1 ELSE 0 END AS same
            FROM o JOIN b USING (item_id) LEFT JOIN d ON d.doc_id = o.doc_id AND d.p = b.p + o.off),
      s AS (SELECT doc_id, item_id, off, p, n, sum(same) OVER (PARTITION BY doc_id, item_id, off ORDER BY p
                   ROWS 15 PRECEDING) AS found FROM m)
 SELECT doc_id, item_id, CAST(off AS INTEGER) AS "offset", CAST(max(found) AS INTEGER) AS n_matched
 FROM s WHERE p >= least(n, 16) - 1 GROUP BY doc_id, item_id, off, n
-HAVING max(found) >= CASE WHEN n < 16 THEN n ELSE 13 END""",
+HAVING max(found) >= least(n, 16) - least(n, 16) * 3 // 16""",
 }

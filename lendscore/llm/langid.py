@@ -52,7 +52,7 @@ ROUNDS, BACKGROUND = 3, 50.0
 #: forward pass stay near 1.
 SCALE = 2.5
 #: Words whose scores a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 UNDETERMINED = "und"
 
 _LETTERS = regex.compile(r"\p{L}+")

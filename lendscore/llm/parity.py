@@ -21,7 +21,7 @@ MORE_KEYS = 0.02
 #: Least words of the sketches that bound candidates.
 BOUND_WORDS = 8
 
-_WORD = BoundedCache(lambda w: xxhash.xxh3_64_intdigest(w), 500_000)
+_WORD = BoundedCache(lambda w: xxhash.xxh3_64_intdigest(w), 120_000)
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 

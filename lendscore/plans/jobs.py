@@ -183,6 +183,8 @@ def _save_model(p: Project, model: PipelineModel, train: DataFrame, run_id: str,
     own_dictionaries(p.spark, model, f"{path}/dictionaries").save(f"{path}/pipeline")
     p.spark.createDataFrame([(capture_schema(train, s.model_features),)], "schema string") \
         .coalesce(1).write.mode("overwrite").text(f"{path}/schema")
+    scored = models.score(model, train.limit(0), s.primary_keys, label_text=PREDICTION)
+    p.spark.createDataFrame([(scored.schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(f"{path}/output")
     registry.register_version(p.spark, p.root, s.model_name, path, run_id, version=version, tags=tags.to_dict())
     return version, path
 
@@ -232,6 +234,11 @@ def model_schema(p: Project, path: str) -> str:
     return p.spark.read.text(f"{path}/schema").head()[0]
 
 
+def model_output(p: Project, path: str) -> StructType:
+    """Names and types of what the model's scoring returns, as captured when it was saved."""
+    return StructType.fromJson(json.loads(p.spark.read.text(f"{path}/output").head()[0]))
+
+
 def score_job(p: Project, source: DataFrame | None = None) -> DataFrame:
     """J5 (batch): score with the version the alias points to."""
     s = p.settings
@@ -241,7 +248,11 @@ def score_job(p: Project, source: DataFrame | None = None) -> DataFrame:
     model = load_model(p, v.path)
     data = source if source is not None else tables.read_snapshot(p.spark, p.features_path)
     data = check_schema(data, model_schema(p, v.path), keep=s.primary_keys)
-    return models.score(model, data, s.primary_keys, label_text="Credit risk prediction")
+    out = models.score(model, data, s.primary_keys, label_text=PREDICTION)
+    want, have = ([(f.name, f.dataType.simpleString()) for f in t.fields] for t in (model_output(p, v.path), out.schema))
+    if want != have:
+        raise ValueError(f"scores {have} do not match the model signature {want}")
+    return out
 
 
 def stream_score_job(p: Project, source: str, sink: str, checkpoint: str) -> DataFrame:
@@ -257,6 +268,8 @@ def stream_score_job(p: Project, source: str, sink: str, checkpoint: str) -> Dat
                                      sink, checkpoint)
 
 
+#: Column of the decoded class.
+PREDICTION = "Credit risk prediction"
 #: Exit status of a training job whose model was not promoted.
 NOT_PROMOTED = 3
 

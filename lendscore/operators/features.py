@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from decimal import Decimal
 from typing import Any
 
 from pyspark import keyword_only
@@ -22,7 +23,7 @@ from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
+from pyspark.sql.types import BooleanType, DecimalType, DoubleType, FloatType, NumericType
 
 from ..session import materialize, scratch_path
 from .profile import long_values
@@ -50,11 +51,31 @@ def _native(v: str, num: float | None, dtype) -> Any:
         return v == "true"
     if isinstance(dtype, (DoubleType, FloatType)):
         return float(num)
+    if isinstance(dtype, DecimalType):
+        return Decimal(v)
     if isinstance(dtype, NumericType):
-        return int(v) if dtype.typeName() in ("byte", "short", "integer", "long") else float(num)
+        return int(v)
     return v
 
 
+def _exact_order(v: Column) -> Column:
+    """Text of an exact number (plain digits) that sorts as the number does: digits padded on both sides, behind a
+    sign; those of negative numbers are complemented."""
+    size = F.regexp_replace(v, "^-", "")
+    whole, rest = F.substring_index(size, ".", 1), F.when(F.contains(size, F.lit(".")), F.substring_index(size, ".", -1)).otherwise("")
+    digits = F.concat(F.lpad(whole, 39, "0"), F.rpad(rest, 38, "0"))
+    return F.when(F.startswith(v, F.lit("-")), F.concat(F.lit("0"), F.translate(digits, "0123456789", "9876543210"))).otherwise(
+        F.concat(F.lit("1"), digits))
+
+
+def native_order(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """Order of the rows of ``long_values`` within a column: doubles by value, exact numbers exactly, others by text."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    exact = [c for c in cols if isinstance(types[c], NumericType) and not isinstance(types[c], (DoubleType, FloatType))]
+    is_exact = F.col("column_name").isin(exact) if exact else F.lit(False)
+    return [F.when(~is_exact, F.col("num")), F.when(is_exact, _exact_order(F.col("value"))), F.col("value")]
+
+
 def fit_dictionaries(df: DataFrame, cols: Sequence[str],
                      max_size: int = 100_000) -> dict[str, list[Any]]:
     """Sorted distinct non-null values per column, in the column's *native*
@@ -87,7 +108,7 @@ def dictionary_frame(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ranking is range-partitioned, never one task per column.  Beyond 2^31 values of
     one column the ``int`` cast fails (ANSI) instead of wrapping."""
     lv = long_values(df, cols).filter(F.col("value").isNotNull()).distinct()
-    r = exact_rank(lv, [F.col("num"), F.col("value")], ["column_name"], rn="_rn")
+    r = exact_rank(lv, native_order(df, cols), ["column_name"], rn="_rn")
     return r.select("column_name", "value", (F.col("_rn") - 1).cast("int").alias("code"))
 
 
@@ -192,7 +213,7 @@ def category_state(df: DataFrame, cols: Sequence[str], limit: int = MAX_COLLECTE
     n, "bytes": b}``) instead of being collected; either form gives the same codes.
     """
     small, large = _split_dictionaries(df, cols, limit)
-    state = {c: {"kind": _value_kind(df, c), "values": small[c], "size": len(small[c])} for c in small}
+    state = {c: {"kind": _value_kind(df, c), "values": _storable(small[c]), "size": len(small[c])} for c in small}
     for c, n in large.items():
         path = scratch_path(df.sparkSession, f"dictionary-{c}")
         dictionary_frame(df, [c]).select("value", "code").write.parquet(path)
@@ -201,6 +222,11 @@ def category_state(df: DataFrame, cols: Sequence[str], limit: int = MAX_COLLECTE
     return state
 
 
+def _storable(values: list) -> list:
+    """Values as JSON holds them; decimals as text, from which they are cast back exactly."""
+    return [str(v) if isinstance(v, Decimal) else v for v in values]
+
+
 class OneHotColumns(_DictionaryEstimator, DefaultParamsReadable, DefaultParamsWritable):
     """One 0/1 int column per category (sorted, none dropped): ``<col>_oh<i>``.
     Unknown and null give all zeros.  A table can hold so many columns only; for
@@ -214,7 +240,7 @@ class OneHotColumns(_DictionaryEstimator, DefaultParamsReadable, DefaultParamsWr
 
     def _fit(self, df: DataFrame) -> "OneHotColumnsModel":
         values = fit_dictionaries(df, self.getInputCols())
-        state = {c: {"kind": _value_kind(df, c), "values": v, "size": len(v)} for c, v in values.items()}
+        state = {c: {"kind": _value_kind(df, c), "values": _storable(v), "size": len(v)} for c, v in values.items()}
         return OneHotColumnsModel(inputCols=self.getInputCols(), state=json.dumps(state))
 
 

@@ -100,20 +100,27 @@ def hash_row_number(df: DataFrame, hash_col: str, order_by: Sequence[Column],
     :data:`ROWS_PER_BUCKET` rows (1 digit for small data, 5 for ~1e12 rows).
     """
     parts = list(partition_by)
-    prefix = lambda c, k: F.substring(c, 1, k)
+    per_bucket, digits, groups = hash_buckets(df, hash_col, parts, rn, max_digits)
+    return cumulative(df, order_by, F.substring(F.col(hash_col), 1, digits), {rn: F.lit(1).cast("bigint")},
+                      parts, totals={rn: total} if total else None,
+                      expected_buckets=max(1, groups) * 16 ** digits, with_offsets=with_offsets,
+                      per_bucket=per_bucket)
+
+
+def hash_buckets(df: DataFrame, hash_col: str, partition_by: Sequence[str] = (), rn: str = "rn",
+                 max_digits: int = 15, least_buckets: int = 1) -> tuple[DataFrame, int, int]:
+    """Stored rows per hash prefix (``partition_by``, ``_bkt``, ``_s_<rn>``), the prefix's length and the number of
+    partitions.  The length fits the largest partition, and gives ``least_buckets`` prefixes at least."""
+    parts = list(partition_by)
     # Class sizes first (one row per class and task), then one count per prefix of
     # the length they call for: either shuffle is far smaller than the input.
     sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_c")).agg(
         F.max("_c").alias("largest"), F.count(F.lit(1)).alias("groups")).head()
-    largest, groups = (sizes.largest or 0), (sizes.groups or 0)
-    want = max(1.0, largest / ROWS_PER_BUCKET)
+    want = max(1.0, (sizes.largest or 0) / ROWS_PER_BUCKET, float(least_buckets))
     digits = int(min(max_digits, max(1, math.ceil(math.log(want, 16)))))
-    per_bucket = materialize(df.groupBy(*parts, prefix(F.col(hash_col), digits).alias("_bkt"))
+    per_bucket = materialize(df.groupBy(*parts, F.substring(F.col(hash_col), 1, digits).alias("_bkt"))
                              .agg(F.count(F.lit(1)).alias(f"_s_{rn}")), "bucket-counts")
-    return cumulative(df, order_by, prefix(F.col(hash_col), digits), {rn: F.lit(1).cast("bigint")},
-                      parts, totals={rn: total} if total else None,
-                      expected_buckets=max(1, groups) * 16 ** digits, with_offsets=with_offsets,
-                      per_bucket=per_bucket)
+    return per_bucket, digits, sizes.groups or 0
 
 
 def bucketed_row_number(df: DataFrame, order_by: Sequence[Column], bucket: Column,

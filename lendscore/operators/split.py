@@ -11,18 +11,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import hex_prefix_int, keyed_md5
 from ..session import materialize
-from .ranking import exact_rank, hash_row_number
+from .ranking import cumulative, exact_rank, hash_buckets, hash_row_number
 
 # Longest hash prefix used as a bucket; the prefix actually used is sized from
 # the data (see ranking.hash_row_number).
 HEX_DIGITS = 15
 # Broadcast a draw list up to this many rows; beyond it the join shuffles.
 MAX_BROADCAST_DRAWS = 1_000_000
+# Hash buckets for every draw of a sample, and most buckets of one.
+BUCKETS_PER_DRAW, MOST_BUCKETS = 20, 1 << 20
 
 
 def _rounded_share(total, fraction: Fraction):
@@ -105,27 +107,45 @@ def sample_with_replacement(df: DataFrame, n: int, key: str | Sequence[str], see
     """Exactly ``n`` rows drawn uniformly with replacement (seeded).
 
     Rows get a global index 1..N (hash order); draw ``i`` picks index
-    ``md5(i:draw_seed) mod N + 1``.  The draw list is generated on the
-    executors with ``range`` and equi-joined to the index (broadcast only
-    when ``n`` is small), so neither side passes through the driver.
+    ``md5(i:draw_seed) mod N + 1``.  The draws are generated on the executors with ``range``.  Up to
+    ``MAX_BROADCAST_DRAWS`` of them are first dealt to hash buckets by the table of bucket counts, and only rows of
+    buckets that a draw falls into are ranked: about one row in ``BUCKETS_PER_DRAW`` is sorted.
     """
+    spark = df.sparkSession
     if unique_key:
-        h = keyed_md5(key_text(key), seed)
-        # N is the sum of the (small) per-bucket counts: no extra input pass.
-        indexed, offs = hash_row_number(df.withColumn("_h", h), "_h", [F.col("_h"), *map(F.col, _keys(key))],
-                                        rn="_rn", max_digits=hex_digits, with_offsets=True)
-        total = offs.agg(F.sum("_s__rn")).head()[0] or 0
+        indexed = df.withColumn("_h", keyed_md5(key_text(key), seed))
+        few = n <= MAX_BROADCAST_DRAWS
+        least = min(MOST_BUCKETS, BUCKETS_PER_DRAW * n) if few else 1
+        per_bucket, digits, _ = hash_buckets(indexed, "_h", rn="_rn", max_digits=hex_digits, least_buckets=least)
+        total = per_bucket.agg(F.sum("_s__rn")).head()[0] or 0
     else:
         indexed = _rank_rows(df, key, seed, hex_digits, False, [], "_tot")
         total = indexed.agg(F.max("_tot")).head()[0] or 0
         indexed = indexed.drop("_tot")
-    indexed = indexed.drop("_h")
     if total == 0:
         raise ValueError("cannot sample from an empty DataFrame")
-    spark = df.sparkSession
     draws = spark.range(n).select(
         F.col("id").alias("draw"),
         (hex_prefix_int(keyed_md5(F.col("id"), draw_seed), 15) % F.lit(total) + 1).alias("_rn"))
+    if unique_key:
+        bucket = F.substring("_h", 1, digits)
+        if few:
+            # Broadcast: at most one bucket per draw.
+            indexed = indexed.join(F.broadcast(drawn_buckets(draws, per_bucket)), bucket == F.col("_drawn"), "left_semi")
+        indexed = cumulative(indexed, [F.col("_h"), *map(F.col, _keys(key))], bucket, {"_rn": F.lit(1).cast("bigint")},
+                             expected_buckets=16 ** digits, per_bucket=per_bucket)
+    indexed = indexed.drop("_h")
     if n <= MAX_BROADCAST_DRAWS:
         draws = F.broadcast(draws)
     return draws.join(indexed, "_rn").drop("_rn")
+
+
+def drawn_buckets(draws: DataFrame, per_bucket: DataFrame) -> DataFrame:
+    """``_drawn``: buckets that hold the index of a draw.  Draws and buckets are put in one order by index; the
+    bucket of a draw is the last before it.  Both are bounded (``MAX_BROADCAST_DRAWS``, the number of prefixes)."""
+    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_bucket.select((F.coalesce(F.sum("_s__rn").over(before), F.lit(0)) + 1).alias("at"), "_bkt", F.lit(0).alias("kind"))
+    both = starts.unionByName(draws.select(F.col("_rn").alias("at"), F.lit(None).cast("string").alias("_bkt"), F.lit(1).alias("kind")))
+    upto = Window.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.select("kind", F.last("_bkt", ignorenulls=True).over(upto).alias("_drawn"))
+    return found.filter("kind = 1").select("_drawn").distinct()

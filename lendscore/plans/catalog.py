@@ -18,7 +18,7 @@ from ..config import CREDIT_RULES, UNKNOWN_ACCOUNT, credit_settings
 from ..functions import columns as C
 from ..operators import clean, features, metrics, models, profile, registry, split
 from ..session import materialize, scratch_path
-from ..sources import files, tables
+from ..sources import changes, files, tables
 from ..sources.applications import applications, read_table
 from ..streaming import scoring
 
@@ -246,6 +246,17 @@ def category_dictionary(spark, sf_dir):
                                      SETTINGS.categorical_features)
 
 
+@query
+def dictionary_exact(spark, sf_dir):
+    """Codes of whole numbers beyond 2^53 of both signs, and of decimals of more digits than a double has."""
+    big = F.lit(9007199254740990) + F.col("o_orderkey")
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 2 == 1, -big).otherwise(big).alias("big"),
+        (F.lit("100000000000000000000.00").cast("decimal(30,2)") + F.col("o_custkey").cast("decimal(18,2)"))
+        .cast("decimal(38,2)").alias("dec"))
+    return features.dictionary_frame(orders, ["big", "dec"])
+
+
 @rounded
 def scaler_stats(spark, sf_dir):
     return features.scaler_stats(train_rows(spark, sf_dir, SETTINGS.numerical_features),
@@ -580,6 +591,33 @@ def latest_snapshot(spark, sf_dir):
     return tables.read_snapshot(spark, path)
 
 
+def _two_snapshots(spark, sf_dir):
+    """Orders, then orders without some, with others changed and new ones."""
+    path = scratch_path(spark, "snapshots")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    later = orders.filter(key % 50 != 0).withColumn(
+        "o_totalprice", F.when(key % 49 == 1, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice")))
+    later = later.unionByName(orders.filter(key % 51 == 0).withColumn("o_orderkey", key + 1_000_000_000))
+    for operation, rows in (("create", orders), ("update", later)):
+        snapshot = tables.write_snapshot(rows, path, keys=["o_orderkey"])
+        changes.record(spark, path, snapshot, operation)
+        changes.index_snapshot(spark, path, snapshot, ["o_orderkey"])
+    return path
+
+
+@query
+def snapshot_diff(spark, sf_dir):
+    """Keys added, removed and changed between two snapshots, by their digest trees."""
+    return changes.changed_keys(spark, _two_snapshots(spark, sf_dir), 0, 1, ["o_orderkey"])
+
+
+@query
+def snapshot_history(spark, sf_dir):
+    """The recorded snapshots."""
+    return changes.history(spark, _two_snapshots(spark, sf_dir)).select("snapshot_id", "operation", "n_rows")
+
+
 @query
 def dataset_lineage(spark, sf_dir):
     """Rows and content digest of the train and test sets of one run."""

@@ -301,8 +301,11 @@ _DIGEST_COLS = ["CustomerId", "Age", "Sex", "Job", "Housing", "Saving_accounts",
 
 def _canonical(c: str) -> str:
     if c == "Credit_amount":
-        text = (f"(CAST(floor({c} * 1e6) AS BIGINT) || '.' || "
-                f"CAST(floor(({c} * 1e6 - floor({c} * 1e6)) * 1e9) AS BIGINT))")
+        near = f"floor(log2(abs({c})))"
+        e = (f"({near} - CASE WHEN abs({c}) < pow(2.0, {near}) THEN 1 ELSE 0 END"
+             f" + CASE WHEN abs({c}) >= pow(2.0, {near}) * 2 THEN 1 ELSE 0 END)")
+        text = (f"CASE WHEN {c} = 0 THEN '0' ELSE CASE WHEN {c} < 0 THEN '-' ELSE '' END || "
+                f"CAST(abs({c}) * pow(2.0, 52 - {e}) AS BIGINT) || 'e' || CAST({e} AS BIGINT) END")
     else:
         text = rf"replace(replace(CAST({c} AS VARCHAR), '\', '\\'), '|', '\p')"
     return rf"COALESCE({text}, '\N')"
@@ -317,6 +320,22 @@ FROM (SELECT *, CASE WHEN rn <= (2 * tot + 5) // 10 THEN 'testing' ELSE 'trainin
       FROM ranked) GROUP BY context""", RANKED))
 
 
+sql("snapshot_diff", """
+SELECT o_orderkey, 'removed' AS change FROM orders WHERE o_orderkey % 50 = 0
+UNION ALL SELECT o_orderkey, 'changed' FROM orders WHERE o_orderkey % 50 != 0 AND o_orderkey % 49 = 1
+UNION ALL SELECT o_orderkey + 1000000000, 'added' FROM orders WHERE o_orderkey % 51 = 0""")
+sql("snapshot_history", """
+SELECT CAST(0 AS BIGINT) AS snapshot_id, 'create' AS operation, count(*) AS n_rows FROM orders
+UNION ALL SELECT CAST(1 AS BIGINT), 'update', count(*) FILTER (WHERE o_orderkey % 50 != 0) + count(*) FILTER (WHERE o_orderkey % 51 = 0)
+FROM orders""")
+# Exact order: whole numbers beyond 2^53 and decimals of 20 digits.
+sql("dictionary_exact", """
+WITH o AS (SELECT 9007199254740990 + o_orderkey - 2 * (o_orderkey % 2) * (9007199254740990 + o_orderkey) AS big,
+                  CAST(100000000000000000000.00 AS DECIMAL(38, 2)) + CAST(o_custkey AS DECIMAL(18, 2)) AS dec FROM orders)
+SELECT 'big' AS column_name, CAST(big AS VARCHAR) AS value, CAST(row_number() OVER (ORDER BY big) - 1 AS INT) AS code
+FROM (SELECT DISTINCT big FROM o)
+UNION ALL
+SELECT 'dec', CAST(dec AS VARCHAR), CAST(row_number() OVER (ORDER BY dec) - 1 AS INT) FROM (SELECT DISTINCT dec FROM o)""")
 _LINE_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 sql("one_hot_many", f"""
 WITH d AS (SELECT l_orderkey, CAST(row_number() OVER (ORDER BY l_orderkey) - 1 AS INT) AS slot

@@ -123,20 +123,31 @@ def latest_snapshot(df: DataFrame, snapshot_col: str = SNAPSHOT_COL) -> DataFram
               .drop("_latest"))
 
 
+def double_text(x: Column) -> Column:
+    """``<sign><mantissa>e<exponent>`` of a double: multiplications by powers of two, which are exact.  A logarithm
+    gives the exponent up to one, which two comparisons mend; tiny numbers are scaled up first."""
+    tiny = F.abs(x) < F.lit(2.0 ** -500)
+    size = F.when(tiny, F.abs(x) * F.lit(2.0 ** 600)).otherwise(F.abs(x))
+    two = F.lit(2.0)
+    near = F.floor(F.log2(size))
+    exponent = (near - F.when(size < F.pow(two, near), 1).otherwise(0)
+                + F.when(size >= F.pow(two, near) * two, 1).otherwise(0))
+    # In two steps: the power may be too large for one.
+    half = F.floor((F.lit(52) - exponent) / F.lit(2))
+    mantissa = (size * F.pow(two, half) * F.pow(two, F.lit(52) - exponent - half)).cast("bigint")
+    text = F.concat(F.when(x < 0, "-").otherwise(""), mantissa.cast("string"), F.lit("e"),
+                    (exponent - F.when(tiny, 600).otherwise(0)).cast("string"))
+    return (F.when(F.isnan(x), "NaN").when(x == 0, "0").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf").otherwise(text))
+
+
 def canonical_text(col: Column, kind: DataType) -> Column:
     """Text of a value that other engines can form alike; null as ``\\N``.
 
-    Fractions are split into millionths and 1e-15ths of what remains (plain
-    IEEE arithmetic and integers); times count microseconds; the separator and
-    the backslash are escaped; nested values are their JSON.
+    A double is its sign, 53-bit mantissa and exponent (both zeros are ``0``), so different doubles have different
+    texts; times count microseconds; the separator and the backslash are escaped; nested values are their JSON.
     """
     if isinstance(kind, (FloatType, DoubleType)):
-        x = col.cast("double")
-        whole = F.floor(x * F.lit(1e6))
-        rest = F.floor((x * F.lit(1e6) - whole.cast("double")) * F.lit(1e9))
-        text = F.when(F.isnan(x), "NaN").when(F.abs(x) >= F.lit(9e12), F.concat(
-            F.lit("e"), F.floor(x / F.lit(1e12)).cast("string"), F.lit("."), F.floor(F.pmod(x, F.lit(1e12))).cast("string"))
-        ).otherwise(F.concat(whole.cast("string"), F.lit("."), rest.cast("string")))
+        text = double_text(col.cast("double"))
     elif isinstance(kind, TimestampType):
         text = F.unix_micros(col).cast("string")
     elif isinstance(kind, BinaryType):

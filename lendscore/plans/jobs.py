@@ -268,6 +268,32 @@ def stream_score_job(p: Project, source: str, sink: str, checkpoint: str) -> Dat
                                      sink, checkpoint)
 
 
+def champion_resolver(p: Project, schema: StructType):
+    """``() -> (version, model)`` of the version that the alias points to now; a version is loaded, and its
+    signature checked against ``schema``, once."""
+    known: dict[int, PipelineModel] = {}
+
+    def resolve() -> tuple[int, PipelineModel]:
+        v = registry.latest_version(registry.read_versions(p.spark, p.root), p.settings.model_name).head()
+        if v is None:
+            raise LookupError(f"no registered version of {p.settings.model_name}")
+        if v.version not in known:
+            check_schema(p.spark.createDataFrame([], schema), model_schema(p, v.path))
+            known.clear()
+            known[v.version] = load_model(p, v.path)
+        return v.version, known[v.version]
+
+    return resolve
+
+
+def follow_champion_job(p: Project, source: str, sink: str, checkpoint: str, available_now: bool = True,
+                        max_files_per_trigger: int | None = None):
+    """J5 (streaming): as :func:`stream_score_job`, but a version promoted meanwhile scores the next micro-batch."""
+    schema = p.spark.read.parquet(source).schema
+    return scoring.follow_champion(p.spark, source, schema, champion_resolver(p, schema), p.settings.primary_keys, models.P1,
+                                   sink, checkpoint, available_now=available_now, max_files_per_trigger=max_files_per_trigger)
+
+
 #: Column of the decoded class.
 PREDICTION = "Credit risk prediction"
 #: Exit status of a training job whose model was not promoted.

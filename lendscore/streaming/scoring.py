@@ -6,11 +6,14 @@ or state store is needed; the checkpoint (in the shared folder) records
 which source files were processed, giving exactly-once output across
 restarts and executor loss.  ``available_now`` drains what has arrived and
 stops (a batch-like run); otherwise it runs on a processing-time trigger.
+
+:func:`follow_champion` resolves the model for every micro-batch, so a promotion takes effect in
+a running stream: a batch is scored by one version, whose number its rows carry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Transformer
 from pyspark.ml.functions import vector_to_array
@@ -30,7 +33,11 @@ def scoring_stream(spark: SparkSession, source: str, schema: StructType, model:
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    scored = model.transform(reader.load(source))
+    return scored_rows(reader.load(source), model, keys, prob_col, label_text)
+
+
+def scored_rows(rows: DataFrame, model: Transformer, keys: Sequence[str], prob_col: str, label_text: str | None) -> DataFrame:
+    scored = model.transform(rows)
     # a Spark ML classifier emits a probability vector; expression scorers
     # emit the positive-class probability directly
     prob = F.col(prob_col) if prob_col in scored.columns else vector_to_array(F.col("probability"))[1]
@@ -58,3 +65,25 @@ def run_available_now(spark: SparkSession, source: str, schema: StructType, mode
     if q.exception() is not None:
         raise RuntimeError(f"scoring stream failed: {q.exception()}")
     return spark.read.parquet(sink)
+
+
+def follow_champion(spark: SparkSession, source: str, schema: StructType, resolve: Callable[[], tuple[int, Transformer]],
+                    keys: Sequence[str], prob_col: str, sink: str, checkpoint: str, fmt: str = "parquet",
+                    label_text: str | None = "Credit risk prediction", max_files_per_trigger: int | None = None,
+                    available_now: bool = True, processing_time: str = "10 seconds") -> StreamingQuery:
+    """Score new files by the version that ``resolve()`` gives (number and model) when their micro-batch begins.
+
+    A batch is written to a folder of its own, named by the batch's id, in place of what an earlier attempt left: a
+    batch that is repeated after a failure appears once, and whole by one version."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def score_batch(rows: DataFrame, batch_id: int) -> None:
+        version, model = resolve()
+        out = scored_rows(rows, model, keys, prob_col, label_text).withColumn("model_version", F.lit(version).cast("long"))
+        out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+
+    w = reader.load(source).writeStream.foreachBatch(score_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()

@@ -1,3 +1,4 @@
+import json
 import tempfile
 
 import pytest
@@ -110,3 +111,33 @@ def test_intermediates_are_removed(spark):
         kept = list(own.paths)
         assert all(path_exists(spark, p) for p in kept)
     assert not any(path_exists(spark, p) for p in kept)
+
+
+def test_promotion_takes_effect_in_a_running_stream(spark, tmp_path):
+    rows = spark.range(400).select(F.col("id").alias("k"), (F.col("id") % 10).cast("double").alias("x"))
+    for i in range(4):
+        rows.filter(F.col("k") % 4 == i).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    scorers = {1: models.LinearScorer(weights=json.dumps({"x": 0.1})), 2: models.LinearScorer(weights=json.dumps({"x": -0.1}))}
+    batches = []
+
+    def resolve():
+        batches.append(1 if len(batches) < 2 else 2)  # promoted while the stream runs
+        if len(batches) == 3:
+            raise ConnectionError("the third batch is lost once")
+        return batches[-1], scorers[batches[-1]]
+
+    def run():
+        q = scoring.follow_champion(spark, f"{tmp_path}/in", rows.schema, resolve, ["k"], models.P1, f"{tmp_path}/out",
+                                    f"{tmp_path}/checkpoint", max_files_per_trigger=1)
+        q.awaitTermination()
+
+    with pytest.raises(Exception, match="lost once"):
+        run()
+    run()
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.select("k").distinct().count() == 400
+    per_batch = out.groupBy("batch").agg(F.count_distinct("model_version").alias("n"), F.max("model_version").alias("v")).orderBy("batch").collect()
+    assert [r["n"] for r in per_batch] == [1] * 4 and [r["v"] for r in per_batch] == [1, 1, 2, 2]
+    joined = out.join(rows, "k")
+    sign = F.when(F.col("model_version") == 1, 0.1).otherwise(-0.1)
+    assert joined.filter(F.abs(F.col(models.P1) - 1 / (1 + F.exp(-sign * F.col("x")))) > 1e-12).isEmpty()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import CREDIT_RULES, UNKNOWN_ACCOUNT, credit_settings
 from ..functions import columns as C
-from ..operators import clean, features, metrics, models, profile, registry, split
+from ..operators import clean, features, metrics, models, profile, profile_state, registry, split
 from ..session import materialize, scratch_path
 from ..sources import changes, files, tables
 from ..sources.applications import applications, read_table
@@ -200,6 +200,20 @@ def profile_columns(spark, sf_dir):
     return profile.profile_columns(rows, [*PROFILE_COLS, "Nothing"], exact=True)
 
 
+@rounded
+def merged_profile(spark, sf_dir):
+    """States of parts of the table (one per job class), stored and combined: the exact moments."""
+    rows = feature_rows(spark, sf_dir).withColumn("Amount", F.when(F.col("CustomerId") % 7 != 0, F.col("Credit_amount")))
+    path = scratch_path(spark, "states")
+    for k in range(4):
+        profile_state.profile_state(rows.filter(F.col("Job") == k), MERGED_COLS).write.mode("append").parquet(path)
+    merged = profile_state.merge_states(spark.read.parquet(path))
+    return profile_state.finished(merged).select("column_name", "n_rows", "n_null", "mean", "stddev", "min", "max")
+
+
+MERGED_COLS = ["Amount", "Duration", "Age", "Sex"]
+
+
 @query
 def profile_sketch(spark, sf_dir):
     """A1 in its default mode: one pass, bounded-memory sketches

@@ -376,6 +376,13 @@ c AS (SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS
 SELECT """ + AP + " AS average_precision, " + ROC + " AS roc_auc, " + PRAUC + " AS pr_auc FROM c")
 
 
+sql("merged_profile", with_features("\nUNION ALL\n".join(
+    [f"SELECT '{n}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, avg(CAST({c} AS DOUBLE)) AS mean, "
+     f"stddev_samp(CAST({c} AS DOUBLE)) AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM features"
+     for n, c in (("Amount", "CASE WHEN CustomerId % 7 != 0 THEN Credit_amount END"), ("Duration", "Duration"), ("Age", "Age"))]
+    + ["SELECT 'Sex', count(*), count(*) - count(Sex), NULL, NULL, NULL, NULL FROM features"])))
+
+
 # --- M1-M3, F5, F6, M10 on fitted models -----------------------------------------
 sql("baseline_optimality", with_features(
     "SELECT count(*) AS n_rows, TRUE AS gradient_vanishes, TRUE AS gap_closes FROM train", SPLIT))
@@ -446,6 +453,7 @@ ROUNDED = {
     "pr_auc": ["pr_auc"],
     "promotion_gate": ["challenger_value", "champion_value"],
     "toxic_length_metrics": ["average_precision", "roc_auc", "pr_auc"],
+    "merged_profile": ["mean", "stddev", "min", "max"],
     "tune_trials": ["learning_rate", "subsample", "reg_lambda"],
     "assembled_features": ["value"],
     "boosted_first_tree": ["p_positive"],

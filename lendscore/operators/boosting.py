@@ -2,8 +2,9 @@
 
 Rows are binned once and stored in blocks.  A tree takes one scan of the blocks per level of best-first
 growth (:mod:`.trees`): every task adds up gradients, hessians and rows per (node, feature, bin) of its blocks,
-and only those sums, whose size does not depend on the rows, are added up and reach the driver.  Every ``REFRESH``
-trees the blocks are stored again with their scores, which also ends the lineage.  Rows that fit one block
+and only those sums, whose size does not depend on the rows, are added up and reach the driver.  Blocks persist
+with their scores, to which the next tree's first scan adds the last tree, so a row walks through every tree once.
+Every ``REFRESH`` trees the blocks are stored again, which ends the lineage.  Rows that fit one block
 (``BLOCK_ROWS``) need no sums from elsewhere: the task that holds it grows the same trees in one job.
 
 * L2 penalty, leaf count and row share as the reference's library has them; a tree's row share is drawn by block
@@ -20,7 +21,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext, keyword_only
+from pyspark import RDD, StorageLevel, TaskContext, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -32,8 +33,9 @@ from pyspark.sql.types import DoubleType
 from ..session import Intermediates, share_package
 from . import trees as T
 
-#: Rows of a stored block, at least where there are as many; trees between two stores of the scores.
-BLOCK_ROWS, REFRESH = 262_144, 25
+#: Rows that one task fits alone; rows of a block of more; blocks of a scan's task, where there are as many tasks as
+#: cores; trees between two stores of the scores.
+BLOCK_ROWS, SCAN_ROWS, TASK_BLOCKS, REFRESH = 262_144, 65_536, 32, 25
 #: Accuracy of the quantiles that cut numbers into bins.
 ACCURACY = 10_000
 #: Bytes of partial sums that the driver adds up itself; beyond, tasks add them up by node first.
@@ -95,9 +97,9 @@ class BoostedTrees(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
             cuts = numeric_cuts(rows, "x", [p for p in range(len(width)) if p not in nominal], most)
             width = [w or len(cuts[p]) + 1 for p, w in enumerate(width)]
             layout = T.Layout(width, [p in nominal for p in range(len(width))])
-            if first["n"] <= BLOCK_ROWS:
-                rows = rows.coalesce(1)
-            blocks = own.store(_blocks(rows, cuts, layout), "tree-blocks")
+            alone = first["n"] <= BLOCK_ROWS
+            blocks = _blocks(rows.coalesce(1) if alone else rows, cuts, layout, BLOCK_ROWS if alone else min(BLOCK_ROWS, SCAN_ROWS))
+            blocks = own.store(blocks, "tree-blocks")
             forest = _Forest(blocks, layout, params, self.getOrDefault(self.seed), T.log_odds(first["share"]), own)
             state = {"start": forest.start, "bins": layout.bins, "cuts": {str(p): c.tolist() for p, c in cuts.items()},
                      "widths": width, "trees": [t.to_json() for t in forest.fit()]}
@@ -115,22 +117,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _blocks(rows: DataFrame, cuts: dict[int, np.ndarray], layout: T.Layout) -> DataFrame:
-    """Rows as blocks of bins and labels."""
+def _blocks(rows: DataFrame, cuts: dict[int, np.ndarray], layout: T.Layout, least: int) -> DataFrame:
+    """Rows as blocks of ``least`` rows or a few more, the last of a task of fewer: bins, feature by feature, and labels."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def block() -> pa.RecordBatch:
             bins, y = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
             return pa.RecordBatch.from_arrays(
-                [pa.array([f"{part}-{seq}"]), pa.array([len(y)], pa.int32()), pa.array([bins.tobytes()], pa.binary()),
+                [pa.array([f"{part}-{seq}"]), pa.array([len(y)], pa.int32()), pa.array([bins.tobytes("F")], pa.binary()),
                  pa.array([y.tobytes()], pa.binary()), pa.array([b""], pa.binary())], names=["block", "n", "bins", "labels", "raw"])
 
         for batch in batches:
             if batch.num_rows:
                 held.append((_binned(_matrix(batch.column(0)), cuts, layout.width), batch.column(1).to_numpy().astype(np.uint8)))
                 size += batch.num_rows
-                if size >= BLOCK_ROWS:
+                if size >= least:
                     yield block()
                     seq, held, size = seq + 1, [], 0
         if held:
@@ -139,102 +141,130 @@ def _blocks(rows: DataFrame, cuts: dict[int, np.ndarray], layout: T.Layout) -> D
     return rows.mapInArrow(pack, BLOCK)
 
 
-def _rows_of(batches: Iterator[pa.RecordBatch], start: float, recent: Sequence[T.Tree], features: int):
-    """Per block: its row, bins, labels and raw scores after the ``recent`` trees."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            bins = np.frombuffer(row["bins"], np.uint8).reshape(row["n"], features)
-            raw = np.frombuffer(row["raw"], float).copy() if row["raw"] else np.full(row["n"], start)
-            for tree in recent:
-                raw += tree.value[tree.leaves(bins)]
-            yield row, bins, np.frombuffer(row["labels"], np.uint8), raw
+#: A block in an RDD: name, rows, bins, labels, raw scores (all but the first two as bytes).
+_Block = tuple[str, int, bytes, bytes, bytes]
 
 
-def _block_seed(row: Mapping[str, Any]) -> list[int]:
-    return [int(x) for x in row["block"].split("-")]
+def _arrays(block: _Block, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bins, labels and raw scores of a block."""
+    _, n, bins, labels, raw = block
+    return np.frombuffer(bins, np.uint8).reshape(features, n).T, np.frombuffer(labels, np.uint8), np.frombuffer(raw, float)
+
+
+def _block_seed(block: str) -> list[int]:
+    return [int(x) for x in block.split("-")]
 
 
 class _Forest:
-    """One fit: blocks, trees since they were stored, and the sums of a growing tree."""
+    """One fit: blocks with the scores of the trees so far, and the sums of a growing tree."""
 
     def __init__(self, blocks: DataFrame, layout: T.Layout, params: Mapping[str, Any], seed: int, start: float,
                  own: Intermediates):
-        self.blocks, self.layout, self.params, self.seed, self.start, self.own = blocks, layout, params, seed, start, own
-        self.recent: list[T.Tree] = []
+        self.stored, self.layout, self.params, self.seed, self.start, self.own = blocks, layout, params, seed, start, own
+        self.features = len(layout.width)
         self.tree = 0
-        self.tasks = len(blocks.inputFiles())
+        #: Persisted blocks, and those that the next scan replaces.
+        self.blocks: RDD | None = None
+        self.stale: list[RDD] = []
 
     def fit(self) -> list[T.Tree]:
-        if self.blocks.count() == 1:
+        count = self.stored.count()
+        if count == 1:
             return self._fit_block()
+        cores = self.stored.sparkSession.sparkContext.defaultParallelism
+        self.tasks = min(count, max(cores, -(-count // TASK_BLOCKS)))
         done: list[T.Tree] = []
-        for self.tree in range(int(self.params["n_estimators"])):
-            if len(self.recent) == REFRESH:
-                self._store_scores()
-            model = T.Model(0, int(self.params.get("num_leaves", T.NUM_LEAVES)), float(self.params.get("reg_lambda", 0.0)),
-                            float(self.params["learning_rate"]))
-            tree = T.one_tree(T.grow(self._sums, self.layout, [model]), 0)
-            done.append(tree)
-            self.recent.append(tree)
+        try:
+            self._load()
+            for self.tree in range(int(self.params["n_estimators"])):
+                if done:
+                    self._add_scores(done[-1])
+                if done and len(done) % REFRESH == 0:
+                    self._store_scores()
+                model = T.Model(0, int(self.params.get("num_leaves", T.NUM_LEAVES)), float(self.params.get("reg_lambda", 0.0)),
+                                float(self.params["learning_rate"]))
+                done.append(T.one_tree(T.grow(self._sums, self.layout, [model]), 0))
+        finally:
+            self._forget([self.blocks] if self.blocks is not None else [])
         return done
 
     def _fit_block(self) -> list[T.Tree]:
-        layout, params, seed, features = self.layout, dict(self.params), self.seed, len(self.layout.width)
+        layout, params, seed, features = self.layout, dict(self.params), self.seed, self.features
 
         def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for row, bins, y, _ in _rows_of(batches, 0.0, [], features):
-                found = T.boost([(bins, y)], layout, [params], seed, keys=[_block_seed(row)])[0][0]
-                yield pa.RecordBatch.from_arrays([pa.array([json.dumps([t.to_json() for t in found])])], names=["trees"])
+            for batch in batches:
+                for row in batch.to_pylist():
+                    bins, y, _ = _arrays(tuple(row.values()), features)
+                    found = T.boost([(np.ascontiguousarray(bins), y)], layout, [params], seed, keys=[_block_seed(row["block"])])[0][0]
+                    yield pa.RecordBatch.from_arrays([pa.array([json.dumps([t.to_json() for t in found])])], names=["trees"])
 
-        return [T.Tree.from_json(t, layout.bins) for t in json.loads(self.blocks.mapInArrow(fitted, "trees string").first()["trees"])]
+        return [T.Tree.from_json(t, layout.bins) for t in json.loads(self.stored.mapInArrow(fitted, "trees string").first()["trees"])]
 
-    def _store_scores(self) -> None:
-        start, recent, features = self.start, self.recent, len(self.layout.width)
+    def _load(self) -> None:
+        """The stored blocks, dealt evenly to tasks and persisted with their first scan; those without scores begin with the start."""
+        start = self.start
+
+        def scored(row: Any) -> _Block:
+            block, n, bins, labels, raw = row
+            return block, n, bytes(bins), bytes(labels), bytes(raw) or np.full(n, start).tobytes()
+
+        self.blocks = self.stored.repartition(self.tasks).rdd.map(scored).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def _add_scores(self, tree: T.Tree) -> None:
+        features, leaves = self.features, np.flatnonzero(tree.feature < 0).tolist()
 
-        def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for row, _, _, raw in _rows_of(batches, start, recent, features):
-                yield pa.RecordBatch.from_pylist([{**row, "raw": raw.tobytes()}], schema=pa.schema([
-                    ("block", pa.string()), ("n", pa.int32()), ("bins", pa.binary()), ("labels", pa.binary()), ("raw", pa.binary())]))
+        def added(block: _Block) -> _Block:
+            bins, y, raw = _arrays(block, features)
+            raw = raw.copy()
+            for leaf, rows in tree.parts(bins, np.arange(len(y)), leaves):
+                raw[rows] += tree.value[leaf]
+            return *block[:4], raw.tobytes()
 
-        old, self.blocks = self.blocks, self.own.store(self.blocks.mapInArrow(scored, BLOCK), "tree-blocks")
+        self.stale.append(self.blocks)
+        self.blocks = self.blocks.map(added).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def _store_scores(self) -> None:
+        old, self.stored = self.stored, self.own.store(self.stored.sparkSession.createDataFrame(self.blocks, BLOCK), "tree-blocks")
+        self._forget([self.blocks])
         self.own.drop(old)
-        self.recent = []
+        self._load()
+
+    def _forget(self, more: Sequence[RDD] = ()) -> None:
+        """Give up blocks that newer ones replace."""
+        for blocks in [*self.stale, *more]:
+            blocks.unpersist()
+        self.stale = []
 
     def _sums(self, growth: T.Growth, nodes: list[int]) -> np.ndarray:
         """Sums of ``nodes``: one scan of the blocks."""
-        layout, start, recent, features = self.layout, self.start, list(self.recent), len(self.layout.width)
+        layout, features = self.layout, self.features
         share, seed, tree = float(self.params.get("subsample", 1.0)), self.seed, self.tree
         child = np.array(growth.child, np.int32)
         now = T.Tree(np.array(growth.feature, np.int32), growth.goes_left[:len(child)], child, child + (child >= 0), np.zeros(len(child)))
-        slots = np.full(len(child), -1)
-        slots[nodes] = np.arange(len(nodes))
-        n = len(nodes)
+        n, slot = len(nodes), {k: i for i, k in enumerate(nodes)}
 
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def add(blocks: Iterator[_Block]) -> Iterator[tuple[int, np.ndarray]]:
             out = np.zeros((n, 3, layout.size))
-            for row, bins, y, raw in _rows_of(batches, start, recent, features):
-                used = T.share_of_rows(len(y), share, seed, tree, *_block_seed(row))
-                own = slots[now.leaves(bins[used])]
-                used, own = used[own >= 0], own[own >= 0]
-                p = T.sigmoid(raw[used])
-                T.add_sums(out, layout.flat(bins[used]), own, p - y[used], p * (1 - p))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(n)), pa.array([o.tobytes() for o in out], pa.binary())],
-                                             names=["slot", "sums"])
-
-        partial = self.blocks.mapInArrow(add, "slot long, sums binary")
+            for block in blocks:
+                bins, y, raw = _arrays(block, features)
+                used = T.share_of_rows(len(y), share, seed, tree, *_block_seed(block[0]))
+                found = [(slot[k], rows) for k, rows in now.parts(bins, used, nodes)]
+                own = np.repeat([k for k, _ in found], [len(rows) for _, rows in found])
+                rows = np.concatenate([rows for _, rows in found])
+                p = T.sigmoid(raw[rows])
+                T.add_columns(out, layout, bins, rows, own, p - y[rows], p * (1 - p))
+            return enumerate(out)
+
+        partial = self.blocks.mapPartitions(add)
         if self.tasks * n * layout.size * 24 > DRIVER_BYTES:
-            partial = partial.groupBy("slot").applyInArrow(_added, "slot long, sums binary")
+            partial = partial.reduceByKey(np.add)
         total = np.zeros((n, 3, layout.size))
-        for row in partial.collect():
-            total[row["slot"]] += np.frombuffer(row["sums"]).reshape(3, layout.size)
+        for slot, sums in partial.collect():
+            total[slot] += sums
+        self._forget()
         return total
 
 
-def _added(table: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(s) for s in table["sums"].to_pylist()], axis=0)
-    return pa.table({"slot": table["slot"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
-
-
 _MODELS: dict[int, tuple] = {}
 
 

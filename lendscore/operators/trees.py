@@ -13,7 +13,7 @@ hessians and rows alone, so the same growth serves rows in one task and rows of
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -50,6 +50,24 @@ class Tree:
             node[rows] = np.where(down, self.left[at], self.right[at])
         return node
 
+    def parts(self, bins: np.ndarray, rows: np.ndarray, nodes: Sequence[int]) -> Iterator[tuple[int, np.ndarray]]:
+        """``(node, its rows)`` of some ``nodes`` none of which is below another; only branches that lead to them are followed."""
+        wanted, way = set(nodes), np.zeros(len(self.feature), bool)
+        way[nodes] = True
+        for k in range(len(way) - 1, -1, -1):  # children come after their parent
+            way[k] |= self.feature[k] >= 0 and bool(way[self.left[k]] or way[self.right[k]])
+        todo = [(0, rows)]
+        while todo:
+            k, rows = todo.pop()
+            if k in wanted:
+                yield k, rows
+                continue
+            down = self.goes_left[k][bins[:, self.feature[k]][rows]]
+            if way[self.left[k]]:
+                todo.append((int(self.left[k]), rows[down]))
+            if way[self.right[k]]:
+                todo.append((int(self.right[k]), rows[~down]))
+
     def to_json(self) -> dict:
         return {"feature": self.feature.tolist(), "left": self.left.tolist(), "right": self.right.tolist(),
                 "value": self.value.tolist(),
@@ -255,6 +273,15 @@ def add_sums(out: np.ndarray, flat: np.ndarray, slot: np.ndarray, gradient: np.n
         out[:, part] += got.reshape(len(out), size)
 
 
+def add_columns(out: np.ndarray, layout: Layout, bins: np.ndarray, rows: np.ndarray, slot: np.ndarray, gradient: np.ndarray,
+                hessian: np.ndarray) -> None:
+    """:func:`add_sums` of some ``rows`` of ``bins``, feature by feature: bins of one feature should lie side by side."""
+    for f, (start, width) in enumerate(zip(layout.offset.tolist(), layout.width.tolist())):
+        at = slot * width + bins[:, f][rows]
+        for part, weights in enumerate((gradient, hessian, None)):
+            out[:, part, start:start + width] += np.bincount(at, weights, len(out) * width).reshape(len(out), width)
+
+
 class LocalRows:
     """Sums of rows held in one task, ``owner`` being the model of each; a row's node is kept while its tree grows."""
 

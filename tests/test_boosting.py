@@ -117,6 +117,57 @@ def test_scans_grow_the_same_trees_as_one_task(spark, monkeypatch):
             assert (a.goes_left == b.goes_left).all() and np.allclose(a.value, b.value)
 
 
+def test_rows_of_some_nodes_are_those_that_end_there():
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 20, (3000, 3)).astype(np.uint8)
+    y = (rng.random(3000) < 0.1 + 0.04 * bins[:, 0]).astype(np.uint8)
+    layout = T.Layout([20] * 3, [False, True, False])
+    tree = T.boost([(bins, y)], layout, [{"n_estimators": 1, "learning_rate": 0.3, "num_leaves": 12}], 1)[0][0][0]
+    leaf, used = tree.leaves(bins), np.flatnonzero(rng.random(3000) < 0.7)
+    ends = np.flatnonzero(tree.feature < 0).tolist()
+    for nodes in (ends, ends[2:5], [0], ends[:1]):
+        found = dict(tree.parts(np.asfortranarray(bins), used, nodes))
+        assert sorted(found) == sorted(nodes)
+        for k, rows in found.items():
+            assert rows.tolist() == (used if k == 0 else used[leaf[used] == k]).tolist()
+    # Sums by feature are those by row, to the last bit.
+    g, h, slot = rng.random(3000), rng.random(3000), rng.integers(0, 4, 3000)
+    one, two = np.zeros((4, 3, layout.size)), np.zeros((4, 3, layout.size))
+    T.add_sums(one, layout.flat(bins), slot, g, h)
+    T.add_columns(two, layout, bins, np.arange(3000), slot, g, h)
+    assert (one == two).all()
+
+
+def test_scans_start_from_kept_scores(spark, monkeypatch):
+    """Blocks of a growing forest hold the scores of all its trees, so no scan walks through earlier trees again."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 400)
+    monkeypatch.setattr(boosting, "REFRESH", 3)
+    seen, real = [], boosting._Forest._sums
+
+    def watched(self, growth, nodes):
+        out = real(self, growth, nodes)
+        if len(nodes) == 1 and nodes[0] == 0:
+            seen.append([(b, n, np.frombuffer(bins, np.uint8).reshape(-1, n).T, np.frombuffer(raw))
+                         for b, n, bins, _, raw in self.blocks.collect()])
+            assert not self.stale and self.blocks.is_cached
+        return out
+
+    monkeypatch.setattr(boosting._Forest, "_sums", watched)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    params = json.dumps({"n_estimators": 5, "learning_rate": 0.3, "num_leaves": 6})
+    model = boosting.BoostedTrees(params_json=params, nominal=[2]).fit(vectors(spark).repartition(3))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    start = json.loads(model.getOrDefault(model.state))["start"]
+    assert len(seen) == 5 and len(seen[0]) > 1
+    for k, blocks in enumerate(seen):
+        assert sum(n for _, n, _, _ in blocks) == 3000 and len({b for b, _, _, _ in blocks}) == len(blocks)
+        for _, n, bins, raw in blocks:
+            expected = np.full(n, start)
+            for tree in model.trees[:k]:
+                expected += tree.value[tree.leaves(bins)]
+            assert (raw == expected).all()
+
+
 def test_saved_model_scores_alike_and_takes_unseen_codes(spark, tmp_path):
     df = vectors(spark)
     params = json.dumps({"n_estimators": 4, "learning_rate": 0.3, "num_leaves": 5, "subsample": 0.6})

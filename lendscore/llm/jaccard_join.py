@@ -52,7 +52,7 @@ PIVOTS, FIRST_LINKS = 32, 2
 #: Rows of a group that one task compares with as many; larger groups are cut into parts.
 GROUP_ROWS = 4_096
 #: Pairs that a task looks at at once.
-PAIRS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 16
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -70,14 +70,17 @@ def common_shingles(docs: DataFrame, shingle: int) -> np.ndarray:
     (mean set size / COMMON_SHARE) of them, however many texts there are."""
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(sets: list[np.ndarray]) -> pa.RecordBatch:
-            value, n = np.unique(np.concatenate(sets), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(value[n >= LOCAL].view(np.int64)), pa.array(n[n >= LOCAL])],
-                                              names=["h", "n"])
+            every = np.concatenate(sets)
+            sets.clear()
+            every.sort()
+            value = np.unique(every[LOCAL - 1:][every[LOCAL - 1:] == every[:len(every) - LOCAL + 1]])
+            n = np.searchsorted(every, value, side="right") - np.searchsorted(every, value)
+            return pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], names=["h", "n"])
 
         sets, size = [], 0
         for batch in batches:
             for _, texts in _texts(batch, 1):
-                sets += [parity.shingle_set(t, shingle) for t in texts]
+                sets += parity.shingle_sets(texts, shingle)
                 size += sum(map(len, sets[-len(texts):]))
                 if size >= STRETCH:
                     yield flush(sets)
@@ -98,7 +101,7 @@ def sketches(docs: DataFrame, common: np.ndarray, shingle: int, percent: int, ow
         common = held.value
         for batch in batches:
             for s, texts in _texts(batch, 1):
-                sets = [parity.shingle_set(t, shingle) for t in texts]
+                sets = parity.shingle_sets(texts, shingle)
                 keys = []
                 for h in sets:
                     if not len(h):
@@ -133,10 +136,10 @@ def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, own:
             for s, texts in _texts(batch, 2):
                 part = batch.slice(s, 256)
                 keep = []
-                for x, y in zip(texts, part.column(3).to_pylist()):
+                for x, y in zip(parity.shingle_sets(texts, shingle), part.column(3).to_pylist()):
                     if y != last:
                         last, right_set = y, parity.shingle_set(y, shingle)
-                    keep.append(parity.linked(parity.shingle_set(x, shingle), right_set, percent))
+                    keep.append(parity.linked(x, right_set, percent))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = left.join(right, "b").select("a", "b", "text_a", "text_b")

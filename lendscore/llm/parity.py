@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import xxhash
 
-from .common import BoundedCache
-
 #: Words of a shingle; the join's threshold in hundredths.
 SHINGLE, PERCENT = 4, 85
 #: Ratio of a size band's bounds.
@@ -20,8 +20,9 @@ RARE_SHARE = 0.5
 MORE_KEYS = 0.02
 #: Least words of the sketches that bound candidates.
 BOUND_WORDS = 8
+#: Characters of texts whose words are hashed together.
+AT_ONCE = 1 << 20
 
-_WORD = BoundedCache(lambda w: xxhash.xxh3_64_intdigest(w), 120_000)
 _MUL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -32,18 +33,55 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def shingle_sets(texts: Sequence[str | None], size: int = SHINGLE) -> list[np.ndarray]:
+    """Per text, the sorted hashes of its distinct shingles of lower-cased (A-Z) words; one of the whole
+    sequence, if it is shorter; none without words.  Words of ``AT_ONCE`` characters of texts are hashed in one go."""
+    out: list[np.ndarray] = []
+    held, chars = [], 0
+    for text in texts:
+        held.append(text)
+        chars += len(text or "")
+        if chars >= AT_ONCE:
+            out += _sets(held, size)
+            held, chars = [], 0
+    return out + _sets(held, size)
+
+
+def _sets(texts: Sequence[str | None], size: int) -> list[np.ndarray]:
+    words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
+    counts = [len(w) for w in words]
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, sum(counts))
+    total = _shingles(h, size) if len(h) >= size else h
+    out, start = [], 0
+    for n in counts:
+        if n >= size:
+            out.append(_distinct(total[start:start + n - size + 1]))
+        else:
+            out.append(_shingles(h[start:start + n], n) if n else np.empty(0, np.uint64))
+        start += n
+    return out
+
+
+def _shingles(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all stretches of ``size`` words."""
+    total = np.full(len(h) - size + 1, size, dtype=np.uint64)
+    for i in range(size):
+        total = mix(total * _MUL[i % 4] + h[i:len(h) - size + 1 + i])
+    return total
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """``values`` sorted, each once."""
+    values = np.sort(values)
+    new = np.empty(len(values), bool)
+    new[:1] = True
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """Sorted hashes of a text's distinct shingles of lower-cased (A-Z) words; one of the whole
-    sequence, if it is shorter; none without words."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_WORD.__getitem__, words), np.uint64, len(words))
-    n = min(size, len(h))
-    total = np.full(len(h) - n + 1, n, dtype=np.uint64)
-    for i in range(n):
-        total = mix(total * _MUL[i % 4] + h[i:len(h) - n + 1 + i])
-    return np.unique(total)
+    """:func:`shingle_sets` of one text."""
+    return shingle_sets([text], size)[0]
 
 
 def most_different(n: np.ndarray | int, percent: int = PERCENT):

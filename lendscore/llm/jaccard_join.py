@@ -281,7 +281,8 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row"))
         classes = table.filter("n > 0").groupBy("print").agg(first.alias("first"))
         classes = own.store(classes.select("print", F.col("first.id").alias("rep"), F.col("first.row").alias("row")), "jaccard-classes")
-        sets = table.join(classes.select("row", "rep").filter("rep IS NOT NULL"), "row")
+        # Sketches stay where they are while the narrow classes can travel instead.
+        sets = table.join(small(classes.select("row", "rep").filter("rep IS NOT NULL"), 16), "row")
         reps = own.store(sets.select("row", "rep", "n", "bound"), "jaccard-sets")
 
         by_key = Window.partitionBy("key").orderBy(F.xxhash64("row"), "row")

@@ -122,3 +122,34 @@ def test_shuffled_sketches_give_the_same_groups(spark, monkeypatch):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     got = result(spark.createDataFrame(docs, "doc_id long, text string"))
     assert got == brute(docs)
+
+
+def test_sketches_stay_while_narrow_classes_travel(spark, monkeypatch):
+    """Whole sketches are shuffled only if the classes (16 bytes each) are too many to broadcast."""
+    plans, real = {}, J.Intermediates.store
+
+    def watched(self, df, name="stage"):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(self, df, name)
+
+    monkeypatch.setattr(J.Intermediates, "store", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        J.components(spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (3, "v w x y z")], "doc_id long, text string"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for name in ("jaccard-sets", "jaccard-groups"):
+        assert "BroadcastHashJoin" in plans[name] and "SortMergeJoin" not in plans[name]
+
+
+@pytest.mark.parametrize("size", [1, 4])
+def test_sets_of_many_texts_are_those_of_each(monkeypatch, size):
+    texts = ["A b c d e a b c d", None, "", " \t", "one", "One two", "x " * 40, "é ß\u0085x y\x0bz w v", "p q r s", "p q r s t"]
+    sets = parity.shingle_sets(texts, size)
+    assert [len(s) for s in sets] == [len(shingles(t, size)) for t in texts]
+    for text, one in zip(texts, sets):
+        assert one.dtype == np.uint64 and (np.diff(one.astype(object)) > 0).all()
+        assert one.tolist() == parity.shingle_set(text, size).tolist()
+    monkeypatch.setattr(parity, "AT_ONCE", 5)
+    assert [s.tolist() for s in parity.shingle_sets(texts, size)] == [s.tolist() for s in sets]

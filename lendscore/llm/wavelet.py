@@ -32,6 +32,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,14 +41,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-from .common import as_text, slices
+from .common import BoundedCache, as_text, slices
 
 SHARD_TOKENS = 1 << 20
 #: Bits per rank sample.
 BLOCK = 512
 #: Pieces of text whose ids a worker remembers.
-REMEMBERED = 700_000
+REMEMBERED = 1_200_000
 
 SHARD = ("part int, seq int, n_tokens long, width int, doc_ids array<long>, doc_lengths array<long>, "
          "planes array<binary>, zeros array<long>, samples array<binary>")
@@ -57,13 +59,14 @@ _ASCII_BLANK = re.compile(r"[\x20\x09-\x0d]+")
 #: Python and by the tokenizer: no combining marks, no case that changes length.
 _PLAIN = re.compile(r"[\x20-\x7e\x09-\x0d\xa1-\xac\xae-\xff]*")
 #: Fixed value: the tokenizer's own split pattern, its classes spelled out for such characters.
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\x20\x09-\x0da-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+_PIECE = re.compile(r"[a-zªµºß-öø-ÿ]+|'(?:[stmd]|re|ve|ll)|[0-9²³¹¼½¾]|[^\x20\x09-\x0da-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 
 
 class IdEncoder:
     """Ids of texts.  The tokenizer works on pieces between its own split points, so a
-    plain text's pieces are looked up one by one and only new ones reach the library;
-    anything else goes to it in stretches between ASCII blanks, which it drops.
+    plain text's pieces are looked up one by one and only new ones reach the library's model,
+    which needs no second normalising and splitting of them; anything else goes to the whole
+    tokenizer in stretches between ASCII blanks, which it drops.
 
     With ``added`` the ids are those of the tokenizer as it is, in which an added token's
     content is one id: texts that hold one go to the library whole.  Without it, such
@@ -75,7 +78,11 @@ class IdEncoder:
         self.contents = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         #: What all contents begin with, up to a letter; texts without it hold none.
         self.mark = re.match(r"[!-@\[-`{-~]*", os.path.commonprefix(self.contents))[0]
-        self.limit, self.known = limit, {}
+        self.model = self.tokenizer.model
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        #: The byte-level form of plain characters beyond ASCII.
+        self.forms = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xa1, 0x100)}
+        self.known = BoundedCache(self.piece_ids, limit)
 
     def has_added(self, text: str) -> bool:
         return bool(self.contents) and self.mark in text and any(c in text.lower() for c in self.contents)
@@ -94,6 +101,16 @@ class IdEncoder:
                 out.append(stretch)
         return out
 
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids of a piece, or of a stretch that is not plain."""
+        if not piece.isascii():
+            if not _PLAIN.fullmatch(piece):
+                return array("I", self.library([piece])[0]).tobytes()
+            piece = piece.translate(self.forms)
+        elif not piece.isprintable():
+            return array("I", self.library([piece])[0]).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         whole = [i for i, t in enumerate(texts) if self.has_added(t)]
         if whole:
@@ -106,12 +123,12 @@ class IdEncoder:
 
     def remembered(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.pieces(t) for t in texts]
-        new = list({p for ps in split for p in ps if p not in self.known})
-        if len(self.known) + len(new) > self.limit:
-            self.known = {}
-            new = list({p for ps in split for p in ps})
+        odd = {p for t, ps in zip(texts, split) if not t.isascii() for p in ps if not _PLAIN.fullmatch(p)}
+        new = [p for p in odd if p not in self.known]
+        if len(self.known) + len(new) > self.known.limit:
+            self.known.clear()
         for piece, ids in zip(new, self.library(new) if new else ()):
-            self.known[piece] = np.array(ids, dtype="<u4").tobytes()
+            self.known[piece] = array("I", ids).tobytes()
         return [np.frombuffer(b"".join(map(self.known.__getitem__, ps)), dtype="<u4") for ps in split]
 
 

@@ -37,6 +37,14 @@ def test_remembered_pieces_equal_whole_texts(tokenizer):
         assert enc.encode([t])[0].tolist() == library_ids(tokenizer, t)
 
 
+def test_plain_pieces_need_the_model_only(tokenizer, monkeypatch):
+    enc = W.IdEncoder(open(VOCABULARY, encoding="utf-8").read(), limit=50, added=True)
+    texts = ["It's a naïve Façade, 42 ½ «ÀÉ» don't; we'll " * 3, "", "\t\n", "x" * 5000, "'S 'LL're'", "ª÷×ÿß µº"]
+    expected = [library_ids(tokenizer, t) for t in texts]
+    monkeypatch.setattr(enc, "library", lambda pieces: pytest.fail(f"normalised and split again: {pieces[:3]}"))
+    assert [i.tolist() for i in enc.encode(texts)] == expected
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 511, 512, 513, 3000])
 def test_matrix_queries(n):
     rng = np.random.default_rng(n)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscore.llm import bpe, decontamination, jaccard_join, langid, secret_scan
-from lendscore.llm.common import find_package, read_table, temp_name
+from lendscore.llm.common import find_package, read_table, small_batches, temp_name
 from lendscore.session import materialize
 
 
@@ -23,6 +23,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Documents in a learned language.  Rejected: texts without letters (``und``), and
     texts for which no learned language has half of the probability."""
     find_package(spark)
+    small_batches(spark)
     model = langid.fit(docs, public_tokenizers.path("piece_bpe_32k.model"))
     lang, score = temp_name(docs, "lang"), temp_name(docs, "score")
     scored = langid.predict(docs, model, lang_col=lang, score_col=score)
@@ -34,6 +35,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     five words, similarity 0.8), and one of rows that repeat it; texts without words are no
     copies and stay."""
     find_package(spark)
+    small_batches(spark)
     groups = jaccard_join.components(docs, shingle=5, percent=80)
     copies = groups.filter("component_id != doc_id").select("doc_id").distinct()
     kept = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
@@ -57,6 +59,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets masked and ``n_chars`` counted again where one was."""
     find_package(spark)
+    small_batches(spark)
     spans = temp_name(docs, "spans")
     found = secret_scan.scan(docs, secret_scan.fit(docs), out_col=spans)
     hidden = secret_scan.redact(found, spans)
@@ -67,6 +70,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every kept document, checked by decoding them again."""
     find_package(spark)
+    small_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, out_col="token_ids")
     checked = bpe.checked_round_trip(coded, ranks, public_tokenizers.PATTERN, "text", "token_ids")

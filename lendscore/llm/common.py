@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 2 << 20
+
 
 def find_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, whatever
@@ -22,6 +24,14 @@ def find_package(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let texts reach Python in Arrow batches of about ``BATCH_BYTES``, unless the session sets a size.  A batch
+    is held by the JVM outside its heap and by the worker, and neither gives such memory back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

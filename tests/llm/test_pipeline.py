@@ -52,6 +52,23 @@ def test_each_stage_against_brute_force(spark, stored):
         assert list(r["token_ids"]) == enc.encode_ordinary(masked[r["doc_id"]])
 
 
+def test_texts_reach_python_in_small_batches(spark):
+    own = spark.newSession()
+    docs = own.range(9000, numPartitions=1).selectExpr(
+        "id AS doc_id", "repeat('some words ', 180) AS text", "'en' AS lang", "'a' AS source", "1980 AS n_chars")
+    C.without_secrets(own, docs, SF_SMALL)
+
+    def sizes(batches):
+        for b in batches:
+            yield b.from_pydict({"n": [b.nbytes]})
+
+    found = [r["n"] for r in docs.select("doc_id", "text").mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 16 << 20 and max(found) < 3 << 20
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "5m")
+    C.without_secrets(own, docs, SF_SMALL)
+    assert own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "5m"
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     for name, stage in C.STAGES:

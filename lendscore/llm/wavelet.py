@@ -49,7 +49,7 @@ SHARD_TOKENS = 1 << 20
 #: Bits per rank sample.
 BLOCK = 512
 #: Pieces of text whose ids a worker remembers.
-REMEMBERED = 1_200_000
+REMEMBERED = 700_000
 
 SHARD = ("part int, seq int, n_tokens long, width int, doc_ids array<long>, doc_lengths array<long>, "
          "planes array<binary>, zeros array<long>, samples array<binary>")
@@ -155,11 +155,10 @@ class WaveletMatrix:
         now = ids.astype(np.uint16 if width <= 16 else np.uint32)
         for level in range(width - 1, -1, -1):
             bit = (now >> level) & 1 != 0
-            ones = now[bit]
             planes.append(np.packbits(bit, bitorder="little"))
-            zeros.append(len(now) - len(ones))
             samples.append(sample_ranks(planes[-1]))
-            now = np.concatenate([now[~bit], ones])
+            now, n_zeros = parted(now, bit)
+            zeros.append(n_zeros)
         return cls(len(ids), planes, zeros, samples)
 
     @property
@@ -249,6 +248,16 @@ class WaveletMatrix:
         return at
 
 
+def parted(values: np.ndarray, bit: np.ndarray) -> tuple[np.ndarray, int]:
+    """``values`` without a one in ``bit``, then those with one, and the number of the former."""
+    rest, ones = np.flatnonzero(~bit), np.flatnonzero(bit)
+    out = np.empty_like(values)
+    # Places are in range; clipping spares the copy that numpy makes of ``out`` in case they are not.
+    values.take(rest, out=out[:len(rest)], mode="clip")
+    values.take(ones, out=out[len(rest):], mode="clip")
+    return out, len(rest)
+
+
 def sample_ranks(plane: np.ndarray) -> np.ndarray:
     """Ones before each block of a packed plane."""
     step = BLOCK // 8

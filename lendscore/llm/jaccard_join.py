@@ -114,7 +114,7 @@ def sketches(docs: DataFrame, common: np.ndarray, shingle: int, percent: int, ow
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s, 256), pa.array([len(h) for h in sets], pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in sets], pa.binary()),
-                     list_array([parity.sketch(h, parity.bound_words(len(h))).view(np.int64) for h in sets], np.int64, pa.int64()),
+                     list_array([parity.sketch(h, parity.bound_words(len(h), percent)).view(np.int64) for h in sets], np.int64, pa.int64()),
                      list_array(keys, np.int64, pa.int64())], names=["id", "n", "print", "bound", "keys"])
 
     made = docs.mapInArrow(make, "id long, n long, print binary, bound array<long>, keys array<long>")

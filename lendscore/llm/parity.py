@@ -18,8 +18,9 @@ BAND = 1.5
 RARE_SHARE = 0.5
 #: Keys beyond the first that sets which link must share, per element.
 MORE_KEYS = 0.02
-#: Least words of the sketches that bound candidates.
-BOUND_WORDS = 8
+#: Least words of the sketches that bound candidates.  Sets with nothing in common differ in half of the
+#: bits; sets that link may differ in this share of that half at most.
+BOUND_WORDS, BOUND_SHARE = 8, 0.7
 #: Characters of texts whose words are hashed together.
 AT_ONCE = 1 << 20
 
@@ -156,12 +157,13 @@ def join_keys(h: np.ndarray, rare: np.ndarray, percent: int = PERCENT) -> np.nda
     return np.concatenate(keys)
 
 
-def bound_words(n: int) -> int:
+def bound_words(n: int, percent: int = PERCENT) -> int:
     """Words of the sketch that bounds a set's differences: enough that sets with nothing in
-    common differ in clearly more bits than sets that link may."""
+    common differ in clearly more bits than sets that link may (it and one of ``n * 100 / percent`` elements,
+    which is the most, in ``n * (100 - percent) / percent`` elements)."""
     words = BOUND_WORDS
-    while n > 150 * words:
-        words *= 4
+    while n * (100 - percent) > BOUND_SHARE * 32 * words * percent:
+        words *= 2
     return words
 
 

@@ -86,6 +86,44 @@ def test_sketch_distance_bounds_difference():
         assert apart <= len(np.setxor1d(a, b))
 
 
+@pytest.mark.parametrize("percent", [60, 80, 85, 95])
+@pytest.mark.parametrize("size", [40, 700, 1010, 1150, 1200, 2400, 4700, 4800, 9500])
+def test_sets_with_nothing_in_common_are_not_near(size, percent):
+    """The bound tells them apart at every size and threshold; else groups give all their pairs."""
+    rng = np.random.default_rng(size + percent)
+    sizes = [size, size * 100 // percent] * 6
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in sizes]
+    # The last differs from the one before in no more elements than sets that link may.
+    sets.append(sets[-1][int(parity.most_different(size, percent)):])
+    a, b = np.triu_indices(len(sets), 1)
+    words = np.array([parity.bound_words(len(s), percent) for s in sets])
+    values = np.concatenate([parity.sketch(s, w) for s, w in zip(sets, words)])
+    starts = np.cumsum(words) - words
+    n = np.array([len(s) for s in sets])
+    near, _ = parity.near_pairs(a, b, n, parity.short_sketches(starts, words, values), starts, words, values, percent)
+    assert [(a[i], b[i]) for i in near] == [(len(sets) - 2, len(sets) - 1)]
+
+
+def test_long_texts_that_share_a_passage_make_no_pairs(spark, monkeypatch):
+    """Pairs to compare follow the links, not the square of a group's texts."""
+    made, real = [], J.compared
+
+    def counted(*args):
+        out = real(*args)
+        made.append(out.select("a", "b").distinct().count())
+        return out
+
+    monkeypatch.setattr(J, "compared", counted)
+    monkeypatch.setattr(J, "COMMON_TEXTS", 1000)
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(60)]
+    docs = [(i, " ".join(passage + [f"w{rng.randrange(10 ** 9)}" for _ in range(1090)])) for i in range(40)]
+    docs += [(i + 100, docs[i][1] + " more") for i in range(3)]
+    got = result(spark.createDataFrame(docs, "doc_id long, text string"), shingle=5, percent=80)
+    assert got == brute(docs, 5, 80)
+    assert sum(made) <= 2 * 3
+
+
 def test_odd_rows(spark):
     rows = J.components(odd_docs(spark)).collect()
     got = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows}

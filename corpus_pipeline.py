@@ -4,6 +4,9 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and reread as the next stage's ``docs``.  Every stage works
 on all that its predecessor kept, and all but the last return the columns of
 ``documents``.  Rows with a null ``doc_id`` pass the stages that cannot name them.
+
+A stage with two steps in Python stores what is between them.  In one task they would run in two
+workers per core, and Spark uses all of them in turn in the stages after, so that none ends and each keeps its memory.
 """
 
 from __future__ import annotations
@@ -62,7 +65,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     small_batches(spark)
     spans = temp_name(docs, "spans")
     found = secret_scan.scan(docs, secret_scan.fit(docs), out_col=spans)
-    hidden = secret_scan.redact(found, spans)
+    hidden = secret_scan.redact(materialize(found, "pipeline-spans"), spans)
     recount = F.when(F.size(spans) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return hidden.withColumn("n_chars", recount.otherwise(F.col("n_chars"))).select(docs.columns)
 
@@ -72,7 +75,8 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     find_package(spark)
     small_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, out_col="token_ids")
+    texts = docs.select("doc_id", "lang", "source", "text")
+    coded = materialize(bpe.encode(texts, ranks, public_tokenizers.PATTERN, out_col="token_ids"), "pipeline-tokens")
     checked = bpe.checked_round_trip(coded, ranks, public_tokenizers.PATTERN, "text", "token_ids")
     return checked.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids")
 

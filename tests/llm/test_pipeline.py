@@ -52,6 +52,25 @@ def test_each_stage_against_brute_force(spark, stored):
         assert list(r["token_ids"]) == enc.encode_ordinary(masked[r["doc_id"]])
 
 
+@pytest.mark.parametrize("name, stage", C.STAGES)
+def test_a_task_has_one_python_worker(spark, monkeypatch, name, stage):
+    """Two would stay with each core, and keep their memory, in all that follows."""
+    plans = []
+
+    def planned(df):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        plans.append([line for line in text.split("\n") if "ArrowEvalPython" in line or "MapInArrow" in line])
+        return df
+
+    store = C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, *args: store(planned(df), *args))
+    rows = [(i, f"some words of text {i} and more", "en", "a", 30) for i in range(8)]
+    planned(stage(spark, spark.createDataFrame(rows, DOC_SCHEMA), SF_SMALL))
+    assert all(len(found) <= 1 for found in plans)
+    if name in ("secret_scan", "byte_bpe"):
+        assert sum(map(len, plans)) == 2  # both steps are there
+
+
 def test_texts_reach_python_in_small_batches(spark):
     own = spark.newSession()
     docs = own.range(9000, numPartitions=1).selectExpr(

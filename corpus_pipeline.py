@@ -41,7 +41,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     small_batches(spark)
     groups = jaccard_join.components(docs, shingle=5, percent=80)
     copies = groups.filter("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    # Texts stay where they are while the ids of the copies can travel instead.
+    kept = docs.join(jaccard_join.small(copies, 16), "doc_id", "left_anti").select(docs.columns)
     if not has_repeated_ids(kept):
         return kept
     named = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])

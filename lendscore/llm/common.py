@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -32,6 +33,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query are removed when it ends.  Else they stay until the driver happens to collect its
+    garbage, and those of long jobs add up on the executors' disks."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,10 +3,11 @@
 Texts are sets of word shingles; two link when 100 * intersection >= 85 * union.  The
 join is exact: every link between different texts is found or already implied.
 
-1. *Sketch.*  A set's shingle hashes are XOR-ed into a parity sketch of 64-bit words, one bit per
-   element.  Sketches differ in at most as many bits as their sets do in elements, so sketches of sets
+1. *Sketch.*  A set's shingle hashes are XOR-ed into a sketch of 64-bit words.  Sketches differ in at most
+   as many words as their sets do in elements, so sketches of sets
    that link agree in all but a few words, and some word of a fixed few must be
-   equal (pigeonhole, see ``parity.join_keys``).  Sizes are cut into overlapping bands.
+   equal (pigeonhole, see ``parity.join_keys``).  Sizes are cut into overlapping bands.  Words that are
+   joined take whole hashes; a parity sketch takes one bit per element, so that its bits bound the difference too.
    Shingles that very many texts share are left out of both sketches alike (which
    keeps the bound), unless they are most of a set.
 2. *Join.*  Equal words make groups.  Every set is compared with some pivots of its groups, by
@@ -20,7 +21,7 @@ Scale: equal sets are one row before the join (``classes``); keys are 16-byte ro
 once; texts are read again only for pairs to verify and meet at the pivot, the rarer side; pair
 tables are broadcast up to ``BROADCAST_BYTES`` (counted) and joined by shuffle beyond.
 
-Stored tables are removed as soon as nothing reads them any more.
+Stored tables are removed as soon as nothing reads them any more, and shuffled rows when the query that made them ends.
 
 Defined results: null, empty and blank texts have no shingles and link with nothing; rows that repeat
 an id count as one document with the links of all and one component; a row with a null id takes the component of
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from ..session import Intermediates, materialize
 from . import parity
-from .common import list_array
+from .common import list_array, released_shuffles
 from .components import component_labels
 
 BROADCAST_BYTES = 32 << 20
@@ -121,6 +122,17 @@ def sketches(docs: DataFrame, common: np.ndarray, shingle: int, percent: int, ow
     return own.store(made.withColumn("row", F.monotonically_increasing_id()), "jaccard-sketches")
 
 
+def one_per_class(table: DataFrame, rows: DataFrame, classes: DataFrame, own: Intermediates) -> DataFrame:
+    """The rows of ``table`` that stand for a class, with their id as ``rep``.  Sketches stay where they are while
+    the narrow rows of the classes, or else those of the copies, can travel instead."""
+    chosen = classes.filter("rep IS NOT NULL").select("row")
+    named = table.filter("n > 0 AND id IS NOT NULL").withColumnRenamed("id", "rep")
+    if chosen.count() * 16 <= BROADCAST_BYTES:
+        return named.join(F.broadcast(chosen), "row", "left_semi")
+    copies = rows.filter("n > 0 AND id IS NOT NULL").select("row").join(chosen, "row", "left_anti")
+    return named.join(small(own.store(copies, "jaccard-copies"), 16), "row", "left_anti")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int, own: Intermediates) -> DataFrame:
     """The ``pairs (a, b)`` that link, by the shingles of their whole texts.  The texts
     of the ``a`` side travel to those of ``b``, which should be the fewer."""
@@ -163,7 +175,7 @@ def compared(placed: DataFrame, facts: DataFrame, percent: int, first: bool) ->
         # Narrow rows travel; what is known of each set joins them where they arrive.
         rows = placed.repartition("key", "i", "j").join(F.broadcast(facts), "row").join(pivots, "pivot")
     else:
-        rows = placed.join(facts, "row").join(pivots, "pivot").repartition("key", "i", "j")
+        rows = placed.join(pivots, "pivot").join(facts, "row").repartition("key", "i", "j")
     minor = F.lit(True) if first else F.col("c") != F.col("pivot_c")
     rows = rows.select("key", "i", "j", "rep", "role", "n", "c", minor.alias("minor"), "bound")
 
@@ -274,15 +286,14 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """``id_col, n_shingles, component_id`` per row: the size of the shingle set and the smallest
     id that links reach."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    with Intermediates(df.sparkSession) as own:
+    with Intermediates(df.sparkSession) as own, released_shuffles(df.sparkSession):
         table = sketches(docs, common_shingles(docs, shingle), shingle, percent, own)
-        rows = own.store(table.select("id", "n", "print"), "jaccard-rows")
+        rows = own.store(table.select("id", "n", "print", "row"), "jaccard-rows")
         # One row per distinct set: one of its smallest id.
         first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row"))
         classes = table.filter("n > 0").groupBy("print").agg(first.alias("first"))
         classes = own.store(classes.select("print", F.col("first.id").alias("rep"), F.col("first.row").alias("row")), "jaccard-classes")
-        # Sketches stay where they are while the narrow classes can travel instead.
-        sets = table.join(small(classes.select("row", "rep").filter("rep IS NOT NULL"), 16), "row")
+        sets = one_per_class(table, rows, classes, own)
         reps = own.store(sets.select("row", "rep", "n", "bound"), "jaccard-sets")
 
         by_key = Window.partitionBy("key").orderBy(F.xxhash64("row"), "row")

@@ -131,11 +131,21 @@ def sketch(h: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
+def whole_sketch(h: np.ndarray, words: int) -> np.ndarray:
+    """As :func:`sketch`, but every element flips its word by its whole hash, so that words are equal where they hold
+    the same elements.  With one bit each, the few values of a word with one or two elements are met by chance, by more
+    sets the more there are."""
+    h = mix(h)
+    out = np.zeros(words, dtype=np.uint64)
+    np.bitwise_xor.at(out, (h >> np.uint64(6)) % np.uint64(words), h)
+    return out
+
+
 def join_keys(h: np.ndarray, rare: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Keys of which two sets that may link share at least the smaller ``shared_keys``.
 
     With d = ``most_different`` and s = ``shared_keys``, the first d + s non-zero words of each
-    sketch do (pigeonhole: of the words up to where the first of the two stops, at most d
+    whole sketch do (pigeonhole: of the words up to where the first of the two stops, at most d
     differ); a set with fewer emits all its words, zeros too.  Where all but few elements are common ones, the rare
     ones cannot fill so many words: such sets, and those that may link to them, are sketched whole."""
     n, d = len(h), int(most_different(len(h), percent))
@@ -148,7 +158,7 @@ def join_keys(h: np.ndarray, rare: np.ndarray, percent: int = PERCENT) -> np.nda
     keys = []
     for band, largest in bands_of(n, percent):
         for kind, elements in kinds:
-            s = sketch(elements, band_words(largest, percent))
+            s = whole_sketch(elements, band_words(largest, percent))
             at = np.flatnonzero(s)
             most = d + shared_keys(n)
             at = at[:most] if len(at) >= most else np.arange(len(s))

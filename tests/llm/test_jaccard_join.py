@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -181,6 +182,65 @@ def test_sketches_stay_while_narrow_classes_travel(spark, monkeypatch):
         assert "BroadcastHashJoin" in plans[name] and "SortMergeJoin" not in plans[name]
 
 
+def test_narrow_copies_travel_if_the_classes_are_too_many(spark, monkeypatch):
+    """Whole sketches are shuffled only if neither the classes nor the copies are few enough to broadcast."""
+    plans, real = {}, J.Intermediates.store
+
+    def watched(self, df, name="stage"):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(self, df, name)
+
+    monkeypatch.setattr(J.Intermediates, "store", watched)
+    docs = [(i, f"a b c d e {i}") for i in range(6)] + [(9, "a b c d e 0"), (None, "v w x y z")]
+    expected = {**brute(docs[:-1]), None: (2, None)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, joins in ((96, "BroadcastHashJoin"), (80, "BroadcastHashJoin"), (8, "SortMergeJoin")):
+            monkeypatch.setattr(J, "BROADCAST_BYTES", limit)
+            plans.clear()
+            assert result(spark.createDataFrame(docs, "doc_id long, text string")) == expected
+            for name in ("jaccard-sets", "jaccard-groups"):
+                found = {kind for kind in ("BroadcastHashJoin", "SortMergeJoin") if kind in plans[name]}
+                assert found == {joins}, (limit, name)
+            assert ("jaccard-copies" in plans) == (limit < 96)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_odd_rows_by_every_way(spark, monkeypatch):
+    found = []
+    for limit in (0, 40, 1 << 20):
+        monkeypatch.setattr(J, "BROADCAST_BYTES", limit)
+        found.append(Counter(map(tuple, J.components(odd_docs(spark)).collect())))
+    assert found[0] == found[1] == found[2]
+
+
+def test_sets_with_nothing_in_common_share_no_keys():
+    """Else groups are met by chance: the more sets there are, the larger all of them get."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in [60, 250, 900] * 100]
+    keys = np.concatenate([np.unique(parity.join_keys(s, s, 80)) for s in sets])
+    assert len(np.unique(keys)) == len(keys)
+
+
+def test_shuffled_rows_go_with_their_query(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (blocks.apply(i).getName() for i in range(blocks.size())) if name.startswith("shuffle_")}
+
+    docs = [(i, f"a b c d e f g h i j {i // 3}") for i in range(60)]
+    before = files()
+    J.components(spark.createDataFrame(docs, "doc_id long, text string"), percent=80)
+    for _ in range(50):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 @pytest.mark.parametrize("size", [1, 4])
 def test_sets_of_many_texts_are_those_of_each(monkeypatch, size):
     texts = ["A b c d e a b c d", None, "", " \t", "one", "One two", "x " * 40, "é ß\u0085x y\x0bz w v", "p q r s", "p q r s t"]

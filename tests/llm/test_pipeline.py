@@ -88,6 +88,19 @@ def test_texts_reach_python_in_small_batches(spark):
     assert own.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "5m"
 
 
+def test_texts_stay_while_ids_of_copies_travel(spark):
+    rows = [(i, f"some words of text {i // 2 * 7} and more", "en", "a", 30) for i in range(8)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = C.one_of_each_group(spark, spark.createDataFrame(rows, DOC_SCHEMA), SF_SMALL)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 6]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     for name, stage in C.STAGES:
